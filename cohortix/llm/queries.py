@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, hmm, near_dup, packing, quality, toxicity
+from . import decontamination, flac, hmm, html_text, near_dup, packing, quality, toxicity, url_filter, warc
 from .common import table
 
 
@@ -22,6 +22,22 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.media_features(flac.store_texts(table(spark, sf_dir, "documents")))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,7 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_hmm_scores, op2_packing, op3_decontamination, op8_near_duplicates, op9_quality, op10_toxicity)
+        for f in (op1_hmm_scores, op2_packing, op3_decontamination, op4_url_filter, op5_warc, op6_html_text, op7_flac, op8_near_duplicates, op9_quality, op10_toxicity)
     }
 
 
@@ -49,8 +65,10 @@ def oracle_sql() -> dict[str, str]:
 
 
 OP3_SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), w -> w <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), w -> w <> '') AS w FROM benchmark),
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), w -> w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), w -> w <> '') AS w FROM benchmark),
 bs AS (SELECT DISTINCT item_id, least(len(w), 5) AS width, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS s FROM b, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0),
 n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
 widths AS (SELECT DISTINCT width FROM bs),
