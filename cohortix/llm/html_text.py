@@ -47,6 +47,8 @@ _KINDS = (
     ("form", frozenset("form search searchbox login signup button fieldset select label".split())),
     ("comments", frozenset("comment comments disqus discussion replies reply respond commentlist feedback".split())),
 )
+#: Words of a class, id or itemprop that mark an article's container.
+_MARKS = frozenset("article post entry story content main".split())
 _WORDS = re.compile(r"[a-z]+")
 KINDS = tuple(k for k, _ in _KINDS)
 
@@ -61,23 +63,25 @@ class Block:
     kinds: frozenset[str]
 
 
-def _kinds_of(name: str, attrs: str) -> frozenset[str]:
+def _kinds_of(name: str, attrs: str) -> tuple[frozenset[str], bool]:
+    """What an element says about its content, and whether it is an article's container."""
     said = {name}
     if attrs:
         for _, a, b, c in _ATTR.findall(attrs):
             said.update(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
         if _HIDDEN.search(attrs):
-            return frozenset({"notice"})
+            return frozenset({"notice"}), False
     # the article's own header holds its heading; a page-wide wrapper's class says little
     if name in ("html", "body", "main", "article"):
-        return frozenset()
-    return frozenset(k for k, names in _KINDS if said & names)
+        return frozenset(), name in ("main", "article")
+    kinds = frozenset(k for k, names in _KINDS if said & names)
+    return kinds, not kinds and name in ("div", "section", "td") and bool(said & _MARKS)
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order. ``br`` is white space, not the end of a block."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[tuple[str, frozenset[str], bool]] = []
     kinds: frozenset[str] = frozenset()
     parts: list[str] = []
     linked: list[str] = []
@@ -126,10 +130,10 @@ def blocks(page: str) -> list[Block]:
             end()
             in_link = 0
         if m[2]:
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, *_ in stack):
                 while stack:
-                    n, _ = stack.pop()
-                    article -= n in ("article", "main")
+                    n, _, marks = stack.pop()
+                    article -= marks
                     if n == name:
                         break
         elif name not in _VOID and not m[4].endswith("/"):
@@ -138,30 +142,31 @@ def blocks(page: str) -> list[Block]:
             if name == "li" and stack and stack[-1][0] == "li":
                 stack.pop()
             # an article's header is part of it
-            own = _kinds_of(name, m[4]) - (frozenset({"edge"}) if article and name == "header" else frozenset())
+            own, marks = _kinds_of(name, m[4])
+            own = own - (frozenset({"edge"}) if article and name == "header" else frozenset())
             if own or name in _BLOCKS:
-                stack.append((name, own))
-                article += name in ("article", "main")
+                stack.append((name, own, marks))
+                article += marks
         if name in _BLOCKS:
             heading = not m[2] and name in ("h1", "h2", "h3", "h4", "h5", "h6")
             if m[2] and name[0] == "h" and name[1:].isdigit():
                 heading = False
-        kinds = frozenset().union(*(k for _, k in stack)) if stack else frozenset()
+        kinds = frozenset().union(*(k for _, k, _ in stack)) if stack else frozenset()
     text(page[at:])
     end()
     return out
 
 
-FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "article", "heading", "any_article", *KINDS)
+FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "article", "heading", "outside", *KINDS, "any_kind")
 
 
 def features(bs: list[Block]) -> np.ndarray:
-    """Rows of ``FEATURES``. A page without a marked article counts as one throughout."""
+    """Rows of ``FEATURES``; ``outside`` is text beside a page's marked article."""
     n = len(bs)
     w = np.array([0, *[b.words for b in bs], 0], float)
     d = np.array([0, *[b.linked / b.words for b in bs], 0], float)
     any_ = any(b.article for b in bs)
-    own = np.array([[b.article, b.heading, any_, *[k in b.kinds for k in KINDS]] for b in bs], float).reshape(n, 3 + len(KINDS))
+    own = np.array([[b.article, b.heading, any_ and not b.article, *[k in b.kinds for k in KINDS], bool(b.kinds)] for b in bs], float).reshape(n, 4 + len(KINDS))
     return np.column_stack([w[1:-1], d[1:-1], w[:-2], d[:-2], w[2:], d[2:], own])
 
 
@@ -175,16 +180,19 @@ EXAMPLES: tuple[tuple[float, float, float, float, float, float, int, int, int, s
     (1, 0, 60, 0.1, 40, 0, 1, 0, 1, "", 1), (2, 0, 1, 0, 9, 0, 1, 0, 1, "", 1), (400, 0, 2, 0, 12, 0, 1, 0, 1, "", 1),
     (3, 0, 12, 0, 3, 0.5, 1, 1, 1, "", 1), (12, 0.3, 8, 0, 200, 0, 1, 0, 1, "", 1), (5, 1, 90, 0, 70, 0, 1, 0, 1, "", 1),
     (25, 0, 7, 0, 8, 0, 1, 0, 1, "", 1), (1, 0, 1, 0, 1, 0, 1, 0, 1, "", 1), (4, 0, 30, 0, 0, 0, 1, 0, 1, "", 1),
+    (60, 0, 5, 1, 40, 0, 1, 0, 1, "", 1), (40, 0, 60, 0, 5, 1, 1, 0, 1, "", 1), (30, 0, 4, 1, 3, 1, 1, 0, 1, "", 1), (3, 1, 4, 1, 5, 1, 1, 0, 1, "", 1),
+    (6, 0, 3, 1, 2, 1, 1, 0, 1, "", 1), (2, 0, 5, 1, 0, 0, 1, 0, 1, "", 1), (8, 1, 2, 1, 0, 0, 1, 0, 1, "", 1), (9, 0.5, 1, 1, 80, 0, 1, 1, 1, "", 1),
     # pages without a marked article
     (7, 0, 4, 1, 90, 0, 0, 1, 0, "", 1), (90, 0.02, 7, 0, 70, 0, 0, 0, 0, "", 1), (70, 0, 90, 0, 15, 0, 0, 0, 0, "", 1),
     (15, 0, 70, 0, 30, 0.1, 0, 0, 0, "", 1), (30, 0.1, 15, 0, 3, 1, 0, 0, 0, "", 1), (12, 0, 60, 0, 50, 0, 0, 0, 0, "", 1),
-    (4, 0, 60, 0, 45, 0, 0, 0, 0, "", 1), (2, 0, 40, 0, 60, 0, 0, 0, 0, "", 1), (6, 0.2, 50, 0, 33, 0, 0, 0, 0, "", 1),
+    (11, 0.1, 2, 0, 7, 0, 0, 0, 0, "", 1), (7, 0, 11, 0.1, 1, 0, 0, 0, 0, "", 1), (2, 0, 0, 0, 11, 0.1, 0, 1, 0, "", 1), (14, 0, 9, 0, 0, 0, 0, 0, 0, "", 1),
+    (9, 0, 14, 0, 20, 0, 0, 0, 0, "", 1), (4, 0, 60, 0, 45, 0, 0, 0, 0, "", 1), (2, 0, 40, 0, 60, 0, 0, 0, 0, "", 1), (6, 0.2, 50, 0, 33, 0, 0, 0, 0, "", 1),
     (3, 1, 2, 1, 3, 1, 0, 0, 0, "", 0), (2, 1, 3, 1, 7, 0, 0, 0, 0, "", 0), (1, 1, 0, 0, 2, 1, 0, 0, 0, "", 0),
     (5, 0.9, 40, 0, 4, 1, 0, 0, 0, "", 0), (12, 0.8, 4, 1, 9, 0.9, 0, 0, 0, "", 0), (4, 0, 3, 1, 2, 1, 0, 0, 0, "", 0),
     (2, 0, 2, 1, 3, 1, 0, 0, 0, "", 0), (3, 0, 5, 1, 4, 1, 0, 1, 0, "", 0), (6, 0, 4, 1, 0, 0, 0, 0, 0, "", 0),
     # what lies beside a marked article
     (11, 0, 1, 1, 9, 0, 0, 0, 1, "", 0), (40, 0, 3, 0, 9, 0, 0, 0, 1, "", 0), (3, 1, 3, 1, 2, 1, 0, 0, 1, "", 0),
-    (8, 0, 200, 0, 0, 0, 0, 0, 1, "", 0), (60, 0, 200, 0, 4, 0, 0, 0, 1, "", 0), (5, 0, 0, 0, 11, 0, 0, 1, 1, "", 0),
+    (20, 0, 0, 0, 90, 0, 0, 0, 1, "", 0), (9, 0, 5, 0, 70, 0, 0, 0, 1, "", 0), (70, 0, 9, 0, 70, 0, 0, 0, 1, "", 0), (8, 0, 200, 0, 0, 0, 0, 0, 1, "", 0), (60, 0, 200, 0, 4, 0, 0, 0, 1, "", 0), (5, 0, 0, 0, 11, 0, 0, 1, 1, "", 0),
     # menus, edges, sides, notices, adverts, forms and comments, inside and outside of articles
     (1, 1, 1, 1, 1, 1, 0, 0, 1, "menu", 0), (2, 1, 1, 1, 9, 0, 0, 0, 0, "menu", 0), (3, 0, 50, 0, 2, 1, 1, 0, 1, "menu", 0),
     (14, 0, 60, 0, 0, 0, 0, 0, 1, "edge", 0), (30, 0.1, 80, 0, 9, 0, 0, 0, 0, "edge", 0), (5, 0, 60, 0, 2, 1, 1, 0, 1, "edge", 0),
@@ -198,7 +206,7 @@ EXAMPLES: tuple[tuple[float, float, float, float, float, float, int, int, int, s
 
 
 def table() -> tuple[np.ndarray, np.ndarray]:
-    x = [[*e[:9], *[float(k in e[9].split()) for k in KINDS]] for e in EXAMPLES]
+    x = [[*e[:8], float(e[8] and not e[6]), *[float(k in e[9].split()) for k in KINDS], float(bool(e[9]))] for e in EXAMPLES]
     return np.array(x, float), np.array([e[10] for e in EXAMPLES])
 
 

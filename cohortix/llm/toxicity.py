@@ -76,7 +76,8 @@ def features(text: str, lex: Lexicon) -> tuple[float, ...]:
     mixed = _MIXED.findall(text)
     hidden = sum(1 for w in mixed if (v := _BROKEN.sub("", w.lower().translate(_LEET)).strip(_EDGES)) != w.lower().strip(_EDGES) and v in bad)
     hidden += sum(1 for w in raw if ("*" in w or "-" in w or "." in w[:-1]) and _BROKEN.sub("", w.lower()).strip(_EDGES) in bad)
-    spaced = sum(1 for w in _SPACED.findall(text) if re.sub(r"[ .\-*_]", "", w).lower() in bad)
+    runs = (re.sub(r"[ .\-*_]", "", w).lower() for w in _SPACED.findall(text))
+    spaced = sum(1 for r in runs if any(b in r for b in INSULTS))
     letters = sum(map(text.count, "aeinrst")) or 1
     upper = sum(map(text.count, "AEINRST"))
     return (
