@@ -70,6 +70,46 @@ def biospecimen_observations(obs: DataFrame, biospecimens: DataFrame) -> DataFra
     return j.withColumns({"participant_id": F.coalesce("_p", "participant_id"), "event_id": F.coalesce("event_id", "_e")}).drop("_p", "_e")
 
 
+def biospecimens_of(df: DataFrame, biospecimen: str, participant: str, ord_col: str = "_ord", **columns: Column) -> DataFrame:
+    """One row per biospecimen, the first; rows without an id or a participant are none."""
+    b = df.select(as_text(biospecimen).alias("biospecimen_id"), F.col(participant).alias("participant_id"), F.col(ord_col).alias("_ord"), *[c.alias(n) for n, c in columns.items()])
+    return keep_first(b.where("biospecimen_id <> '' and participant_id is not null"), ["biospecimen_id"])
+
+
+def biospecimen_summary(biospecimens: DataFrame) -> DataFrame:
+    """Counts and distinct participants by tissue, material and event; unknown values are ``?``."""
+    keys = [F.coalesce(F.col(c), F.lit("?")).alias(c) for c in ("tissue", "material", "event_id")]
+    return biospecimens.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("participant_id").alias("n_participants"))
+
+
+def biospecimens_per_event(biospecimens: DataFrame) -> DataFrame:
+    return biospecimens.where("event_id is not null").groupBy("event_id").agg(F.count("*").alias("n"))
+
+
+def phenotype_missingness(observations: DataFrame) -> DataFrame:
+    return observations.groupBy("phenotype").agg((F.count_if("is_missing") / F.count("*")).alias("missing_fraction"))
+
+
+def participants_per_source(aliases: DataFrame, participants: DataFrame) -> DataFrame:
+    """(source_id, n_participants, n_first_seen)."""
+    a = aliases.groupBy("source_id").agg(F.count_distinct("participant_id").alias("n_participants"))
+    f = participants.groupBy(F.col("first_source").alias("source_id")).agg(F.count("*").alias("n_first_seen"))
+    return a.join(f, "source_id", "left").fillna(0, ["n_first_seen"])
+
+
+def availability_groups(assays: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """Per source, modality and origin of current artifacts: tissue, last artifact, participants."""
+    j = assays.join(artifacts.where("status = 'current'").select("artifact_id", "modality", "origin", "tissue"), "artifact_id")
+    return j.groupBy("source_id", "modality", "origin").agg(F.max("tissue").alias("tissue"), F.max("artifact_id").alias("artifact_id"), F.count_distinct("participant_id").alias("n_participants"))
+
+
+def storage_mode(mode: str, modality: str, size: int, most: int = 1 << 30) -> str:
+    """copy, link or reference; ``auto`` refers to genotypes and large files and copies the rest."""
+    if mode != "auto":
+        return mode
+    return "reference" if modality == "genotype" or size >= most else "copy"
+
+
 # ---- timeline ---------------------------------------------------------------------------------
 
 

@@ -163,3 +163,16 @@ def ancestry_match(model: Column, cohort: Column) -> Column:
     none = model.isNull() | cohort.isNull() | (F.size(model) == 0) | (F.size(cohort) == 0)
     inside = both == F.size(F.array_distinct(cohort))
     return F.when(none, "unknown").when(both == 0, "mismatched").when(inside & (F.size(model) == 1), "matched").when(inside, "mixed").otherwise("partial")
+
+
+def weights_wide(matched: DataFrame, features: Sequence[str]) -> DataFrame:
+    """A column a feature, cells that meet summed; for few features, given by name."""
+    return matched.groupBy("geno_variant_id", "counted_allele").pivot("feature_id", list(features)).agg(F.sum("weight"))
+
+
+def catalogue(models: DataFrame, **contains: str) -> DataFrame:
+    """Catalogue rows whose columns contain the given texts, whatever their case."""
+    out = models
+    for c, text in contains.items():
+        out = out.where(F.lower(c).contains(text.lower()))
+    return out

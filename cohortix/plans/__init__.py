@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cohort, scores, variants  # noqa: F401  (they register their queries)
+from . import cohort, parts, scores, variants  # noqa: F401  (they register their queries)
 from .registry import ORACLES, QUERIES
 
 
