@@ -65,10 +65,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 OP3_SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+'), w -> w <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+'), w -> w <> '') AS w FROM benchmark),
+WITH d AS (SELECT doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS w FROM documents),
+b AS (SELECT item_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS w FROM benchmark),
 bs AS (SELECT DISTINCT item_id, least(len(w), 5) AS width, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS s FROM b, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0),
 n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
 widths AS (SELECT DISTINCT width FROM bs),
