@@ -114,7 +114,9 @@ def weighted_sum(calls: DataFrame, matched: DataFrame, intercepts: DataFrame | N
     A weight on the ALT allele adds weight * dosage, one on the REF allele weight * (2 - dosage); a
     missing genotype adds 0 for either, because only called rows are joined. One join and one sum.
     """
-    m = sized(matched.select(F.col("geno_variant_id").alias("variant"), "model_id", "feature_id", "weight", "counts_alt"))
+    # no hint: the size of the matched weights is known only at run time, where adaptive execution
+    # decides between broadcast and shuffle
+    m = matched.select(F.col("geno_variant_id").alias("variant"), "model_id", "feature_id", "weight", "counts_alt")
     d = F.when(F.col("counts_alt"), F.col("dosage")).otherwise(2.0 - F.col("dosage"))
     s = calls.where("dosage is not null").join(m, "variant").groupBy("sample", "model_id", "feature_id").agg(F.sum(d * F.col("weight")).alias("score"))
     if intercepts is not None:
@@ -129,7 +131,6 @@ def weighted_sum_of_carriers(carriers: DataFrame, called: DataFrame, matched: Da
     carried; ``called`` (sample, variant) says where there is a call.
     """
     m = matched.select(F.col("geno_variant_id").alias("variant"), "model_id", "feature_id", F.when(F.col("counts_alt"), F.col("weight")).otherwise(-F.col("weight")).alias("w"), F.when(F.col("counts_alt"), 0.0).otherwise(2 * F.col("weight")).alias("base"))
-    m = sized(m)
     alt = carriers.join(m, "variant").select("sample", "model_id", "feature_id", (F.col("dosage") * F.col("w")).alias("x"))
     ref = called.join(m.where("base <> 0"), "variant").select("sample", "model_id", "feature_id", F.col("base").alias("x"))
     return alt.unionByName(ref).groupBy("sample", "model_id", "feature_id").agg(F.sum("x").alias("score"))
