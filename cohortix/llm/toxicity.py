@@ -27,7 +27,7 @@ from .quality import filter_rows, labelled_sample
 INSULTS = frozenset("idiot idiots idiotic moron morons moronic stupid scum loser losers pathetic worthless trash disgusting clown filth imbecile bastard bitch asshole cretin trottel arschloch abschaum schwachkopf connard salaud abruti estúpido imbécil escoria idiota".split())
 YOU = frozenset("you your yours you're yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos tú usted ustedes tuyo contigo".split())
 _LEET = str.maketrans("013457@$!|", "oieastasil")
-_EDGES = ".,;:!?\"'()[]{}<>«»„“”…-*_~"
+_EDGES = ".,;:!?\"'()[]{}<>«»„“”…-*_~#$%&@^+=|/\\"
 _BROKEN = re.compile(r"(?<=\w)[*.\-_~+](?=\w)")
 _SPACED = re.compile(r"(?<!\S)(?:\w[ .\-*_]){3,}\w(?!\S)")
 _MIXED = re.compile(r"(?<!\S)(?=\S*[^\W\d_])\S*[0-9@$!*|](?=[^\W\d_])\S*")
@@ -221,6 +221,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sam
     model = Boosted(lex, 0.0, 3, *boost(x[~hold], y[~hold])[1:], (np.array([0.0]), np.array([0.0])))
     model.base = float(np.log(np.clip(y[~hold].mean(), 1e-3, 0.999) / (1 - np.clip(y[~hold].mean(), 1e-3, 0.999))))
     model.steps = isotonic(model.margin(x[hold]), y[hold])
+    # scoring knows the words of both halves: the same features, with fewer gaps
+    model.lex = learn_lexicon(rows.select("y", "text"))
     return model
 
 
