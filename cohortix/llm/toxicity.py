@@ -114,7 +114,7 @@ def learn_lexicon(rows: DataFrame, most: int = 3_000, ratio: float = 12.0) -> Le
 
     df = rows.mapInArrow(terms, "kind string, term string, no long, yes long").groupBy("kind", "term").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
     weight = F.log(((F.col("yes") + 0.1) / toxic) / ((F.col("no") + 0.5) / clean))
-    got = df.where(F.col("yes") >= max(2, round(toxic * 0.004))).withColumn("weight", weight).where(F.col("weight") >= float(np.log(ratio)))
+    got = df.where(F.col("yes") >= max(2, round(toxic * 0.015))).withColumn("weight", weight).where(F.col("weight") >= float(np.log(ratio)))
     kept = got.orderBy(F.desc("yes"), "kind", "term").limit(most).collect()
     pick = lambda kind: {r["term"]: float(r["weight"]) for r in kept if r["kind"] == kind}
     return Lexicon(pick("w"), pick("b"))
@@ -196,7 +196,8 @@ def isotonic(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             blocks[-1][1] += w
             blocks[-1][3] = hi
     xs = np.array([e for b in blocks for e in (b[2], b[3])])
-    ys = np.array([(b[0] + 0.02) / (b[1] + 0.04) for b in blocks for _ in range(2)])
+    # four rows of the base rate in every block: a few rows alone don't make a score of 1
+    ys = np.array([(b[0] + 4 * y.mean()) / (b[1] + 4) for b in blocks for _ in range(2)])
     return xs, np.maximum.accumulate(ys)
 
 
