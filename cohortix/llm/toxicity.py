@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, texts_of
+from .common import held_out
 from .quality import filter_rows, labelled_sample
 
 INSULTS = frozenset("idiot idiots idiotic moron morons moronic stupid scum loser losers pathetic worthless trash disgusting clown filth imbecile bastard bitch asshole cretin trottel arschloch abschaum schwachkopf connard salaud abruti estúpido imbécil escoria idiota".split())
