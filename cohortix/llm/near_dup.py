@@ -1,15 +1,19 @@
 """MinHash near-duplicates by a chosen-path set similarity join.
 
 Texts with the same shingle set are one set from the start, so copies never become pairs. Each set
-has a signature of minwise values. A tree sends a set down the children that belong to two minwise
-positions chosen for the node; two sets of Jaccard similarity s take a common child with probability
-``1 - (1 - s)**2`` per level, and ``trees`` independent trees repeat this. A first round compares the
-members of each first-level node with one of them and so joins large groups of like sets at the cost
-of one comparison a member. What is left are nodes that hold several components. Those whose members
-outside their largest component are few are compared exhaustively across components; others branch
-on by further minwise tokens until they are, or until ``depth``, where they are compared all the
-same: nothing is capped. Links that the signatures do not rule out are confirmed on the full shingle
-sets of the texts.
+has a signature of minwise values. A tree sends a set down the children that belong to minwise
+positions chosen for the node, so that like sets meet again and unlike ones part; ``trees``
+independent trees repeat this. Levels take turns in sending a set to one child and to two: that is
+4/3 on average, so that the expected number of common children of two sets grows from level to level
+only above the similarity of 0.75.
+
+What is asked for are components, and a link inside a component is not needed twice. A first round
+compares the members of each node with one of them and so joins large groups of like sets at the cost
+of one comparison a member. Nodes that still hold several components branch on until comparing their
+members across components is at most ``leaf`` squared comparisons, or until ``depth``, where they are
+compared all the same: nothing is capped. Comparisons run on blocks of signatures of bounded size, so
+a node of any size is many tasks and only likely pairs leave them. Likely pairs are confirmed on the
+full shingle sets of the texts, the likeliest of each text first.
 """
 
 from __future__ import annotations
@@ -23,46 +27,50 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, WordHash, cut, mix, shared_dir, shingle_set, texts_of, words
 
-#: Pairs whose estimated similarity lies this far under the threshold are ruled out; with 128 values
-#: that is over five standard deviations.
-MARGIN = 0.2
+#: Pairs whose estimated similarity lies this far under the threshold are ruled out. The estimate is
+#: over up to ``BINS`` minwise values, so that is 3.6 standard deviations at a similarity of 0.75.
+MARGIN = 0.07
+#: Bins of the hash range, each with the smallest hash in it; a power of two.
+BINS = 512
+#: Sets in a block of comparisons.
+BLOCK = 256
 
 
-def _params(k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    r = np.random.default_rng(seed)
-    return r.integers(1, 2**63, k, np.uint64) | np.uint64(1), r.integers(0, 2**63, k, np.uint64)
+def signature(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(branching values, estimation bytes) of a sorted set of 64-bit hashes, by one permutation.
 
-
-def signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Minwise values (upper 32 bits) of a set of hashes under the functions (a * x + b), mixed."""
-    out = np.full(len(a), 0xFFFFFFFF, np.uint32)
-    lo = max(1, 2_000_000 // len(a))  # a bounded block of long sets at a time
-    for i in range(0, len(s), lo):
-        x = s[i : i + lo]
-        h = (a[:, None] * x[None, :] + b[:, None]) >> np.uint64(32)
-        np.minimum(out, h.min(1).astype(np.uint32), out=out)
-    return out
+    The smallest hash of each bin is a minwise value. For branching, ``k`` places of the hash range
+    take the value of the next filled bin, so that small sets have one at every place. For
+    estimation, every bin has a byte, 0 where it is empty.
+    """
+    bins = (s >> np.uint64(55)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
+    filled, least = bins[first], s[first]
+    value = mix(least)
+    low = np.zeros(BINS, np.uint8)
+    low[filled] = (value % np.uint64(255)).astype(np.uint8) + 1
+    at = np.searchsorted(filled, np.arange(0, BINS, BINS // k))
+    return (value[at % len(filled)] >> np.uint64(32)).astype(np.uint32), low
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str, width: int, k: int, seed: int) -> DataFrame:
+def sketches(docs: DataFrame, doc_id: str, text: str, width: int, k: int) -> DataFrame:
     """(doc_id, n_shingles, digest of the set, sig, low) of every row; an empty set has no digest.
 
-    ``sig`` holds the minwise values, by which nodes branch; ``low`` their low bytes, by which
-    similarity is estimated.
+    ``sig`` holds the values by which nodes branch, ``low`` the bytes by which similarity is estimated.
     """
     kind = dict(docs.dtypes)[doc_id]
 
     def make(it):
-        wh, (a, b) = WordHash(), _params(k, seed)
+        wh = WordHash()
         for batch in it:
             n, dig, sig, low = [], [], [], []
             for t in texts_of(batch.column(1)):
                 s = shingle_set(wh(words(t)), width)
-                v = signature(s, a, b) if len(s) else None
+                v, w = signature(s, k) if len(s) else (None, None)
                 n.append(len(s))
                 dig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sig.append(v.tobytes() if len(s) else None)
-                low.append(v.astype(np.uint8).tobytes() if len(s) else None)
+                low.append(w.tobytes() if len(s) else None)
             cols = [batch.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in (dig, sig, low)]]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "digest", "sig", "low"])
 
@@ -87,6 +95,11 @@ def components(edges: DataFrame, where: str, most: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Estimated similarity of rows of estimation bytes: equal bins of those that either has filled."""
+    return ((x == y) & (x > 0)).sum(-1) / np.maximum(((x > 0) | (y > 0)).sum(-1), 1)
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """``pairs`` (a, b) with the estimated similarity ``est``, those under ``least`` ruled out."""
 
@@ -95,7 +108,7 @@ def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             if not b.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(b.num_rows, -1) for i in (2, 3))
-            est = (x == y).mean(1)
+            est = estimate(x, y)
             m = pa.array(est >= least)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(m), b.column(1).filter(m), pa.array(est).filter(m)], names=["a", "b", "est"])
 
@@ -114,7 +127,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, wher
 
         def shingles(t: bytes) -> np.ndarray:
             if t not in memo:
-                if len(memo) > 200:
+                if len(memo) > 2_000:
                     memo.clear()
                 memo[t] = shingle_set(wh(words(t)), width)
             return memo[t]
@@ -138,23 +151,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, wher
 
 
 def _roots(sets: DataFrame, k: int, trees: int, branches: int, seed: int) -> DataFrame:
-    """(node, rid): the first level of all trees. A tree's root is chosen by its number alone."""
+    """(node, rid, n): the first level of all trees. A tree's root is chosen by its number alone."""
 
     def go(it):
         for b in it:
             if not b.num_rows:
                 continue
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(b.num_rows, k)
-            for j in range(trees * branches):
-                # trees share no first position, so their first levels are independent
-                child = mix(mix(sig[:, j % k].astype(np.uint64) + np.uint64(seed)) + np.uint64(j)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(child), b.column(0)], names=["node", "rid"])
+            roots = trees * branches
+            for j in range(roots):
+                # trees share no first position, and the positions spread over the whole hash range, so
+                # that small sets, which fill few bins, still show most of their values
+                child = mix(mix(sig[:, j * max(1, k // roots) % k].astype(np.uint64) + np.uint64(seed)) + np.uint64(j)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(child), b.column(0), b.column(2)], names=["node", "rid", "n"])
 
-    return sets.select("rid", "sig").mapInArrow(go, f"node long, rid {dict(sets.dtypes)['rid']}")
+    return sets.select("rid", "sig", "n").mapInArrow(go, f"node long, rid {dict(sets.dtypes)['rid']}, n long")
 
 
 def _children(nodes: DataFrame, k: int, branches: int, seed: int) -> DataFrame:
-    """(node, rid) one level down: ``branches`` minwise positions chosen for each node."""
+    """(node, rid, n) one level down: ``branches`` minwise positions chosen for each node."""
 
     def go(it):
         for b in it:
@@ -165,29 +180,74 @@ def _children(nodes: DataFrame, k: int, branches: int, seed: int) -> DataFrame:
             for j in range(branches):
                 pick = mix(node + np.uint64(seed + j + 1))
                 value = sig[np.arange(len(node)), (pick % np.uint64(k)).astype(np.int64)].astype(np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(mix(mix(pick ^ value) + np.uint64(j)).view(np.int64)), b.column(1)], names=["node", "rid"])
+                yield pa.RecordBatch.from_arrays([pa.array(mix(mix(pick ^ value) + np.uint64(j)).view(np.int64)), b.column(1), b.column(3)], names=["node", "rid", "n"])
 
-    return nodes.select("node", "rid", "sig").mapInArrow(go, f"node long, rid {dict(nodes.dtypes)['rid']}")
+    return nodes.select("node", "rid", "sig", "n").mapInArrow(go, f"node long, rid {dict(nodes.dtypes)['rid']}, n long")
 
 
 def _shared(nodes: DataFrame, label: DataFrame, where: str) -> DataFrame:
-    """(node, rid, c, total, main, minors) of the nodes that hold several components.
+    """(node, rid, n, c, total, main, minors) of the nodes that hold several components.
 
-    ``main`` is a node's largest component, ``minors`` the number of its members outside it.
+    ``main`` is a component that most members belong to, ``minors`` the number of the others.
     """
-    own = cut(nodes.join(label, "rid", "left").select("node", "rid", F.coalesce("c", "rid").alias("c")), where)
+    own = cut(nodes.join(label.withColumnRenamed("v", "rid"), "rid", "left").select("node", "rid", "n", F.coalesce("c", "rid").alias("c")), where)
     by = own.groupBy("node", "c").agg(F.count("*").alias("m"))
-    stats = by.groupBy("node").agg(F.sum("m").alias("total"), F.count("*").alias("comps"), F.max(F.struct("m", "c")).alias("top")).where("comps > 1")
-    stats = stats.select("node", "total", F.col("top.c").alias("main"), (F.col("total") - F.col("top.m")).alias("minors"))
+    stats = by.groupBy("node").agg(F.sum("m").alias("total"), F.count("*").alias("comps"), F.max("m").alias("most"), F.max_by("c", "m").alias("main")).where("comps > 1")
+    stats = stats.select("node", "total", "main", (F.col("total") - F.col("most")).alias("minors"))
     return cut(own.join(cut(stats, where), "node"), where)
 
 
-def _across(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of one node and different components, each with one minor member."""
-    kind = ["node", "rid", "c"]
-    minor = nodes.where("c <> main").select(*kind).withColumnsRenamed({"rid": "x", "c": "cx"})
-    pairs = minor.join(nodes.select(*kind), "node").where("cx <> c")
-    return pairs.select(F.least("x", "rid").alias("a"), F.greatest("x", "rid").alias("b")).distinct()
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _across(nodes: DataFrame, sets: DataFrame, percent: int, least: float) -> DataFrame:
+    """Likely pairs (a, b, est) of members of one node and different components.
+
+    One of a pair is outside the node's main component. Members are dealt into blocks by their hash;
+    each block of outsiders meets each block of members.
+    """
+    rows = nodes.join(sets.select("rid", "low"), "rid")
+    deal = lambda size: F.pmod(F.xxhash64("rid"), F.ceil(F.col(size) / F.lit(BLOCK))).cast("int")
+    packed = [F.collect_list(c).alias(c) for c in ("rid", "n", "c", "low", "minor")]
+    rows = rows.withColumn("minor", F.col("c") != F.col("main"))
+    member = rows.groupBy("node", deal("total").alias("blk")).agg(*packed)
+    other = rows.where("minor").groupBy("node", deal("minors").alias("_blk")).agg(*[x for x in packed[:4]]).withColumnsRenamed({x: f"_{x}" for x in ("rid", "n", "c", "low")})
+    met = member.join(other, "node").select("rid", "n", "c", "low", "minor", "_rid", "_n", "_c", "_low")
+
+    def compare(it):
+        for b in it:
+            for i in range(b.num_rows):
+                ids, ns, cs, lows, minor, ids2, ns2, cs2, lows2 = (np.asarray(b.column(j)[i].values) if j not in (3, 8) else b.column(j)[i].as_py() for j in range(9))
+                x, y = (np.frombuffer(b"".join(v), np.uint8).reshape(len(v), BINS) for v in (lows, lows2))
+                for k in range(len(ids2)):
+                    # two outsiders meet in both orders: the smaller id is compared with the larger
+                    ok = (cs != cs2[k]) & (100 * np.minimum(ns, ns2[k]) >= percent * np.maximum(ns, ns2[k])) & (~minor.astype(bool) | (ids > ids2[k]))
+                    at = np.flatnonzero(ok)
+                    if len(at) > 32:  # an eighth of the bins first, with a wide margin
+                        at = at[estimate(x[at, :: 8], y[k, ::8]) >= least - 0.25]
+                    if len(at):
+                        est = estimate(x[at], y[k])
+                        at, est = at[est >= least], est[est >= least]
+                    if len(at):
+                        lo, hi = np.minimum(ids[at], ids2[k]), np.maximum(ids[at], ids2[k])
+                        yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi), pa.array(est)], names=["a", "b", "est"])
+
+    kind = dict(nodes.dtypes)["rid"]
+    return met.mapInArrow(compare, f"a {kind}, b {kind}, est double").groupBy("a", "b").agg(F.max("est").alias("est"))
+
+
+def _between(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b, est) whose ends lie in different components."""
+    lab = label.withColumnRenamed("c", "_c")
+    at = pairs.join(lab.withColumnsRenamed({"v": "a", "_c": "ca"}), "a", "left").join(lab.withColumnsRenamed({"v": "b", "_c": "cb"}), "b", "left")
+    return at.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "est")
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """For each set the pair (a, b) of highest estimate."""
+    ends = pairs.select(F.col("a").alias("v"), F.col("b").alias("u"), "est").unionByName(pairs.select(F.col("b").alias("v"), F.col("a").alias("u"), "est"))
+    return ends.groupBy("v").agg(F.max_by("u", "est").alias("u")).select(*_pair("v", "u")).distinct()
 
 
 def near_duplicates(
@@ -196,11 +256,10 @@ def near_duplicates(
     text: str = "text",
     percent: int = 75,
     width: int = 5,
-    trees: int = 6,
-    branches: int = 2,
-    depth: int = 5,
-    leaf: int = 40,
-    k: int = 128,
+    trees: int = 8,
+    depth: int = 7,
+    leaf: int = 1000,
+    k: int = 64,
     seed: int = 7,
 ) -> DataFrame:
     """Components of the documents linked by a shingle similarity of ``percent`` or more.
@@ -211,46 +270,47 @@ def near_duplicates(
     are ignored. ``leaf`` squared bounds the comparisons of a node that is compared before ``depth``.
     """
     where = shared_dir(docs.sparkSession)
-    rows = cut(sketches(docs, doc_id, text, width, k, seed), where)
+    rows = cut(sketches(docs, doc_id, text, width, k), where)
     ids = rows.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     # copies are one set, whose smallest id stands for it
-    first = ids.groupBy("digest").agg(F.min("doc_id").alias("rid"), F.count("*").alias("n"))
-    reps = cut(first, where)
-    sets = cut(ids.join(reps.withColumnRenamed("digest", "_d"), (F.col("digest") == F.col("_d")) & (F.col("doc_id") == F.col("rid"))).select("rid", "sig", "low").distinct(), where)
+    reps = cut(ids.groupBy("digest").agg(F.min("doc_id").alias("rid")), where)
+    own = (F.col("digest") == F.col("_d")) & (F.col("doc_id") == F.col("rid"))
+    sets = cut(ids.join(reps.withColumnRenamed("digest", "_d"), own).select("rid", F.col("n_shingles").alias("n"), "sig", "low").distinct(), where)
     texts = docs.select(F.col(doc_id).alias("rid"), F.col(text).alias("text"))
     least = percent / 100 - MARGIN
 
-    nodes = _roots(sets, k, trees, branches, seed)
-    hubs = nodes.groupBy("node").agg(F.min("rid").alias("a"), F.max("rid").alias("z")).where("a < z").select("node", "a")
+    nodes = _roots(sets, k, trees, 2, seed)
+    # a hub for each node that has several members; nodes order them differently
+    order = F.xxhash64("node", "rid")
+    hubs = nodes.groupBy("node").agg(F.count("*").alias("m"), F.min_by("rid", order).alias("hub"), F.min_by("n", order).alias("hn")).where("m > 1")
     nodes = cut(nodes.join(cut(hubs, where), "node"), where)
-    stars = cut(nodes.where("rid <> a").select("a", F.col("rid").alias("b")).distinct(), where)
-    links = _verified(cut(_alike(stars, sets, least), where), texts, width, percent, where)
+    stars = nodes.where("rid <> hub").where(100 * F.least("n", "hn") >= percent * F.greatest("n", "hn")).select(*_pair("rid", "hub")).distinct()
+    pending = cut(_alike(stars, sets, least), where)
+    links = _verified(_likeliest(pending), texts, width, percent, where)
     label = components(links, where)
 
-    pairs, level = None, 1
-    live = _shared(nodes.select("node", "rid"), label.withColumnRenamed("v", "rid"), where)
+    live, level = _shared(nodes.select("node", "rid", "n"), label, where), 1
     while True:
-        few = (F.col("minors") * F.col("total") <= leaf * leaf) | F.lit(level >= depth)
-        got = _across(live.where(few))
-        pairs = got if pairs is None else pairs.unionByName(got)
-        large = live.where(~few)
-        if level >= depth or large.limit(1).count() == 0:
+        done = (F.col("minors") * F.col("total") <= leaf * leaf) | F.lit(level >= depth)
+        pending = pending.unionByName(cut(_across(live.where(done), sets, percent, least), where))
+        open_ = live.where(~done)
+        if level >= depth or open_.limit(1).count() == 0:
             break
-        live = _shared(_children(large.join(sets.select("rid", "sig"), "rid"), k, branches, seed + level), label.withColumnRenamed("v", "rid"), where)
+        live = _shared(_children(open_.join(sets.select("rid", "sig"), "rid"), k, 1 + (level + 1) % 2, seed + level), label, where)
         level += 1
-    open_ = cut(_alike(cut(pairs.distinct(), where), sets, least), where)
-    # First the likeliest pair of each text and component: most others are then inside one component.
     for last in (False, True):
-        lab = label.withColumnRenamed("c", "cl")
-        at = open_.join(lab.withColumnsRenamed({"v": "a", "cl": "ca"}), "a", "left").join(lab.withColumnsRenamed({"v": "b", "cl": "cb"}), "b", "left")
-        at = cut(at.select("a", "b", "est", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb"), where)
-        if not last:
-            best = F.max(F.struct("est", "a", "b")).alias("m")
-            at = at.groupBy("a", "cb").agg(best).select("m.*").unionByName(at.groupBy("b", "ca").agg(best).select("m.*")).distinct()
-        more = _verified(at, texts, width, percent, where)
-        links = links.unionByName(more)
-        if more.limit(1).count():
+        open_ = cut(_between(pending, label).distinct(), where)
+        n_open = open_.count()
+        if last or n_open <= 2 * BROADCAST_ROWS:
+            open_, last = open_.select("a", "b").distinct(), True
+        else:  # most others are inside one component once the likeliest are linked
+            open_ = _likeliest(open_)
+        more = _verified(open_, texts, width, percent, where) if n_open else open_.limit(0)
+        if n_open and more.limit(1).count():
+            links = links.unionByName(more)
             label = components(links, where)
+        if last:
+            break
 
     # a row finds its set, the set its component
     comp = cut(reps.join(label.withColumnRenamed("v", "rid"), "rid", "left").select("digest", F.coalesce("c", "rid").alias("component_id")), where)
