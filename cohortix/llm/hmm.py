@@ -256,7 +256,17 @@ def hmm_scores(
     counts = cut(token_counts(d.withColumn("_train", ~F.col("held_out")), n_buckets=n_buckets), where)
     total = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = total[0] or 0, total[1]
-    frequent = counts.where(F.col("token") != F.lit(bytearray(END))).orderBy(F.desc("c"), "token").limit(lexicon).collect()
+    # The most frequent words by whole bins of the logarithm of their counts, so that a histogram of
+    # bounded size and at most ``lexicon`` words reach the driver, however many tasks there are.
+    level = F.floor(F.log2("c") * 32).cast("int")
+    word = F.col("token") != F.lit(bytearray(END))
+    least, room = None, lexicon
+    for bin_, many in counts.where(word).groupBy(level.alias("b")).count().orderBy(F.desc("b")).collect():
+        if many > room:
+            break
+        least, room = bin_, room - many
+    frequent = counts.where(word & (level >= least)).select("token", "c").collect() if least is not None else []
+    frequent.sort(key=lambda r: (-r["c"], bytes(r["token"])))
     own = {bytes(r["token"]): (i if i < n_words else -1, r["c"]) for i, r in enumerate(frequent)}
     n_words = min(n_words, len(own))
     m = HMM({}, n_words, n_buckets, n, v, np.zeros(n_buckets))
@@ -324,10 +334,9 @@ def hmm_scores(
                     ids, ths, toks, tfs = [], [], [], []
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ids, ths, toks, tfs), pair_schema, strict=True)], schema=pair_schema)
 
-    is_end = F.col("token") == F.lit(bytearray(END))
     pairs = keyed.select("doc_id", "th", "text").mapInArrow(rare, f"doc_id {id_type}, th long, token binary, tf long")
-    rest = counts.where(F.col("c") <= (frequent[-1]["c"] if len(frequent) == lexicon else 0)).select("token", "c")
-    met = pairs.join(rest.where(~is_end), "token").select("doc_id", "th", (F.col("tf") * F.log10(F.col("c") + 1)).alias("x"), F.col("tf").alias("kn"), F.lit(0).alias("rep"))
+    rest = counts.where(word & (level < least) if least is not None else word).select("token", "c")
+    met = pairs.join(rest, "token").select("doc_id", "th", (F.col("tf") * F.log10(F.col("c") + 1)).alias("x"), F.col("tf").alias("kn"), F.lit(0).alias("rep"))
     met = met.unionByName(d.select("doc_id", F.xxhash64("text").alias("th"), F.lit(0.0).alias("x"), F.lit(0).cast("long").alias("kn"), F.lit(1).alias("rep")))
     sums = met.groupBy("doc_id", "th").agg((F.sum("x") / F.sum("rep")).alias("x"), (F.sum("kn") / F.sum("rep")).cast("long").alias("kn"))
 
