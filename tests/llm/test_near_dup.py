@@ -83,3 +83,20 @@ def test_shingle_sets_follow_the_words():
     assert len(shingle_set(wh(words(b"a b c")))) == 1 and len(shingle_set(wh(words(b"")))) == 0
     assert np.array_equal(shingle_set(wh(words(b"A b\x0bc d e f"))), shingle_set(wh(words(b"a b c d e f"))))
     assert not np.array_equal(shingle_set(wh(words(b"a b"))), shingle_set(wh(words(b"b a"))))
+
+
+def test_short_texts_that_share_a_passage(spark, docs):
+    # each text has one other at a similarity of 8 / 10 and all others at 7 / 11
+    passage = " ".join(f"p{i}" for i in range(11))
+    rows = [(2 * i + j, f"{passage} own{i} end{i}x{j}") for i in range(250) for j in range(2)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(docs(rows)).collect()}
+    assert got == brute(rows)
+
+
+def test_estimates_do_not_depend_on_how_they_are_counted():
+    r = np.random.default_rng(1)
+    x = (r.integers(1, 256, (300, 512)) * (r.random((300, 512)) < r.random((300, 1)))).astype(np.uint8)
+    y = np.where(r.random((300, 512)) < 0.8, x, x[::-1])
+    either = ((x > 0) | (y > 0)).sum(-1)
+    assert np.array_equal(near_dup.estimate(x, y), ((x == y) & (x > 0)).sum(-1) / np.maximum(either, 1))
+    assert np.array_equal(near_dup.estimate(x, y[0]), ((x == y[0]) & (x > 0)).sum(-1) / np.maximum(((x > 0) | (y[0] > 0)).sum(-1), 1))
