@@ -6,7 +6,8 @@ advert, comments, heading). A decision tree, grown on the small labelled table `
 which blocks are main text.
 
 Defined results: a null or empty page has no text. Repeated rows get a row each. Unclosed tags,
-unclosed comments and page ends inside a tag are tolerated. Extra columns are ignored.
+unclosed comments and page ends inside a tag are tolerated: a dropped element without its end tag ends
+at the next block's tag, save script and style, which by HTML take the rest. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,16 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is never text of the page, and elements that end a block.
-_DROPPED = "script|style|template|noscript|svg|math|iframe|object|canvas|textarea|select|head|title"
+#: Elements whose content is never text of the page, and elements that end a block. A head needs no
+#: end tag and holds no text but that of dropped elements, so it is not among them.
+_DROPPED = frozenset("script style template noscript svg iframe object canvas textarea select title".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
     "tbody td tfoot th thead tr ul button".split()
 )
+#: A dropped element without its end tag ends before these; options belong to a select.
+_STOP = re.compile(rf"</?(?:head|{'|'.join(sorted(_BLOCKS - {'option', 'optgroup', 'legend', 'hr'}))})(?=[\s/>])", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<({_DROPPED})\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -51,6 +55,8 @@ _KINDS = (
 _MARKS = frozenset("article post entry story content main".split())
 _WORDS = re.compile(r"[a-z]+")
 KINDS = tuple(k for k, _ in _KINDS)
+#: Elements that say by themselves what they hold; others may be wrappers round a whole page.
+_SAYING = frozenset("nav menu aside header footer dialog button fieldset select label".split())
 
 
 @dataclass
@@ -63,6 +69,56 @@ class Block:
     kinds: frozenset[str]
 
 
+@dataclass(eq=False)
+class _Open:
+    """An open element; ``page`` where it holds a main or h1, as a wrapper round a page does."""
+
+    name: str
+    kinds: frozenset[str]
+    marks: bool
+    hidden: bool
+    page: bool = False
+    void: bool = False
+
+    def wraps(self) -> bool:
+        return not self.hidden and self.name not in _SAYING and (self.page or "comments" not in self.kinds)
+
+
+def _void_wrappers(found: list[tuple[Block, tuple[_Open, ...]]]) -> None:
+    """Kinds of wrappers that contain the page's marked article do not count for what they hold.
+
+    The article is the marked container under the fewest elements with kinds, of equals the one of
+    most words; containers inside aside, nav and the like and hidden ones do not become it.
+    """
+    words: dict[_Open, int] = {}
+    above: dict[_Open, list[_Open]] = {}
+    for b, opened in found:
+        for i, e in enumerate(opened):
+            if e.marks:
+                words[e] = words.get(e, 0) + b.words
+                above[e] = [w for w in opened[:i] if w.kinds]
+                break
+    able = [e for e in words if all(w.wraps() for w in above[e])]
+    if able:
+        for w in above[min(able, key=lambda e: (len(above[e]), -words[e]))]:
+            w.void = True
+    for b, opened in found:
+        b.kinds = frozenset().union(*(e.kinds for e in opened if not e.void))
+
+
+def _end_of(page: str, name: str, at: int, unclosed: dict[str, re.Match | None]) -> int:
+    """Where the dropped element ``name`` whose content starts at ``at`` ends."""
+    if name not in unclosed:
+        m = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
+        if m:
+            return m.end()
+        unclosed[name] = None  # nor is there one further on
+    if name in ("script", "style"):
+        return len(page)
+    m = _STOP.search(page, at)
+    return m.start() if m else len(page)
+
+
 def _kinds_of(name: str, attrs: str) -> tuple[frozenset[str], bool]:
     """What an element says about its content, and whether it is an article's container."""
     said = {name}
@@ -81,8 +137,10 @@ def _kinds_of(name: str, attrs: str) -> tuple[frozenset[str], bool]:
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order. ``br`` is white space, not the end of a block."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str], bool]] = []
-    kinds: frozenset[str] = frozenset()
+    stack: list[_Open] = []
+    found: list[tuple[Block, tuple[_Open, ...]]] = []
+    opened: tuple[_Open, ...] = ()
+    unclosed: dict[str, re.Match | None] = {}
     parts: list[str] = []
     linked: list[str] = []
     in_link = 0
@@ -95,7 +153,8 @@ def blocks(page: str) -> list[Block]:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 n = text.count(" ") + 1
-                out.append(Block(text, n, min(n, len("".join(linked).split())), article > 0, heading, kinds))
+                out.append(Block(text, n, min(n, len("".join(linked).split())), article > 0, heading, frozenset()))
+                found.append((out[-1], opened))
             parts.clear()
             linked.clear()
 
@@ -107,53 +166,60 @@ def blocks(page: str) -> list[Block]:
                 linked.append(raw + " ")
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         text(page[at : m.start()])
         at = m.end()
-        name = m[3]
+        name = m[2]
         if name is None:
-            if m[1]:
-                parts.append(" ")
-            elif m[0].startswith("<![CDATA["):
+            if m[0].startswith("<![CDATA["):
                 parts.append(m[0][9:].removesuffix("]]>"))
             continue
         name = name.lower()
+        if name in _DROPPED:
+            if not m[1] and not (name == "svg" and m[3].endswith("/")):
+                at = _end_of(page, name, at, unclosed)
+            parts.append(" ")
+            continue
         if name == "br":
             parts.append(" ")
             continue
         if name == "a":
-            in_link = 0 if m[2] else 1
+            in_link = 0 if m[1] else 1
             continue
         if name not in _BLOCKS and name not in ("span", "label", "ins"):
             continue
         if name in _BLOCKS:
             end()
             in_link = 0
-        if m[2]:
-            if any(n == name for n, *_ in stack):
+        if m[1]:
+            if any(e.name == name for e in stack):
                 while stack:
-                    n, _, marks = stack.pop()
-                    article -= marks
-                    if n == name:
+                    e = stack.pop()
+                    article -= e.marks
+                    if e.name == name:
                         break
-        elif name not in _VOID and not m[4].endswith("/"):
-            if name == "p" and stack and stack[-1][0] == "p":
+        elif name not in _VOID and not m[3].endswith("/"):
+            if name == "p" and stack and stack[-1].name == "p":
                 stack.pop()
-            if name == "li" and stack and stack[-1][0] == "li":
+            if name == "li" and stack and stack[-1].name == "li":
                 stack.pop()
+            if name in ("main", "h1"):
+                for e in stack:
+                    e.page = True
             # an article's header is part of it
-            own, marks = _kinds_of(name, m[4])
+            own, marks = _kinds_of(name, m[3])
             own = own - (frozenset({"edge"}) if article and name == "header" else frozenset())
             if own or name in _BLOCKS:
-                stack.append((name, own, marks))
+                stack.append(_Open(name, own, marks, bool(_HIDDEN.search(m[3]))))
                 article += marks
         if name in _BLOCKS:
-            heading = not m[2] and name in ("h1", "h2", "h3", "h4", "h5", "h6")
-            if m[2] and name[0] == "h" and name[1:].isdigit():
+            heading = not m[1] and name in ("h1", "h2", "h3", "h4", "h5", "h6")
+            if m[1] and name[0] == "h" and name[1:].isdigit():
                 heading = False
-        kinds = frozenset().union(*(k for _, k, _ in stack)) if stack else frozenset()
+        opened = tuple(e for e in stack if e.kinds or e.marks)
     text(page[at:])
     end()
+    _void_wrappers(found)
     return out
 
 

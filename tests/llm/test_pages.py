@@ -219,3 +219,20 @@ def test_media_columns(spark, docs):
     blocks = sorted((r["sample_offset"], bytes(r["pcm"])) for r in flac.pcm_blocks(media.where("doc_id = 4")).collect())
     assert b"".join(p for _, p in blocks) == bytes([ord("x") ^ 0x80]) * 10_000 + bytes([ord(" ") ^ 0x80]) * (-10_000 % 192) and blocks[1][0] == flac.BLOCK
     assert flac.media_features(flac.store_texts(docs([]))).collect() == []
+
+
+def test_pages_are_whole_without_end_tags_and_inside_wrappers():
+    body = "One long paragraph of the article with quite a few words in it, so that it is clearly text."
+    art = f"<article><h1>Head</h1><p>{body}</p></article>"
+    want = f"Head\n\n{body}"
+    assert html_text.text_of(f"<html><head><title>x</title><meta name=a><body>{art}") == want
+    assert html_text.text_of(f"<head><title>x<body>{art}") == want
+    assert html_text.text_of(f"<body><svg width='1' /><p></p>{art}<svg><text>no</text></svg>") == want
+    assert html_text.text_of(f"<body><iframe src=x>{art}") == want
+    for wrap in ("content-sidebar-wrap", "site has-sidebar", "page with-comments"):
+        page = f'<body><div class="{wrap}"><div class="sidebar"><p>{body} Not this.</p></div>{art}<div class="comments"><article><p>Not {body}</p></article></div></div>'
+        assert html_text.text_of(page) == want
+    assert html_text.text_of(f"<body>{art}<aside><article><p>Not {body}</p></article></aside>") == want
+    assert html_text.text_of(f'<body><div hidden>{art}</div><p>x</p>') == ""
+    assert html_text.text_of(f"<article><h1>Head</h1><p>{body} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>") == f"{want} x=1"
+    assert html_text.text_of(f"<body>{art}<script>var a = '<p>{body}</p>'") == want
