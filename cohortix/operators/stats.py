@@ -104,40 +104,85 @@ def unrelated_removal(pairs: DataFrame, missing: DataFrame) -> DataFrame:
     return rows.groupBy("c").applyInPandas(greedy, f"sample {kind}, removal_order int")
 
 
-def ld_prune(calls: DataFrame, window: int = 200, step: int = 50, r2: float = 0.2) -> DataFrame:
+def _ld_sums(window: int, step: int):
+    """Sums over one block of samples for the pairs of one window's variants, as a row."""
+
+    def sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = np.unique(np.concatenate(pdf["s"].to_list()))
+        g, m = np.zeros((window, len(ids))), np.zeros((window, len(ids)))
+        for i, s, x in zip(pdf["i"] - key[1] * step, pdf["s"], pdf["g"], strict=True):
+            at = np.searchsorted(ids, s)
+            g[i, at], m[i, at] = x, 1
+        gs, ms = g[:step], m[:step]
+        both = np.stack([gs @ g.T, gs @ m.T, ms @ g.T, ms @ m.T])
+        own = np.stack([g.sum(1), m.sum(1), (g * g).sum(1)])
+        return pd.DataFrame({"chromosome": [key[0]], "w": [key[1]], "both": [both.tobytes()], "own": [own.tobytes()]})
+
+    return sums
+
+
+def _ld_partners(window: int, step: int, r2: float):
+    """Each variant of a window's first ``step`` with its frequency and the later ones over ``r2``."""
+
+    def partners(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        s, n, q = sum(np.frombuffer(x).reshape(3, window) for x in pdf["own"])
+        gg, gm, mg, mm = sum(np.frombuffer(x).reshape(4, min(step, window), window) for x in pdf["both"])
+        mean = s / np.maximum(n, 1)
+        var = n * q - s * s  # whole numbers, so a variant without variance has exactly 0
+        norm = np.sqrt(np.where(var > 0, var / np.maximum(n, 1), 0))
+        k = len(gg)
+        dot = gg - gm * mean - mean[:k, None] * mg + mm * mean[:k, None] * mean
+        scale = norm[:k, None] * norm
+        over = (scale > 0) & (np.divide(dot, scale, out=np.zeros_like(dot), where=scale > 0) ** 2 > r2) & (np.arange(window) > np.arange(k)[:, None])
+        at = np.flatnonzero(n[:k] > 0)
+        f = np.minimum(mean / 2, 1 - mean / 2)
+        first = key[1] * step
+        return pd.DataFrame({"chromosome": key[0], "i": first + at, "f": f[at], "varies": norm[at] > 0, "partners": [(first + np.flatnonzero(over[j])).tolist() for j in at]})
+
+    return partners
+
+
+def ld_prune(calls: DataFrame, window: int = 200, step: int = 50, r2: float = 0.2, sample_block: int = 4_096) -> DataFrame:
     """(chromosome, position, variant, keep): greedy pruning in windows of variants, by chromosome.
 
     Of a pair over ``r2`` within a window the one of lower minor-allele frequency goes (then the
-    later). A chromosome's kept variants depend on all before them, so it is the unit of work; calls
-    reach it as one array a variant.
+    later). Sums over samples are taken for each window and block of about ``sample_block`` samples,
+    whatever the number of samples. A chromosome's kept variants depend on all before them, so the
+    choice is sequential there, over variants and their pairs above ``r2`` only.
     """
+    if step > window:
+        raise ValueError("a step beyond the window would leave variants out")
     called = calls.where("alt_count is not null")
-    wide = called.groupBy("chromosome", "position", "variant").agg(F.collect_list("sample").alias("s"), F.collect_list(F.col("alt_count").cast("double")).alias("g"))
-
-    def prune(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["position", "variant"]).reset_index(drop=True)
-        ids = np.unique(np.concatenate(pdf["s"].to_list()))
-        x = np.full((len(pdf), len(ids)), np.nan)
-        for i, (s, g) in enumerate(zip(pdf["s"], pdf["g"], strict=True)):
-            x[i, np.searchsorted(ids, s)] = g
-        mean = np.nanmean(x, axis=1)
-        f = np.minimum(mean / 2, 1 - mean / 2)
-        z = np.where(np.isnan(x), 0, x - mean[:, None])
-        norm = np.sqrt((z * z).sum(1))
-        keep = norm > 0
+    blocks = max(1, -(-called.agg(F.approx_count_distinct("sample")).first()[0] // sample_block))
+    key = ["chromosome", "position", "variant"]
+    order = Window.partitionBy("chromosome").orderBy(F.col("position").asc_nulls_last(), "variant")
+    index = called.select(*key).distinct().withColumn("i", (F.row_number().over(order) - 1).cast("long"))
+    wide = called.groupBy(*key, F.pmod(F.xxhash64("sample"), F.lit(blocks)).alias("sb")).agg(F.sort_array(F.collect_list(F.struct("sample", F.col("alt_count").cast("double").alias("g")))).alias("x"))
+    named = index.withColumnsRenamed({c: f"_{c}" for c in key})
+    same = lambda x, y: F.col(x).eqNullSafe(F.col(y))
+    wide = wide.join(named, [same(c, f"_{c}") for c in key]).select("chromosome", "sb", "i", F.col("x.sample").alias("s"), F.col("x.g").alias("g"))
+    last = F.floor(F.col("i") / step)
+    first = F.greatest(F.lit(0), F.floor((F.col("i") - window) / step) + 1)
+    wide = wide.withColumn("w", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+    kind = dict(calls.dtypes)
+    part = wide.groupBy("chromosome", "w", "sb").applyInPandas(lambda k, pdf: _ld_sums(window, step)(k[:2], pdf), f"chromosome {kind['chromosome']}, w long, both binary, own binary")
+    found = part.groupBy("chromosome", "w").applyInPandas(_ld_partners(window, step, r2), f"chromosome {kind['chromosome']}, i long, f double, varies boolean, partners array<long>")
+    found = found.withColumnsRenamed({"chromosome": "_chromosome", "i": "_i"})
+    rows = index.join(found, [same("chromosome", "_chromosome"), same("i", "_i")]).select(*key, "i", "f", "varies", "partners")
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i").reset_index(drop=True)
+        keep, f, partners = pdf["varies"].to_numpy(bool).copy(), pdf["f"].to_numpy(), pdf["partners"].to_list()
         for lo in range(0, len(pdf), step):
-            idx = np.flatnonzero(keep[lo : lo + window]) + lo
-            c = (z[idx] @ z[idx].T) / np.outer(norm[idx], norm[idx])
-            live = np.ones(len(idx), bool)
-            for i in range(len(idx)):
-                for j in range(i + 1, len(idx)):
-                    if live[i] and live[j] and c[i, j] ** 2 > r2:
-                        live[i if f[idx[i]] < f[idx[j]] else j] = False
-            keep[idx[~live]] = False
-        return pdf[["chromosome", "position", "variant"]].assign(keep=keep)
-
-    schema = ", ".join(f"{c} {t}" for c, t in wide.dtypes if c not in ("s", "g")) + ", keep boolean"
-    return wide.groupBy("chromosome").applyInPandas(prune, schema)
+            for i in range(lo, min(lo + window, len(pdf))):
+                for j in partners[i]:
+                    if j >= lo + window or not keep[i]:
+                        break
+                    if keep[j]:
+                        keep[i if f[i] < f[j] else j] = False
+        return pdf[key].assign(keep=keep)
+
+    return rows.groupBy("chromosome").applyInPandas(choose, ", ".join(f"{c} {kind[c]}" for c in key) + ", keep boolean")
 
 
 def pca(calls: DataFrame, k: int = 10, most_samples: int = 5_000) -> DataFrame:

@@ -188,3 +188,41 @@ def test_supersede_keeps_rows(spark):
     a = spark.createDataFrame([("1", "s", "k", "current")], "artifact_id string, source_id string, kind string, status string")
     n = spark.createDataFrame([("2", "s", "k", "current")], a.schema)
     assert sorted((r["artifact_id"], r["status"]) for r in registry.supersede(a, n, ["source_id", "kind"]).collect()) == [("1", "superseded"), ("2", "current")]
+
+
+def test_ld_pruning_by_blocks_of_samples_equals_one_matrix(spark):
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    n, m, window, step, r2 = 70, 60, 12, 5, 0.2
+    g = r.binomial(2, 0.3, (m, n)).astype(float)
+    for i in range(3, m):  # many variants follow one shortly before
+        if r.random() < 0.5:
+            g[i] = np.where(r.random(n) < 0.8, g[i - r.integers(1, 4)], g[i])
+    g[20] = 1
+    g[r.random((m, n)) < 0.05] = np.nan
+    rows = [("1", i, f"v{i:02}", f"s{j}", int(g[i, j])) for i in range(m) for j in range(n) if g[i, j] == g[i, j]]
+    calls = spark.createDataFrame(rows, "chromosome string, position long, variant string, sample string, alt_count int")
+    mean = np.nanmean(g, axis=1)
+    f = np.minimum(mean / 2, 1 - mean / 2)
+    z = np.where(np.isnan(g), 0, g - mean[:, None])
+    norm = np.sqrt((z * z).sum(1))
+    keep = norm > 0
+    for lo in range(0, m, step):
+        idx = np.flatnonzero(keep[lo : lo + window]) + lo
+        for a, i in enumerate(idx):
+            for j in idx[a + 1 :]:
+                if keep[i] and keep[j] and (z[i] @ z[j] / norm[i] / norm[j]) ** 2 > r2:
+                    keep[i if f[i] < f[j] else j] = False
+    assert 10 < keep.sum() < 50
+    for block in (16, 4096):
+        got = {x["position"]: x["keep"] for x in stats.ld_prune(calls, window, step, r2, sample_block=block).collect()}
+        assert got == dict(enumerate(keep.tolist()))
+
+
+def test_column_facts_rank_before_they_collect(spark):
+    df = spark.createDataFrame([(f"{i:03}", None) for i in range(300)], "a string, b string")
+    facts = infer.column_facts(df, ["a", "b"])
+    assert "WindowGroupLimit" in facts._jdf.queryExecution().toString()
+    got = {x["column"]: (x["n"], x["n_levels"], x["levels"]) for x in facts.collect()}
+    assert got == {"a": (300, 300, [f"{i:03}" for i in range(infer.MOST_CODES + 1)]), "b": (0, 0, [])}
