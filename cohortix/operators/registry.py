@@ -232,7 +232,7 @@ def lineage(edges: DataFrame, start: DataFrame, most: int = 50) -> DataFrame:
     """(start, ancestor, depth): all ancestors of each start, nearest depth, by rounds of joins.
 
     ``edges``: child, parent. A round extends only what the last round reached, and pairs that are
-    known are not extended again, so cycles end.
+    known are not extended again, so cycles end. More than ``most`` rounds are an error, not a cut.
     """
     out = start.select(F.col("id").alias("start"), F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
     front = out
@@ -240,9 +240,9 @@ def lineage(edges: DataFrame, start: DataFrame, most: int = 50) -> DataFrame:
         step = front.join(edges, front["ancestor"] == edges["child"]).select("start", F.col("parent").alias("ancestor")).distinct()
         front = step.join(out.select("start", "ancestor"), ["start", "ancestor"], "left_anti").withColumn("depth", F.lit(d)).persist()
         if front.limit(1).count() == 0:
-            break
+            return out.where("depth > 0")
         out = out.unionByName(front)
-    return out.where("depth > 0")
+    raise RuntimeError(f"ancestors lie more than {most - 1} rounds away: pass a larger bound")
 
 
 def with_parents(artifacts: DataFrame, edges: DataFrame) -> DataFrame:

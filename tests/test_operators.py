@@ -226,3 +226,11 @@ def test_column_facts_rank_before_they_collect(spark):
     assert "WindowGroupLimit" in facts._jdf.queryExecution().toString()
     got = {x["column"]: (x["n"], x["n_levels"], x["levels"]) for x in facts.collect()}
     assert got == {"a": (300, 300, [f"{i:03}" for i in range(infer.MOST_CODES + 1)]), "b": (0, 0, [])}
+
+
+def test_lineage_deeper_than_its_bound_is_an_error(spark):
+    e = spark.createDataFrame([(f"a{i}", f"a{i + 1}") for i in range(4)], "child string, parent string")
+    start = spark.createDataFrame([("a0",)], "id string")
+    with pytest.raises(RuntimeError):
+        registry.lineage(e, start, most=2)
+    assert registry.lineage(e, start, most=5).count() == 4
