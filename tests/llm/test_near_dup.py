@@ -52,7 +52,7 @@ def corpus(seed=0):
     return rows
 
 
-@pytest.mark.parametrize("leaf", [1000, 2])
+@pytest.mark.parametrize("leaf", [2000, 2])
 def test_components_equal_brute_force(spark, docs, leaf):
     rows = corpus()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(docs(rows).repartition(3), leaf=leaf).collect()}
