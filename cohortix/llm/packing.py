@@ -2,19 +2,19 @@
 
 What has to be packed is known by its histogram: pieces have ``capacity`` possible lengths. The
 driver solves the histogram (bounded by ``capacity`` rows, whatever the corpus): around the largest
-piece left it enumerates undominated fillings by branch and bound, pruned by the waste that is still
-reachable, and uses the best filling as often as the histogram allows. A best-fit-decreasing solution
-is the incumbent; the last pieces are completed by branch and bound over whole solutions. The plan
-says which ranks of which length go to which sequences; every piece gets its rank within its length,
-in buckets of bounded size, and so its place. Nothing but the histogram reaches the driver.
+piece left it enumerates undominated fillings from the least waste up and branches on them, each used
+as often as the histogram allows at first. The best-fit-decreasing solution is the first incumbent and
+bounds the waste that a branch may have. The plan says which ranks of which length go to which
+sequences; every piece gets its rank within its length, in buckets of bounded size, and so its place.
+Nothing but the histogram reaches the driver.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,12 @@ TOKENIZER = "byte_bpe_50k.json"
 @functools.cache
 def _tokenizer(name: str):
     """Texts to lists of ids. The rank file of the same vocabulary gives the same ids several times
-    faster; a text that its pattern engine refuses goes to the JSON file's tokenizer."""
+    faster; a text that holds an added token of the JSON file, or that the pattern engine refuses, goes
+    to the JSON file's tokenizer."""
     import base64
+    import json
     import os
+    import re
 
     import public_tokenizers as P
 
@@ -51,12 +54,14 @@ def _tokenizer(name: str):
     def slow():
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(P.path(name))
-        t.encode_special_tokens = True
-        return t
+        return Tokenizer.from_file(P.path(name))
+
+    with open(P.path(name), encoding="utf-8") as f:
+        added = [t["content"] for t in json.load(f)["added_tokens"]]
+    special = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
 
     def encode(text: str) -> list[int]:
-        if fast is not None:
+        if fast is not None and not special(text):
             try:
                 return fast.encode_ordinary(text)
             except BaseException as e:  # the engine's panics derive from BaseException
@@ -110,47 +115,73 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, doc_id: str = "doc_id",
 # ---- the histogram's packing ------------------------------------------------------------------
 
 
-def completion(sizes: list[int], counts: dict[int, int], room: int, nodes: int = 20_000) -> list[int]:
-    """Pieces that fill ``room`` best: branch and bound over undominated fillings.
+def fillings(room: int, counts: dict[int, int], waste: int) -> Iterator[list[int]]:
+    """Undominated fillings of ``room`` that leave at most ``waste``, from the least waste up.
 
-    ``sizes`` descending. A filling dominates another that it exceeds piece by piece, so at each
-    level the largest piece that fits is tried first; a branch is cut when the pieces it can still
-    take leave no less waste than the incumbent. An exact fit ends the search; after ``nodes``
-    branches the incumbent, best fit's or better, stands.
+    A filling dominates another whose pieces fit into its pieces as into bins. So one piece of just
+    ``room`` dominates all, and a filling is dominated where a piece left out could take the place of
+    some of its pieces (or of none) that are together no longer, and still fit.
     """
-    sizes = [s for s in sizes if s <= room]
-    left = [0] * (len(sizes) + 1)  # what all pieces from i on could fill
-    for i in range(len(sizes) - 1, -1, -1):
-        left[i] = left[i + 1] + sizes[i] * counts[sizes[i]]
-    best: list[int] = []
-    best_sum = 0
-    spent = 0
-
-    def go(i: int, room: int, got: list[int], filled: int) -> bool:
-        nonlocal best, best_sum, spent
-        if filled > best_sum:
-            best, best_sum = list(got), filled
-            if not room:
-                return True
-        while i < len(sizes) and sizes[i] > room:
+    if not room or counts.get(room):
+        yield [room] if room else []
+        return
+    sizes = sorted((s for s in counts if s < room), reverse=True)
+    mask = (1 << room + 1) - 1
+    sums = [1]  # as bits, what the pieces from i on can fill; read from the end
+    for s in reversed(sizes):
+        bits, left, k = sums[-1], min(counts[s], room // s), 1
+        while left:  # so many of s, in powers of two
+            k = min(k, left)
+            bits |= bits << s * k & mask
+            left, k = left - k, 2 * k
+        sums.append(bits)
+    sums.reverse()
+
+    def go(i: int, fill: int, got: list[int]) -> Iterator[list[int]]:
+        if not fill:
+            yield got
+            return
+        while i < len(sizes) and sums[i] >> fill & 1:
+            s = sizes[i]
             i += 1
-        for j in range(i, len(sizes)):
-            spent += 1
-            if spent > nodes or filled + min(room, left[j]) <= best_sum:
-                return spent > nodes
-            s = sizes[j]
-            # an exact partner for what is left is looked up before the branches under it
-            for k in range(min(counts[s], room // s), 0, -1):
-                rest = room - k * s
-                if 0 < rest < s and counts.get(rest):
-                    best, best_sum = [*got, *[s] * k, rest], filled + room
-                    return True
-                if go(j + 1, rest, [*got, *[s] * k], filled + k * s):
-                    return True
-        return False
-
-    go(0, room, [], 0)
-    return best
+            for k in range(min(counts[s], fill // s), 0, -1):
+                if sums[i] >> fill - k * s & 1:
+                    yield from go(i, fill - k * s, [*got, *[s] * k])
+
+    for w in range(min(room, waste) + 1):
+        for got in go(0, room - w, []):
+            if not _dominated(got, w, counts, sizes):
+                yield got
+
+
+def _dominated(got: list[int], slack: int, counts: dict[int, int], sizes: list[int]) -> bool:
+    one, more, used = 0, 0, Counter(got)  # sums of one piece and of several, as bits
+    for s in got:
+        more |= (one | more) << s
+        one |= 1 << s
+    for s in sizes:
+        if counts[s] > used[s] and (more >> s & 1 or (1 | one | more) >> max(0, s - slack) & ((1 << min(slack, s)) - 1)):
+            return True
+    return False
+
+
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs, counting the room beside long pieces that no other can fill.
+
+    For each length a: pieces longer than capacity - a fill a sequence alone as far as those of length
+    a and more go; those over half a sequence have one each; the rest fills what these leave.
+    """
+    if not counts:
+        return 0
+    n = np.zeros(capacity + 2, np.int64)
+    n[list(counts)] = list(counts.values())
+    many, total = np.cumsum(n), np.cumsum(n * np.arange(capacity + 2))
+    half = capacity // 2
+    a = np.arange(half + 1)
+    large, middle = many[-1] - many[capacity - a], many[capacity - a] - many[half]
+    room = middle * capacity - (total[capacity - a] - total[half])
+    small = total[half] - np.where(a > 0, total[a - 1], 0)
+    return int((large + middle + np.maximum(0, -(-(small - room) // capacity))).max())
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
@@ -180,91 +211,88 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int
     return [(list(p), m) for bins in open_bins.values() for p, m in bins.items()]
 
 
-def _complete_all(counts: dict[int, int], capacity: int, limit: int, nodes: int) -> list[tuple[list[int], int]] | None:
-    """Branch and bound over whole solutions for a small histogram, in fewer than ``limit`` bins."""
-    need = lambda c: math.ceil(sum(s * n for s, n in c.items()) / capacity)
-    best: list[tuple[list[int], int]] | None = None
-    spent = 0
+def _less(c: dict[int, int], pieces: list[int], times: int = 1) -> dict[int, int]:
+    out = dict(c)
+    for s, k in Counter(pieces).items():
+        out[s] -= k * times
+        if not out[s]:
+            del out[s]
+    return out
 
-    def fillings(room: int, sizes: list[int], c: dict[int, int]):
-        got = []
 
-        def go(i: int, room: int, p: list[int]) -> None:
-            fits = [s for s in sizes[i:] if s <= room]
-            if not fits or len(got) > 200:
-                got.append(p)
-                return
-            for s in fits:
-                j = sizes.index(s)
-                for k in range(min(c[s], room // s), 0, -1):
-                    go(j + 1, room - k * s, [*p, *[s] * k])
+def complete(counts: dict[int, int], capacity: int, most: int, nodes: int | None) -> list[tuple[list[int], int]] | None:
+    """Bin completion: the best patterns (pieces, how often) found in at most ``most`` sequences.
 
-        go(0, room, [])
-        return sorted(got, key=lambda p: (-sum(p), len(p)))
+    Depth first over fillings around the largest piece left. A branch ends where its waste, or the
+    lower bound of what is left, can no longer reach ``most``, which falls below each solution found.
+    ``nodes`` bounds the branches tried; None searches until the best is proved.
+    """
+    total, least = sum(s * n for s, n in counts.items()), lower_bound(counts, capacity)
+    best = None
+    path: list[tuple[list[int], int]] = []
+    used, waste, spent = [0], [0], 0
 
-    def solve(c: dict[int, int], bins: list) -> None:
-        nonlocal best, limit, spent
-        spent += 1
-        if not c:
-            best, limit = [(b, 1) for b in bins], len(bins)
-            return
-        if spent > nodes or len(bins) + need(c) >= limit:
-            return
-        top = max(c)
-        c = _less(c, [top])
-        for p in fillings(capacity - top, sorted(c, reverse=True), c):
-            solve(_less(c, p), [*bins, [top, *p]])
-            if spent > nodes:
+    def branches(left: dict[int, int]) -> Iterator[tuple[list[int], int, dict[int, int]]]:
+        top = max(left)
+        rest = _less(left, [top])
+        for p in fillings(capacity - top, rest, most * capacity - total - waste[-1]):
+            if waste[-1] + capacity - top - sum(p) > most * capacity - total:  # ``most`` has fallen
                 return
+            pattern = [top, *p]
+            for times in range(min(left[s] // k for s, k in Counter(pattern).items()), 0, -1):
+                yield pattern, times, _less(left, pattern, times)
 
-    solve(counts, [])
+    stack = [branches(counts)] if counts else []
+    while stack:
+        step = next(stack[-1], None)
+        spent += 1
+        if step is None or (nodes is not None and spent > nodes):
+            if step is not None:
+                break
+            stack.pop()
+            if path:
+                path.pop(), used.pop(), waste.pop()
+            continue
+        pattern, times, left = step
+        bins, lost = used[-1] + times, waste[-1] + times * (capacity - sum(pattern))
+        if lost > most * capacity - total or bins + (lower_bound(left, capacity) if left else 0) > most:
+            continue
+        if left:
+            path.append((pattern, times)), used.append(bins), waste.append(lost)
+            stack.append(branches(left))
+            continue
+        best, most = [*path, (pattern, times)], bins - 1
+        if bins <= least:
+            break
     return best
 
 
-def _less(c: dict[int, int], pieces: list[int], times: int = 1) -> dict[int, int]:
-    out = dict(c)
-    for s, k in Counter(pieces).items():
-        out[s] -= k * times
-        if not out[s]:
-            del out[s]
-    return out
-
+def solve(counts: dict[int, int], capacity: int, nodes: int | None = 20_000) -> list[tuple[list[int], int]]:
+    """Patterns (pieces, how often) that pack the histogram, each piece once, by bin completion.
 
-def solve(counts: dict[int, int], capacity: int, tail: int = 24, nodes: int = 5_000) -> list[tuple[list[int], int]]:
-    """Patterns (pieces, how often) that pack the histogram, each piece once."""
+    Best fit's solution is the incumbent: it bounds the search, and stands where ``nodes`` branches
+    find none that needs as few sequences.
+    """
     counts = {int(s): int(n) for s, n in counts.items() if n}
     incumbent = best_fit(counts, capacity)
-    least = math.ceil(sum(s * n for s, n in counts.items()) / capacity)
-    if sum(m for _, m in incumbent) == least:
-        return incumbent
-    left, out = dict(counts), []
-    while left and sum(left.values()) > tail:
-        top = max(left)
-        rest = _less(left, [top])
-        pattern = [top, *completion(sorted(rest, reverse=True), rest, capacity - top)]
-        need = Counter(pattern)
-        times = min(left[s] // k for s, k in need.items())
-        out.append((pattern, times))
-        left = _less(left, pattern, times)
-    if left:
-        end = best_fit(left, capacity)
-        out += _complete_all(left, capacity, sum(m for _, m in end), nodes) or end
-    return min((out, incumbent), key=lambda p: sum(m for _, m in p))
+    return complete(counts, capacity, sum(m for _, m in incumbent), nodes) or incumbent
 
 
 # ---- the packing of a table -------------------------------------------------------------------
 
 
-def pack(docs: DataFrame, capacity: int = 2048, per_bucket: int = 2_000, **kw) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, per_bucket: int = 2_000, nodes: int | None = 20_000, **kw) -> DataFrame:
     """Pieces of all documents with sequence_id and offset, in as few sequences as the solver finds.
 
     ``per_bucket`` bounds the rows that are ranked together, so a length that a third of all pieces
-    share is ranked in many tasks. Empty tables give no rows; the rest is as in ``token_pieces``.
+    share is ranked in many tasks. ``nodes`` bounds the solver's search; None proves the fewest.
+    Null ids are packed like others, null and empty texts are one end token, repeated rows are packed
+    as often as they occur, empty tables give no rows and extra columns are ignored.
     """
     where = shared_dir(docs.sparkSession)
     pieces = cut(token_pieces(docs, capacity, **kw), where)
     hist = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    plan = solve(hist, capacity)
+    plan = solve(hist, capacity, nodes)
     # For each length, ranks [first, last) go to a slot of a run of equal sequences.
     used: Counter = Counter()
     rows, base = [], 0

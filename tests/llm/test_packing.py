@@ -6,10 +6,11 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
-from itertools import permutations
+from itertools import combinations, permutations
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from cohortix.llm import packing
@@ -17,8 +18,7 @@ from cohortix.llm import packing
 
 def test_pieces_equal_the_tokenizer(spark, docs):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
-    rows = [(1, "Hello <|endoftext|> wörld\n\n  x"), (2, None), (3, ""), (4, "ab " * 5000), (5, " " * 3000), (6, "z" * 20000), (7, "日本語 🙂 don't")]
+    rows = [(8, "a <|endoftext|>b"), (1, "Hello <|endoftext|> wörld\n\n  x"), (2, None), (3, ""), (4, "ab " * 5000), (5, " " * 3000), (6, "z" * 20000), (7, "日本語 🙂 don't")]
     got = defaultdict(list)
     for r in packing.token_pieces(docs(rows), 2048, with_ids=True).collect():
         got[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"], r["ids"]))
@@ -71,6 +71,39 @@ def test_small_histograms_are_packed_optimally():
         assert sum(m for _, m in plan) == optimum(items, 20)
 
 
-def test_best_fit_is_beaten_where_it_errs():
-    counts = Counter({6: 2, 5: 2, 4: 2, 3: 2, 2: 2})  # 40 in bins of 10: four, exactly full
-    assert sum(m for _, m in packing.solve(counts, 10)) == 4
+@pytest.mark.parametrize("nodes", [20_000, None])
+def test_best_fit_is_beaten_where_it_errs(nodes):
+    for capacity, items in ((10, [2, 3, 3, 3, 4, 5]), (12, [2, 2, 2, 3, 3, 3, 3, 4, 4, 5, 5, 5, 6]), (30, [3, 5, 7, 7, 9, 12, 14, 14, 18]), (100, [4, 8, 20, 33, 36, 40, 41, 58, 59])):
+        counts = Counter(items)
+        assert sum(m for _, m in packing.best_fit(counts, capacity)) == sum(m for _, m in packing.solve(counts, capacity, nodes)) + 1
+
+
+def test_a_table_is_packed_by_completion(spark, docs):
+    # best fit needs three sequences of 10 for these lengths, completion two
+    rows = [(i, " a" * (n - 1)) for i, n in enumerate([2, 3, 3, 3, 4, 5])]
+    got = packing.pack(docs(rows), capacity=10).collect()
+    assert sorted(p["length"] for p in got) == [2, 3, 3, 3, 4, 5] and len({p["sequence_id"] for p in got}) == 2
+    only_best_fit = packing.pack(docs(rows), capacity=10, nodes=0).collect()
+    assert len({p["sequence_id"] for p in only_best_fit}) == 3
+
+
+def test_fillings_are_the_undominated_ones():
+    r = random.Random(5)
+
+    def fits(a, b):  # whether the pieces of a fit into those of b as into bins
+        if not a:
+            return True
+        return any(a[0] <= s and fits(a[1:], b[:i] + (s - a[0],) + b[i + 1 :]) for i, s in enumerate(b))
+
+    for _ in range(60):
+        items, room = [r.randint(1, 9) for _ in range(7)], 12
+        sets = {tuple(sorted(c, reverse=True)) for k in range(8) for c in combinations(items, k) if sum(c) <= room}
+        best = {a for a in sets if not any(b != a and fits(a, b) for b in sets)}
+        got = [tuple(f) for f in packing.fillings(room, Counter(items), room)]
+        assert best <= set(got) <= sets and [room - sum(f) for f in got] == sorted(room - sum(f) for f in got)
+        # one exchange is what is tested, so a filling that only several exchanges beat may come along
+        assert all(not any(Counter(items)[x] > f.count(x) and sum(f) + x <= room for x in items) for f in got)
+
+
+def test_lower_bound_counts_unfillable_room():
+    assert packing.lower_bound({6: 3, 5: 1}, 10) == 4 and packing.lower_bound({8: 2, 3: 1}, 10) == 3 and packing.lower_bound({}, 10) == 0
