@@ -3,10 +3,11 @@
 DataFrame operations only. A benchmark item of n distinct shingles is contained in a document when
 at least t*n of them occur there. Its MinHash sketch is its k smallest shingle hashes with
 ``k = n - ceil(t*n) + 1``: a document that holds t*n of the n shingles misses at most k - 1 of
-them, so it holds one of the k smallest. The sketch size thus follows the item's size, items fall
-into size partitions, each partition has a hash bound (the largest sketch value in it), and a
-document's shingle probes a partition only when its hash is within the bound. Candidates lose no
-containment; they are then verified on the full shingle sets.
+them, so it holds one of the k smallest. Items fall into partitions by the logarithm of their size.
+Each partition has a hash bound, the largest sketch value in it, and a least size. A document probes
+only the partitions whose least size its own set can hold, each with its hashes within that
+partition's bound, and the search joins on partition and hash. Candidates lose no containment; they
+are then verified on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, cut
+from .common import BROADCAST_ROWS, cut, shared_dir
 
 #: Bytes that separate words, each turned into a space before the split.
 _SPACES = "\t\n\x0b\x0c\r"
@@ -35,6 +36,49 @@ def shingle_hashes(w: Column, width: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def hash_set(w: Column, widths: list[int]) -> Column:
+    """Distinct shingle hashes of all ``widths``; the number of words is part of what is hashed."""
+    return F.array_distinct(F.concat(*[shingle_hashes(w, v) for v in widths]))
+
+
+def item_sets(items: DataFrame, threshold: float, width: int, item_id: str, text: str) -> tuple[DataFrame, list[int]]:
+    """(item_id, _set, _n, _need) of the items, and the shingle widths that occur in them.
+
+    An item of fewer than ``width`` words is one shingle of all its words. The texts of an id that
+    comes again are one set.
+    """
+    it = items.select(F.col(item_id).alias("item_id"), word_array(F.col(text)).alias("_w")).where(F.col("item_id").isNotNull() & (F.size("_w") > 0))
+    it = it.withColumn("_width", F.least(F.size("_w"), F.lit(width)))
+    widths = sorted(r[0] for r in it.select("_width").distinct().collect())  # at most ``width`` values
+    own = F.array().cast("array<bigint>")
+    for v in widths:
+        own = F.when(F.col("_width") == v, shingle_hashes(F.col("_w"), v)).otherwise(own)
+    sets = it.select("item_id", own.alias("_s")).groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("_s"))).alias("_set"))
+    return sets.withColumn("_n", F.size("_set")).withColumn("_need", F.ceil(F.col("_n") * F.lit(threshold)).cast("int")), widths
+
+
+def size_partitions(sets: DataFrame) -> tuple[DataFrame, list[tuple[int, int, int]]]:
+    """Sketches (_part, _h, item_id), and each partition with its hash bound and least needed size.
+
+    The order of the signed hashes is as good a random order as any.
+    """
+    part = F.floor(F.log2("_n")).cast("int").alias("_part")
+    sketch = sets.select("item_id", part, "_need", F.explode(F.slice(F.sort_array("_set"), F.lit(1), F.col("_n") - F.col("_need") + 1)).alias("_h"))
+    bounds = sketch.groupBy("_part").agg(F.max("_h"), F.min("_need")).collect()  # a row for each power of two
+    return sketch.select("_part", "_h", "item_id"), sorted((r[0], r[1], r[2]) for r in bounds)
+
+
+def probes_of(hashes: Column, bounds: list[tuple[int, int, int]]) -> Column:
+    """(_part, _h) structs with which a document's hash set probes the partitions it can answer for."""
+    none = F.array().cast("array<struct<_part:int,_h:bigint>>")
+
+    def own(part: int, bound: int, least: int) -> Column:
+        within = F.transform(F.filter(hashes, lambda h: h <= F.lit(bound)), lambda h: F.struct(F.lit(part).alias("_part"), h.alias("_h")))
+        return F.when(F.size(hashes) >= least, within).otherwise(none)
+
+    return F.concat(*[own(*b) for b in bounds])
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -49,58 +93,37 @@ def contained_items(
     Returns doc_id, item_id, n_item_shingles, n_shared and containment (>= ``threshold``), one row
     per pair of ids. Null or empty texts and null ids contain nothing and are contained nowhere.
     An item of fewer than ``width`` words is one shingle of its own width and is looked up among
-    the documents' shingles of that width. Repeated rows count once. Extra columns are ignored.
+    the documents' shingles of that width. The texts of an id that comes again, of an item or of a
+    document, count as one set. Extra columns are ignored.
     """
-    it = (
-        items.select(F.col(item_id).alias("item_id"), word_array(F.col(text)).alias("_w"))
-        .where(F.col("item_id").isNotNull() & (F.size("_w") > 0))
-        .select("item_id", F.least(F.size("_w"), F.lit(width)).alias("_width"), "_w")
-    )
-    widths = sorted(r[0] for r in it.select("_width").distinct().collect())  # at most ``width`` values
-    parts = [it.where(F.col("_width") == v).select("item_id", "_width", F.array_distinct(shingle_hashes(F.col("_w"), v)).alias("_set")) for v in widths]
-    if not parts:
+    where = shared_dir(docs.sparkSession)
+    sets, widths = item_sets(items, threshold, width, item_id, text)
+    if not widths:
         return docs.sparkSession.createDataFrame([], _result_type(docs, items, doc_id, item_id))
-    sets = parts[0]
-    for p in parts[1:]:
-        sets = sets.unionByName(p)
-    sets = cut(sets.withColumn("_n", F.size("_set")).withColumn("_need", F.ceil(F.col("_n") * F.lit(threshold)).cast("int")))
-
-    # Sketches by size partition. A partition's bound is the largest sketch value in it, as an
-    # unsigned rank: xxhash64 is signed, its order is as good a random order as any.
-    sketch = sets.select("item_id", "_width", F.floor(F.log2("_n")).cast("int").alias("_part"), F.explode(F.slice(F.sort_array("_set"), F.lit(1), F.col("_n") - F.col("_need") + 1)).alias("_h"))
-    bounds = sketch.groupBy("_width", "_part").agg(F.max("_h").alias("_bound"))
-    most = {v: b for v, b in bounds.groupBy("_width").agg(F.max("_bound")).collect()}  # at most ``width`` rows
-    probes = sketch.join(F.broadcast(bounds), ["_width", "_part"]).select("_width", "_h", "item_id").distinct()
-    n_probes = probes.count()
-    probes = F.broadcast(probes) if n_probes <= 10 * BROADCAST_ROWS else probes
+    sets = cut(sets, where)
+    sketch, bounds = size_partitions(sets)
+    sketch = cut(sketch, where)
+    n_probes = sketch.count()
 
     base = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), word_array(F.col(text)).alias("_w"))
-    found = None
-    for v in widths:
-        # the partitions' common bound prunes while the hashes are made; each probe has its own
-        hs = base.select("doc_id", F.explode(F.array_distinct(shingle_hashes(F.col("_w"), v))).alias("_h")).where(F.col("_h") <= most[v])
-        got = hs.join(probes.where(F.col("_width") == v).select("_h", "item_id"), "_h").select("doc_id", "item_id")
-        found = got if found is None else found.unionByName(got)
-    cand = cut(found.distinct())
+    hashed = base.select("doc_id", hash_set(F.col("_w"), widths).alias("_have"))
+    sent = hashed.select("doc_id", F.explode(probes_of(F.col("_have"), bounds)).alias("_p")).select("doc_id", "_p._part", "_p._h")
+    found = sent.join(F.broadcast(sketch) if n_probes <= 10 * BROADCAST_ROWS else sketch, ["_part", "_h"])
+    cand = cut(found.select("doc_id", "item_id").distinct(), where)
     n_cand = cand.count()
 
     # Exact verification: the candidates' whole texts against the items' whole sets.
     ids = cand.select("doc_id").distinct()
     ids = F.broadcast(ids) if n_cand <= BROADCAST_ROWS else ids
-    full = base.join(ids, "doc_id", "left_semi")
-    have = None
-    for v in widths:
-        part = full.select("doc_id", F.lit(v).alias("_width"), F.array_distinct(shingle_hashes(F.col("_w"), v)).alias("_have"))
-        have = part if have is None else have.unionByName(part)
+    full = hashed.join(ids, "doc_id", "left_semi")
     pairs = cand.join(F.broadcast(sets) if n_probes <= BROADCAST_ROWS else sets, "item_id")
     pairs = F.broadcast(pairs) if n_cand <= BROADCAST_ROWS // 20 else pairs
+    shared = full.join(pairs, "doc_id").select("doc_id", "item_id", "_n", "_need", F.array_intersect("_set", "_have").alias("_both"))
     return (
-        have.join(pairs, ["doc_id", "_width"])
-        .select("doc_id", "item_id", "_n", "_need", F.size(F.array_intersect("_set", "_have")).alias("_shared"))
-        .where(F.col("_shared") >= F.col("_need"))
-        .groupBy("doc_id", "item_id")
-        .agg(F.max("_n").cast("long").alias("n_item_shingles"), F.max("_shared").cast("long").alias("n_shared"))
-        .withColumn("containment", F.col("n_shared") / F.col("n_item_shingles"))
+        shared.groupBy("doc_id", "item_id", "_n", "_need")
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("_both")))).cast("long").alias("n_shared"))
+        .where("n_shared >= _need")
+        .select("doc_id", "item_id", F.col("_n").cast("long").alias("n_item_shingles"), "n_shared", (F.col("n_shared") / F.col("_n")).alias("containment"))
     )
 
 
