@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir
+from .common import BROADCAST_ROWS, cut, shared_dir
 
 #: (verdict, host and path prefix). The longest fitting rule wins.
 RULES = (
@@ -53,14 +53,15 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return (none, none) if name is None else (name, kind)
 
 
-def _grams(urls: DataFrame, order: int) -> DataFrame:
-    """Every character of ``text`` with the ``order`` characters before it, as one string ``g``.
+def _grams(urls: DataFrame, order: int, *keep: str) -> DataFrame:
+    """Every character of ``text`` with the ``order`` characters before it, as one string ``g``, and ``keep``.
 
-    Columns that ``urls`` has besides stay. The start is padded and the end is a character.
+    The start is padded and the end is a character. The text is taken apart once and does not go along
+    with its grams, so work and size grow with its length alone.
     """
-    padded = F.concat(F.lit(_START * order), F.col("text"), F.lit(_END))
-    at = F.sequence(F.lit(1), F.char_length("text") + 1)
-    return urls.withColumn("_padded", padded).withColumn("_i", F.explode(at)).withColumn("g", F.substr("_padded", F.col("_i"), F.lit(order + 1))).drop("_padded", "_i")
+    apart = urls.select(*keep, F.split(F.concat(F.lit(_START * order), F.col("text"), F.lit(_END)), "").alias("_c"))
+    windows = F.transform(F.sequence(F.lit(0), F.size("_c") - (order + 1)), lambda i: F.concat(*[F.get("_c", i + j) for j in range(order + 1)]))
+    return apart.select(*keep, F.explode(windows).alias("g"))
 
 
 def _probabilities(train: DataFrame, wanted: DataFrame, order: int, where: str, alphabet: int = 256) -> DataFrame:
@@ -68,7 +69,7 @@ def _probabilities(train: DataFrame, wanted: DataFrame, order: int, where: str,
 
     ``train`` has text, n (how often) and yes (whether accepted).
     """
-    full = cut(_grams(train, order).groupBy("g", "yes").agg(F.sum("n").alias("n")), where)
+    full = cut(_grams(train, order, "yes", "n").groupBy("g", "yes").agg(F.sum("n").alias("n")), where)
     out = wanted.select("g")
     prob = {k: F.lit(1.0 / alphabet) for k in ("yes", "no")}
     for k in range(order + 1):
@@ -95,9 +96,13 @@ def _probabilities(train: DataFrame, wanted: DataFrame, order: int, where: str,
 
 def lm_scores(urls: DataFrame, train: DataFrame, order: int, where: str) -> DataFrame:
     """(text, score) of the distinct ``urls``: log-likelihood difference per character."""
-    grams = cut(_grams(urls.select("text"), order), where)
+    keyed = cut(urls.select("text", F.monotonically_increasing_id().alias("k")), where)  # the key stands in the table
+    grams = cut(_grams(keyed, order, "k"), where)
     ratio = cut(_probabilities(train, grams.select("g").distinct(), order, where), where)
-    return grams.join(ratio, "g").groupBy("text").agg((F.sum("p") / F.count("*")).alias("score"))
+    # while distinct grams are few, no URL's copy of a common one moves; beyond that, skewed keys are split
+    ratio = F.broadcast(ratio) if ratio.count() <= 10 * BROADCAST_ROWS else ratio
+    scores = grams.join(ratio, "g").groupBy("k").agg((F.sum("p") / F.count("*")).alias("score"))
+    return keyed.join(scores, "k").select("text", "score")
 
 
 def calibrated(scored: DataFrame, bins: int = 400, span: float = 4.0) -> float:

@@ -64,6 +64,19 @@ def test_scores_equal_a_plain_model(spark):
         assert r["score"] == pytest.approx(sum(want) / len(want), abs=1e-9)
 
 
+def test_very_long_urls_take_time_in_proportion(spark):
+    import time
+
+    train = spark.createDataFrame([("good.com/a", True, 1), ("bad.net/es/b", False, 1)], "text string, yes boolean, n long")
+    took = []
+    for n in (1_000, 25_000, 100_000):  # the first warms up
+        start = time.perf_counter()
+        got = url_filter.lm_scores(spark.createDataFrame([("h.org/" + "é=%20x" * (n // 6),)], "text string"), train, 4, shared_dir(spark)).collect()
+        took.append(time.perf_counter() - start)
+        assert len(got) == 1 and len(got[0]["text"]) > n * 0.9
+    assert took[2] < 4 * took[1] + 5
+
+
 def test_url_filter_is_native(spark):
     plan = url_filter.judge_urls(pages(spark, [(1, "http://a.com/x", ""), (2, "http://a.net/es/x", ""), (3, "http://a.org/x", "")]))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "ArrowEval", "Cartesian"))
@@ -84,6 +97,17 @@ def test_archive_round_trip(spark):
     assert set(small.values()) == {"response"}
 
 
+def test_ids_and_urls_of_any_kind(spark):
+    odd = ["http://h/\u2028x", "http://h/\x85", "a\x0cb\x1c c", "http://h/\r\nWARC-Type: x", "", None, "http://h/ü?%20"]
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.archive_and_read(pages(spark, [(i, u, f"p{i}") for i, u in enumerate(odd)])).collect()}
+    assert got == {i: ("response", None) for i in range(len(odd))}
+    rows = spark.createDataFrame([("a:b", "u", "x"), ("c:b", "u", "x"), ("", "u", "y"), (None, "u", "z"), ("=%é\n", "u", "w")], "page_id string, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.archive_and_read(rows).collect()}
+    assert got == {"a:b": ("revisit", "c:b"), "c:b": ("response", None), "": ("response", None), None: ("response", None), "=%é\n": ("response", None)}
+    ints = warc.archive_and_read(spark.createDataFrame([(1, "u", "x"), (2, "u", "x")], "page_id int, url string, html string"))
+    assert dict(ints.dtypes)["page_id"] == dict(ints.dtypes)["refers_to"] == "int" and {r["page_id"]: r["refers_to"] for r in ints.collect()} == {1: 2, 2: None}
+
+
 def test_packages_keep_payloads_and_offsets(tmp_path):
     path = f"file://{tmp_path}/p.wacz"
     p = warc.Package(path)
