@@ -25,6 +25,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from .common import cut, shared_dir, small, texts_of
 
 DATE = "2000-01-01T00:00:00Z"
+#: Tasks that read packages, at most; a task reads one package after another.
+READERS = 20_000
 DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
 
 
@@ -41,6 +44,21 @@ def _fs(address: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(address if "://" in address else address.replace("file:/", "file:///", 1))
 
 
+def visible(url: str | None) -> str:
+    """The URL with all but visible ASCII characters percent-encoded, so that it breaks no line."""
+    return quote(url or "", safe="".join(map(chr, range(0x21, 0x7F))))
+
+
+def name_of(page_id) -> str:
+    """A record's name. Ids are percent-encoded, a null id has none."""
+    return "urn:cohortix:page:" + ("" if page_id is None else "=" + quote(str(page_id), safe=""))
+
+
+def id_of(name: str) -> str | None:
+    end = name.strip("<>").rpartition(":")[2]
+    return unquote(end[1:]) if end else None
+
+
 def digest(payload: bytes) -> str:
     """Bare upper-case base32 SHA-1."""
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
@@ -51,7 +69,7 @@ def digest(payload: bytes) -> str:
 
 def record(kind: str, record_id: str, url: str, payload: bytes, payload_digest: str, refers_to: str | None) -> bytes:
     """One WARC/1.1 record, uncompressed. A revisit carries no payload but its digest and target."""
-    uri = (url or "urn:none").replace("\r", "%0D").replace("\n", "%0A")
+    uri = visible(url) or "urn:none"
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + (payload if kind == "response" else b"")
     head = [
@@ -109,10 +127,9 @@ def write_packages(rows: DataFrame, folder: str, roll: int = 64 << 20) -> DataFr
             for i, u, t, d, m, first in zip(cols["page_id"], cols["url"], texts_of(b.column("payload")), cols["digest"], cols["main"], cols["is_main"], strict=True):
                 if pack is None:
                     pack, n = Package(f"{folder}/{uuid.uuid4().hex}.wacz"), 0
-                name = lambda x: f"urn:cohortix:page:{'' if x is None else x}"
                 kind = "response" if first else "revisit"
-                raw = record(kind, name(i), u, t, base64.b32encode(bytes.fromhex(d)).decode(), None if first else name(m))
-                pack.add(raw, {"urlkey": (u or "-").replace(" ", "%20").replace("\n", "%0A").replace("\r", "%0D"), "id": i, "payload_bytes": len(t)})
+                raw = record(kind, name_of(i), u, t, base64.b32encode(bytes.fromhex(d)).decode(), None if first else name_of(m))
+                pack.add(raw, {"urlkey": visible(u) or "-", "id": i, "payload_bytes": len(t)})
                 n += 1
                 if pack.size >= roll:
                     pack.close()
@@ -231,7 +248,7 @@ def records(address: str, near: int = 4 << 20) -> Iterator[tuple[dict, dict[str,
     """
     z, f = open_package(address)
     with f:
-        entries = sorted((json.loads(line.split(" ", 2)[2]) for line in z.whole(INDEX).decode().splitlines()), key=lambda e: (e["filename"], e["offset"]))
+        entries = sorted((json.loads(line.split(" ", 2)[2]) for line in z.whole(INDEX).decode().split("\n") if line), key=lambda e: (e["filename"], e["offset"]))
         at, held, name = 0, b"", None
         for e in entries:
             if e["filename"] != name or e["offset"] + e["length"] > at + len(held):
@@ -250,8 +267,8 @@ def read_packages(packages: DataFrame, id_type: str = "bigint") -> DataFrame:
     schema = pa.schema([("page_id", pa.int64() if number else pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64() if number else pa.string())])
 
     def ident(v: str | None):
-        v = v and v.strip("<>").rpartition(":")[2]
-        return None if not v else int(v) if number else v
+        v = v and id_of(v)
+        return int(v) if number and v is not None else v
 
     def go(it):
         for b in it:
@@ -280,7 +297,8 @@ def archive_and_read(pages: DataFrame, page_id: str = "page_id", url: str = "url
     others revisit it; smaller ones are all responses. The digest decides equality.
     """
     where = shared_dir(pages.sparkSession)
-    kind = "string" if dict(pages.dtypes)[page_id] == "string" else "bigint"
+    own = dict(pages.dtypes)[page_id]
+    kind = "string" if own == "string" else "bigint"
     rows = pages.select(F.col(page_id).cast(kind).alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(payload, F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     # Payloads that occur once need no other row. The others' responses are a row a payload; while
@@ -290,4 +308,5 @@ def archive_and_read(pages: DataFrame, page_id: str = "page_id", url: str = "url
     found = rows.join(small(top, top.count()), "digest", "left")
     found = found.select("page_id", "url", "payload", "digest", "main", (F.col("main").isNull() | F.coalesce(F.col("page_id") == F.col("main"), F.lit(False))).alias("is_main"))
     packages = cut(write_packages(found, f"{where}/packages"), where)
-    return read_packages(packages.repartition(max(1, packages.count())), kind)
+    read = read_packages(packages.repartition(min(max(1, packages.count()), READERS)), kind)
+    return read.withColumns({c: F.col(c).cast(own) for c in ("page_id", "refers_to")})
