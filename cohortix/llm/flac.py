@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import cut, texts_of
 
 PAD, BLOCK, RATE, PARTS = 192, 1152, 8000, 3
 LPC_ORDER, LPC_BITS = 4, 12
@@ -332,6 +332,24 @@ def decode(streams: list[bytes], lanes: int = 2048) -> list[bytes]:
     return done
 
 
+def seek(stream: bytes, start: int, count: int) -> bytes:
+    """Bytes (samples + 128) ``start`` to ``start + count`` of a stream, cut at its end.
+
+    Only frames that hold them are decoded; the seek table, or where there is none the sync codes, say
+    which. Their checksums are verified, the MD5 of the whole stream is not.
+    """
+    total, _, at, points = _stream(stream)
+    if start < 0 or count < 0:
+        raise ValueError("a range begins at a sample and has a length")
+    end, first, out = min(total, start + count), 0, []
+    for o, n, block, head in _frames(stream, at, points, total):
+        if first < end and first + block > start:
+            x = (_decode_lanes([stream[o : o + n]], np.array([head]), block)[0] + 128).astype(np.uint8).tobytes()
+            out.append(x[max(0, start - first) : end - first])
+        first += block
+    return b"".join(out)
+
+
 def _decode_lanes(frames: list[bytes], heads: np.ndarray, n: int) -> np.ndarray:
     """Samples (lanes x n) of frames of one block length."""
     lanes = len(frames)
@@ -527,22 +545,46 @@ def _decoded(column: pa.Array, most: int = 4 << 20):
         yield lo, hi, own, [got[m] for m in own]
 
 
-def pcm_blocks(media: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, block, sample_offset, n_samples, pcm): the decoded samples in blocks that can be sought."""
+def pcm_blocks(media: DataFrame, block: int = BLOCK, most: int = 8 << 20) -> DataFrame:
+    """(doc_id, block, sample_offset, n_samples, pcm): the decoded samples in blocks that can be sought.
+
+    Block ``b`` of a text begins at sample ``b * block``, so a table of them is sought by filter. A
+    null id's blocks have a null id; an empty table has none. Batches hold about ``most`` bytes.
+    """
     kind = dict(media.dtypes)["doc_id"]
+    names = ["doc_id", "block", "sample_offset", "n_samples", "pcm"]
 
     def go(it):
         for b in it:
             for lo, _, _, payloads in _decoded(b.column(1)):
-                for i, p in enumerate(payloads):
-                    offs = list(range(0, len(p), block))
-                    ids = b.column(0).take(pa.array([lo + i] * len(offs), pa.int64()))
-                    pcm = [(np.frombuffer(p[o : o + block], np.uint8) ^ 0x80).tobytes() for o in offs]
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(range(len(offs)), pa.int32()), pa.array(offs, pa.int64()), pa.array([len(x) for x in pcm], pa.int64()), pa.array(pcm, pa.binary())], names=["doc_id", "block", "sample_offset", "n_samples", "pcm"])
+                jobs = [(lo + i, k, p[o : o + block]) for i, p in enumerate(payloads) for k, o in enumerate(range(0, len(p), block))]
+                step = max(1, most // block)
+                for own in (jobs[i : i + step] for i in range(0, len(jobs), step)):
+                    at, number, raw = zip(*own, strict=True)
+                    pcm = [(np.frombuffer(x, np.uint8) ^ 0x80).tobytes() for x in raw]
+                    cols = [pa.array(number, pa.int32()), pa.array([k * block for k in number], pa.int64()), pa.array([len(x) for x in pcm], pa.int64()), pa.array(pcm, pa.binary())]
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *cols], names=names)
 
     return media.select("doc_id", "media").mapInArrow(go, f"doc_id {kind}, block int, sample_offset long, n_samples long, pcm binary")
 
 
+def read_samples(media: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(doc_id, start, count, samples) of the ``ranges`` (doc_id, start, count) of the stored streams.
+
+    ``samples`` are bytes, sample + 128, cut at the stream's end and empty beyond it. Ranges of ids
+    that have no stream, or of null ids, are left out; a range that comes twice is read twice.
+    """
+    kind = dict(media.dtypes)["doc_id"]
+
+    def go(it):
+        for b in it:
+            got = [seek(m, s, n) for m, s, n in zip(*(b.column(i).to_pylist() for i in (3, 1, 2)), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(got, pa.binary())], names=["doc_id", "start", "count", "samples"])
+
+    wanted = ranges.select("doc_id", F.col("start").cast("long"), F.col("count").cast("long")).join(media.select("doc_id", "media"), "doc_id")
+    return wanted.mapInArrow(go, f"doc_id {kind}, start long, count long, samples binary")
+
+
 def feature_of(payload: bytes) -> str:
     """Loudness, offset, crossings of zero and the step between neighbours, from whole samples."""
     x = np.frombuffer(payload, np.uint8).astype(np.int64) - 128
@@ -551,7 +593,7 @@ def feature_of(payload: bytes) -> str:
 
 
 def media_features(media: DataFrame) -> DataFrame:
-    """Read every stream back: lengths, digests and features of what it holds."""
+    """Read every stream back: lengths, digests and features of what it holds. A row per row of ``media``."""
     kind = dict(media.dtypes)["doc_id"]
 
     def go(it):
@@ -570,3 +612,8 @@ def media_features(media: DataFrame) -> DataFrame:
                 )
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(go, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+
+def media_column(docs: DataFrame, **kw) -> DataFrame:
+    """Store every text in a media column of the shared folder, read the column back and describe it."""
+    return media_features(cut(store_texts(docs, **kw)))

@@ -35,7 +35,7 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flac.media_features(flac.store_texts(table(spark, sf_dir, "documents")))
+    return flac.media_column(table(spark, sf_dir, "documents"))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -245,6 +245,27 @@ def test_media_columns(spark, docs):
     assert flac.media_features(flac.store_texts(docs([]))).collect() == []
 
 
+def test_samples_are_sought_by_offset(spark, docs, monkeypatch):
+    r = np.random.default_rng(3)
+    text = r.integers(97, 123, 20_000, np.uint8).tobytes().decode()
+    payload = flac.payload_of(text.encode())
+    stream_ = flac.encode([payload])[0]
+    for start, count in ((0, 1), (1151, 2), (5000, 3000), (19_990, 500), (0, 30_000), (40_000, 5), (7, 0)):
+        assert flac.seek(stream_, start, count) == payload[start : start + count]
+    decoded = []
+    lanes = flac._decode_lanes
+    monkeypatch.setattr(flac, "_decode_lanes", lambda frames, heads, n: decoded.append(len(frames)) or lanes(frames, heads, n))
+    flac.seek(stream_, 5000, 100)
+    assert sum(decoded) == 1  # one frame of eighteen
+    media = flac.store_texts(docs([(1, text), (2, None), (None, "x")]))
+    ranges = spark.createDataFrame([(1, 3000, 40), (1, 3000, 40), (2, 100, 200), (9, 0, 1), (None, 0, 1)], "doc_id long, start int, count int")
+    got = sorted((r["doc_id"], r["start"], bytes(r["samples"])) for r in flac.read_samples(media, ranges).collect())
+    assert got == [(1, 3000, payload[3000:3040])] * 2 + [(2, 100, b" " * 92)]
+    stored = flac.pcm_blocks(media, block=1000).where("doc_id = 1 and sample_offset = 3000").collect()
+    assert [bytes(x ^ 0x80 for x in r["pcm"]) for r in stored] == [payload[3000:4000]] and stored[0]["block"] == 3
+    assert flac.pcm_blocks(flac.store_texts(docs([]))).collect() == []
+
+
 def test_pages_are_whole_without_end_tags_and_inside_wrappers():
     body = "One long paragraph of the article with quite a few words in it, so that it is clearly text."
     art = f"<article><h1>Head</h1><p>{body}</p></article>"
