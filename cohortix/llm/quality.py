@@ -4,7 +4,7 @@ Each feature has a lookup table over quantile bins, learned by cyclic boosting:
 feature gets a small step from a shallow tree on its own bins. The feature pairs whose joint bins
 explain most of what is left then get tables of their own. A score is the sum of looked-up values
 through the logistic function. The model is fitted on a bounded sample of labelled rows (``sample``,
-the rows of smallest hash); scoring reads whole texts and adds table entries for whole batches.
+the ids of smallest hash); scoring reads whole texts and adds table entries for whole batches.
 
 Defined results: a null text is empty, and an empty text has a score like any other. Repeated rows
 get a row each. Without labelled rows of both kinds every score is the share of label 1 (0.5 without
@@ -178,12 +178,22 @@ def feature_batches(column: pa.Array) -> np.ndarray:
     return np.array(rows, float).reshape(len(rows), len(FEATURES))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, doc_id: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 0) -> DataFrame:
-    """(y, text) of the ``sample`` labelled rows of smallest hash outside the held-out fold."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, doc_id: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 0, slots: int = 4096) -> DataFrame:
+    """(y, text) of at most ``sample`` labelled ids outside the held-out fold, those of smallest hash slot.
+
+    A histogram of ``slots`` rows says how many slots fit, so no task sees more than its share. A
+    label that an id has several times is its largest, a text likewise, so an id is one row.
+    """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("y")).where(F.col("_id").isNotNull() & F.col("y").isNotNull())
-    known = known.where(~held_out("_id", folds, fold)).groupBy("_id").agg(F.max("y").alias("y"))
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(min(sample, BROADCAST_ROWS))
-    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known), "_id").select("y", "text")
+    known = known.where(~held_out("_id", folds, fold)).groupBy("_id").agg(F.max("y").alias("y")).withColumn("_slot", F.pmod(F.xxhash64("_id"), F.lit(slots)))
+    last, room = -1, min(sample, BROADCAST_ROWS)
+    for slot, many in sorted(map(tuple, known.groupBy("_slot").count().collect())):
+        room -= many
+        if room < 0:
+            break
+        last = slot
+    own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known.where(F.col("_slot") <= last).drop("_slot")), "_id")
+    return own.groupBy("_id").agg(F.max("y").alias("y"), F.max("text").alias("text")).select("y", "text")
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 20_000, **kw) -> Additive:
