@@ -1,10 +1,11 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
 Features are lexicon densities, the nearness of second-person words to lexicon words, capitals,
-punctuation and obfuscation rates. The lexicon is a short list of common insults and the words and
-word beginnings that mark the toxic rows of one half of a bounded sample of labelled rows; the trees
-learn from the other half, where those features carry no memory of the rows, and the calibration from
-a part that the trees have not seen.
+punctuation and obfuscation rates. The lexicon is a short list of common insults and at most ``most``
+words and word beginnings that mark the toxic rows of a bounded sample of labelled rows. The sample has
+``FOLDS`` parts by hash: the trees learn from features under the lexicon of the other parts, which
+carry no memory of a row's own label, and the calibration from margins of trees that have not seen the
+row either. So scores of new rows are made as those were that they are calibrated on.
 
 Defined results: a null text is empty, and an empty text has a score like any other. Repeated rows
 get a row each. Without labelled rows of both kinds every score is the share of label 1 (0 without
@@ -32,6 +33,9 @@ _BROKEN = re.compile(r"(?<=\w)[*.\-_~+](?=\w)")
 _SPACED = re.compile(r"(?<!\S)(?:\w[ .\-*_]){3,}\w(?!\S)")
 _MIXED = re.compile(r"(?<!\S)(?=\S*[^\W\d_])\S*[0-9@$!*|](?=[^\W\d_])\S*")
 
+#: Parts of the sample by hash of the text.
+FOLDS = 4
+
 FEATURES = (
     "log_words", "listed_share", "listed", "learned_share", "learned", "begin_share", "begin", "kinds",
     "hidden", "spaced", "near_you", "you_share", "upper", "shouted", "exclamations", "questions", "mixed", "learned_weight",
@@ -91,33 +95,45 @@ def features(text: str, lex: Lexicon) -> tuple[float, ...]:
 # ---- lexicon ----------------------------------------------------------------------------------
 
 
-def learn_lexicon(rows: DataFrame, most: int = 3_000, ratio: float = 12.0) -> Lexicon:
-    """Words and beginnings (of 4 and 5 letters) of ``rows`` (y, text) that mark label 1.
+def learn_lexicons(rows: DataFrame, most: int = 3_000, ratio: float = 12.0) -> list[Lexicon]:
+    """Words and beginnings (of 4 and 5 letters) of ``rows`` (y, text, fold) that mark label 1.
 
-    Texts are counted once however often they occur. The result has ``most`` entries at most.
+    A lexicon of all rows but those of each fold, and then one of all; each has ``most`` entries at
+    most. Texts are counted once however often they occur.
     """
     rows = rows.dropDuplicates(["text"])
-    n = {int(y): c for y, c in rows.groupBy("y").count().collect()}
-    toxic, clean = n.get(1, 0), n.get(0, 0)
-    if not toxic or not clean:
-        return Lexicon({}, {})
+    n = np.zeros((FOLDS, 2))
+    for f, y, c in rows.groupBy("fold", "y").count().collect():
+        n[f, int(y)] = c
 
     def terms(it):
         for b in it:
-            out: dict[tuple[str, float], list[int]] = {}
-            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            out: dict[tuple[str, str, int], list[int]] = {}
+            for y, t, f in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 ws = set(plain_words(t or ""))
-                for w in {*(("w", w) for w in ws), *(("b", w[:4]) for w in ws if len(w) > 4), *(("b", w[:5]) for w in ws if len(w) > 5)}:
-                    out.setdefault(w, [0, 0])[int(y)] += 1
+                for k, w in {*(("w", w) for w in ws), *(("b", w[:4]) for w in ws if len(w) > 4), *(("b", w[:5]) for w in ws if len(w) > 5)}:
+                    out.setdefault((k, w, f), [0, 0])[int(y)] += 1
             keys = list(out)
-            yield pa.RecordBatch.from_pydict({"kind": [k for k, _ in keys], "term": [w for _, w in keys], "no": [out[k][0] for k in keys], "yes": [out[k][1] for k in keys]})
-
-    df = rows.mapInArrow(terms, "kind string, term string, no long, yes long").groupBy("kind", "term").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
-    weight = F.log(((F.col("yes") + 0.1) / toxic) / ((F.col("no") + 0.5) / clean))
-    got = df.where(F.col("yes") >= max(2, round(toxic * 0.015))).withColumn("weight", weight).where(F.col("weight") >= float(np.log(ratio)))
-    kept = got.orderBy(F.desc("yes"), "kind", "term").limit(most).collect()
-    pick = lambda kind: {r["term"]: float(r["weight"]) for r in kept if r["kind"] == kind}
-    return Lexicon(pick("w"), pick("b"))
+            yield pa.RecordBatch.from_pydict({"kind": [k for k, _, _ in keys], "term": [w for _, w, _ in keys], "fold": pa.array([f for *_, f in keys], pa.int32()), "no": [out[k][0] for k in keys], "yes": [out[k][1] for k in keys]})
+
+    counts = rows.select("y", "text", "fold").mapInArrow(terms, "kind string, term string, fold int, no long, yes long").groupBy("kind", "term")
+    counts = counts.agg(*[F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for c in ("no", "yes") for f in range(FOLDS)])
+    sums = []  # for each lexicon the numbers of clean and toxic texts, and the columns of a term's counts
+    for out in [*range(FOLDS), None]:
+        own = [f for f in range(FOLDS) if f != out]
+        clean, toxic = n[own].sum(0)
+        no, yes = (sum((F.col(f"{c}{f}") for f in own), F.lit(0)) for c in ("no", "yes"))
+        weight = F.log(((yes + 0.1) / F.lit(max(toxic, 1.0))) / ((no + 0.5) / F.lit(max(clean, 1.0))))
+        fits = F.lit(bool(toxic and clean)) & (yes >= max(2, round(toxic * 0.015))) & (weight >= float(np.log(ratio)))
+        sums.append((fits, yes, weight))
+    every = sum((F.col(f"yes{f}") for f in range(FOLDS)), F.lit(0))
+    cols = [F.when(fits, F.struct(yes.alias("n"), weight.alias("w"))).alias(f"s{i}") for i, (fits, yes, weight) in enumerate(sums)]
+    kept = counts.where(F.greatest(*[f for f, _, _ in sums])).orderBy(F.desc(every), "kind", "term").limit(2 * most).select("kind", "term", *cols).collect()
+    made = []
+    for i in range(FOLDS + 1):
+        top = sorted((r for r in kept if r[f"s{i}"]), key=lambda r: (-r[f"s{i}"]["n"], r["kind"], r["term"]))[:most]
+        made.append(Lexicon(*({r["term"]: float(r[f"s{i}"]["w"]) for r in top if r["kind"] == kind} for kind in "wb")))
+    return made
 
 
 # ---- trees ------------------------------------------------------------------------------------
@@ -202,31 +218,41 @@ def isotonic(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 20_000, **kw) -> Boosted:
-    rows = labelled_sample(docs, labels, label, sample, **kw).withColumn("part", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(2)))
-    lex = learn_lexicon(rows.where("part = 0").select("y", "text"))
-    bc = docs.sparkSession.sparkContext.broadcast(lex)
+    """A model from at most ``sample`` labelled rows; equal texts fall into one of its ``FOLDS`` parts."""
+    rows = labelled_sample(docs, labels, label, sample, **kw).withColumn("fold", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(FOLDS)).cast("int"))
+    *others, lex = learn_lexicons(rows)
+    bc = docs.sparkSession.sparkContext.broadcast(others)
 
     def make(it):
         for b in it:
-            x = [features(t or "", bc.value) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
+            x = [features(t or "", bc.value[f]) for t, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, pa.list_(pa.float64()))], names=["y", "fold", "x"])
 
-    got = rows.where("part = 1").select("y", "text").mapInArrow(make, "y double, x array<double>").toArrow()
-    x, y = np.array(got["x"].to_pylist(), float).reshape(got.num_rows, len(FEATURES)), np.asarray(got["y"], float)
-    order = np.lexsort((y, *x.T))
-    x, y = x[order], y[order]
+    got = rows.select("y", "text", "fold").mapInArrow(make, "y double, fold int, x array<double>").toArrow()
+    x, y, fold = np.array(got["x"].to_pylist(), float).reshape(got.num_rows, len(FEATURES)), np.asarray(got["y"], float), np.asarray(got["fold"], int)
+    order = np.lexsort((fold, y, *x.T))  # the order in which rows arrive must not matter
+    x, y, fold = x[order], y[order], fold[order]
     if not len(y) or y.min() == y.max():
         p = float(y.mean()) if len(y) else 0.0
         return Boosted(lex, 0.0, 1, np.zeros((0, 1), int), np.zeros((0, 1)), np.zeros((0, 2)), (np.array([0.0, 1.0]), np.array([p, p])))
-    hold = np.arange(len(y)) % 4 == 0
-    model = Boosted(lex, 0.0, 3, *boost(x[~hold], y[~hold])[1:], (np.array([0.0]), np.array([0.0])))
-    model.base = float(np.log(np.clip(y[~hold].mean(), 1e-3, 0.999) / (1 - np.clip(y[~hold].mean(), 1e-3, 0.999))))
-    model.steps = isotonic(model.margin(x[hold]), y[hold])
-    # scoring knows the words of both halves: the same features, with fewer gaps
-    model.lex = learn_lexicon(rows.select("y", "text"))
+    z = np.zeros(len(y))
+    for f in np.unique(fold):
+        own = fold == f
+        z[own] = Boosted(lex, *_fitted(x[~own], y[~own])).margin(x[own])
+    model = Boosted(lex, *_fitted(x, y))
+    model.steps = isotonic(z, y)
     return model
 
 
+def _fitted(x: np.ndarray, y: np.ndarray) -> tuple:
+    """What ``Boosted`` takes after its lexicon; no trees where there is one kind of label or none."""
+    none = (np.array([0.0]), np.array([0.0]))
+    if not len(y):
+        return 0.0, 3, np.zeros((0, 7), int), np.zeros((0, 7)), np.zeros((0, 8)), none
+    base, *trees = boost(x, y)
+    return base, 3, *trees, none
+
+
 def _scores(model: Boosted, column: pa.Array) -> np.ndarray:
     x = np.array([features(t or "", model.lex) for t in column.to_pylist()], float).reshape(len(column), len(FEATURES))
     return model.score(x)

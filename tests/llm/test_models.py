@@ -104,6 +104,39 @@ def test_held_out_accuracy(spark, sf_dir, kind):
     assert sum(p == t for p, t in rows) / len(rows) > 0.95
 
 
+def test_toxicity_scores_are_probabilities(spark, sf_dir):
+    # the calibration belongs to the scores given out: on held-out rows their mean and squares agree with the labels
+    d = sf_dir.replace("sf0.001", "sf0.1")
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = toxicity.score_toxicity(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), toxicity.train_toxicity(docs, labels))
+    rows = got.join(labels, "doc_id").where("held_out").select("score", "toxic").collect()
+    assert len(rows) > 500 and abs(sum(s - t for s, t in rows)) / len(rows) < 0.03 and sum((s - t) ** 2 for s, t in rows) / len(rows) < 0.03
+    for lo, hi in ((0, 0.1), (0.9, 1.01)):
+        own = [t for s, t in rows if lo <= s < hi]
+        assert own and abs(sum(own) / len(own) - (lo > 0.5)) < 0.1
+
+
+def test_the_sample_is_bounded_and_has_an_id_once(spark, docs):
+    rows = [(i, f"text {i}") for i in range(3000)] + [(0, "again")] * 500
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, quality int")
+    got = quality.labelled_sample(docs(rows), labels, "quality", 400).collect()
+    assert 300 < len(got) <= 400 and len({r["text"] for r in got}) == len(got)
+    every = quality.labelled_sample(docs(rows), labels, "quality", 20_000).collect()
+    assert sorted(r["text"] for r in every) == sorted(f"text {i}" for i in range(3000) if not held(i, 5, 0))
+
+
+def test_predictions_follow_the_limits(spark, docs):
+    # without labels of both kinds every score is the share of label 1: ties at the limits
+    rows = [(i, f"t{i}") for i in range(40)]
+    kept = [i for i in range(40) if not held(i, 5, 0)][:10]
+    labels = spark.createDataFrame([(i, 1, 1) for i in kept], "doc_id long, quality int, toxic int")
+    out = toxicity.score_toxicity(docs(rows), toxicity.train_toxicity(docs(rows), labels), cut=1.0).collect()
+    assert all(r["score"] == 1.0 and r["predicted"] == 1 for r in out)
+    q = quality.train_quality(docs(rows), labels)
+    p = quality.score_quality(docs(rows), q).first()["score"]
+    assert all(r["predicted"] == 1 for r in quality.score_quality(docs(rows), q, cut=p).collect())
+
+
 def test_odd_rows_have_scores(spark, docs):
     rows = [(1, None), (2, ""), (3, "\n"), (4, "z" * 100_000), (None, "a b"), (1, "a b"), (1, "a b")]
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
