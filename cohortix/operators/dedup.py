@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.text import col
 
+from .cutpoint import cut
+
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in ``order``."""
@@ -51,8 +53,8 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "row", st
     Rows are range-partitioned by the order; each partition adds the sizes of those before it.
     """
     n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    # kept, so that both readers see the same partitions
-    part = df.repartitionByRange(int(n), *[col(c) for c in order]).withColumn("_p", F.spark_partition_id()).persist()
+    # written, so that both readers see the same partitions even where an executor is lost
+    part = cut(df.repartitionByRange(int(n), *[col(c) for c in order]).withColumn("_p", F.spark_partition_id()))
     before = part.groupBy("_p").count().withColumn("_before", F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))
     inside = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
     keys = F.broadcast(before.select("_p", F.coalesce("_before", F.lit(0)).alias("_before")))
@@ -64,9 +66,14 @@ def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) ->
     return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
 
 
-def examples(c: str, most: int = 5) -> Column:
-    """Aggregate: the smallest ``most`` distinct values."""
-    return F.slice(F.sort_array(F.collect_set(c)), 1, most)
+def smallest(df: DataFrame, keys: Sequence[str], value: str, most: int, name: str) -> DataFrame:
+    """(keys, array ``name``): the ``most`` smallest distinct values of each key, in order.
+
+    Every task keeps its own smallest before the shuffle, so no group is ever held whole.
+    """
+    w = Window.partitionBy(*keys).orderBy(value)
+    top = df.select(*keys, value).distinct().withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most)
+    return top.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
 
 
 # ---- sets of rows that replace others ---------------------------------------------------------
@@ -77,11 +84,16 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     return old.unionByName(new.join(old.select(*keys).distinct(), list(keys), "left_anti"))
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``old`` with the rows of ``new`` in place of those with the same key."""
-    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new)
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``old`` with the rows of ``new`` in place of those with the same key.
+
+    Of new rows that share a key the last in ``by`` stays, by default that of the largest values.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    one = latest(new, keys, [*by, *rest]) if rest else new.distinct()
+    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(one)
 
 
 def refresh_source(old: DataFrame, new: DataFrame, source: str = "source_id") -> DataFrame:
     """All rows of the sources that ``new`` holds are replaced by those in ``new``."""
-    return upsert(old, new, [source])
+    return old.join(new.select(source).distinct(), source, "left_anti").unionByName(new)

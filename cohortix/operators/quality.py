@@ -7,6 +7,7 @@ offend, and up to five of them. Nothing stops at the first problem.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,25 +16,42 @@ from pyspark.sql import functions as F
 from cohortix.functions.text import is_missing, to_number
 
 from .coding import HANDLERS
-from .dedup import examples
+from .dedup import smallest
 
 SCHEMA = "check string, status string, count bigint, examples array<string>"
 
 
-def check(name: str, count: Column, shown: Column | None = None, bad: str = "FAIL", good: str = "PASS") -> Column:
-    """One check as a struct of aggregates: ``bad`` when ``count`` is positive."""
-    n = F.coalesce(count, F.lit(0)).cast("bigint")
-    ex = F.coalesce(shown, F.array().cast("array<string>")) if shown is not None else F.array().cast("array<string>")
-    return F.struct(F.lit(name).alias("check"), F.when(n > 0, bad).otherwise(good).alias("status"), n.alias("count"), ex.alias("examples"))
+@dataclass(frozen=True)
+class Check:
+    """A check: its aggregate ``count``, and ``shown``, the value of a row that offends (else null)."""
+
+    name: str
+    count: Column
+    shown: Column | None = None
+    bad: str = "FAIL"
+    good: str = "PASS"
+
+    def row(self) -> Column:
+        n = F.coalesce(self.count, F.lit(0)).cast("bigint")
+        return F.struct(F.lit(self.name).alias("check"), F.when(n > 0, self.bad).otherwise(self.good).alias("status"), n.alias("count"))
+
+
+check = Check
 
 
 def offending(c: str | Column, when: Column) -> Column:
-    return examples(F.when(when, c if isinstance(c, Column) else F.col(c).cast("string")))
+    return F.when(when, c if isinstance(c, Column) else F.col(c).cast("string"))
 
 
-def checks(df: DataFrame, *made: Column) -> DataFrame:
-    """One pass over ``df`` for all checks, a row each."""
-    return df.agg(F.array(*made).alias("c")).select(F.inline("c"))
+def checks(df: DataFrame, *made: Check) -> DataFrame:
+    """One pass over ``df`` for all counts, one for the examples of those that show any; a row each."""
+    got = df.agg(F.array(*[m.row() for m in made]).alias("c")).select(F.inline("c"))
+    none = F.array().cast("array<string>")
+    shown = [F.struct(F.lit(m.name).alias("check"), m.shown.cast("string").alias("v")) for m in made if m.shown is not None]
+    if not shown:
+        return got.withColumn("examples", none)
+    few = smallest(df.select(F.inline(F.array(*shown))).where("v is not null"), ["check"], "v", 5, "examples")
+    return got.join(F.broadcast(few), "check", "left").withColumn("examples", F.coalesce("examples", none))  # a row a check
 
 
 def fixed(spark: SparkSession, rows: Sequence[tuple[str, str, int, list[str]]]) -> DataFrame:
@@ -43,7 +61,7 @@ def fixed(spark: SparkSession, rows: Sequence[tuple[str, str, int, list[str]]])
 def duplicate_check(df: DataFrame, keys: Sequence[str], name: str = "duplicate_ids", bad: str = "FAIL") -> DataFrame:
     """Distinct keys that occur more than once."""
     twice = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-    return checks(twice.withColumn("k", F.concat_ws(":", *keys)), check(name, F.count("*"), examples("k"), bad))
+    return checks(twice.withColumn("k", F.concat_ws(":", *keys)), check(name, F.count("*"), F.col("k"), bad))
 
 
 def columns_check(df: DataFrame, wanted: Sequence[str], name: str = "columns_present") -> DataFrame:
@@ -123,8 +141,8 @@ def cross_source(phenotypes: DataFrame, genotypes: DataFrame, builds: DataFrame)
     lone = phenotypes.select("participant_id").distinct().join(genotypes.select("participant_id").distinct(), "participant_id", "left_anti")
     out = checks(phenotypes, check("phenotypes_exist", F.when(F.count("*") == 0, 1)))
     out = out.unionByName(checks(genotypes, check("predictive_sources_exist", F.when(F.count("*") == 0, 1))))
-    out = out.unionByName(checks(lone, check("phenotype_without_genotype", F.count("*"), examples("participant_id"), bad="WARN")))
-    return out.unionByName(checks(builds.select("build").distinct(), check("conflicting_builds", F.when(F.count("*") > 1, F.count("*")), examples("build"))))
+    out = out.unionByName(checks(lone, check("phenotype_without_genotype", F.count("*"), F.col("participant_id"), bad="WARN")))
+    return out.unionByName(checks(builds.select("build").distinct(), check("conflicting_builds", F.when(F.count("*") > 1, F.count("*")), F.col("build"))))
 
 
 def contract(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[str] = (), isin: dict[str, Sequence[str]] | None = None, at_least: dict[str, float] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortix.functions.text import as_text, day_number
 
 from .coding import all_true
+from .cutpoint import cut
 from .dedup import insert_absent, keep_first, latest, refresh_source, upsert
 
 # ---- participants -----------------------------------------------------------------------------
@@ -98,8 +99,11 @@ def participants_per_source(aliases: DataFrame, participants: DataFrame) -> Data
 
 
 def availability_groups(assays: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Per source, modality and origin of current artifacts: tissue, last artifact, participants."""
-    j = assays.join(artifacts.where("status = 'current'").select("artifact_id", "modality", "origin", "tissue"), "artifact_id")
+    """Per source, modality and origin of artifacts in use: tissue, last artifact, participants.
+
+    Superseded artifacts and those that failed quality control are not in use.
+    """
+    j = assays.where("participant_id is not null").join(artifacts.where("lower(status) not in ('superseded', 'qc_fail')").select("artifact_id", "modality", "origin", "tissue"), "artifact_id")
     return j.groupBy("source_id", "modality", "origin").agg(F.max("tissue").alias("tissue"), F.max("artifact_id").alias("artifact_id"), F.count_distinct("participant_id").alias("n_participants"))
 
 
@@ -137,7 +141,7 @@ def repeated_measures(assays: DataFrame) -> DataFrame:
 def attrition(events: DataFrame) -> DataFrame:
     """Per event in order: who is present, who of the first event is retained, and the ratio."""
     order = event_order(events).select("event_id", "event_no")
-    seen = events.select("participant_id", "event_id").distinct().join(F.broadcast(order), "event_id")
+    seen = events.select("participant_id", "event_id").distinct().join(order, "event_id")
     first = seen.where("event_no = 1").select("participant_id").withColumn("_first", F.lit(True))
     got = seen.join(first, "participant_id", "left").groupBy("event_no", "event_id").agg(F.count("*").alias("n_present"), F.count_if("_first").alias("n_retained"))
     base = got.where("event_no = 1").select(F.col("n_present").alias("_base"))
@@ -160,11 +164,10 @@ def gap_statistics(events: DataFrame) -> DataFrame:
 # ---- availability -----------------------------------------------------------------------------
 
 
-def availability_name(modality: Column, tissue: Column, origin: Column) -> Column:
-    """Column name of a source: modality and tissue; omics that are not predicted end in their origin."""
-    base = F.upper(F.concat_ws("_", modality, tissue))
-    omics = modality.isin("expression", "splicing", "proteomics", "metabolomics", "methylation")
-    return F.when(omics & (origin != "predicted"), F.concat(base, F.lit("_"), F.upper(origin))).otherwise(base)
+def availability_name(source: Column, modality: Column, origin: Column) -> Column:
+    """Column name of a source: its id; omics that are not predicted end in their origin."""
+    omics = F.lower(modality).isin("expression", "splicing", "proteomics", "metabolomics", "methylation")
+    return F.concat_ws("_", source, F.when(omics & (F.lower(origin) != "predicted"), F.upper(origin)))
 
 
 def availability_matrix(assays: DataFrame, participants: DataFrame, columns: Sequence[str], column: str = "column") -> DataFrame:
@@ -228,21 +231,24 @@ def latest_artifact(artifacts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest(artifacts.where("status = 'current'"), keys, ["created_at", "artifact_id"])
 
 
-def lineage(edges: DataFrame, start: DataFrame, most: int = 50) -> DataFrame:
+def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(start, ancestor, depth): all ancestors of each start, nearest depth, by rounds of joins.
 
     ``edges``: child, parent. A round extends only what the last round reached, and pairs that are
-    known are not extended again, so cycles end. More than ``most`` rounds are an error, not a cut.
+    known are not extended again, so cycles end and the rounds go on until nothing is new. Each round
+    is cut, so a long chain of ancestors makes no long lineage of tasks.
     """
     out = start.select(F.col("id").alias("start"), F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
-    front = out
-    for d in range(1, most + 1):
+    front, d = out, 0
+    while True:
+        d += 1
         step = front.join(edges, front["ancestor"] == edges["child"]).select("start", F.col("parent").alias("ancestor")).distinct()
-        front = step.join(out.select("start", "ancestor"), ["start", "ancestor"], "left_anti").withColumn("depth", F.lit(d)).persist()
+        front = cut(step.join(out.select("start", "ancestor"), ["start", "ancestor"], "left_anti").withColumn("depth", F.lit(d)))
         if front.limit(1).count() == 0:
             return out.where("depth > 0")
         out = out.unionByName(front)
-    raise RuntimeError(f"ancestors lie more than {most - 1} rounds away: pass a larger bound")
+        if d % 20 == 0:
+            out = cut(out)
 
 
 def with_parents(artifacts: DataFrame, edges: DataFrame) -> DataFrame:

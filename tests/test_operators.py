@@ -228,9 +228,45 @@ def test_column_facts_rank_before_they_collect(spark):
     assert got == {"a": (300, 300, [f"{i:03}" for i in range(infer.MOST_CODES + 1)]), "b": (0, 0, [])}
 
 
-def test_lineage_deeper_than_its_bound_is_an_error(spark):
-    e = spark.createDataFrame([(f"a{i}", f"a{i + 1}") for i in range(4)], "child string, parent string")
+def test_lineage_goes_on_to_the_end(spark):
+    e = spark.createDataFrame([(f"a{i}", f"a{i + 1}") for i in range(24)] + [("a24", "a0")], "child string, parent string")
     start = spark.createDataFrame([("a0",)], "id string")
-    with pytest.raises(RuntimeError):
-        registry.lineage(e, start, most=2)
-    assert registry.lineage(e, start, most=5).count() == 4
+    got = {r["ancestor"]: r["depth"] for r in registry.lineage(e, start).collect()}
+    assert got == {f"a{i}": i for i in range(1, 25)}
+
+
+def test_upsert_keeps_the_last_of_new_rows(spark):
+    old = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, t int")
+    new = spark.createDataFrame([(2, "c", 2), (2, "d", 1), (3, "e", 1), (3, "e", 1)], "k int, v string, t int")
+    assert sorted(map(tuple, dedup.upsert(old, new, ["k"], ["t"]).collect())) == [(1, "a", 0), (2, "c", 2), (3, "e", 1)]
+    assert sorted(map(tuple, dedup.upsert(old, new, ["k"]).collect())) == [(1, "a", 0), (2, "d", 1), (3, "e", 1)]
+    src = spark.createDataFrame([("s", 1), ("s", 2)], "source_id string, x int")
+    assert dedup.refresh_source(src.limit(0), src).count() == 2
+
+
+def test_availability_names_follow_the_source(spark):
+    df = spark.createDataFrame([("s1", "expression", "observed"), ("s2", "expression", "predicted"), ("s3", "genotype", "observed"), ("s4", "methylation", None)], "s string, m string, o string")
+    got = [r[0] for r in df.select(registry.availability_name(F.col("s"), F.col("m"), F.col("o"))).collect()]
+    assert got == ["s1_OBSERVED", "s2", "s3", "s4"]
+    art = spark.createDataFrame([(1, "m", "o", "t", "current"), (2, "m", "o", "t", "SUPERSEDED"), (3, "m", "o", "t", "qc_fail"), (4, "m", "o", "u", "registered")], "artifact_id int, modality string, origin string, tissue string, status string")
+    assays = spark.createDataFrame([(1, "s", "p"), (2, "s", "q"), (3, "s", "r"), (4, "s", "x"), (4, "s", None)], "artifact_id int, source_id string, participant_id string")
+    assert [tuple(r) for r in registry.availability_groups(assays, art).collect()] == [("s", "m", "o", "u", 4, 2)]
+
+
+def test_phenotype_types_and_roles(spark):
+    cols = {"one_two": "1 2 2 1", "zero_one": "0 1.0 1 0", "words": "Case control case control", "text": "b a b a", "three": "x y z x", "codes": "1 2 3 3", "sex": "m x m f", "pc1": "a b c d", "age": "41 50 62 33"}
+    rows = list(zip(*(v.split() for v in cols.values()), strict=True))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    got = infer.infer_phenotypes(df, columns=list(cols))
+    assert got["one_two"] == ("binary", "2", "1") and got["text"] == ("binary", "b", "a") and got["three"][0] == got["codes"][0] == "multiclass"
+    assert infer.infer_covariates(df)["sex"] == ("other", True) and infer.infer_covariates(df)["pc1"] == ("other", True) and infer.infer_covariates(df)["age"] == ("age", False)
+    two = spark.createDataFrame([("Case", "0"), ("control", "1.0")], "words string, zero_one string")
+    assert infer.infer_phenotypes(two, columns=["words", "zero_one"]) == {"words": ("binary", "Case", "control"), "zero_one": ("binary", "1.0", "0")}
+    many = spark.createDataFrame([(str(i), str(i)) for i in range(12)] + [("1", None)], "n string, m string")
+    assert infer.infer_phenotypes(many, columns=["n"])["n"] == ("continuous", None, None)
+
+
+def test_examples_are_the_smallest(spark):
+    df = spark.createDataFrame([(i % 50, f"v{i % 50:02}") for i in range(500)], "k int, v string").repartition(7)
+    got = quality.contract(df, isin={"v": ["v03"]}, at_least={"k": 5}).collect()
+    assert {r["check"]: (r["count"], r["examples"]) for r in got} == {"isin:v": (490, ["v00", "v01", "v02", "v04", "v05"]), "at_least:k": (50, ["0", "1", "2", "3", "4"])}
