@@ -55,8 +55,10 @@ def pick_transcript(rows: DataFrame) -> DataFrame:
         "_canon": F.coalesce(column_or_null(cols, "CANONICAL").cast("string") == "YES", F.lit(False)),
         "most_severe_consequence": cq.most_severe("Consequence"),
     })
-    order = [F.desc("_pick"), F.desc("_canon"), F.asc_nulls_last(cq.rank(F.col("most_severe_consequence"))), F.asc_nulls_last("Feature")]
-    best = best_row(r, ["variant_key"], order)
+    # the smallest of a struct combines before the shuffle, so a variant of many transcripts is no hot key
+    order = F.struct(~F.col("_pick"), ~F.col("_canon"), F.coalesce(cq.rank(F.col("most_severe_consequence")).cast("int"), F.lit(1 << 30)), F.col("Feature").isNull(), F.col("Feature"))
+    kept = [c for c in r.columns if c != "variant_key"]
+    best = r.groupBy("variant_key").agg(F.min_by(F.struct(*kept), order).alias("_r")).select("variant_key", *[F.col("_r")[c].alias(c) for c in kept])
     return best.withColumn("picked_by", F.when(F.col("_pick"), "PICK").when(F.col("_canon"), "canonical").otherwise("most_severe")).drop("_pick", "_canon")
 
 
@@ -154,11 +156,12 @@ def term_counts(rows: DataFrame) -> DataFrame:
 def consequence_matrix(participants: DataFrame, rows: DataFrame, terms: Sequence[str] = cq.REPORTED) -> DataFrame:
     """One row a participant, ``n_<term>`` and ``alt_burden_<term>`` of each of ``terms``, zero-filled.
 
-    The pivot has its values given, so there is no job to find them and the columns are always there.
+    A sum a term over the carried rows themselves: a row of several terms counts for each of them, and
+    no row is multiplied.
     """
-    wide = term_counts(rows).groupBy("participant_id").pivot("term", list(terms)).agg(F.sum("n").alias("n"), F.sum("alt_burden").alias("alt_burden"))
-    renamed = wide.select("participant_id", *[F.col(f"`{t}_{m}`").alias(f"{m}_{t}") for m in ("n", "alt_burden") for t in terms])
-    return with_all_participants(participants, renamed)
+    own = rows.where("consequence is not null").select("participant_id", "dosage", cq.terms("consequence").alias("_t"))
+    made = [a for t in terms for a in (F.count_if(F.array_contains("_t", t)).alias(f"n_{t}"), _sum_if("dosage", F.array_contains("_t", t)).alias(f"alt_burden_{t}"))]
+    return with_all_participants(participants, own.groupBy("participant_id").agg(*made))
 
 
 def gene_burden(rows: DataFrame, weighted: bool = False) -> DataFrame:

@@ -25,21 +25,21 @@ def check_builds(model: str | None, genotype: str | None) -> None:
         raise ValueError(f"model is on {model}, genotype on {genotype}: lift one of them first")
 
 
-def match_type(forward_strand: bool = False) -> Column:
-    """How a weight's alleles (effect_allele, other_allele) meet a site's (g_ref, g_alt)."""
-    ea, oa, ref, alt = (F.col(c) for c in ("effect_allele", "other_allele", "g_ref", "g_alt"))
-    other_known = oa.isNotNull() & (oa != "")
+def match_type(effect: Column, other: Column, ref: Column, alt: Column, forward_strand: bool = False) -> Column:
+    """How a weight's alleles (effect, other) meet a site's (ref, alt)."""
+    other_known = other.isNotNull() & (other != "")
 
     def meets(e: Column, o: Column, to: Column, from_: Column) -> Column:
         return (e == to) & (~other_known | (o == from_))
 
-    amb = F.coalesce(strand_ambiguous(ea, oa), F.lit(False))
+    amb = F.coalesce(strand_ambiguous(effect, other), F.lit(False))
+    flip_e, flip_o = complement(effect), complement(other)
     return (
         F.when(amb & F.lit(not forward_strand), "ambiguous")
-        .when(meets(ea, oa, alt, ref), "exact")
-        .when(meets(ea, oa, ref, alt), "allele_swap")
-        .when(~amb & meets(complement(ea), complement(oa), alt, ref), "strand_flip")
-        .when(~amb & meets(complement(ea), complement(oa), ref, alt), "strand_flip_swap")
+        .when(meets(effect, other, alt, ref), "exact")
+        .when(meets(effect, other, ref, alt), "allele_swap")
+        .when(~amb & meets(flip_e, flip_o, alt, ref), "strand_flip")
+        .when(~amb & meets(flip_e, flip_o, ref, alt), "strand_flip_swap")
         .otherwise("mismatch")
     )
 
@@ -50,43 +50,43 @@ def prepared(weights: DataFrame, ord_col: str = "_ord") -> DataFrame:
     return w.withColumn("_dup", F.row_number().over(Window.partitionBy(*KEYS).orderBy(ord_col)) > 1)
 
 
-def candidates(weights: DataFrame, sites: DataFrame, forward_strand: bool = False, by_rsid: bool = True) -> DataFrame:
-    """Weights that meet a site by position, or by rsID where they have no position."""
+def with_sites(weights: DataFrame, sites: DataFrame) -> DataFrame:
+    """Weights with ``_sites``, all sites of their position, or of their rsID where they have no position.
+
+    Sites are one row a position before the join, so a weight stays one row; null where there is none.
+    """
     s = sites.select(
         F.col("variant_id").alias("geno_variant_id"), F.col("rsid" if "rsid" in sites.columns else "variant_id").alias("_rsid"), strip_chr("chromosome").alias("chromosome"),
         F.col("position").cast("bigint").alias("position"), F.upper("ref").alias("g_ref"), F.upper("alt").alias("g_alt"),
     )
-    s = sized(s)
-    got = weights.where("position is not null").join(s.drop("_rsid"), ["chromosome", "position"])
-    if by_rsid:
-        ids = weights.where(F.col("position").isNull() & F.col("variant_id").startswith("rs")).drop("chromosome", "position")
-        got = got.unionByName(ids.join(s.where(F.col("_rsid").startswith("rs")), ids["variant_id"] == s["_rsid"]).drop("_rsid"))
-    return got.withColumn("match_type", match_type(forward_strand))
+    one = F.collect_list(F.struct("geno_variant_id", "g_ref", "g_alt")).alias("_sites")
+    got = weights.where("position is not null").join(sized(s.groupBy("chromosome", "position").agg(one)), ["chromosome", "position"], "left")
+    rest = weights.where("position is null")
+    ids = s.where(F.col("_rsid").startswith("rs")).groupBy("_rsid").agg(one)
+    rest = rest.join(sized(ids), rest["variant_id"] == F.col("_rsid"), "left").drop("_rsid")
+    return got.unionByName(rest)
 
 
 def harmonize(weights: DataFrame, sites: DataFrame, ord_col: str = "_ord", forward_strand: bool = False) -> DataFrame:
     """Every weight with its outcome: matched (with site, counted allele) or the reason it is excluded.
 
     Columns: the weight's own, outcome, match_type, geno_variant_id, counts_alt, counted_allele.
-    Outcomes in order: duplicate, matched, multiallelic, missing, ambiguous, allele_mismatch. One
-    aggregate per weight replaces joins back: good sites are counted and, if there is one, kept.
+    Outcomes in order: duplicate, matched, multiallelic, missing, ambiguous, allele_mismatch. After one
+    join a weight's sites are judged within its row: no aggregate and no join back.
     """
-    w = prepared(weights, ord_col)
-    good = F.col("match_type").isin(*GOOD)
-    per = candidates(w.where("not _dup"), sites, forward_strand).groupBy(ord_col).agg(
-        F.count_if(good).alias("_good"), F.count("*").alias("_n"), F.bool_or(F.col("match_type") == "ambiguous").alias("_amb"),
-        F.min(F.when(good, F.struct("geno_variant_id", "match_type", "g_ref", "g_alt"))).alias("_site"),
-    )
-    out = w.join(per, ord_col, "left")
+    w = with_sites(prepared(weights, ord_col), sites)
+    kind = lambda x: match_type(F.col("effect_allele"), F.col("other_allele"), x["g_ref"], x["g_alt"], forward_strand)
+    w = w.withColumn("_met", F.transform("_sites", lambda x: F.struct(kind(x).alias("match_type"), x.alias("at"))))
+    w = w.withColumn("_good", F.filter("_met", lambda m: m["match_type"].isin(*GOOD)))
     outcome = (
-        F.when(F.col("_dup"), "duplicate").when(F.col("_good") == 1, "matched").when(F.col("_good") > 1, "multiallelic")
-        .when(F.col("_n").isNull(), "missing").when(F.col("_amb"), "ambiguous").otherwise("allele_mismatch")
+        F.when(F.col("_dup"), "duplicate").when(F.size("_good") == 1, "matched").when(F.size("_good") > 1, "multiallelic")
+        .when(F.col("_sites").isNull(), "missing").when(F.exists("_met", lambda m: m["match_type"] == "ambiguous"), "ambiguous").otherwise("allele_mismatch")
     )
-    out = out.withColumn("outcome", outcome)
-    site = lambda c: F.when(F.col("outcome") == "matched", F.col(f"_site.{c}"))
-    out = out.withColumns({"match_type": site("match_type"), "geno_variant_id": site("geno_variant_id"), "_ref": site("g_ref"), "_alt": site("g_alt")})
+    out = w.withColumn("outcome", outcome).withColumn("_site", F.when(F.col("outcome") == "matched", F.get("_good", F.lit(0))))
+    out = out.withColumns({"match_type": F.col("_site.match_type"), "geno_variant_id": F.col("_site.at.geno_variant_id")})
     out = out.withColumn("counts_alt", F.col("match_type").isin("exact", "strand_flip"))
-    return out.withColumn("counted_allele", F.when(F.col("counts_alt"), F.col("_alt")).otherwise(F.col("_ref"))).drop("_dup", "_good", "_n", "_amb", "_site", "_ref", "_alt")
+    counted = F.when(F.col("counts_alt"), F.col("_site.at.g_alt")).otherwise(F.col("_site.at.g_ref"))
+    return out.withColumn("counted_allele", counted).drop("_dup", "_sites", "_met", "_good", "_site")
 
 
 def model_quality(harmonized: DataFrame) -> DataFrame:
@@ -108,19 +108,29 @@ def coverage_status(quality: DataFrame, least: float = MIN_COVERAGE, allow_low:
     return q.withColumn("predict", (F.col("status") == "OK") | ((F.col("status") == "LOW_COVERAGE") & F.lit(allow_low)))
 
 
+def lines(matched: DataFrame) -> DataFrame:
+    """(variant, terms): what a dosage adds to each score, as one row a site.
+
+    All weights of a site and a score are one line ``base + slope * dosage``: a weight on the ALT allele
+    adds weight * dosage, one on the REF allele weight * (2 - dosage).
+    """
+    w, alt = F.col("weight"), F.col("counts_alt")
+    per = matched.groupBy(F.col("geno_variant_id").alias("variant"), "model_id", "feature_id").agg(
+        F.sum(F.when(alt, 0.0).otherwise(2 * w)).alias("base"), F.sum(F.when(alt, w).otherwise(-w)).alias("slope")
+    )
+    return per.groupBy("variant").agg(F.collect_list(F.struct("model_id", "feature_id", "base", "slope")).alias("terms"))
+
+
 def weighted_sum(calls: DataFrame, matched: DataFrame, intercepts: DataFrame | None = None) -> DataFrame:
     """Scores (sample, model_id, feature_id, score) from called dosages (sample, variant, dosage).
 
-    A weight on the ALT allele adds weight * dosage, one on the REF allele weight * (2 - dosage); a
-    missing genotype adds 0 for either, because only called rows are joined. One join and one sum.
+    A missing genotype adds 0, because only called rows are joined. One join and one sum.
     """
-    # no hint: the size of the matched weights is known only at run time, where adaptive execution
-    # decides between broadcast and shuffle
-    m = matched.select(F.col("geno_variant_id").alias("variant"), "model_id", "feature_id", "weight", "counts_alt")
-    d = F.when(F.col("counts_alt"), F.col("dosage")).otherwise(2.0 - F.col("dosage"))
-    s = calls.where("dosage is not null").join(m, "variant").groupBy("sample", "model_id", "feature_id").agg(F.sum(d * F.col("weight")).alias("score"))
+    called = calls.where("dosage is not null").join(lines(matched), "variant")
+    t = called.select("sample", "dosage", F.explode("terms").alias("t"))
+    s = t.groupBy("sample", F.col("t.model_id").alias("model_id"), F.col("t.feature_id").alias("feature_id")).agg(F.sum(F.col("t.base") + F.col("t.slope") * F.col("dosage")).alias("score"))
     if intercepts is not None:
-        s = s.join(F.broadcast(intercepts), ["model_id", "feature_id"], "left").withColumn("score", F.col("score") + F.coalesce("intercept", F.lit(0.0))).drop("intercept")
+        s = s.join(sized(intercepts), ["model_id", "feature_id"], "left").withColumn("score", F.col("score") + F.coalesce("intercept", F.lit(0.0))).drop("intercept")
     return s
 
 
