@@ -8,11 +8,13 @@ classes are bounded while the word counts, which are gathered from the whole cor
 stay a table that is joined.
 
 Baum-Welch runs over all training texts: partitions add up expected counts, Spark sums them, the
-driver normalises a table of states x classes. Training reads texts in pieces of ``piece`` tokens;
-the likelihood of a text is exact: a scaled forward recursion over all its tokens.
+driver normalises a table of states x classes. Training reads texts in windows of ``piece`` tokens.
+A window after a text's first begins with the last token of the one before, in the stationary
+distribution, so that every transition and emission counts once, and only the beginnings of texts
+count as starts. The likelihood of a text is exact: a scaled forward recursion over all its tokens.
 
 Defined results: a null text is empty; an empty text has one token, its end. Repeated rows get a
-row each. A null id is never held out. Extra columns are ignored. Without training texts every count
+row each. A null id is never held out. Ids keep their type. Extra columns are ignored. Without training texts every count
 is zero and scores come from the smoothing alone.
 """
 
@@ -110,15 +112,35 @@ def forward(seqs: list[np.ndarray], m: HMM) -> np.ndarray:
     return out
 
 
-def expected_counts(seqs: list[np.ndarray], m: HMM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch: expected starts, transitions and emissions (classes x states) of the sequences."""
+def windows(seq: np.ndarray, piece: int) -> list[np.ndarray]:
+    """``seq`` in windows of ``piece`` tokens; each but the first begins with the token before it."""
+    return [seq[max(i - 1, 0) : i + piece] for i in range(0, len(seq), piece)]
+
+
+def stationary(m: HMM, steps: int = 200) -> np.ndarray:
+    """The distribution of states in running text, by powers of the transitions."""
+    a = m.start
+    for _ in range(steps):
+        a = a @ m.trans
+    return a
+
+
+def expected_counts(seqs: list[np.ndarray], m: HMM, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch: expected starts, transitions and emissions (classes x states) of the sequences.
+
+    Where ``first`` is false, a sequence goes on with a text: its first token, counted with the window
+    before, is only what the next one follows, and is no start.
+    """
     k, c = len(m.start), m.n_classes
     start, trans, emit = np.zeros(k), np.zeros((k, k)), np.zeros((c, k))
-    for _, obs, active in lanes(seqs):
+    first = np.ones(len(seqs), bool) if first is None else first
+    running = stationary(m)
+    for idx, obs, active in lanes(seqs):
         steps = len(active)
         alpha, scale = [], []
+        begins = first[idx]
         for t, n in enumerate(active):
-            a = (alpha[-1][:n] @ m.trans if t else np.broadcast_to(m.start, (n, k))) * m.emit[obs[t, :n]]
+            a = (alpha[-1][:n] @ m.trans if t else np.where(begins[:n, None], m.start, running)) * m.emit[obs[t, :n]]
             s = a.sum(1)
             alpha.append(a / s[:, None])
             scale.append(s)
@@ -133,7 +155,9 @@ def expected_counts(seqs: list[np.ndarray], m: HMM) -> tuple[np.ndarray, np.ndar
                 full[:nxt] = back @ m.trans.T
                 beta = full
             alpha[t] = alpha[t] * beta  # now the state's posterior
-        start += alpha[0].sum(0) if steps else 0
+        if steps:
+            alpha[0] = alpha[0] * begins[: active[0], None]
+            start += alpha[0].sum(0)
         seen = np.concatenate([obs[t, :n] for t, n in enumerate(active)]) if steps else np.empty(0, int)
         post = np.concatenate(alpha) if steps else np.empty((0, k))
         for j in range(k):
@@ -217,8 +241,9 @@ def baum_welch(seqs: DataFrame, m: HMM, iterations: int, piece: int = 256, alpha
         def counts(it, bc=bc):
             model, acc = bc.value, None
             for b in it:
-                seq = [np.frombuffer(raw, np.uint16) for raw in b.column(0).to_pylist()]
-                got = expected_counts([s[i : i + piece] for s in seq for i in range(0, len(s), piece)], model)
+                cuts = [windows(np.frombuffer(raw, np.uint16), piece) for raw in b.column(0).to_pylist()]
+                first = np.array([not i for w in cuts for i in range(len(w))], bool)
+                got = expected_counts([s for w in cuts for s in w], model, first)
                 acc = got if acc is None else tuple(x + y for x, y in zip(acc, got, strict=True))
             if acc is not None:
                 flat = np.concatenate([x.ravel() for x in acc])
@@ -252,20 +277,30 @@ def hmm_scores(
     ``lexicon`` bounds the words that every task holds in memory; the others are joined.
     """
     spark, where = docs.sparkSession, shared_dir(docs.sparkSession)
+    kind = dict(docs.dtypes)[doc_id]
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(doc_id, folds, fold).alias("held_out"))
     counts = cut(token_counts(d.withColumn("_train", ~F.col("held_out")), n_buckets=n_buckets), where)
     total = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = total[0] or 0, total[1]
-    # The most frequent words by whole bins of the logarithm of their counts, so that a histogram of
-    # bounded size and at most ``lexicon`` words reach the driver, however many tasks there are.
-    level = F.floor(F.log2("c") * 32).cast("int")
+    # The most frequent words by bins of the logarithm of their counts, so that histograms of bounded
+    # size and at most ``lexicon`` words reach the driver, however many tasks there are. Of the first
+    # bin that has more words than fit, those of the first hash slots are taken.
+    level, slot = F.floor(F.log2("c") * 32).cast("int"), F.pmod(F.xxhash64("token"), F.lit(1024)).cast("int")
     word = F.col("token") != F.lit(bytearray(END))
-    least, room = None, lexicon
+    held, room = F.lit(False), lexicon
     for bin_, many in counts.where(word).groupBy(level.alias("b")).count().orderBy(F.desc("b")).collect():
-        if many > room:
-            break
-        least, room = bin_, room - many
-    frequent = counts.where(word & (level >= least)).select("token", "c").collect() if least is not None else []
+        whole = many <= room
+        if whole:
+            held, room = level >= bin_, room - many
+            continue
+        upto = 0
+        for at, some in counts.where(word & (level == bin_)).groupBy(slot.alias("s")).count().orderBy("s").collect():
+            if some > room:
+                break
+            upto, room = at + 1, room - some
+        held = (level > bin_) | ((level == bin_) & (slot < upto))
+        break
+    frequent = counts.where(word & held).select("token", "c").collect()
     frequent.sort(key=lambda r: (-r["c"], bytes(r["token"])))
     own = {bytes(r["token"]): (i if i < n_words else -1, r["c"]) for i, r in enumerate(frequent)}
     n_words = min(n_words, len(own))
@@ -286,7 +321,7 @@ def hmm_scores(
 
     # One pass makes class sequences and what the bounded vocabulary can settle.
     bc = spark.sparkContext.broadcast((m.lexicon, m.n_words, n_buckets, log_den))
-    id_type = "bigint" if dict(d.dtypes)["doc_id"] == "bigint" else "string"
+    id_type = "bigint" if kind in ("tinyint", "smallint", "int", "bigint") else "string"
     seq_schema = pa.schema([("doc_id", pa.int64() if id_type == "bigint" else pa.string()), ("th", pa.int64()), ("held_out", pa.bool_()), ("obs", pa.binary()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("log_c", pa.float64()), ("log_in_class", pa.float64())])
     d = d.withColumn("doc_id", F.col("doc_id").cast(id_type))
 
@@ -335,7 +370,7 @@ def hmm_scores(
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ids, ths, toks, tfs), pair_schema, strict=True)], schema=pair_schema)
 
     pairs = keyed.select("doc_id", "th", "text").mapInArrow(rare, f"doc_id {id_type}, th long, token binary, tf long")
-    rest = counts.where(word & (level < least) if least is not None else word).select("token", "c")
+    rest = counts.where(word & ~held).select("token", "c")
     met = pairs.join(rest, "token").select("doc_id", "th", (F.col("tf") * F.log10(F.col("c") + 1)).alias("x"), F.col("tf").alias("kn"), F.lit(0).alias("rep"))
     met = met.unionByName(d.select("doc_id", F.xxhash64("text").alias("th"), F.lit(0.0).alias("x"), F.lit(0).cast("long").alias("kn"), F.lit(1).alias("rep")))
     sums = met.groupBy("doc_id", "th").agg((F.sum("x") / F.sum("rep")).alias("x"), (F.sum("kn") / F.sum("rep")).cast("long").alias("kn"))
@@ -353,7 +388,7 @@ def hmm_scores(
     fwd = seqs.mapInArrow(score, f"doc_id {id_type}, th long, held_out boolean, n_tokens long, known long, log_c double, log_in_class double, fwd double")
     s = sums.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
     return fwd.join(s, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("th").eqNullSafe(F.col("_th"))).select(
-        "doc_id",
+        F.col("doc_id").cast(kind).alias("doc_id"),
         "held_out",
         "n_tokens",
         (F.col("known") + F.col("kn")).alias("n_known"),

@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -47,6 +48,48 @@ def test_forward_and_counts_equal_sums_over_paths():
         assert np.allclose(got, exact)
 
 
+def test_windows_count_each_transition_and_emission_once():
+    m = tiny_model()
+    m.start = hmm.stationary(m)
+    seq = np.array([0, 1, 2, 4, 3, 3, 1, 0, 2])
+    cuts = hmm.windows(seq, 4)
+    assert [w.tolist() for w in cuts] == [[0, 1, 2, 4], [4, 3, 3, 1, 0], [0, 2]]
+    start, trans, emit = hmm.expected_counts(cuts, m, np.array([True, False, False]))
+    assert start.sum() == pytest.approx(1) and trans.sum() == pytest.approx(len(seq) - 1)
+    assert np.allclose(emit.sum(1), np.bincount(seq, minlength=5))
+    assert hmm.windows(np.array([1]), 4)[0].tolist() == [1] and len(hmm.windows(seq, 9)) == 1
+
+
+@pytest.mark.parametrize("lexicon", [0, 2, 7, 1000])
+def test_scores_equal_a_recursion_by_hand(spark, docs, monkeypatch, lexicon):
+    # a lexicon smaller than a bin of equal counts takes a part of it; the rest is joined
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choices(["aa", "b", "c", "dd", "e", "ff", "g", "h", f"x{i % 9}"], k=r.choice([0, 3, 30])))) for i in range(60)] + [(300, None), (301, "new words only")]
+    kept = {}
+    real = hmm.baum_welch
+    monkeypatch.setattr(hmm, "baum_welch", lambda *a, **k: kept.setdefault("m", real(*a, **k)))
+    d = docs(rows).selectExpr("cast(doc_id as int) doc_id", "text", "1 as score", "2 as th")
+    got = hmm.hmm_scores(d, lexicon=lexicon, n_words=4, n_buckets=3, states=2, iterations=1)
+    assert dict(got.dtypes)["doc_id"] == "int"
+    out = got.collect()
+    m = kept["m"]
+    assert len(m.lexicon) <= lexicon + 1 and (lexicon != 7 or len(m.lexicon) > 1)
+    tok = lambda t: [*(t or "").encode().lower().split(), hmm.END]
+    train = Counter(w for i, t in rows if not held(i, 7, 2) for w in tok(t))
+    single = {w: k for w, (k, _) in m.lexicon.items() if k >= 0}
+    groups = {g: [c for w, c in train.items() if w not in single and hmm.bucket(w, 3) == g] for g in range(3)}
+    assert len(out) == len(rows)
+    for g in out:
+        want, a = 0.0, m.start
+        for t, w in enumerate(tok(dict(rows)[g["doc_id"]])):
+            b = hmm.bucket(w, 3)
+            p = (a @ m.trans if t else a) * m.emit[single.get(w, m.n_words + b)]
+            want, a = want + math.log10(p.sum()), p / p.sum()
+            if w not in single:
+                want += math.log10((train[w] + 1) / (sum(groups[b]) + len(groups[b]) + 1))
+        assert g["score"] == pytest.approx(want, abs=1e-6)
+
+
 def test_base_scores_and_counts_equal_the_definition(spark, docs):
     r = random.Random(2)
     rows = [(i, " ".join(r.choices(["Aa", "b", "c\x0bd", "e", f"q{i}"], k=r.choice([0, 1, 40])))) for i in range(80)] + [(200, None), (201, ""), (500, "again"), (500, "again"), (None, "b b zz")]
