@@ -215,7 +215,7 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
     g = lambda i: F.get("f", F.lit(i))
     return rows.select(
         strip_chr(g(0)).alias("chromosome"), g(1).cast("bigint").alias("position"), g(2).alias("variant_id"), F.upper(g(3)).alias("ref"), F.upper(g(4)).alias("alt"),
-        g(7).alias("info"), g(8).alias("format"), F.slice("f", 10, 1_000_000).alias("calls"),
+        g(7).alias("info"), g(8).alias("format"), F.slice("f", 10, F.size("f")).alias("calls"),
     )
 
 

@@ -126,10 +126,16 @@ def read_predictdb(spark: SparkSession, path: str) -> DataFrame:
     return w.join(x, "feature_id", "left")
 
 
-def read_scoring_file(spark: SparkSession, path: str, harmonized: bool = False) -> tuple[dict[str, str], DataFrame]:
-    """(header ``#key=value`` pairs, weights); harmonized positions come first where asked for."""
+def read_scoring_file(spark: SparkSession, path: str, harmonized: bool = False, header_lines: int = 10_000) -> tuple[dict[str, str], DataFrame]:
+    """(header ``#key=value`` pairs, weights); harmonized positions come first where asked for.
+
+    A file of more than ``header_lines`` pairs is refused: the header goes to the driver.
+    """
     lines = _lines(spark, path)
-    meta = dict(r[0].lstrip("#").split("=", 1) for r in lines.where(F.col("value").startswith("#") & F.col("value").contains("=")).limit(1000).collect())
+    pairs = lines.where(F.col("value").startswith("#") & F.col("value").contains("=")).limit(header_lines + 1).collect()
+    if len(pairs) > header_lines:
+        raise ValueError(f"{path}: more than {header_lines} header lines")
+    meta = dict(r[0].lstrip("#").split("=", 1) for r in pairs)
     body = lines.where(~F.col("value").startswith("#"))
     first = body.limit(1).collect()[0][0]
     names = first.split("\t")
