@@ -82,6 +82,8 @@ def test_score_files(spark, tmp_path):
     pgs = write(tmp_path / "p.txt", "#pgs_id=P1\nrsID\tchr_name\tchr_position\teffect_allele\tother_allele\teffect_weight\thm_chr\thm_pos\nrs1\t1\t5\ta\tg\t0.1\t2\t6\n")
     meta, w = parsers.read_scoring_file(spark, pgs, harmonized=True)
     assert meta == {"pgs_id": "P1"} and (w.first()["chromosome"], w.first()["position"], w.first()["effect_allele"]) == ("2", 6, "A")
+    with pytest.raises(ValueError, match="header lines"):
+        parsers.read_scoring_file(spark, pgs, header_lines=0)
 
 
 def test_snapshots_are_verified(spark, tmp_path):
