@@ -12,6 +12,7 @@ from cohortix.functions.alleles import strip_chr, variant_key
 from cohortix.functions.text import column_or_null, without_version
 
 from .dedup import best_row
+from .genotype import passing_variants
 
 #: A look-up side is broadcast up to this many rows; beyond it the join is shuffled.
 BROADCAST_ROWS = 500_000
@@ -62,6 +63,21 @@ def pick_transcript(rows: DataFrame) -> DataFrame:
     return best.withColumn("picked_by", F.when(F.col("_pick"), "PICK").when(F.col("_canon"), "canonical").otherwise("most_severe")).drop("_pick", "_canon")
 
 
+def keyed_transcripts(rows: DataFrame, variants: DataFrame) -> DataFrame:
+    """Transcript rows with the key of the variant they were uploaded as; null where it is unknown."""
+    keys = variants.select(F.col("variant_id").alias("Uploaded_variation"), "variant_key")
+    return rows.join(sized(keys), "Uploaded_variation", "left")
+
+
+def cohort_variants(variants: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
+    """The cohort's variants: those marked ``included`` where sites say so, else those that pass quality control."""
+    if "included" in variants.columns:
+        return variants.where("included")
+    if metrics is None:
+        raise ValueError("sites without an included column need variant metrics")
+    return passing_variants(variants, metrics)
+
+
 def consequence_counts(picked: DataFrame) -> DataFrame:
     t = picked.select(F.explode(cq.terms("Consequence")).alias("term"))
     return t.groupBy("term").agg(F.count("*").alias("n"))

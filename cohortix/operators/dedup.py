@@ -66,6 +66,11 @@ def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) ->
     return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
 
 
+def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """The first ``k`` rows in ``order``; each task keeps its own first ``k`` before they are merged."""
+    return df.orderBy(*order).limit(k)
+
+
 def smallest(df: DataFrame, keys: Sequence[str], value: str, most: int, name: str) -> DataFrame:
     """(keys, array ``name``): the ``most`` smallest distinct values of each key, in order.
 

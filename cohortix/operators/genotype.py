@@ -93,6 +93,19 @@ def sex_check(calls: DataFrame, chrom: str = "X", male_at: float = 0.8, female_a
     return out.withColumn("status", F.when(F.col("f").isNull(), "SKIPPED").when((F.col("sex") == F.col("snp_sex")) & (F.col("sex") != 0), "OK").otherwise("PROBLEM"))
 
 
+def sample_metrics(samples: DataFrame, *metrics: DataFrame) -> DataFrame:
+    """``samples`` ⟕ each table of metrics (a row a sample); what a sample lacks is null and fails nothing."""
+    out = samples
+    for m in metrics:
+        out = out.join(m, "sample", "left")
+    return out
+
+
+def passing_variants(variants: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Variants whose metrics pass; those without metrics do not."""
+    return variants.join(metrics.where("passes").select("variant"), "variant", "left_semi")
+
+
 def final_decision(samples: DataFrame, flags: list[str]) -> DataFrame:
     """Fail reasons of each sample; ``keep`` where there is none."""
     reasons = F.concat_ws(";", *[F.when(F.coalesce(F.col(f), F.lit(False)), F.lit(f.removeprefix("fail_"))) for f in flags])

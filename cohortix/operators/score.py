@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.alleles import complement, strand_ambiguous, strip_chr
 
-from .annotate import sized
-from .dedup import best_row
+from .annotate import sized, with_key
+from .dedup import best_row, keep_first
 
 KEYS = ("model_id", "feature_id", "chromosome", "position", "variant_id", "effect_allele", "other_allele")
 GOOD = ("exact", "allele_swap", "strand_flip", "strand_flip_swap")
@@ -176,6 +176,28 @@ def ancestry_match(model: Column, cohort: Column) -> Column:
     return F.when(none, "unknown").when(both == 0, "mismatched").when(inside & (F.size(model) == 1), "matched").when(inside, "mixed").otherwise("partial")
 
 
+def keyed_sites(sites: DataFrame, ord_col: str = "_ord") -> DataFrame:
+    """Sites with ``variant_key`` (chromosome:position:ref:alt); of equal keys the first in file order stays."""
+    plain = sites.withColumns({"chromosome": strip_chr("chromosome"), "ref": F.upper("ref"), "alt": F.upper("alt")})
+    return keep_first(with_key(plain), ["variant_key"], ord_col)
+
+
+def feature_summary(weights: DataFrame, ord_col: str = "_ord") -> DataFrame:
+    """(model_id, feature_id, name, n_weights, r2): name and R² of a feature's first weight, and their number."""
+    first = lambda c: F.min_by(c, ord_col).alias(c)
+    return weights.groupBy("model_id", "feature_id").agg(first("name"), F.count("*").alias("n_weights"), first("r2"))
+
+
+def with_quality(features: DataFrame, quality: DataFrame) -> DataFrame:
+    """Features with their model quality; null where a model was not harmonized."""
+    return features.join(sized(quality), ["model_id", "feature_id"], "left")
+
+
+def with_samples(scores: DataFrame, samples: DataFrame) -> DataFrame:
+    """Scores with the columns of their sample (native_id, participant_id); null where it is unknown."""
+    return scores.join(sized(samples), "sample", "left")
+
+
 def weights_wide(matched: DataFrame, features: Sequence[str]) -> DataFrame:
     """A column a feature, cells that meet summed; for few features, given by name."""
     return matched.groupBy("geno_variant_id", "counted_allele").pivot("feature_id", list(features)).agg(F.sum("weight"))

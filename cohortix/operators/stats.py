@@ -232,6 +232,31 @@ def project(calls: DataFrame, loadings: DataFrame) -> DataFrame:
     return calls.where("alt_count is not null").join(loadings, "variant").groupBy("sample", "pc").agg(F.sum(F.col("alt_count") * F.col("loading")).alias("score"))
 
 
+def shared_loadings(calls: DataFrame, loadings: DataFrame, least: int = 100) -> DataFrame:
+    """Loadings of the variants that the cohort has too; raises where fewer than ``least`` are shared."""
+    own = calls.select("variant").distinct()
+    shared = loadings.join(own, "variant", "left_semi")
+    n = shared.agg(F.count_distinct("variant")).first()[0]
+    if n < least:
+        raise ValueError(f"cohort and reference share {n} variants, {least} are needed")
+    return shared
+
+
+def ancestry(calls: DataFrame, loadings: DataFrame, reference: DataFrame, populations: DataFrame, least: int = 100) -> DataFrame:
+    """(id, label, confidence): the population (sample, label) whose centre is nearest to each sample.
+
+    Both cohorts are projected on the variants they share; a score is a sum over called genotypes.
+    """
+    shared = shared_loadings(calls, loadings, least)
+
+    def vectors(c: DataFrame) -> DataFrame:
+        per = project(c, shared).groupBy("sample").agg(F.sort_array(F.collect_list(F.struct("pc", "score"))).alias("x"))
+        return per.select("sample", F.transform("x", lambda p: p["score"]).alias("v"))
+
+    known = vectors(reference).join(populations, "sample").select("label", "v")
+    return nearest_centroid(vectors(calls).withColumnRenamed("sample", "id"), known)
+
+
 def nearest_centroid(points: DataFrame, known: DataFrame) -> DataFrame:
     """(id, label, confidence): nearest centre of ``known`` (label, v) to each of ``points`` (id, v).
 

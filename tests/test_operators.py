@@ -270,3 +270,23 @@ def test_examples_are_the_smallest(spark):
     df = spark.createDataFrame([(i % 50, f"v{i % 50:02}") for i in range(500)], "k int, v string").repartition(7)
     got = quality.contract(df, isin={"v": ["v03"]}, at_least={"k": 5}).collect()
     assert {r["check"]: (r["count"], r["examples"]) for r in got} == {"isin:v": (490, ["v00", "v01", "v02", "v04", "v05"]), "at_least:k": (50, ["0", "1", "2", "3", "4"])}
+
+
+def test_projection_needs_enough_shared_variants(spark):
+    calls = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "sample int, variant int, alt_count int")
+    loadings = spark.createDataFrame([(10, 1, 0.5), (11, 1, 0.25), (12, 1, 1.0)], "variant int, pc int, loading double")
+    assert stats.shared_loadings(calls, loadings, 2).count() == 2
+    with pytest.raises(ValueError, match="share 2 variants"):
+        stats.shared_loadings(calls, loadings, 3)
+
+
+def test_cohort_variants_by_mark_or_by_metrics(spark):
+    marked = spark.createDataFrame([(1, True), (2, False), (3, None)], "variant int, included boolean")
+    assert [r[0] for r in annotate.cohort_variants(marked).collect()] == [1]
+    with pytest.raises(ValueError, match="included"):
+        annotate.cohort_variants(marked.drop("included"))
+
+
+def test_keyed_sites_keep_the_first_of_equal_keys(spark):
+    s = spark.createDataFrame([("chr1", 5, "a", "g", 2), ("1", 5, "A", "G", 1), ("1", 5, "A", "T", 3)], "chromosome string, position bigint, ref string, alt string, _ord int")
+    assert sorted((r["variant_key"], r["_ord"]) for r in score.keyed_sites(s).collect()) == [("1:5:A:G", 1), ("1:5:A:T", 3)]
