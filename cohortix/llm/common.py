@@ -42,11 +42,14 @@ def _own_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="spark-cohortix-")
 
 
-def cut(df: DataFrame, where: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and return what is read back, with its lineage cut."""
+def cut(df: DataFrame, where: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and return what is read back, with its lineage cut.
+
+    ``options`` are Parquet write options, such as the compression.
+    """
     spark = df.sparkSession
     path = f"{where or shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -614,6 +614,10 @@ def media_features(media: DataFrame) -> DataFrame:
     return media.select("doc_id", "n_bytes", "media").mapInArrow(go, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
+#: How the media column is written: large pages, so that streams of copies in a page compress too.
+MEDIA_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(8 << 20), "parquet.enable.dictionary": "false"}
+
+
 def media_column(docs: DataFrame, **kw) -> DataFrame:
     """Store every text in a media column of the shared folder, read the column back and describe it."""
-    return media_features(cut(store_texts(docs, **kw)))
+    return media_features(cut(store_texts(docs, **kw), options=MEDIA_OPTIONS))
