@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, flac, hmm, html_text, near_dup, packing, quality, toxicity, url_filter, warc
+from . import decontamination, flac, hmm, html_text, near_dup, packing, quality, stream_dedup, toxicity, url_filter, warc
 from .common import table
 
 
@@ -52,16 +52,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_dedup.stream_dedup(stream_dedup.stream_of(spark, f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_hmm_scores, op2_packing, op3_decontamination, op4_url_filter, op5_warc, op6_html_text, op7_flac, op8_near_duplicates, op9_quality, op10_toxicity)
+        for f in (op1_hmm_scores, op2_packing, op3_decontamination, op4_url_filter, op5_warc, op6_html_text, op7_flac, op8_near_duplicates, op9_quality, op10_toxicity, op13_stream_dedup)
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL cannot express training, branch and bound or chosen paths; containment it can."""
-    return {"op3_decontamination": OP3_SQL}
+    """SQL cannot express training, branch and bound or chosen paths; containment and exact copies it can."""
+    return {"op3_decontamination": OP3_SQL, "op13_stream_dedup": OP13_SQL}
 
 
 OP3_SQL = r"""
@@ -75,3 +79,9 @@ m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (width,
 SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_item_shingles, CAST(n_shared AS BIGINT) AS n_shared, n_shared / n AS containment
 FROM m JOIN n USING (item_id) WHERE n_shared >= ceil(0.75 * n)
 """
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)
+"""
