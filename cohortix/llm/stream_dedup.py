@@ -40,6 +40,7 @@ UPDATES = "key binary, slot int, keep {}, n long, file string, at long"
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a store takes local disk and memory while its task runs, not for good
 }
 
 
