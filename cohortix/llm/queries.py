@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cross_align, decontamination, flac, hmm, html_text, near_dup, packing, quality, stream_dedup, toxicity, url_filter, warc
+from . import cross_align, decontamination, flac, hmm, html_text, near_dup, packing, quality, spelling, stream_dedup, toxicity, url_filter, warc
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_align.cross_align(table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_hmm_scores, op2_packing, op3_decontamination, op4_url_filter, op5_warc, op6_html_text, op7_flac, op8_near_duplicates, op9_quality, op10_toxicity, op12_cross_align, op13_stream_dedup)
+        for f in (op1_hmm_scores, op2_packing, op3_decontamination, op4_url_filter, op5_warc, op6_html_text, op7_flac, op8_near_duplicates, op9_quality, op10_toxicity, op11_spelling, op12_cross_align, op13_stream_dedup)
     }
 
 
