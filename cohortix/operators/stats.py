@@ -1,4 +1,4 @@
-"""Statistics of genotypes that need more than an aggregate: exact tests, kinship, pruning, PCA, runs."""
+"""Statistics of genotypes that need more than an aggregate: exact tests, pruning, projection, runs."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .genotype import relationship
-
 
 def _hwe(hom1: int, het: int, hom2: int) -> float:
     """Exact Hardy-Weinberg p-value: all heterozygote counts no likelier than the observed one.
@@ -47,63 +45,6 @@ def hardy_weinberg(metrics: DataFrame, least: float = 1e-6) -> DataFrame:
     return p.withColumn("fail_hwe", F.coalesce(F.col("hwe_p") < least, F.lit(False)))
 
 
-def kinship(calls: DataFrame, least: float = 0.0442) -> DataFrame:
-    """KING-robust kinship of the pairs of samples that share a heterozygous variant.
-
-    Pairs are counted per variant among its carriers, so a variant costs the square of its carriers;
-    the common variants that would dominate carry no more information and belong pruned first.
-    phi = (het-het - 2 * opposite homozygotes) / (het_i + het_j); Manichaikul 2010, between families.
-    """
-    c = calls.where("alt_count is not null").select("variant", "sample", "alt_count")
-    het = c.where("alt_count = 1").groupBy("sample").agg(F.count("*").alias("n_het"))
-    x = c.withColumnsRenamed({"sample": "a", "alt_count": "ga"})
-    y = c.withColumnsRenamed({"sample": "b", "alt_count": "gb"})
-    both = F.count_if((F.col("ga") == 1) & (F.col("gb") == 1))
-    apart = F.count_if(F.abs(F.col("ga") - F.col("gb")) == 2)
-    pairs = x.join(y, "variant").where("a < b").groupBy("a", "b").agg(both.alias("het_het"), apart.alias("ibs0"), F.count("*").alias("n_sites"))
-    n = lambda s, new: het.withColumnsRenamed({"sample": s, "n_het": new})
-    k = pairs.join(n("a", "na"), "a").join(n("b", "nb"), "b").withColumn("kinship", (F.col("het_het") - 2 * F.col("ibs0")) / (F.col("na") + F.col("nb")))
-    return k.where(F.col("kinship") > least).select("a", "b", "n_sites", "het_het", "ibs0", "kinship").withColumn("relationship", relationship("kinship"))
-
-
-def unrelated_removal(pairs: DataFrame, missing: DataFrame) -> DataFrame:
-    """Samples to remove so that no related pair is left: most relatives first, then most missing.
-
-    Families are separate problems: the pairs' connected components are found with DataFrames, and
-    the greedy choice runs within each. Returns (sample, order) of the removed.
-    """
-    v = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct()
-    lab = v.withColumn("c", F.col("v"))
-    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    while True:
-        near = both.join(lab.select(F.col("v").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("n"))
-        new = lab.join(near, lab["v"] == near["a"]).select("v", F.col("c").alias("old"), F.least("c", "n").alias("c"))
-        new = new.checkpoint() if new.sparkSession.sparkContext.getCheckpointDir() else new.persist()
-        lab = new.select("v", "c")
-        if new.where("old <> c").limit(1).count() == 0:
-            break
-    rows = pairs.join(lab.withColumnRenamed("v", "a"), "a").select("c", "a", "b")
-    m = missing.select("sample", "missing_fraction")
-    rows = rows.join(m.withColumnsRenamed({"sample": "a", "missing_fraction": "ma"}), "a", "left").join(m.withColumnsRenamed({"sample": "b", "missing_fraction": "mb"}), "b", "left")
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        near: dict[str, set[str]] = {}
-        miss = {**dict(zip(pdf["a"], pdf["ma"].fillna(0.0), strict=True)), **dict(zip(pdf["b"], pdf["mb"].fillna(0.0), strict=True))}
-        for a, b in zip(pdf["a"], pdf["b"], strict=True):
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
-        out = []
-        while any(near.values()):
-            worst = max(near, key=lambda s: (len(near[s]), miss[s], s))
-            out.append(worst)
-            for other in near.pop(worst):
-                near[other].discard(worst)
-        return pd.DataFrame({"sample": out, "removal_order": range(len(out))})
-
-    kind = dict(pairs.dtypes)["a"]
-    return rows.groupBy("c").applyInPandas(greedy, f"sample {kind}, removal_order int")
-
-
 def _ld_sums(window: int, step: int):
     """Sums over one block of samples for the pairs of one window's variants, as a row."""
 
@@ -185,48 +126,6 @@ def ld_prune(calls: DataFrame, window: int = 200, step: int = 50, r2: float = 0.
     return rows.groupBy("chromosome").applyInPandas(choose, ", ".join(f"{c} {kind[c]}" for c in key) + ", keep boolean")
 
 
-def pca(calls: DataFrame, k: int = 10, most_samples: int = 5_000) -> DataFrame:
-    """(sample, pc, score, eigenvalue, fraction) of standardised genotypes.
-
-    The samples x samples product is summed in Spark over variants in blocks and its size is checked:
-    ``most_samples`` bounds it. Missing calls count as the mean.
-    """
-    ids = [r[0] for r in calls.select("sample").distinct().orderBy("sample").limit(most_samples + 1).collect()]
-    if len(ids) > most_samples:
-        raise ValueError(f"more than {most_samples} samples: use projection on a reference instead")
-    at = {s: i for i, s in enumerate(ids)}
-    n = len(ids)
-
-    def blocks(it):
-        acc, m = np.zeros((n, n)), 0
-        for pdf in it:
-            for samples, g in zip(pdf["s"], pdf["g"], strict=True):
-                x = np.full(n, np.nan)
-                x[[at[s] for s in samples]] = g
-                p = np.nanmean(x) / 2
-                if 0 < p < 1:
-                    z = np.where(np.isnan(x), 0, (x - 2 * p) / np.sqrt(2 * p * (1 - p)))
-                    acc += np.outer(z, z)
-                    m += 1
-        for i in np.flatnonzero(acc.any(1)):
-            yield pd.DataFrame({"i": int(i), "row": [acc[i].tolist()], "m": m if i == np.flatnonzero(acc.any(1))[0] else 0})
-
-    per = calls.where("alt_count is not null").groupBy("variant").agg(F.collect_list("sample").alias("s"), F.collect_list(F.col("alt_count").cast("double")).alias("g"))
-    rows = per.mapInPandas(blocks, "i int, row array<double>, m long").select("i", "m", F.posexplode("row").alias("j", "v"))
-    got = rows.groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
-    gram = np.zeros((n, n))
-    gram[got["i"], got["j"]] = got["v"]
-    variants = per.count()
-    val, vec = np.linalg.eigh(gram / max(1, variants))
-    order = np.argsort(-val)[: max(1, min(k, n - 1, variants - 1))]
-    total = val[val > 0].sum()
-    out = []
-    for pc, o in enumerate(order, 1):
-        v = vec[:, o] * np.sign(vec[np.argmax(np.abs(vec[:, o])), o])
-        out += [(s, pc, float(v[i]), float(val[o]), float(val[o] / total)) for i, s in enumerate(ids)]
-    return calls.sparkSession.createDataFrame(out, f"sample {dict(calls.dtypes)['sample']}, pc int, score double, eigenvalue double, fraction double")
-
-
 def project(calls: DataFrame, loadings: DataFrame) -> DataFrame:
     """(sample, pc, score): sums of dosage times loading over the shared variants."""
     return calls.where("alt_count is not null").join(loadings, "variant").groupBy("sample", "pc").agg(F.sum(F.col("alt_count") * F.col("loading")).alias("score"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cohortix.functions import alleles as al
 from cohortix.functions.text import info_value
 from cohortix.operators import annotate as an
-from cohortix.operators import builds, genotype, stats
+from cohortix.operators import builds, genotype, pairs, stats, unrelated
+from cohortix.operators import pca as components
 from cohortix.operators.annotate import sized
 
 from . import surrogates as su
@@ -200,34 +201,47 @@ pairs AS (SELECT x.s AS a, y.s AS b, count(*) AS n_shared FROM own x JOIN own y
 k AS (SELECT a, b, n_shared, n_shared / least(na.n, nb.n) AS share FROM pairs JOIN n na ON na.s = a JOIN n nb ON nb.s = b)"""
 
 
-def _pairs(spark: SparkSession, d: str) -> DataFrame:
+def _own(spark: SparkSession, d: str) -> DataFrame:
     li, o = su.table(spark, d, "lineitem").select("l_orderkey", "l_partkey"), su.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    own = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(F.col("o_custkey").alias("s"), F.col("l_partkey").alias("v")).distinct()
-    n = own.groupBy("s").agg(F.count("*").alias("n"))
-    pairs = own.withColumnRenamed("s", "a").join(own.withColumnRenamed("s", "b"), "v").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_shared"))
-    p = pairs.join(n.withColumnsRenamed({"s": "a", "n": "na"}), "a").join(n.withColumnsRenamed({"s": "b", "n": "nb"}), "b")
-    return p.select("a", "b", "n_shared", (F.col("n_shared") / F.least("na", "nb")).alias("share"))
+    return li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(F.col("o_custkey").alias("sample"), F.col("l_partkey").alias("variant"))
 
 
 @register(f"WITH {_PAIRS} SELECT a, b, n_shared, share FROM k WHERE n_shared >= 2")
 def pair_sharing(spark, d):
-    return _pairs(spark, d).where("n_shared >= 2")
+    return pairs.shared(_own(spark, d), 2)
 
 
 @register(f"WITH {_PAIRS} SELECT CASE WHEN share > 0.354 THEN 'duplicate_or_twin' WHEN share > 0.177 THEN 'first_degree' WHEN share > 0.0884 THEN 'second_degree' WHEN share > 0.0442 THEN 'third_degree' ELSE 'unrelated' END AS relationship, count(*) AS n_pairs FROM k GROUP BY 1")
 def relationship_degree(spark, d):
-    return _pairs(spark, d).groupBy(genotype.relationship("share").alias("relationship")).agg(F.count("*").alias("n_pairs"))
+    return pairs.degree_counts(_own(spark, d))
+
+
+_KING = """, c AS (SELECT * FROM calls WHERE alt_count IS NOT NULL), h AS (SELECT sample, count(*) AS n FROM c WHERE alt_count = 1 GROUP BY 1),
+p AS (SELECT x.sample AS a, y.sample AS b, count(*) FILTER (x.alt_count = 1 AND y.alt_count = 1) AS het_het, count(*) FILTER (abs(x.alt_count - y.alt_count) = 2) AS ibs0, count(*) AS n_sites FROM c x JOIN c y ON x.variant = y.variant AND x.sample < y.sample GROUP BY 1, 2),
+k AS (SELECT p.*, (het_het - 2 * ibs0) / (ha.n + hb.n) AS kinship FROM p JOIN h ha ON ha.sample = a JOIN h hb ON hb.sample = b)"""
 
 
 @register(
     su.with_("calls")
-    + """, c AS (SELECT * FROM calls WHERE alt_count IS NOT NULL), h AS (SELECT sample, count(*) AS n FROM c WHERE alt_count = 1 GROUP BY 1),
-p AS (SELECT x.sample AS a, y.sample AS b, count(*) FILTER (x.alt_count = 1 AND y.alt_count = 1) AS het_het, count(*) FILTER (abs(x.alt_count - y.alt_count) = 2) AS ibs0, count(*) AS n_sites FROM c x JOIN c y ON x.variant = y.variant AND x.sample < y.sample GROUP BY 1, 2),
-k AS (SELECT p.*, (het_het - 2 * ibs0) / (ha.n + hb.n) AS kinship FROM p JOIN h ha ON ha.sample = a JOIN h hb ON hb.sample = b)
+    + _KING
+    + """
 SELECT a, b, n_sites, het_het, ibs0, round(kinship, 9) AS kinship, CASE WHEN kinship > 0.354 THEN 'duplicate_or_twin' WHEN kinship > 0.177 THEN 'first_degree' WHEN kinship > 0.0884 THEN 'second_degree' ELSE 'third_degree' END AS relationship FROM k WHERE kinship > 0.0442"""
 )
 def king_kinship(spark, d):
-    return stats.kinship(su.calls(spark, d)).withColumn("kinship", F.round("kinship", 9))
+    return pairs.kinship(su.calls(spark, d)).withColumn("kinship", F.round("kinship", 9))
+
+
+# The rule one sample after another: the edges left are a list that each step filters.
+_UNRELATED = """miss AS (SELECT sample, count(*) FILTER (alt_count IS NULL) / count(*) AS m FROM calls GROUP BY 1),
+st AS (SELECT 0 AS step, (SELECT list({'a': a, 'b': b, 'ma': ma.m, 'mb': mb.m}) FROM k JOIN miss ma ON ma.sample = a JOIN miss mb ON mb.sample = b WHERE kinship > 0.0442) AS e, CAST(NULL AS BIGINT) AS gone
+  UNION ALL SELECT step + 1, [x FOR x IN e IF x.a <> v AND x.b <> v], v FROM (SELECT step, e, (SELECT s.s FROM (SELECT unnest(list_concat([{'s': x.a, 'm': x.ma} FOR x IN e], [{'s': x.b, 'm': x.mb} FOR x IN e])) AS s) GROUP BY s.s, s.m ORDER BY count(*) DESC, s.m DESC, s.s DESC LIMIT 1) AS v FROM st WHERE len(e) > 0))"""
+
+
+@register(su.with_("calls").replace("WITH", "WITH RECURSIVE", 1) + _KING + ",\n" + _UNRELATED + "\nSELECT gone AS sample FROM st WHERE gone IS NOT NULL")
+def unrelated_set(spark, d):
+    """Samples to remove until no pair over the third degree is left, after kinship over all calls."""
+    c = su.calls(spark, d)
+    return unrelated.unrelated_removal(pairs.kinship(c).select("a", "b"), genotype.sample_missingness(c)).select("sample")
 
 
 @register(
@@ -297,3 +311,31 @@ def ancestry_projection(spark, d):
     k = su.sites(spark, d).select(F.col("p_partkey").alias("variant"), F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("pc"))
     got = stats.project(su.calls(spark, d), k.withColumn("loading", ((F.col("variant") * F.col("pc")) % 7 - 3) / 10.0))
     return got.select("sample", "pc", F.round("score", 6).alias("score"))
+
+
+# Nations as samples, parts as variants. The leading eigenvalue is tr(GP)/tr(P) for a high power P of the product G,
+# by repeated squaring; the next is that of G without the first.
+def _eigen_sql(k: int, squarings: int = 14) -> str:
+    sql = """WITH n AS (SELECT c_nationkey AS s, l_partkey AS v, CAST(sum(CAST(l_quantity AS BIGINT)) % 3 AS DOUBLE) AS g FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2),
+p AS (SELECT v, avg(g) / 2 AS p FROM n GROUP BY 1), z AS (SELECT s, v, CASE WHEN p > 0 AND p < 1 THEN (g - 2 * p) / sqrt(2 * p * (1 - p)) ELSE 0 END AS z FROM n JOIN p USING (v)),
+g1 AS MATERIALIZED (SELECT a.s AS i, b.s AS j, sum(a.z * b.z) / (SELECT count(*) FROM p) AS x FROM z a JOIN z b USING (v) GROUP BY 1, 2),
+t AS (SELECT sum(x) AS t FROM g1 WHERE i = j)"""
+    for c in range(1, k + 1):
+        last = f"g{c}"
+        for q in range(squarings):
+            new = f"p{c}_{q}"
+            sql += f",\n{new}r AS MATERIALIZED (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY 1, 2), {new} AS MATERIALIZED (SELECT i, j, x / (SELECT sum(x) FROM {new}r WHERE i = j) AS x FROM {new}r)"
+            last = new
+        sql += f",\ne{c} AS (SELECT sum(a.x * b.x) AS e FROM g{c} a JOIN {last} b ON a.i = b.j AND a.j = b.i)"
+        sql += f",\ng{c + 1} AS MATERIALIZED (SELECT i, j, a.x - b.x * (SELECT e FROM e{c}) AS x FROM g{c} a JOIN {last} b USING (i, j))"
+    return sql + "\n" + " UNION ALL ".join(f"SELECT CAST({c} AS INT) AS pc, round(e, 6) AS eigenvalue, round(e / t, 6) AS fraction, round(CAST(1 AS DOUBLE), 6) AS length FROM e{c}, t" for c in range(1, k + 1))
+
+
+@register(_eigen_sql(3))
+def pca_eigenvalues(spark, d):
+    """Leading eigenvalues and the lengths of their components, of nations over the parts they ordered."""
+    li, o, c = su.table(spark, d, "lineitem"), su.table(spark, d, "orders"), su.table(spark, d, "customer")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(sized(c), F.col("o_custkey") == F.col("c_custkey"))
+    calls = j.groupBy(F.col("c_nationkey").alias("sample"), F.col("l_partkey").alias("variant")).agg((F.sum(F.col("l_quantity").cast("bigint")) % 3).alias("alt_count"))
+    got = components.pca(calls, 3)
+    return got.groupBy("pc").agg(F.round(F.first("eigenvalue"), 6).alias("eigenvalue"), F.round(F.first("fraction"), 6).alias("fraction"), F.round(F.sqrt(F.sum(F.col("score") * F.col("score"))), 6).alias("length"))

@@ -81,20 +81,6 @@ def test_hwe_against_sums_of_probabilities():
     assert math.isnan(stats._hwe(0, 0, 0))
 
 
-def test_unrelated_removal_takes_the_hub(spark):
-    pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("d", "e")], "a string, b string")
-    miss = spark.createDataFrame([("d", 0.1), ("e", 0.2)], "sample string, missing_fraction double")
-    assert sorted(r["sample"] for r in stats.unrelated_removal(pairs, miss).collect()) == ["a", "e"]
-
-
-def test_pca_separates_two_groups(spark):
-    rng = np.random.default_rng(1)
-    rows = [(f"s{i:02d}", v, int(rng.binomial(2, 0.9 if (i < 6) == (v % 2 == 0) else 0.1))) for i in range(12) for v in range(60)]
-    got = stats.pca(spark.createDataFrame(rows, "sample string, variant long, alt_count int"), k=2).where("pc = 1").collect()
-    side = {r["sample"]: r["score"] > 0 for r in got}
-    assert len({side[f"s{i:02d}"] for i in range(6)}) == 1 and side["s00"] != side["s11"]
-
-
 def test_ld_pruning_drops_a_copy(spark):
     rng = np.random.default_rng(2)
     g = rng.integers(0, 3, (3, 40))
