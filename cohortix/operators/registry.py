@@ -235,16 +235,17 @@ def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(start, ancestor, depth): all ancestors of each start, nearest depth, by rounds of joins.
 
     ``edges``: child, parent. A round extends only what the last round reached, and pairs that are
-    known are not extended again, so cycles end and the rounds go on until nothing is new. Each round
-    is cut, so a long chain of ancestors makes no long lineage of tasks.
+    known are not extended again, so cycles end and the rounds go on until nothing is new. The edges are
+    made distinct once and each round is cut, so a long chain of ancestors makes no long lineage of tasks.
     """
+    edges = cut(edges.select("child", "parent").where("child is not null and parent is not null").distinct())
     out = start.select(F.col("id").alias("start"), F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
     front, d = out, 0
     while True:
         d += 1
         step = front.join(edges, front["ancestor"] == edges["child"]).select("start", F.col("parent").alias("ancestor")).distinct()
         front = cut(step.join(out.select("start", "ancestor"), ["start", "ancestor"], "left_anti").withColumn("depth", F.lit(d)))
-        if front.limit(1).count() == 0:
+        if front.isEmpty():
             return out.where("depth > 0")
         out = out.unionByName(front)
         if d % 20 == 0:

@@ -1,13 +1,12 @@
-"""Genotype sources: PLINK text and binary files, VCF and BGEN.
+"""Genotype sources: PLINK text and binary files and VCF, at any address that ``files`` knows.
 
 The ``.bed`` reader is a Python data source: a partition is a range of variants, read by offset, so a
-file of any size is decoded by all executors. Missing calls are null.
+file of any size is decoded by all executors. Missing calls are null. The writer makes a fileset a
+range of variants, so that all executors write. BGEN is in ``bgen``.
 """
 
 from __future__ import annotations
 
-import os
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +18,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from cohortix.functions.alleles import gt_alt_count, strip_chr
 from cohortix.functions.text import info_value
 
+from . import files
+
 #: A1 copies by two-bit code 0-3; code 1 is a missing call (fixed values of the format).
 A1_COPIES = (2, -1, 1, 0)
 MAGIC = b"\x6c\x1b\x01"
@@ -34,7 +35,7 @@ def genotype_format(path: str) -> str | None:
         if name.endswith("." + kind):
             return kind
     prefix = file_prefix(path)
-    return next((k for k in ("pgen", "bed") if os.path.exists(f"{prefix}.{k}")), None)
+    return next((k for k in ("pgen", "bed") if files.exists(f"{prefix}.{k}")), None)
 
 
 def file_prefix(path: str) -> str:
@@ -48,8 +49,8 @@ def fileset(path: str) -> dict[str, list[str]]:
         raise ValueError(f"{path}: no genotype format found")
     want = {"bed": ["bed", "bim", "fam"], "pgen": ["pgen", "pvar", "psam"]}.get(kind)
     if want is None:
-        return {"format": [kind], "members": [path], "missing": [], "index": [p for p in (path + ".tbi", path + ".csi", path + ".bgi") if os.path.exists(p)]}
-    have = {w: next((p for p in (f"{prefix}.{w}", f"{prefix}.{w}.zst") if os.path.exists(p)), None) for w in want}
+        return {"format": [kind], "members": [path], "missing": [], "index": [p for p in (path + ".tbi", path + ".csi", path + ".bgi") if files.exists(p)]}
+    have = {w: next((p for p in (f"{prefix}.{w}", f"{prefix}.{w}.zst") if files.exists(p)), None) for w in want}
     return {"format": [kind], "members": [p for p in have.values() if p], "missing": [w for w, p in have.items() if not p], "index": []}
 
 
@@ -117,22 +118,22 @@ class BedReader(DataSourceReader):
         self.width = -(-samples // 4)
 
     def partitions(self):
-        with open(self.path, "rb") as f:
-            if f.read(3) != MAGIC:
-                raise ValueError(f"{self.path} is not a SNP-major .bed file")
-        if os.path.getsize(self.path) != 3 + self.width * self.variants:
+        if files.Ranges()(self.path, 0, 3) != MAGIC:
+            raise ValueError(f"{self.path} is not a SNP-major .bed file")
+        if files.size(self.path) != 3 + self.width * self.variants:
             raise ValueError(f"{self.path} does not hold {self.variants} variants of {self.samples} samples")
         return [_Range(lo, min(lo + self.step, self.variants)) for lo in range(0, self.variants, self.step)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
-        with open(self.path, "rb") as f:
-            f.seek(3 + partition.lo * self.width)
-            raw = np.frombuffer(f.read((partition.hi - partition.lo) * self.width), np.uint8)
+        raw = np.frombuffer(files.Ranges()(self.path, 3 + partition.lo * self.width, (partition.hi - partition.lo) * self.width), np.uint8)
         codes = (raw.reshape(-1, self.width, 1) >> np.array([0, 2, 4, 6], np.uint8)) & 3
         copies = np.array(A1_COPIES, np.int8)[codes.reshape(len(codes), -1)[:, : self.samples]]
-        for i, row in enumerate(copies):
+        many = max(1, 100_000 // max(1, self.samples))
+        for lo in range(0, len(copies), many):
+            own = copies[lo : lo + many]
+            at = np.arange(partition.lo + lo, partition.lo + lo + len(own))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(self.samples, partition.lo + i, np.int64)), pa.array(np.arange(self.samples, dtype=np.int64)), pa.array(row.astype(np.int32), mask=row < 0)],
+                [pa.array(np.repeat(at, self.samples)), pa.array(np.tile(np.arange(self.samples), len(own))), pa.array(own.ravel().astype(np.int32), mask=own.ravel() < 0)],
                 names=["variant_idx", "sample_idx", "a1_count"],
             )
 
@@ -154,24 +155,74 @@ class BedDataSource(DataSource):
 
 def read_bed(spark: SparkSession, prefix: str) -> DataFrame:
     """Calls (variant_idx, sample_idx, a1_count) with the sites' and samples' columns joined on."""
+    from cohortix.operators.annotate import sized
+
     spark.dataSource.register(BedDataSource)
-    fam, bim = read_fam(spark, f"{prefix}.fam").persist(), read_bim(spark, f"{prefix}.bim").persist()
-    n, m = fam.count(), bim.count()
-    calls = spark.read.format("bed").option("samples", n).option("variants", m).load(f"{prefix}.bed")
-    return calls.join(F.broadcast(fam) if n <= 500_000 else fam, "sample_idx").join(F.broadcast(bim) if m <= 500_000 else bim, "variant_idx")
+    fam, bim = read_fam(spark, f"{prefix}.fam"), read_bim(spark, f"{prefix}.bim")
+    calls = spark.read.format("bed").option("samples", fam.count()).option("variants", bim.count()).load(f"{prefix}.bed")
+    return calls.join(sized(fam), "sample_idx").join(sized(bim), "variant_idx")
 
 
-def write_bed(path: str, copies: np.ndarray) -> None:
-    """Fixture writer: variants x samples A1 copies (-1 missing) to a SNP-major file."""
+def prefixes(folder: str) -> list[str]:
+    """Filesets of a folder, in order."""
+    return [p.removesuffix(".bed") for p in files.files_of(folder) if p.endswith(".bed")]
+
+
+def packed(copies: np.ndarray) -> bytes:
+    """variants x samples A1 copies (-1 missing) as the bytes of a SNP-major file."""
     code = np.array([3, 2, 0, 1], np.uint8)[copies]  # -1 is the last entry
     pad = (-code.shape[1]) % 4
     code = np.pad(code, ((0, 0), (0, pad))).reshape(len(code), -1, 4)
-    packed = (code << np.array([0, 2, 4, 6], np.uint8)).sum(2).astype(np.uint8)
-    with open(path, "wb") as f:
-        f.write(MAGIC + packed.tobytes())
+    return MAGIC + (code << np.array([0, 2, 4, 6], np.uint8)).sum(2).astype(np.uint8).tobytes()
 
 
-# ---- VCF and BGEN -----------------------------------------------------------------------------
+def write_bed(path: str, copies: np.ndarray) -> None:
+    files.write(path, packed(copies))
+
+
+def write_filesets(calls: DataFrame, sites: DataFrame, samples: DataFrame, folder: str, cells: int = 20_000_000) -> list[str]:
+    """Write filesets .bed, .bim and .fam of ranges of sites into a new folder; returns their prefixes.
+
+    ``calls``: variant, sample, a1_count; ``sites``: variant, chromosome, position, variant_id, a1, a2; ``samples``:
+    sample, FID, IID, SEX. Sites are in the order of chromosome, position and variant, samples in that of their ids; a
+    call that is not there is missing. A task writes a fileset of about ``cells`` calls by its own name, and the names
+    of those tasks that ended well are kept: other files are removed.
+    """
+    from cohortix.operators.cutpoint import cut
+    from cohortix.operators.dedup import numbered
+
+    if files.exists(folder) and files.files_of(folder):
+        raise ValueError(f"{folder} is not empty")
+    own = cut(numbered(samples.select("sample", "FID", "IID", "SEX"), ["sample"], "_s"))
+    n = own.count()
+    fam = "".join(f"{r.FID or 0} {r.IID} 0 0 {r.SEX or 0} -9\n" for r in own.orderBy("_s").toLocalIterator())
+    step = max(1, cells // max(1, n))
+    at = cut(numbered(sites, ["chromosome", "position", "variant"], "_v").withColumn("_part", F.floor(F.col("_v") / step).cast("int")))
+    got = calls.where("a1_count is not null").select("variant", "sample", "a1_count").join(own.select("sample", "_s"), "sample").join(at.select("variant", "_v", "_part"), "variant").select(F.col("_part").alias("part"), F.col("_v").alias("v"), F.col("_s").alias("s"), F.col("a1_count").cast("int").alias("n"))
+
+    def one(places: pa.Table, called: pa.Table) -> pa.Table:
+        import uuid
+
+        places, part = places.sort_by("_v"), places.column("_part")[0].as_py()
+        copies = np.full((len(places), n), -1, np.int8)
+        copies[called.column("v").to_numpy() % step, called.column("s").to_numpy()] = called.column("n").to_numpy()
+        prefix = f"{folder}/part-{part:05}-{uuid.uuid4().hex[:8]}"
+        bim = zip(*(places.column(c).to_pylist() for c in ("chromosome", "variant_id", "position", "a1", "a2")), strict=True)
+        files.write(f"{prefix}.bim", "".join(f"{c}\t{i}\t0\t{p}\t{a}\t{b}\n" for c, i, p, a, b in bim).encode())
+        files.write(f"{prefix}.fam", fam.encode())
+        files.write(f"{prefix}.bed", packed(copies))
+        return pa.table({"part": pa.array([part], pa.int32()), "prefix": pa.array([prefix])})
+
+    named = at.groupBy("_part").cogroup(got.groupBy("part")).applyInArrow(one, "part int, prefix string")
+    kept = [r["prefix"] for r in cut(named).orderBy("part").collect()]  # a row a fileset
+    for p in files.files_of(folder):
+        if p.rpartition(".")[0] not in kept:
+            fs, where = files.place(p)
+            fs.delete_file(where)
+    return kept
+
+
+# ---- VCF --------------------------------------------------------------------------------------
 
 
 def vcf_header(spark: SparkSession, path: str) -> DataFrame:
@@ -225,26 +276,3 @@ def _skipped():
 
 def vcf_skipped(spark: SparkSession, path: str) -> DataFrame:
     return _records(spark, path).agg(F.count_if(F.col("alt").contains(",")).alias("multiallelic"), F.count_if(F.col("alt").isin("*", ".")).alias("no_alt"))
-
-
-def bgen_samples(spark: SparkSession, path: str) -> list[str]:
-    """Samples of a BGEN v1.2 file: the ``.sample`` file beside it, else the block inside it."""
-    side = path.removesuffix(".bgen") + ".sample"
-    if os.path.exists(side):
-        rows = _rows(spark, side).orderBy("_ord").select(F.get("w", F.lit(1)).alias("iid")).collect()
-        return [r[0] for r in rows[2:]]
-    with open(path, "rb") as f:
-        f.seek(4)
-        header, _, n = struct.unpack("<III", f.read(12))
-        f.seek(4 + header - 4)
-        flags = struct.unpack("<I", f.read(4))[0]
-        if not flags >> 31:
-            return [str(i + 1) for i in range(n)]
-        f.read(8)
-        return [f.read(struct.unpack("<H", f.read(2))[0]).decode() for _ in range(n)]
-
-
-def bgen_variant_count(path: str) -> int:
-    with open(path, "rb") as f:
-        f.seek(8)
-        return struct.unpack("<I", f.read(4))[0]
