@@ -29,10 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder's address under ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a single machine) is a folder of our own used.
+    Only where that setting is absent on a single machine (tests) is a folder of our own used.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = _own_dir()
     return f"{base.rstrip('/')}/cohortix-{uuid.uuid4().hex}"
 

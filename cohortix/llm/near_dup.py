@@ -24,7 +24,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, WordHash, cut, mix, shared_dir, shingle_set, small, texts_of, words
@@ -55,8 +55,8 @@ def signature(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (value[at % len(filled)] >> np.uint64(32)).astype(np.uint32), low
 
 
-def text_key(text: str):
-    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+def text_key(text: str | Column):
+    return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")))
 
 
 def _digest(s: np.ndarray) -> bytes | None:
@@ -491,7 +491,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
     alone = F.when(F.col("component").isNull(), F.col("doc_id"))
     kept = times.groupBy("component", alone.alias("_a")).agg(F.min(F.struct("doc_id", "text_key", "times")).alias("k"))
     kept = cut(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"), F.col("k.times").alias("_times")), where)
-    own = lambda rows: docs.join(rows, (F.col(doc_id) == F.col("_id")) & (text_key(text) == F.col("_key")), "left_semi")
+    # columns by their frames: the documents may have columns of the same names
+    own = lambda rows: docs.join(rows, (docs[doc_id] == rows["_id"]) & (text_key(docs[text]) == rows["_key"]), "left_semi")
     out = own(kept.where("_times = 1")).unionByName(docs.where(F.col(doc_id).isNull()))
     again = kept.where("_times > 1")
     return out.unionByName(own(again).dropDuplicates([doc_id, text])) if again.limit(1).count() else out

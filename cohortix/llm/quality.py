@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, held_out, texts_of
+from .common import held_out, small, texts_of
 
 _UPPER, _LOWER, _DIGIT = slice(65, 91), slice(97, 123), slice(48, 58)
 _MARKS = np.frombuffer(b"#$%&*|~^<>{}[]=+@\\_/", np.uint8)
@@ -179,20 +179,26 @@ def feature_batches(column: pa.Array) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, doc_id: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 0, slots: int = 4096) -> DataFrame:
-    """(y, text) of at most ``sample`` labelled ids outside the held-out fold, those of smallest hash slot.
+    """(y, text) of at most about ``sample`` labelled ids outside the held-out fold, those of smallest hash slot.
 
-    A histogram of ``slots`` rows says how many slots fit, so no task sees more than its share. A
-    label that an id has several times is its largest, a text likewise, so an id is one row.
+    A histogram of ``slots`` rows says how many slots fit, so no task sees more than its share. Where
+    the first slot alone is larger than ``sample``, about ``sample`` of its ids are taken, by a second
+    hash. A label that an id has several times is its largest, a text likewise, so an id is one row.
     """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("y")).where(F.col("_id").isNotNull() & F.col("y").isNotNull())
     known = known.where(~held_out("_id", folds, fold)).groupBy("_id").agg(F.max("y").alias("y")).withColumn("_slot", F.pmod(F.xxhash64("_id"), F.lit(slots)))
-    last, room = -1, min(sample, BROADCAST_ROWS)
-    for slot, many in sorted(map(tuple, known.groupBy("_slot").count().collect())):
-        room -= many
-        if room < 0:
+    last, taken, counts = -1, 0, sorted(map(tuple, known.groupBy("_slot").count().collect()))
+    for slot, many in counts:
+        if taken + many > sample:
             break
-        last = slot
-    own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known.where(F.col("_slot") <= last).drop("_slot")), "_id")
+        last, taken = slot, taken + many
+    chosen = F.col("_slot") <= last
+    if counts and last < 0:
+        slot, many = counts[0]
+        parts = 1 << 30
+        chosen = (F.col("_slot") == slot) & (F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(parts)) < int(parts * sample / many))
+        taken = sample
+    own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(small(known.where(chosen).drop("_slot"), taken), "_id")
     return own.groupBy("_id").agg(F.max("y").alias("y"), F.max("text").alias("text")).select("y", "text")
 
 

@@ -298,15 +298,18 @@ def archive_and_read(pages: DataFrame, page_id: str = "page_id", url: str = "url
     """
     where = shared_dir(pages.sparkSession)
     own = dict(pages.dtypes)[page_id]
-    kind = "string" if own == "string" else "bigint"
-    rows = pages.select(F.col(page_id).cast(kind).alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(payload, F.lit("")).alias("payload"))
+    kind = "bigint" if own in ("tinyint", "smallint", "int", "bigint") else "string"
+    said = (lambda c: F.hex(c)) if own == "binary" else (lambda c: F.col(c).cast(kind))
+    rows = pages.select(F.col(page_id).alias("own_id"), F.col(url).cast("string").alias("url"), F.coalesce(payload, F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     # Payloads that occur once need no other row. The others' responses are a row a payload; while
-    # those are few, pages are written where they are read and no payload is shuffled.
-    top = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("main"), F.count("*").alias("n")).where("n > 1")
+    # those are few, pages are written where they are read and no payload is shuffled. Ids are compared
+    # in their own type and written as text unless they are whole numbers.
+    top = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("own_id").alias("main"), F.count("*").alias("n")).where("n > 1")
     top = cut(top.select("digest", "main"), where)
     found = rows.join(small(top, top.count()), "digest", "left")
-    found = found.select("page_id", "url", "payload", "digest", "main", (F.col("main").isNull() | F.coalesce(F.col("page_id") == F.col("main"), F.lit(False))).alias("is_main"))
+    is_main = F.col("main").isNull() | F.coalesce(F.col("own_id") == F.col("main"), F.lit(False))
+    found = found.select(said("own_id").alias("page_id"), "url", "payload", "digest", said("main").alias("main"), is_main.alias("is_main"))
     packages = cut(write_packages(found, f"{where}/packages"), where)
     read = read_packages(packages.repartition(min(max(1, packages.count()), READERS)), kind)
-    return read.withColumns({c: F.col(c).cast(own) for c in ("page_id", "refers_to")})
+    return read.withColumns({c: F.unhex(c) if own == "binary" else F.col(c).cast(own) for c in ("page_id", "refers_to")})

@@ -168,6 +168,14 @@ def test_the_sample_is_bounded_and_has_an_id_once(spark, docs):
     assert sorted(r["text"] for r in every) == sorted(f"text {i}" for i in range(3000) if not held(i, 5, 0))
 
 
+def test_one_slot_larger_than_the_sample(spark, docs):
+    rows = [(i, f"text {i}") for i in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, quality int")
+    got = quality.labelled_sample(docs(rows), labels, "quality", 400, slots=1).collect()
+    assert 300 < len(got) < 500 and {r["y"] for r in got} == {0.0, 1.0}
+    assert 0 < quality.labelled_sample(docs(rows), labels, "quality", 10, slots=4).count() < 40
+
+
 def test_predictions_follow_the_limits(spark, docs):
     # without labels of both kinds every score is the share of label 1: ties at the limits
     rows = [(i, f"t{i}") for i in range(40)]

@@ -100,3 +100,12 @@ def test_estimates_do_not_depend_on_how_they_are_counted():
     either = ((x > 0) | (y > 0)).sum(-1)
     assert np.array_equal(near_dup.estimate(x, y), ((x == y) & (x > 0)).sum(-1) / np.maximum(either, 1))
     assert np.array_equal(near_dup.estimate(x, y[0]), ((x == y[0]) & (x > 0)).sum(-1) / np.maximum(((x > 0) | (y[0] > 0)).sum(-1), 1))
+
+
+def test_keep_one_with_columns_of_its_own_names(spark):
+    t = "one two three four five six seven"
+    rows = spark.createDataFrame([(2, t, 5, "k", 7), (1, t, 6, "k", 8), (3, "else", 5, None, 9)], "doc_id long, text string, _id long, _key string, _times long")
+    got = near_dup.keep_one(rows)
+    assert sorted(map(tuple, got.collect())) == [(1, t, 6, "k", 8), (3, "else", 5, None, 9)]
+    named = near_dup.keep_one(rows.toDF("_id", "_key", "doc", "t", "_times"), doc_id="_id", text="_key")
+    assert sorted(r["_id"] for r in named.collect()) == [1, 3]

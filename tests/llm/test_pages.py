@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+from decimal import Decimal
 import base64
 import hashlib
 import io
@@ -122,6 +124,17 @@ def test_packages_keep_payloads_and_offsets(tmp_path):
         assert set(z.members) == set(ref.namelist()) and z.whole(warc.INDEX) == ref.read(warc.INDEX)
 
 
+@pytest.mark.parametrize("kind,ids", [("double", [1.5, 1.25, 10.0, 9.0]), ("date", [datetime.date(2024, 1, d) for d in (2, 1, 30, 9)]), ("binary", [bytearray(b"b\xff"), bytearray(b"a:"), bytearray(b"z"), bytearray(b"\x00")]), ("decimal(5,2)", [Decimal("2.50"), Decimal("2.25"), Decimal("10.00"), Decimal("9.00")])])
+def test_ids_of_other_types_keep_value_and_order(spark, kind, ids):
+    rows = spark.createDataFrame([(ids[0], "u", "x"), (ids[1], "u", "x"), (ids[2], "u", "y"), (ids[3], "u", "y")], f"page_id {kind}, url string, html string")
+    out = warc.archive_and_read(rows)
+    assert dict(out.dtypes)["page_id"] == kind
+    plain = lambda x: bytes(x) if isinstance(x, bytearray) else x
+    got = {plain(r["page_id"]): (r["record_type"], plain(r["refers_to"])) for r in out.collect()}
+    a, b, c, d = map(plain, ids)
+    assert got == {a: ("response", None), b: ("revisit", a), c: ("response", None), d: ("revisit", c)}
+
+
 def test_zip64_and_bad_archives():
     data = b"stored bytes"
     local = struct.pack("<4s5HIIIHH", b"PK\x03\x04", 45, 0, 0, 0, 0, zlib.crc32(data), 0xFFFFFFFF, 0xFFFFFFFF, 1, 20) + b"m" + struct.pack("<HHQQ", 1, 16, len(data), len(data))
