@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.text import long_form
 
+from .annotate import sized
+from .quantiles import quantiles
+
 
 def value_counts(df: DataFrame, c: str, name: str = "n") -> DataFrame:
     """Frequencies, largest first, then by value."""
@@ -24,11 +27,14 @@ def numeric_profile(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
     v = F.col(c).cast("double")
     s = df.where(v.isNotNull()).groupBy(*by).agg(
         F.count("*").alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.percentile(v, F.array(F.lit(0.5), F.lit(0.01), F.lit(0.99))).alias("q"), F.skewness(v).alias("skewness"),
+        F.skewness(v).alias("skewness"),
     )
+    q = quantiles(df, c, (0.5, 0.01, 0.99), by)
+    named = q.withColumnsRenamed({k: f"_k_{k}" for k in by})
+    s = s.join(named, [s[k].eqNullSafe(named[f"_k_{k}"]) for k in by], "left") if by else s.crossJoin(F.broadcast(q))  # one row
     s = s.select(*by, "n", "mean", "sd", "min", "max", F.col("q")[0].alias("median"), F.col("q")[1].alias("q01"), F.col("q")[2].alias("q99"), "skewness")
     keys = s.select(*by, F.col("mean").alias("_m"), F.col("sd").alias("_s"))
-    far = df.join(F.broadcast(keys), list(by)) if by else df.crossJoin(F.broadcast(keys))  # one row
+    far = df.join(sized(keys), list(by)) if by else df.crossJoin(F.broadcast(keys))  # one row
     far = far.groupBy(*by).agg(F.count_if(F.abs(v - F.col("_m")) > 5 * F.col("_s")).alias("n_beyond_5sd"))
     return s.join(far, list(by), "left") if by else s.crossJoin(far)
 

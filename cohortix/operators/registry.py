@@ -13,6 +13,7 @@ from cohortix.functions.text import as_text, day_number
 from .coding import all_true
 from .cutpoint import cut
 from .dedup import insert_absent, keep_first, latest, refresh_source, upsert
+from .quantiles import quantiles
 
 # ---- participants -----------------------------------------------------------------------------
 
@@ -158,7 +159,9 @@ def gaps(events: DataFrame) -> DataFrame:
 
 def gap_statistics(events: DataFrame) -> DataFrame:
     g = gaps(events).where("gap is not null")
-    return g.agg(F.count("*").alias("n_gaps"), F.median("gap").alias("median_gap"), F.min("gap").alias("min_gap"), F.max("gap").alias("max_gap"))
+    s = g.agg(F.count("*").alias("n_gaps"), F.min("gap").alias("min_gap"), F.max("gap").alias("max_gap"))
+    middle = quantiles(g, "gap", (0.5,)).agg(F.first("q")[0].alias("median_gap"))  # one row, null without gaps
+    return s.crossJoin(F.broadcast(middle)).select("n_gaps", "median_gap", "min_gap", "max_gap")
 
 
 # ---- availability -----------------------------------------------------------------------------

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cutpoint import cut
+
 
 def _hwe(hom1: int, het: int, hom2: int) -> float:
     """Exact Hardy-Weinberg p-value: all heterozygote counts no likelier than the observed one.
@@ -88,8 +90,9 @@ def ld_prune(calls: DataFrame, window: int = 200, step: int = 50, r2: float = 0.
 
     Of a pair over ``r2`` within a window the one of lower minor-allele frequency goes (then the
     later). Sums over samples are taken for each window and block of about ``sample_block`` samples,
-    whatever the number of samples. A chromosome's kept variants depend on all before them, so the
-    choice is sequential there, over variants and their pairs above ``r2`` only.
+    whatever the number of samples. The choice is sequential within a run of variants that pairs above
+    ``r2`` reach across, and runs are chosen apart; only the windows that number variants and find the
+    runs go over a whole chromosome, with a few numbers a variant.
     """
     if step > window:
         raise ValueError("a step beyond the window would leave variants out")
@@ -110,20 +113,35 @@ def ld_prune(calls: DataFrame, window: int = 200, step: int = 50, r2: float = 0.
     found = part.groupBy("chromosome", "w").applyInPandas(_ld_partners(window, step, r2), f"chromosome {kind['chromosome']}, i long, f double, varies boolean, partners array<long>")
     found = found.withColumnsRenamed({"chromosome": "_chromosome", "i": "_i"})
     rows = index.join(found, [same("chromosome", "_chromosome"), same("i", "_i")]).select(*key, "i", "f", "varies", "partners")
+    rows = cut(rows)
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The rule within one run of variants, in the windows of the whole chromosome."""
         pdf = pdf.sort_values("i").reset_index(drop=True)
-        keep, f, partners = pdf["varies"].to_numpy(bool).copy(), pdf["f"].to_numpy(), pdf["partners"].to_list()
-        for lo in range(0, len(pdf), step):
-            for i in range(lo, min(lo + window, len(pdf))):
-                for j in partners[i]:
-                    if j >= lo + window or not keep[i]:
-                        break
-                    if keep[j]:
-                        keep[i if f[i] < f[j] else j] = False
+        own, f = pdf["i"].to_numpy(), pdf["f"].to_numpy()
+        keep, partners = pdf["varies"].to_numpy(bool).copy(), pdf["partners"].to_list()
+        if len(pdf) > 1:
+            for lo in range(max(0, ((own[0] - window) // step + 1) * step), own[-1] + 1, step):
+                for i in range(*np.searchsorted(own, [lo, lo + window])):
+                    for x in partners[i]:
+                        if x >= lo + window or not keep[i]:
+                            break
+                        j = np.searchsorted(own, x)
+                        if keep[j]:
+                            keep[i if f[i] < f[j] else j] = False
         return pdf[key].assign(keep=keep)
 
-    return rows.groupBy("chromosome").applyInPandas(choose, ", ".join(f"{c} {kind[c]}" for c in key) + ", keep boolean")
+    # A variant that no pair reaches across begins a new run: what is kept before it has no say in it.
+    w = Window.partitionBy("chromosome").orderBy("i")
+    reach = F.greatest("i", F.coalesce(F.array_max("partners"), F.lit(0)))
+    before = F.max("_reach").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    spans = cut(rows.select("chromosome", "i", reach.alias("_reach")).withColumn("_new", F.coalesce(F.col("i") > before, F.lit(True)).cast("int")))
+    runs = spans.select(F.col("chromosome").alias("_c"), F.col("i").alias("_j"), F.sum("_new").over(w).alias("run"))
+    rows = rows.join(runs, [same("chromosome", "_c"), same("i", "_j")]).drop("_c", "_j")
+    alone = rows.where(F.size("partners") == 0).join(rows.groupBy("chromosome", "run").agg(F.count("*").alias("_m")).where("_m = 1").select(F.col("chromosome").alias("_c"), F.col("run").alias("_r")), [same("chromosome", "_c"), same("run", "_r")], "left_semi")
+    linked = rows.join(alone.select(F.col("chromosome").alias("_c"), F.col("i").alias("_j")), [same("chromosome", "_c"), same("i", "_j")], "left_anti")
+    chosen = linked.groupBy("chromosome", "run").applyInPandas(choose, ", ".join(f"{c} {kind[c]}" for c in key) + ", keep boolean")
+    return chosen.unionByName(alone.select(*key, F.col("varies").alias("keep")))
 
 
 def project(calls: DataFrame, loadings: DataFrame) -> DataFrame:

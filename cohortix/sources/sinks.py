@@ -1,4 +1,4 @@
-"""Sinks: atomic and partitioned Parquet, text exchange files, JSON."""
+"""Sinks: versioned and partitioned Parquet, text exchange files, JSON."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import write_version
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -15,28 +17,31 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_atomic(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Write beside ``path`` and rename: readers see the old table or the new one, never a part."""
-    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    w = df.write.option("compression", "zstd")
-    (w.partitionBy(*by) if by else w).parquet(staged)
-    jvm, to, fs = _fs(df.sparkSession, path)
-    if fs.exists(to):
-        fs.delete(to, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), to):
-        raise OSError(f"could not rename {staged}")
+def write_atomic(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
+    """The next version of the table at ``path``: readers see the old one or the new one, whenever the writer dies.
 
+    It is read with ``versions.read_version``.
+    """
+    return write_version(df, path, by)
 
-def write_sorted_partitions(df: DataFrame, path: str, by: str, order: Sequence[str], salt: int = 1) -> None:
-    """A folder a value of ``by``, rows in order within files; ``salt`` files share a large value."""
-    keys = [F.col(by), F.pmod(F.xxhash64(*order), F.lit(salt))] if salt > 1 else [F.col(by)]
-    df.repartition(*keys).sortWithinPartitions(by, *order).write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
+
+def write_sorted_partitions(df: DataFrame, path: str, by: str, order: Sequence[str]) -> None:
+    """A folder a value of ``by``, rows in order within files.
+
+    Tasks take ranges of ``by``, ``order`` and a hash of the row, so a value with a large share of the rows is
+    written by many, and statistics of its files still tell which hold a place.
+    """
+    keys = [F.col(by), *map(F.col, order), F.xxhash64(*df.columns)]
+    df.repartitionByRange(*keys).sortWithinPartitions(by, *order).write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
 
 
 def write_buckets(df: DataFrame, path: str, key: str, buckets: int = 64) -> None:
-    """Long tables in folders by hash of the key, so that a reader of one key opens one folder."""
-    b = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    df.withColumn("bucket", b).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    """Long tables in folders by hash of the key, so that a reader of one key opens one folder.
+
+    Tasks take ranges of bucket, key and a hash of the row: neither a large bucket nor a hot key is one task's.
+    """
+    df = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    df.repartitionByRange("bucket", key, F.xxhash64(*df.columns)).sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: str) -> DataFrame:

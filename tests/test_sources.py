@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortix.functions.alleles import gt_alt_count
 from cohortix.operators import registry
 from cohortix.sources import genotype as g
-from cohortix.sources import parsers, sinks, tables
+from cohortix.sources import parsers, sinks, tables, versions
 from cohortix.streaming import events
 
 
@@ -100,8 +100,8 @@ def test_atomic_and_partitioned_writes(spark, tmp_path):
     df = spark.range(100).select((F.col("id") % 3).cast("string").alias("chromosome"), F.col("id").alias("position"))
     for _ in range(2):
         sinks.write_atomic(df, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 100
-    sinks.write_sorted_partitions(df.withColumn("chromosome", F.lpad("chromosome", 2, "0")), str(tmp_path / "p"), "chromosome", ["position"], salt=2)
+    assert versions.read_version(spark, str(tmp_path / "t")).count() == 100 and versions.versions(spark, str(tmp_path / "t")) == [1, 2]
+    sinks.write_sorted_partitions(df.withColumn("chromosome", F.lpad("chromosome", 2, "0")), str(tmp_path / "p"), "chromosome", ["position"])
     assert sinks.read_partitioned(spark, str(tmp_path / "p"), "position bigint, chromosome string").select("chromosome").distinct().count() == 3
     sinks.write_buckets(df, str(tmp_path / "b"), "position", 8)
     v = df.select("chromosome", "position", F.lit("A").alias("ref"), F.lit("C").alias("alt"), F.lit("k").alias("variant_key"))
