@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.alleles import BUILD_ALIASES, chromosome
 
+from .cutpoint import cut
+
 #: Chromosome lengths of the two builds as published (fixed values).
 LENGTHS = {
     "GRCh37": {
@@ -29,6 +31,11 @@ BIN = 1 << 20
 
 
 def lift(sites: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``lift_with_strand`` without the strand."""
+    return lift_with_strand(sites, blocks).drop("lifted_reverse")
+
+
+def lift_with_strand(sites: DataFrame, blocks: DataFrame) -> DataFrame:
     """Sites (site_id, chromosome, position) through chain blocks; the first block that holds a site counts.
 
     ``blocks``: chromosome, start, end (half open, 0-based), target_chromosome, target_start,
@@ -46,7 +53,7 @@ def lift(sites: DataFrame, blocks: DataFrame) -> DataFrame:
         F.when(F.coalesce("position", F.lit(0)) < 1, "unplaced").when(F.col("h").isNull(), "unmapped")
         .when(F.col("h.target_chromosome") != F.col("chromosome"), "chromosome_changed").when(F.col("h.reverse"), "reverse_strand").otherwise("mapped")
     )
-    return out.select(*sites.columns, status.alias("status"), F.col("h.target_chromosome").alias("lifted_chromosome"), F.col("h.pos").cast("bigint").alias("lifted_position"))
+    return out.select(*sites.columns, status.alias("status"), F.col("h.target_chromosome").alias("lifted_chromosome"), F.col("h.pos").cast("bigint").alias("lifted_position"), F.col("h.reverse").alias("lifted_reverse"))
 
 
 def lifted_sites(lifted: DataFrame) -> DataFrame:
@@ -94,6 +101,36 @@ def reference_evidence(sites: DataFrame, least: float = 0.95, margin: float = 0.
     return s.select(best.alias("supports"), F.lit(1.0).alias("weight"), "GRCh37", "GRCh38").where("supports is not null")
 
 
+def lifted_base_evidence(sites: DataFrame, index_37: DataFrame, index_38: DataFrame, blocks_37: DataFrame, blocks_38: DataFrame, least: int = 20) -> DataFrame:
+    """(supports, weight, rate_37, rate_38, lifted_rate, tested): the build of SNVs (site_id, chromosome, position, ref, alt).
+
+    Bases of both builds' FASTA indexes are looked up at the same places. The likelier build's sites are lifted by its
+    chain (``blocks_37`` lead from 37 to 38, ``blocks_38`` back) and compared with the other build's bases there. A
+    build is supported where 0.9 of its bases are alleles, at most 0.8 of the other's, and 0.9 of the lifted ones
+    agree if any were lifted forward. Autosomal SNVs on both builds count; under ``least`` of them there is no row.
+    """
+    from cohortix.sources.fasta import bases_of
+
+    name = chromosome("chromosome", BUILD_ALIASES)
+    snv = sites.withColumn("chromosome", name).where(F.col("chromosome").isin(*map(str, range(1, 23))) & (F.col("position") > 0) & F.col("ref").isin(*"ACGT") & F.col("alt").isin(*"ACGT"))
+    at = bases_of(bases_of(snv, index_37).withColumnRenamed("bases", "base_37"), index_38).withColumnRenamed("bases", "base_38").where("base_37 <> '' and base_38 <> ''")
+    at = cut(at)
+    hit = lambda c: (F.col(c) == F.col("ref")) | (F.col(c) == F.col("alt"))
+    s = at.agg(F.count("*").alias("tested"), F.avg(hit("base_37").cast("int")).alias("rate_37"), F.avg(hit("base_38").cast("int")).alias("rate_38"))
+    n, rate_37, rate_38 = s.first()
+    if n < least:
+        return at.sparkSession.createDataFrame([], "supports string, weight double, rate_37 double, rate_38 double, lifted_rate double, tested bigint")
+    likely = "GRCh37" if rate_37 >= rate_38 else "GRCh38"
+    blocks, other = (blocks_37, index_38) if likely == "GRCh37" else (blocks_38, index_37)
+    there = lift_with_strand(at, blocks).where(F.col("lifted_position").isNotNull() & F.col("status").isin("mapped", "chromosome_changed"))
+    there = there.where(~F.coalesce(F.col("lifted_reverse"), F.lit(False))).select("ref", "alt", F.col("lifted_chromosome").alias("chromosome"), F.col("lifted_position").alias("position"))
+    lifted = bases_of(there, other).where("bases <> ''").agg(F.avg(hit("bases").cast("int")).alias("lifted_rate"))
+    best = F.when(F.col("rate_37") > F.col("rate_38"), "GRCh37").otherwise("GRCh38")
+    sure = (F.greatest("rate_37", "rate_38") >= 0.9) & (F.least("rate_37", "rate_38") <= 0.8) & (F.coalesce("lifted_rate", F.lit(1.0)) >= 0.9)
+    both = s.crossJoin(F.broadcast(lifted))  # one row each
+    return both.select(F.when(sure, best).alias("supports"), F.when(sure, 1.0).otherwise(0.0).alias("weight"), "rate_37", "rate_38", "lifted_rate", "tested")
+
+
 def header_evidence(lines: DataFrame, lengths: DataFrame) -> DataFrame:
     """VCF header lines (value): a named reference weighs 0.6, matching contig lengths 0.9."""
     low = F.lower("value")

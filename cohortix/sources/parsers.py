@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import sqlite3
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from cohortix.functions.alleles import strip_chr
 from cohortix.functions.text import extra_map, info_value, to_number, to_whole
 
+from .sqlite import read_sqlite
+
 #: Columns of PLINK reports that are numbers (fixed values).
 PLINK_REALS = {"F_MISS", "ALT_FREQS", "P", "KINSHIP", "HETHET", "IBS0", "F", "O(HOM)", "E(HOM)", "MISSING_FREQ", "OBS_CT_FREQ"}
 PLINK_WHOLES = {"OBS_CT", "MISSING_CT", "NSNP", "POS", "BP", "KB", "NSEG"}
@@ -106,14 +107,8 @@ def read_cravat(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_predictdb(spark: SparkSession, path: str) -> DataFrame:
-    """Weights ⟕ gene table of a model database. The file is a bounded download, read where it lies."""
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
-        def rows(table: str) -> DataFrame:
-            cur = db.execute(f"select * from {table}")
-            names = [c[0] for c in cur.description]
-            return spark.createDataFrame([tuple(None if v is None else str(v) for v in r) for r in cur], ", ".join(f"`{n}` string" for n in names))
-
-        w, x = rows("weights"), rows("extra")
+    """Weights ⟕ gene table of a model database, both read by ranges of rows where the file lies."""
+    w, x = read_sqlite(spark, path, "weights"), read_sqlite(spark, path, "extra")
     pick = lambda df, *names: next(F.col(f"`{n}`") for n in names if n in df.columns)
     vid = pick(w, "varID", "varid", "rsid")
     part = lambda i: F.nullif(F.regexp_extract(vid, VARIANT_ID, i), F.lit(""))

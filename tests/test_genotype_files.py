@@ -143,6 +143,25 @@ def test_chain_lift(spark, tmp_path):
         chain.parse_chain("chain 1 a 9 + 0 5 b 9 + 0 5 1\n4\n")
 
 
+@pytest.mark.parametrize("flip", [False, True])
+def test_lifted_base_evidence(spark, tmp_path, flip):
+    """38 is 37 moved by 30 places; sites of one of them support it, and not when the other build does not agree."""
+    rng = np.random.default_rng(2)
+    seq = "".join(rng.choice(list("ACGT"), 900))
+    old = fasta.fasta_index(spark, put(tmp_path / "old.fa", f">chr1\n{seq}\n"))
+    new = fasta.fasta_index(spark, put(tmp_path / "new.fa", ">chr1\n" + "N" * 30 + seq + "\n"))
+    wrong = fasta.fasta_index(spark, put(tmp_path / "wrong.fa", ">chr1\n" + "A" * 930 + "\n"))
+    to_new = chain.read_chain(spark, put(tmp_path / "up.chain", "chain 5 chr1 900 + 0 900 chr1 930 + 30 930 1\n900\n"))
+    to_old = chain.read_chain(spark, put(tmp_path / "down.chain", "chain 5 chr1 930 + 30 930 chr1 900 + 0 900 1\n900\n"))
+    sites = [(p, "chr1", p + (30 if flip else 0), seq[p - 1], "A" if seq[p - 1] != "A" else "C") for p in range(1, 860, 9)] + [(0, "X", 5, "A", "C"), (-1, "1", 6, "AT", "A"), (-2, "1", None, "A", "C")]
+    s = spark.createDataFrame(sites, "site_id long, chromosome string, position long, ref string, alt string")
+    r = builds.lifted_base_evidence(s, old, new, to_new, to_old).first()
+    assert (r["supports"], r["weight"], r["lifted_rate"]) == ("GRCh38" if flip else "GRCh37", 1.0, 1.0) and r["tested"] >= 90
+    if not flip:
+        assert builds.lifted_base_evidence(s, old, wrong, to_new, to_old).first()["supports"] is None
+        assert builds.lifted_base_evidence(s.limit(10), old, new, to_new, to_old).collect() == []
+
+
 # ---- BGEN -------------------------------------------------------------------------------------
 
 PROBS = [[(1.0, 0.0, 0.0), (0.0, 1.0, 0.0), None, (0.2, 0.2, 0.6)], [(0.0, 1.0), (0.6, 0.4), (0.0, 0.0, 1.0), (0.4, 0.0, 0.2, 0.4)]]

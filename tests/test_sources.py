@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortix.functions.alleles import gt_alt_count
 from cohortix.operators import registry
 from cohortix.sources import genotype as g
-from cohortix.sources import parsers, sinks, tables, versions
+from cohortix.sources import parsers, sinks, sqlite, tables, versions
 from cohortix.streaming import events
 
 
@@ -86,6 +86,23 @@ def test_score_files(spark, tmp_path):
         parsers.read_scoring_file(spark, pgs, header_lines=0)
 
 
+def test_sqlite_tables_by_ranges(spark, tmp_path):
+    db = str(tmp_path / "t.db")
+    with sqlite3.connect(db) as c:
+        c.execute('create table "odd name" (a integer primary key, "b c" text, d blob)')
+        c.executemany('insert into "odd name" values (?, ?, ?)', [(i * 7 - 30, None if i == 3 else f"v{i}", b"x" if i % 2 else 1.5) for i in range(40)])
+        c.execute("create table empty (x)")
+        c.execute("create table plain (k text primary key, v) without rowid")
+        c.execute("insert into plain values ('a', 1)")
+    df = sqlite.read_sqlite(spark, db, "odd name", rows=50)
+    assert df.rdd.getNumPartitions() == 6
+    assert sorted(map(tuple, df.collect())) == sorted((str(i * 7 - 30), None if i == 3 else f"v{i}", "x" if i % 2 else "1.5") for i in range(40))
+    assert sqlite.read_sqlite(spark, db, "empty").collect() == []
+    assert list(map(tuple, sqlite.read_sqlite(spark, f"file://{db}", "plain").collect())) == [("a", "1")]
+    with pytest.raises(Exception, match="no table"):
+        sqlite.read_sqlite(spark, db, "none").collect()
+
+
 def test_snapshots_are_verified(spark, tmp_path):
     t = {"a": spark.range(5).toDF("x"), "b": spark.range(2).toDF("y")}
     sinks.freeze(t, str(tmp_path / "s1"))
