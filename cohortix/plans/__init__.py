@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cohort, files, parts, scores, steps, variants  # noqa: F401  (they register their queries)
+from . import cohort, files, parts, readers, scores, steps, variants  # noqa: F401  (they register their queries)
 from .registry import ORACLES, QUERIES
 
 
