@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortix.functions import alleles as al
-from cohortix.operators import score
+from cohortix.operators import score, units
 
 from . import surrogates as su
 from .registry import register
@@ -156,3 +156,72 @@ def duplicate_model_rows(spark, d):
 
     li = su.table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("_ord"))
     return later_rows(li, ["l_partkey"]).drop("_ord")
+
+
+# One unit of weights: every third feature is below the provider's threshold; names and R² follow from the feature's number.
+_UNIT = su.with_("calls") + ", " + _W.removeprefix("WITH ") + """, q AS (SELECT model_id, feature_id, CAST(substr(feature_id, 2) AS INT) AS i, count(*) AS n, count(*) FILTER (outcome = 'matched') AS m, count(*) FILTER (outcome = 'duplicate') AS du FROM h GROUP BY 1, 2),
+c1 AS (SELECT *, m / greatest(n - du, 1) AS cov, i % 3 = 0 AS below, CASE WHEN i % 4 <> 0 THEN i / 20 END AS r2 FROM q),
+s1 AS (SELECT *, CASE WHEN m = 0 THEN 'NO_MATCH' WHEN cov < 0.55 THEN 'LOW_COVERAGE' ELSE 'OK' END AS status FROM c1)
+"""
+
+
+def _unit(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    w = _weights(spark, d).withColumn("genome_build", F.lit("GRCh38"))
+    i = F.substring("feature_id", 2, 9).cast("int")
+    features = w.select("model_id", "feature_id").distinct().withColumns({"feature_name": F.concat(F.lit("N"), i.cast("string")), "n_variants": F.lit(1).cast("bigint"), "validation_r2": F.when(i % 4 != 0, i / 20), "below_threshold": i % 3 == 0})
+    s = su.sites(spark, d).select("p_partkey", "variant_key")
+    c = su.calls(spark, d).join(s, F.col("variant") == F.col("p_partkey")).select("sample", F.col("variant_key").alias("variant"), F.col("alt_count").cast("double").alias("dosage"))
+    k = F.col("c_custkey")
+    people = su.table(spark, d, "customer").select(k.alias("sample"), F.when(k % 7 != 0, F.concat(F.lit("N"), k.cast("string"))).alias("native_id"), su.participant_id().alias("participant_id"))
+    return features, *units.run_unit(w, features, _model_sites(spark, d), c, people, "GRCh38", 0.55, ord_col="_ord")
+
+
+@register(
+    _UNIT
+    + """SELECT CASE WHEN c.sample % 7 <> 0 THEN 'N' || c.sample ELSE CAST(c.sample AS VARCHAR) END AS native_id, 'P' || c.sample AS participant_id, h.model_id, h.feature_id, round(sum(h.weight * CASE WHEN h.mt IN ('exact', 'strand_flip') THEN c.alt_count ELSE 2 - c.alt_count END), 6) AS predicted_value
+FROM h JOIN s1 USING (model_id, feature_id) JOIN calls c ON c.variant = h.p_partkey WHERE h.outcome = 'matched' AND c.alt_count IS NOT NULL AND s1.status = 'OK' AND NOT s1.below GROUP BY 1, 2, 3, 4"""
+)
+def unit_scores(spark, d):
+    _, scores, _, _ = _unit(spark, d)
+    return scores.withColumn("predicted_value", F.round("predicted_value", 6))
+
+
+@register(
+    _UNIT
+    + """SELECT count(*) AS features_in_model, count(*) FILTER (status = 'OK' AND NOT below) AS features_predicted, count(*) FILTER (status = 'LOW_COVERAGE') AS low_coverage_features, round(median(cov), 6) AS median_coverage_fraction, round(median(r2), 6) AS median_validation_r2, 'GRCh38' AS genome_build FROM s1"""
+)
+def unit_manifest(spark, d):
+    _, _, _, m = _unit(spark, d)
+    return m.withColumns({c: F.round(c, 6) for c in ("median_coverage_fraction", "median_validation_r2")})
+
+
+@register(
+    _UNIT
+    + """SELECT model_id, 'p' AS provider, 'd' AS provider_dataset_id, 'expression' AS modality, feature_id, 'N' || i AS feature_name, CAST(NULL AS VARCHAR) AS tissue, 'GRCh38' AS genome_build, r2 AS validation_r2, CAST(1 AS BIGINT) AS n_variants, round(cov, 6) AS coverage_fraction, status FROM s1
+UNION ALL SELECT 'old', 'p', 'd', 'expression', 'G' || p_partkey, NULL, CASE p_partkey % 3 WHEN 0 THEN 'liver' ELSE 'blood' END, NULL, NULL, NULL, NULL, 'OK' FROM part WHERE p_partkey % 4 IN (0, 1)"""
+)
+def model_catalogue(spark, d):
+    """A unit of no tissue takes the place of old rows of no tissue and of an empty one; other tissues stay."""
+    p, k = su.table(spark, d, "part"), F.col("p_partkey")
+    tissue = F.when(k % 4 == 2, "").when(k % 4 != 3, F.when(k % 3 == 0, "liver").otherwise("blood"))
+    old = p.select(F.lit("old").alias("model_id"), F.lit("p").alias("provider"), F.lit("d").alias("provider_dataset_id"), F.lit("expression").alias("modality"), F.concat(F.lit("G"), k.cast("string")).alias("feature_id"), tissue.alias("tissue"), F.lit("OK").alias("status"))
+    features, _, quality, _ = _unit(spark, d)
+    rows = units.catalogue_rows(features, quality, "p", "d", "expression", None, "GRCh38").withColumn("coverage_fraction", F.round("coverage_fraction", 6))
+    return units.replace_unit(units.standardize(old, units.CATALOGUE), rows)
+
+
+@register(su.with_("sites") + "SELECT chromosome, CAST(position AS BIGINT) AS position, ref AS reference, alt AS alternate, p_brand AS track, p_size / 50 AS effect FROM sites WHERE p_partkey % 3 = 0")
+def atlas_join(spark, d):
+    s = su.sites(spark, d).withColumnsRenamed({"ref": "reference", "alt": "alternate"})
+    wanted = s.select("chromosome", F.col("position").cast("bigint").alias("position"), "reference", "alternate")
+    k = F.col("p_partkey")
+    table = s.select(F.concat(F.lit("chr"), "chromosome").alias("chromosome"), F.col("position").cast("string").alias("position"), F.when(k % 3 == 0, F.col("reference")).otherwise("N").alias("reference"), "alternate", F.col("p_brand").alias("track"), (F.col("p_size") / 50).alias("effect"))
+    return units.atlas(wanted, table)
+
+
+@register("SELECT 'P' || c_custkey AS participant_id, 'F' || c_nationkey AS feature_id, CAST(c_custkey AS DOUBLE) AS score, CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey / 25 END AS validation_r2 FROM customer")
+def scores_with_validation(spark, d):
+    c, n = su.table(spark, d, "customer"), su.table(spark, d, "nation")
+    v = n.select(F.concat(F.lit("F"), F.col("n_nationkey").cast("string")).alias("feature_id"), F.when(F.col("n_nationkey") % 5 != 0, F.col("n_nationkey") / 25).alias("validation_r2"))
+    s = c.select(su.participant_id().alias("participant_id"), F.concat(F.lit("F"), F.col("c_nationkey").cast("string")).alias("feature_id"), F.col("c_custkey").cast("double").alias("score"))
+    return units.with_validation(s, v)
