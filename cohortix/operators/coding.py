@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.text import as_text, is_missing, long_form, null_if_missing, to_number
 
-from .dedup import keep_first
+from .annotate import sized
+from .dedup import keep_first, numbered
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str], categorical: Sequence[str] = ()) -> dict[str, bool]:
@@ -66,16 +67,34 @@ def code_continuous(df: DataFrame, c: str) -> Coded:
     return Coded(code, missing, ~missing & code.isNull())
 
 
+#: Levels that go into an expression; for more there is ``with_level_code``.
+MOST_LEVELS = 1_000
+
+
 def code_levels(df: DataFrame, c: str, levels: Sequence[str] | None = None) -> Coded:
-    """Index in ``levels``; without levels, in the sorted distinct values."""
+    """Index in ``levels``; without levels, in the sorted distinct values, of which there may be ``MOST_LEVELS``."""
     if levels is None:
-        levels = sorted(r[0] for r in df.select(null_if_missing(c).alias("v")).where("v is not null").distinct().collect())
+        got = df.select(null_if_missing(c).alias("v")).where("v is not null").distinct().limit(MOST_LEVELS + 1).collect()
+        if len(got) > MOST_LEVELS:
+            raise ValueError(f"{c} has more than {MOST_LEVELS} levels: use with_level_code")
+        levels = sorted(r[0] for r in got)
     missing = is_missing(c)
     at = F.array_position(F.array(*[F.lit(x) for x in levels]), as_text(c)) if levels else F.lit(0)
     code = F.when(~missing & (at > 0), (at - 1).cast("double"))
     return Coded(code, missing, ~missing & code.isNull())
 
 
+def with_level_code(df: DataFrame, c: str, name: str = "code") -> DataFrame:
+    """``df`` with the index of each value in the sorted distinct values, however many; null where it is missing.
+
+    Levels are numbered in ranges and joined back, so that neither the driver nor one task holds them all.
+    """
+    level = null_if_missing(c).alias("_level")
+    ranks = numbered(df.select(level).where("_level is not null").distinct(), ["_level"], "_rank").select(F.col("_level").alias("_l"), F.col("_rank").cast("double").alias("_rank"))
+    got = df.withColumn("_level", null_if_missing(c)).join(sized(ranks), F.col("_level") == F.col("_l"), "left")
+    return got.select(*df.columns, F.col("_rank").alias(name))
+
+
 #: Phenotype types and the function that codes a column of each; users may add their own.
 HANDLERS: dict[str, Callable[..., Coded]] = {
     "binary": code_binary,

@@ -62,8 +62,9 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "row", st
 
 
 def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
-    """``n`` rows, the same for any partitioning: those of smallest hash of key and seed."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """``n`` rows, the same for any partitioning: those of smallest MD5 of ``seed|key|...``."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return df.orderBy(F.md5(text.cast("binary")), *keys).limit(n)
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

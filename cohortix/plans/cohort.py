@@ -45,7 +45,7 @@ def phenotype_coding_ordinal(spark, d):
 @register(f"WITH {_PHENO}, l AS (SELECT DISTINCT seg FROM ph WHERE seg <> ''), r AS (SELECT seg, row_number() OVER (ORDER BY seg) - 1 AS k FROM l) SELECT iid AS participant_id, CAST(k AS DOUBLE) AS code FROM ph LEFT JOIN r USING (seg)")
 def phenotype_coding_multiclass(spark, d):
     p = _pheno(spark, d)
-    return p.select(F.col("iid").alias("participant_id"), coding.code_levels(p, "seg").code.alias("code"))
+    return coding.with_level_code(p, "seg").select(F.col("iid").alias("participant_id"), "code")
 
 
 @register(f"WITH {_PHENO} SELECT iid AS participant_id, 'baseline' AS event_id, TRY_CAST(cont AS DOUBLE) AS value_numeric, CASE WHEN cont <> 'NA' THEN cont END AS value_text, cont = 'NA' AS is_missing FROM ph")
@@ -54,12 +54,12 @@ def phenotype_observations(spark, d):
 
 
 @register(
-    """WITH v AS (SELECT c_mktsegment AS seg, c_acctbal AS x FROM customer WHERE c_custkey % 13 <> 0), s AS (SELECT seg, count(*) AS n, avg(x) AS mean, stddev_samp(x) AS sd, min(x) AS min, max(x) AS max, median(x) AS median, quantile_cont(x, 0.01) AS q01, quantile_cont(x, 0.99) AS q99 FROM v GROUP BY 1),
+    """WITH v AS (SELECT c_mktsegment AS seg, c_acctbal AS x FROM customer), s AS (SELECT seg, count(*) AS n, avg(x) AS mean, stddev_samp(x) AS sd, min(x) AS min, max(x) AS max, median(x) AS median, quantile_cont(x, 0.01) AS q01, quantile_cont(x, 0.99) AS q99 FROM v GROUP BY 1),
 m AS (SELECT seg, avg(pow(x - mean, 3)) / pow(avg(pow(x - mean, 2)), 1.5) AS sk, count(*) FILTER (abs(x - mean) > 5 * sd) AS far FROM v JOIN s USING (seg) GROUP BY 1)
 SELECT seg, n, round(mean, 6) AS mean, round(sd, 6) AS sd, min, max, round(median, 6) AS median, round(q01, 6) AS q01, round(q99, 6) AS q99, round(sk, 6) AS skewness, far AS n_beyond_5sd FROM s JOIN m USING (seg)"""
 )
 def continuous_profile(spark, d):
-    c = su.table(spark, d, "customer").where("c_custkey % 13 <> 0").select(F.col("c_mktsegment").alias("seg"), F.col("c_acctbal").alias("x"))
+    c = su.table(spark, d, "customer").select(F.col("c_mktsegment").alias("seg"), F.col("c_acctbal").alias("x"))
     p = profile.numeric_profile(c, "x", ["seg"])
     return p.select("seg", "n", *[F.round(x, 6).alias(x) for x in ("mean", "sd")], "min", "max", *[F.round(x, 6).alias(x) for x in ("median", "q01", "q99", "skewness")], "n_beyond_5sd")
 
@@ -416,7 +416,7 @@ def tabular_inspect(spark, d):
     return profile.inspect(su.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value"), "user_id")
 
 
-@register(None)
+@register("SELECT p_partkey, p_name FROM part ORDER BY md5('7|' || p_partkey), p_partkey LIMIT 100")
 def sampled_rows(spark, d):
     """The sampling operator: its limit is the feature."""
     return dedup.seeded_sample(su.table(spark, d, "part").select("p_partkey", "p_name"), 100, ["p_partkey"], 7)

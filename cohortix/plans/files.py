@@ -146,10 +146,10 @@ def _chain(spark: SparkSession) -> str:
     + """, s AS (SELECT p_partkey, chromosome, CAST(chromosome AS INT) AS c, position - 1 AS p FROM sites)
 SELECT p_partkey AS site_id, CASE WHEN p >= 15000 AND c % 5 = 0 THEN 'chromosome_changed' WHEN p >= 15000 AND c % 2 = 0 THEN 'reverse_strand' ELSE 'mapped' END AS status,
   CASE WHEN p >= 15000 AND c % 5 = 0 THEN CAST(c % 22 + 1 AS VARCHAR) ELSE chromosome END AS lifted_chromosome,
-  CAST(CASE WHEN p < 8000 THEN p + 501 WHEN p < 9000 THEN p + 8 WHEN p < 15000 THEN p - 9000 + 9601 WHEN c % 2 = 0 THEN 9000000 - (p - 15000 + 1000) ELSE p - 15000 + 1001 END AS BIGINT) AS lifted_position FROM s WHERE p < 4000000"""
+  CAST(CASE WHEN p < 8000 THEN p + 501 WHEN p < 9000 THEN p + 8 WHEN p < 15000 THEN p - 9000 + 9601 WHEN c % 2 = 0 THEN 9000000 - (p - 15000 + 1000) ELSE p - 15000 + 1001 END AS BIGINT) AS lifted_position FROM s"""
 )
 def chain_lift(spark, d):
-    s = su.sites(spark, d).select(F.col("p_partkey").alias("site_id"), chain.site_chromosome("chromosome").alias("chromosome"), "position").where("position <= 4000000")
+    s = su.sites(spark, d).select(F.col("p_partkey").alias("site_id"), chain.site_chromosome("chromosome").alias("chromosome"), "position")
     return builds.lift(s, chain.read_chain(spark, _chain(spark))).select("site_id", "status", "lifted_chromosome", "lifted_position")
 
 

@@ -61,12 +61,12 @@ def vcf_genotype_fields(spark, d):
     return g.groupBy("l_partkey", "gt", "alt_count").agg(F.count("*").alias("n"))
 
 
-@register(su.with_("sites") + "SELECT p_partkey, substr('ACGTTGCATC', CAST((position - 1) % 10 AS INT) + 1, 1) || substr('ACGTTGCATC', CAST(position % 10 AS INT) + 1, 1) AS bases FROM sites WHERE chromosome <> '22'")
+@register(su.with_("sites") + "SELECT p_partkey, substr('ACGTTGCATC', CAST((position - 1) % 10 AS INT) + 1, 1) || substr('ACGTTGCATC', CAST(position % 10 AS INT) + 1, 1) AS bases FROM sites")
 def reference_bases(spark, d):
-    s = su.sites(spark, d).select("p_partkey", "chromosome", "position").where("chromosome <> '22'")
+    s = su.sites(spark, d).select("p_partkey", "chromosome", "position")
     last = s.agg(F.max("position")).first()[0] or 0
     chunks = spark.range(last // 50 + 2).select(F.col("id").alias("chunk_no"), F.expr("repeat('ACGTTGCATC', 5)").alias("seq"))
-    ref = chunks.withColumn("chromosome", F.explode(F.array(*[F.lit(str(c)) for c in range(1, 22)])))
+    ref = chunks.withColumn("chromosome", F.explode(F.array(*[F.lit(str(c)) for c in range(1, 23)])))
     return builds.bases_at(s, ref, 50, F.lit(2)).select("p_partkey", "bases")
 
 
@@ -78,11 +78,11 @@ def marker_panel_evidence(spark, d):
     return builds.marker_evidence(s.select("variant_id", "position"), panel)
 
 
-@register(_W + "SELECT p_partkey, CASE WHEN mt IN ('exact', 'strand_flip') THEN alt ELSE ref END AS counted_allele, " + ", ".join(f"round(sum(weight) FILTER (feature_id = 'F{i}'), 6) AS F{i}" for i in (0, 1, 2)) + " FROM h WHERE outcome = 'matched' AND feature_id IN ('F0', 'F1', 'F2') GROUP BY 1, 2")
+@register(_W + "SELECT p_partkey, CASE WHEN mt IN ('exact', 'strand_flip') THEN alt ELSE ref END AS counted_allele, " + ", ".join(f"round(sum(weight) FILTER (feature_id = 'F{i}'), 6) AS F{i}" for i in range(20)) + " FROM h WHERE outcome = 'matched' GROUP BY 1, 2")
 def weights_wide(spark, d):
-    m = _harmonized(spark, d).where("outcome = 'matched' and feature_id in ('F0', 'F1', 'F2')")
-    w = score.weights_wide(m.withColumn("geno_variant_id", F.substring("variant_id", 2, 20).cast("bigint")), ["F0", "F1", "F2"])
-    return w.select(F.col("geno_variant_id").alias("p_partkey"), "counted_allele", *[F.round(f"F{i}", 6).alias(f"F{i}") for i in (0, 1, 2)])
+    m = _harmonized(spark, d).where("outcome = 'matched'")
+    w = score.weights_wide(m.withColumn("geno_variant_id", F.substring("variant_id", 2, 20).cast("bigint")), [f"F{i}" for i in range(20)])
+    return w.select(F.col("geno_variant_id").alias("p_partkey"), "counted_allele", *[F.round(f"F{i}", 6).alias(f"F{i}") for i in range(20)])
 
 
 @register(su.with_("sites", "ann") + ", t AS (SELECT unnest(string_split(consequence, '&')) AS term FROM ann WHERE consequence IS NOT NULL) SELECT term, count(*) AS n FROM t GROUP BY 1")

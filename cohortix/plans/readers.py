@@ -202,13 +202,13 @@ def eigenvalue_list(spark, d):
     return parsers.read_eigenvalues(spark, at).select("eigenvalue")
 
 
-@register("SELECT 'P' || c_custkey AS sample_id, 'A' AS locus, 'A*0' || (c_custkey % 5) AS allele1, 'A*02' AS allele2, CAST(c_custkey % 100 AS DOUBLE) / 100 AS posterior, c_mktsegment AS segment FROM customer WHERE c_custkey % 6 <> 0")
+@register("SELECT 'P' || c_custkey AS sample_id, CASE WHEN c_custkey % 6 <> 0 THEN 'A' END AS locus, CASE WHEN c_custkey % 6 <> 0 THEN 'A*0' || (c_custkey % 5) END AS allele1, CASE WHEN c_custkey % 6 <> 0 THEN 'A*02' END AS allele2, CASE WHEN c_custkey % 6 <> 0 THEN CAST(c_custkey % 100 AS DOUBLE) / 100 END AS posterior, c_mktsegment AS segment FROM customer")
 def hla_of_samples(spark, d):
-    """HLA calls joined to the samples they belong to."""
+    """Samples with their HLA calls; each sixth sample has none."""
     c, k = su.table(spark, d, "customer"), F.col("c_custkey")
     at = _file(c.where(k % 6 != 0), "c_custkey", _tab(su.participant_id(), F.lit("A"), F.concat(F.lit("A*0"), (k % 5).cast("string")), F.lit("A*02"), (k % 100 / 100).cast("string")), "hla.tsv", "sample_id\tlocus\tallele1\tallele2\tposterior\n")
     calls = parsers.read_hla(tables.read_table(spark, at))
-    return calls.join(c.select(su.participant_id().alias("sample_id"), F.col("c_mktsegment").alias("segment")), "sample_id")
+    return c.select(su.participant_id().alias("sample_id"), F.col("c_mktsegment").alias("segment")).join(calls, "sample_id", "left")
 
 
 @register(su.with_("sites") + "SELECT 'G' || p_partkey % 50 AS feature_id, 'rs' || p_partkey AS variant_id, chromosome, CAST(position AS BIGINT) AS position, alt AS effect_allele, ref AS other_allele, p_size / 10 AS weight, 'GRCh38' AS genome_build, 'N' || p_partkey % 50 AS feature_name, CASE WHEN p_partkey % 50 % 3 <> 0 THEN (p_partkey % 50) / 100 END AS validation_r2 FROM sites")

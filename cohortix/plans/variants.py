@@ -172,7 +172,14 @@ def variant_maf_missingness(spark, d):
     return genotype.variant_metrics(su.calls(spark, d))
 
 
-@register(None)
+@register(
+    su.with_("calls")
+    + """, m AS (SELECT variant, count(*) FILTER (alt_count = 0) AS r, count(*) FILTER (alt_count = 1) AS h, count(*) FILTER (alt_count = 2) AS a FROM calls GROUP BY 1),
+e AS (SELECT DISTINCT r, h, a, r + h + a AS n, 2 * least(r, a) + h AS rare FROM m WHERE r + h + a > 0), k AS (SELECT *, unnest(range(rare % 2, rare + 1, 2)) AS k FROM e),
+l AS (SELECT *, k * ln(2) - lgamma((rare - k) / 2 + 1) - lgamma(k + 1) - lgamma(n - k - (rare - k) / 2 + 1) AS l FROM k), o AS (SELECT r, h, a, max(l) FILTER (k = h) AS own, max(l) AS top FROM l GROUP BY 1, 2, 3),
+p AS (SELECT r, h, a, least(1, sum(exp(l - top)) FILTER (l <= own + 1e-9) / sum(exp(l - top))) AS p FROM l JOIN o USING (r, h, a) GROUP BY 1, 2, 3)
+SELECT variant, r AS n_hom_ref, h AS n_het, a AS n_hom_alt, round(p, 9) AS hwe_p, coalesce(p < 1e-6, false) AS fail_hwe FROM m LEFT JOIN p USING (r, h, a)"""
+)
 def hwe_exact(spark, d):
     return stats.hardy_weinberg(genotype.variant_metrics(su.calls(spark, d))).select("variant", "n_hom_ref", "n_het", "n_hom_alt", F.round("hwe_p", 9).alias("hwe_p"), "fail_hwe")
 

@@ -276,3 +276,11 @@ def test_cohort_variants_by_mark_or_by_metrics(spark):
 def test_keyed_sites_keep_the_first_of_equal_keys(spark):
     s = spark.createDataFrame([("chr1", 5, "a", "g", 2), ("1", 5, "A", "G", 1), ("1", 5, "A", "T", 3)], "chromosome string, position bigint, ref string, alt string, _ord int")
     assert sorted((r["variant_key"], r["_ord"]) for r in score.keyed_sites(s).collect()) == [("1:5:A:G", 1), ("1:5:A:T", 3)]
+
+
+def test_levels_are_ranked_however_many(spark):
+    df = spark.createDataFrame([(f"l{i:04}",) for i in range(1500)] + [("NA",), (None,), ("l0003",)], "v string")
+    got = coding.with_level_code(df, "v").collect()
+    assert {r["v"]: r["code"] for r in got} == {f"l{i:04}": float(i) for i in range(1500)} | {"NA": None, None: None} and len(got) == 1503
+    with pytest.raises(ValueError, match="with_level_code"):
+        coding.code_levels(df, "v")
