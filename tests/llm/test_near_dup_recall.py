@@ -6,6 +6,8 @@ import random
 from collections import defaultdict
 from math import ceil
 
+import pytest
+
 from cohortix.llm import near_dup
 
 SIZES, SHARES, PAIRS = (2, 5, 10, 30, 100, 500, 2_000), (0.75, 0.8, 0.9), {2_000: 10, 500: 30}
@@ -22,7 +24,9 @@ def pair(rnd, n, share):
     return " ".join(head + words(rnd, n - s)), " ".join(head + words(rnd, n - s))
 
 
-def test_recall_over_sizes_and_similarities(spark, docs):
+@pytest.mark.parametrize("leaf", [2_000, 50])
+def test_recall_over_sizes_and_similarities(spark, docs, leaf):
+    """With small leaves the trees branch here as they do on large tables."""
     rnd, rows, of = random.Random(11), [], {}
     for n in SIZES:
         for share in SHARES:
@@ -33,7 +37,7 @@ def test_recall_over_sizes_and_similarities(spark, docs):
     # a group of near copies of one text: each keeps 86 of its 96 shingles, 86 / 106 = 0.81
     base, first = words(rnd, 100), len(rows)
     rows += [(first, " ".join(base))] + [(first + 1 + i, " ".join(base[:90] + words(rnd, 10))) for i in range(1_200)]
-    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs(rows).repartition(4)).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs(rows).repartition(4), leaf=leaf).collect()}
     found = defaultdict(list)
     for i, key in of.items():
         assert got[i] == i and got[i + 1] in (i, i + 1)  # nothing links different pairs
