@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,6 +56,9 @@ _KINDS = (
 _MARKS = frozenset("article post entry story content main".split())
 _WORDS = re.compile(r"[a-z]+")
 KINDS = tuple(k for k, _ in _KINDS)
+_NAMED = frozenset().union(*(names for _, names in _KINDS), _MARKS) - {"label"}
+#: Elements of running text; what they are called follows from what they say.
+_RUNNING = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre td th dd dt tr table section".split())
 #: Elements that say by themselves what they hold; others may be wrappers round a whole page.
 _SAYING = frozenset("nav menu aside header footer dialog button fieldset select label".split())
 
@@ -71,39 +75,67 @@ class Block:
 
 @dataclass(eq=False)
 class _Open:
-    """An open element; ``page`` where it holds a main or h1, as a wrapper round a page does."""
+    """An open element with something to say; ``up`` is the next such element round it, ``first`` the outermost of them
+    that marks an article. ``page`` where it holds a main or h1, as a wrapper round a page does.
+
+    What depends on all elements round it is kept with each, so that nesting costs no more than its tags.
+    """
 
     name: str
     kinds: frozenset[str]
     marks: bool
     hidden: bool
+    up: _Open | None = None
     page: bool = False
     void: bool = False
+    first: _Open | None = None
+    depth: int = 0  # elements with kinds round it
+    able: bool | None = None  # all of those wrap
+    said: frozenset[str] | None = None
 
     def wraps(self) -> bool:
         return not self.hidden and self.name not in _SAYING and (self.page or "comments" not in self.kinds)
 
 
-def _void_wrappers(found: list[tuple[Block, tuple[_Open, ...]]]) -> None:
+def _settled(e: _Open | None, known, settle) -> None:
+    """Apply ``settle`` to an element and those round it, the outermost first, as far as they are not ``known``."""
+    chain = []
+    while e is not None and not known(e):
+        chain.append(e)
+        e = e.up
+    for x in reversed(chain):
+        settle(x)
+
+
+def _void_wrappers(found: list[tuple[Block, _Open | None]]) -> None:
     """Kinds of wrappers that contain the page's marked article do not count for what they hold.
 
     The article is the marked container under the fewest elements with kinds, of equals the one of
     most words; containers inside aside, nav and the like and hidden ones do not become it.
     """
     words: dict[_Open, int] = {}
-    above: dict[_Open, list[_Open]] = {}
-    for b, opened in found:
-        for i, e in enumerate(opened):
-            if e.marks:
-                words[e] = words.get(e, 0) + b.words
-                above[e] = [w for w in opened[:i] if w.kinds]
-                break
-    able = [e for e in words if all(w.wraps() for w in above[e])]
-    if able:
-        for w in above[min(able, key=lambda e: (len(above[e]), -words[e]))]:
+    for b, e in found:
+        if e is not None and e.first is not None:
+            words[e.first] = words.get(e.first, 0) + b.words
+
+    def able(e: _Open) -> None:
+        e.able = e.up is None or (e.up.able and (not e.up.kinds or e.up.wraps()))
+
+    for e in words:
+        _settled(e, lambda x: x.able is not None, able)
+    candidates = [e for e in words if e.able]
+    if candidates:
+        w = min(candidates, key=lambda e: (e.depth, -words[e])).up
+        while w is not None:
             w.void = True
-    for b, opened in found:
-        b.kinds = frozenset().union(*(e.kinds for e in opened if not e.void))
+            w = w.up
+
+    def say(e: _Open) -> None:
+        e.said = (e.up.said if e.up else frozenset()) | (frozenset() if e.void else e.kinds)
+
+    for b, e in found:
+        _settled(e, lambda x: x.said is not None, say)
+        b.kinds = e.said if e is not None else frozenset()
 
 
 def _end_of(page: str, name: str, at: int, unclosed: dict[str, re.Match | None]) -> int:
@@ -120,17 +152,29 @@ def _end_of(page: str, name: str, at: int, unclosed: dict[str, re.Match | None])
 
 
 def _kinds_of(name: str, attrs: str) -> tuple[frozenset[str], bool]:
-    """What an element says about its content, and whether it is an article's container."""
+    """What an element says about its content, and whether it is an article's container.
+
+    Elements of running text and sections are named after what they are about (an id of a section's title, a class
+    of a figure in the text): their ids say nothing, and a class of theirs only where all its words do.
+    """
     said = {name}
+    about = name in _RUNNING
     if attrs:
-        for _, a, b, c in _ATTR.findall(attrs):
-            said.update(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
+        for key, a, b, c in _ATTR.findall(attrs):
+            if about and key.lower() == "id":
+                continue
+            for token in (a or b or c).split() if about else (a or b or c,):
+                got = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+                if not about or all(w in _NAMED for w in got):
+                    said.update(got)
         if _HIDDEN.search(attrs):
             return frozenset({"notice"}), False
     # the article's own header holds its heading; a page-wide wrapper's class says little
     if name in ("html", "body", "main", "article"):
         return frozenset(), name in ("main", "article")
     kinds = frozenset(k for k, names in _KINDS if said & names)
+    if kinds == {"edge"} and name == "div" and said & _MARKS:
+        return frozenset(), False  # an article's own header or footer
     return kinds, not kinds and name in ("div", "section", "td") and bool(said & _MARKS)
 
 
@@ -138,8 +182,9 @@ def blocks(page: str) -> list[Block]:
     """The page's text blocks in order. ``br`` is white space, not the end of a block."""
     out: list[Block] = []
     stack: list[_Open] = []
-    found: list[tuple[Block, tuple[_Open, ...]]] = []
-    opened: tuple[_Open, ...] = ()
+    found: list[tuple[Block, _Open | None]] = []
+    names: Counter[str] = Counter()
+    opened: _Open | None = None
     unclosed: dict[str, re.Match | None] = {}
     parts: list[str] = []
     linked: list[str] = []
@@ -147,6 +192,20 @@ def blocks(page: str) -> list[Block]:
     article = 0
     heading = False
 
+    def push(e: _Open) -> None:
+        if stack:
+            top = stack[-1]
+            e.up = top if top.kinds or top.marks else top.up
+        e.first = e.up.first if e.up and e.up.first else e if e.marks else None
+        e.depth = e.up.depth + bool(e.up.kinds) if e.up else 0
+        stack.append(e)
+        names[e.name] += 1
+
+    def pop() -> _Open:
+        e = stack.pop()
+        names[e.name] -= 1
+        return e
+
     def end() -> None:
         nonlocal heading
         if parts:
@@ -192,31 +251,31 @@ def blocks(page: str) -> list[Block]:
             end()
             in_link = 0
         if m[1]:
-            if any(e.name == name for e in stack):
+            if names[name]:
                 while stack:
-                    e = stack.pop()
+                    e = pop()
                     article -= e.marks
                     if e.name == name:
                         break
         elif name not in _VOID and not m[3].endswith("/"):
-            if name == "p" and stack and stack[-1].name == "p":
-                stack.pop()
-            if name == "li" and stack and stack[-1].name == "li":
-                stack.pop()
+            if name in ("p", "li") and stack and stack[-1].name == name:
+                pop()
             if name in ("main", "h1"):
-                for e in stack:
+                for e in reversed(stack):
+                    if e.page:  # and so are those round it
+                        break
                     e.page = True
             # an article's header is part of it
             own, marks = _kinds_of(name, m[3])
             own = own - (frozenset({"edge"}) if article and name == "header" else frozenset())
             if own or name in _BLOCKS:
-                stack.append(_Open(name, own, marks, bool(_HIDDEN.search(m[3]))))
+                push(_Open(name, own, marks, bool(_HIDDEN.search(m[3]))))
                 article += marks
         if name in _BLOCKS:
             heading = not m[1] and name in ("h1", "h2", "h3", "h4", "h5", "h6")
             if m[1] and name[0] == "h" and name[1:].isdigit():
                 heading = False
-        opened = tuple(e for e in stack if e.kinds or e.marks)
+        opened = stack[-1] if stack and (stack[-1].kinds or stack[-1].marks) else stack[-1].up if stack else None
     text(page[at:])
     end()
     _void_wrappers(found)

@@ -7,7 +7,9 @@ from decimal import Decimal
 import base64
 import hashlib
 import io
+import re
 import struct
+import time
 import zipfile
 import zlib
 
@@ -294,3 +296,27 @@ def test_pages_are_whole_without_end_tags_and_inside_wrappers():
     assert html_text.text_of(f'<body><div hidden>{art}</div><p>x</p>') == ""
     assert html_text.text_of(f"<article><h1>Head</h1><p>{body} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>") == f"{want} x=1"
     assert html_text.text_of(f"<body>{art}<script>var a = '<p>{body}</p>'") == want
+
+
+@pytest.mark.parametrize(
+    "part,kept",
+    [
+        ('<h2 id="related-work">Related work</h2>', "Related work"), ('<section id="discussion"><p>We discuss what was found.</p></section>', "We discuss"), ('<p class="share-price">The price of a share rose.</p>', "The price"),
+        ('<div class="article-header"><h1>Own header</h1></div>', "Own header"), ('<table><tr><td class="label">Label of a row</td></tr></table>', "Label of"), ('<p id="search">Search for meaning goes on.</p>', "Search for"),
+        ('<blockquote class="notice-of-meeting">A meeting was announced.</blockquote>', "A meeting"),
+        ('<p class="cookie-notice">We use cookies.</p>', None), ('<section class="comments"><p>First comment of a reader.</p></section>', None), ('<div id="related"><p>More to read elsewhere.</p></div>', None),
+    ],
+)
+def test_names_of_running_text_do_not_drop_it(part, kept):
+    long = lambda w: f"<p>{(w + ' words of the article, and then some more of them. ') * 4}</p>"
+    got = html_text.text_of(f"<body><nav><a href=x>Home</a></nav><article><h1>Title</h1>{long('Opening')}{part}{long('Closing')}</article></body>")
+    inner = re.sub("<[^>]*>", "", part)
+    assert (inner in got) == (kept is not None)
+    assert "Opening words" in got and "Closing words" in got
+
+
+@pytest.mark.parametrize("page", ["<article>" + "<div>x " * 100_000, "<article><div class=menu>y " * 50_000, "<div class=menu>" * 30_000 + "<h1>z" * 30_000, "<div><p>" * 50_000 + "</div>" * 50_000])
+def test_deep_nesting_takes_linear_time(page):
+    start = time.process_time()
+    html_text.text_of(page)
+    assert time.process_time() - start < 20
