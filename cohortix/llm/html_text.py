@@ -58,7 +58,7 @@ _WORDS = re.compile(r"[a-z]+")
 KINDS = tuple(k for k, _ in _KINDS)
 _NAMED = frozenset().union(*(names for _, names in _KINDS), _MARKS) - {"label"}
 #: Elements of running text; what they are called follows from what they say.
-_RUNNING = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre td th dd dt tr table section".split())
+_RUNNING = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre td th dd dt tr table".split())
 #: Elements that say by themselves what they hold; others may be wrappers round a whole page.
 _SAYING = frozenset("nav menu aside header footer dialog button fieldset select label".split())
 
@@ -154,15 +154,15 @@ def _end_of(page: str, name: str, at: int, unclosed: dict[str, re.Match | None])
 def _kinds_of(name: str, attrs: str) -> tuple[frozenset[str], bool]:
     """What an element says about its content, and whether it is an article's container.
 
-    Elements of running text and sections are named after what they are about (an id of a section's title, a class
-    of a figure in the text): their ids say nothing, and a class of theirs only where all its words do.
+    Elements of running text are named after what they are about (an id of a heading, a class of a figure in the
+    text): their ids say nothing, and a class of theirs only where all its words do.
     """
     said = {name}
     about = name in _RUNNING
     if attrs:
         for key, a, b, c in _ATTR.findall(attrs):
-            if about and key.lower() == "id":
-                continue
+            if key.lower() == "id" and (about or (name == "section" and (a or b or c).lower() == "discussion")):
+                continue  # a section of that name is a paper's
             for token in (a or b or c).split() if about else (a or b or c,):
                 got = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
                 if not about or all(w in _NAMED for w in got):
