@@ -6,7 +6,9 @@ a lost executor costs a re-read and never a re-run of what lies before the cut.
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -62,6 +64,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def give_back() -> None:
+    """Return memory that was used for a while and is free again to the system, where its allocator can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only when its counted ``rows`` are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

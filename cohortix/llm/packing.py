@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir
+from .common import cut, give_back, shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -308,6 +308,8 @@ def pack(docs: DataFrame, capacity: int = 2048, per_bucket: int = 2_000, nodes:
         own = sorted(r[1:] for r in rows if r[0] == s)
         slots[int(s)] = tuple(np.array(x, np.int64) for x in zip(*own, strict=True))
     bc = docs.sparkSession.sparkContext.broadcast(slots)
+    del plan, rows
+    give_back()  # the search leaves much behind on the driver
 
     if not hist:
         return pieces.withColumns({"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
