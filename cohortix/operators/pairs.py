@@ -1,9 +1,13 @@
-"""Pairs of samples by blocks: genotypes packed in bits, sample block times sample block inside one task.
+"""Pairs of samples by blocks: packed genotypes, sample block times sample block inside one task.
 
-Calls become blocks of 1,024 samples by 4,096 variants: three bit planes (0, 1 and 2 ALT alleles), or a
-list of calls where that is smaller. A task gets all blocks of two sample blocks over a range of variants, counts
-joint states of all its pairs by population counts, and only the pairs that are asked for leave it. Blocks are sent
-to as many tasks as there are sample blocks; no row is made for a pair and a variant.
+Where samples share many variants, calls become blocks of 1,024 samples by 4,096 variants: three bit planes (0, 1 and
+2 ALT alleles), or a list of calls where that is smaller. A task gets all blocks of two sample blocks over a range of
+variants, counts joint states of all its pairs by population counts, and only the pairs that are asked for leave it.
+Blocks are sent to as many tasks as there are sample blocks; no row is made for a pair and a variant.
+
+Where joint calls are fewer than pairs of samples, only pairs that share a variant are looked at: sixteen sample blocks,
+or so many that one has at most 12 million calls, are lists, so that the lists are sent sixteen times whatever the
+number of samples. A task joins two lists by variant, a few left samples at a time.
 
 Calls that are null or outside 0 to 2 count as missing; rows without a sample or variant are left out; of repeated
 calls the largest counts.
@@ -11,7 +15,7 @@ calls the largest counts.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -34,6 +38,17 @@ class Sizes(NamedTuple):
     joint: int = 20_000_000
 
 
+class Lists(NamedTuple):
+    """Sample blocks that a long list is cut into; calls of a block that are worth one of their own, and at most; calls
+    of a packed piece; joint calls that a task holds at once."""
+
+    blocks: int = 16
+    least: int = 100_000
+    most: int = 12_000_000
+    piece: int = 1_000_000
+    joint: int = 4_000_000
+
+
 def _pack(t: pa.Table, z: Sizes) -> pa.Table:
     """One block from its calls (sb, vb, s, v, g)."""
     sb, vb = t.column("sb")[0], t.column("vb")[0]
@@ -122,43 +137,58 @@ def _joint(t: pa.Table, z: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return counts, own[0], own[1]
 
 
-#: What is asked of two sample blocks: their numbers, the counts and the heterozygotes of either side, to a table.
-Finish = Callable[[int, int, np.ndarray, np.ndarray, np.ndarray], pa.Table]
+#: What is asked of pairs that share a heterozygous call: numbers of the first and second samples, counts (both
+#: heterozygous, opposite homozygous, both called) and heterozygotes of either, to a table.
+Finish = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.Table]
 
 
-def _pairs_of(i: int, j: int, mask: np.ndarray, counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
-    x, y = np.nonzero(mask)
-    cols = {"a_at": i * len(a) + x, "b_at": j * len(b) + y, "het_het": counts[0][x, y], "ibs0": counts[1][x, y], "n_sites": counts[2][x, y], "na": a[x], "nb": b[y]}
-    return pa.table({k: pa.array(v.astype(np.int64)) for k, v in cols.items()})
+def _pairs_of(mask: np.ndarray, a_at: np.ndarray, b_at: np.ndarray, counts: np.ndarray, na: np.ndarray, nb: np.ndarray) -> pa.Table:
+    cols = {"a_at": a_at, "b_at": b_at, "het_het": counts[0], "ibs0": counts[1], "n_sites": counts[2], "na": na, "nb": nb}
+    return pa.table({k: pa.array(v[mask].astype(np.int64)) for k, v in cols.items()})
 
 
 _PAIRS = "a_at long, b_at long, het_het long, ibs0 long, n_sites long, na long, nb long"
 
 
-def compare(calls: DataFrame, finish: Finish, schema: str, z: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
-    """What ``finish`` makes of each two sample blocks, and the samples (sample, at) by their numbers.
+def compare(calls: DataFrame, finish: Finish, schema: str, z: Sizes = Sizes(), lists: Lists = Lists()) -> tuple[DataFrame, DataFrame]:
+    """What ``finish`` makes of the pairs of two sample blocks, and the samples (sample, at) by their numbers.
 
     Of two samples the first is before the second in the order of ids.
     """
     g = F.col("alt_count")
-    c = calls.where(g.between(0, 2) & F.col("sample").isNotNull() & F.col("variant").isNotNull()).select("sample", "variant", g.cast("tinyint").alias("g"))
+    c = cut(calls.where(g.between(0, 2) & F.col("sample").isNotNull() & F.col("variant").isNotNull()).select("sample", "variant", g.cast("tinyint").alias("g")))
     samples = cut(numbered(c.select("sample").distinct(), ["sample"], "at"))
-    variants = cut(numbered(c.select("variant").distinct(), ["variant"], "_v"))
-    n, m = samples.count(), variants.count()
-    rows = c.join(samples, "sample").join(variants, "variant")
+    variants = cut(numbered(c.groupBy("variant").agg(F.count("*").alias("_n")), ["variant"], "_v"))
+    n = samples.count()
+    m, total, joint = variants.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1.0) / 2), F.lit(0.0))).first()
+    rows = c.join(samples, "sample").join(variants.drop("_n"), "variant").select("at", "_v", "g")
+    if joint <= n * n / 2:
+        return _by_lists(rows, n, m, total, finish, schema, lists), samples
+    return _by_blocks(rows, n, m, finish, schema, z), samples
+
+
+def _sides(packed: DataFrame, last: int, *columns: Column | str) -> DataFrame:
+    """Every block beside every block: ``i`` and ``j``, and whether it is the second of the two."""
+    other = packed.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    return other.select(F.least("sb", "o").alias("i"), F.greatest("sb", "o").alias("j"), (F.col("sb") > F.col("o")).alias("right"), *columns)
+
+
+def _by_blocks(rows: DataFrame, n: int, m: int, finish: Finish, schema: str, z: Sizes) -> DataFrame:
     block = lambda at, size: (F.floor(F.col(at) / size).cast("int"), (F.col(at) % size).cast("int"))
     (sb, s), (vb, v) = block("at", z.samples), block("_v", z.variants)
     packed = cut(rows.select(sb.alias("sb"), vb.alias("vb"), s.alias("s"), v.alias("v"), "g").groupBy("sb", "vb").applyInArrow(lambda t: _pack(t, z), "sb int, vb int, n int, data binary"))
-    last = max(0, -(-n // z.samples) - 1)
-    other = packed.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(last))))
-    sides = other.select(F.least("sb", "o").alias("i"), F.greatest("sb", "o").alias("j"), (F.col("sb") > F.col("o")).alias("right"), F.floor(F.col("vb") / z.span).cast("int").alias("vr"), "vb", "n", "data")
+    sides = _sides(packed, max(0, -(-n // z.samples) - 1), F.floor(F.col("vb") / z.span).cast("int").alias("vr"), "vb", "n", "data")
+
+    def done(i: int, j: int, counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
+        x, y = np.nonzero((counts[0] > 0) & _once(i, j, len(a)))
+        return finish(i * len(a) + x, j * len(b) + y, counts[:, x, y], a[x], b[y])
 
     if m <= z.span * z.variants:
 
         def all_of(t: pa.Table) -> pa.Table:
-            return finish(t.column("i")[0].as_py(), t.column("j")[0].as_py(), *_joint(t, z))
+            return done(t.column("i")[0].as_py(), t.column("j")[0].as_py(), *_joint(t, z))
 
-        return sides.groupBy("i", "j").applyInArrow(all_of, schema), samples
+        return sides.groupBy("i", "j").applyInArrow(all_of, schema)
 
     def part(t: pa.Table) -> pa.Table:
         counts, a, b = _joint(t, z)
@@ -169,10 +199,10 @@ def compare(calls: DataFrame, finish: Finish, schema: str, z: Sizes = Sizes()) -
         for x, y in zip(t.column("counts"), t.column("own"), strict=True):
             counts += np.frombuffer(x.as_buffer(), np.int32).reshape(counts.shape)
             own += np.frombuffer(y.as_buffer(), np.int64).reshape(own.shape)
-        return finish(t.column("i")[0].as_py(), t.column("j")[0].as_py(), counts, *own)
+        return done(t.column("i")[0].as_py(), t.column("j")[0].as_py(), counts, *own)
 
     parts = sides.groupBy("i", "j", "vr").applyInArrow(part, "i int, j int, counts binary, own binary")
-    return parts.groupBy("i", "j").applyInArrow(add, schema), samples
+    return parts.groupBy("i", "j").applyInArrow(add, schema)
 
 
 def _once(i: int, j: int, n: int) -> np.ndarray | bool:
@@ -180,24 +210,100 @@ def _once(i: int, j: int, n: int) -> np.ndarray | bool:
     return np.triu(np.ones((n, n), bool), 1) if i == j else True
 
 
+def _bytes(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones and so on, which compresses well."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _whole(data: memoryview, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * n).reshape(4, n).T).view("<u4").ravel()
+
+
+def _listed(t: pa.Table) -> pa.Table:
+    """A piece of a sample block: variants, samples and counts by variant; of repeated calls the largest."""
+    s, v, g = (t.column(c).to_numpy() for c in "svg")
+    order = np.lexsort((-g, s, v))
+    s, v, g = s[order], v[order], g[order]
+    first = np.concatenate([[True], (s[1:] != s[:-1]) | (v[1:] != v[:-1])])
+    data = _bytes(v[first]) + _bytes(s[first]) + g[first].astype(np.uint8).tobytes()
+    return pa.table({"sb": t.column("sb")[:1], "vr": t.column("vr")[:1], "n": pa.array([int(first.sum())], pa.int32()), "data": pa.array([data], pa.binary())})
+
+
+def _unlisted(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Variants, samples and counts of a sample block by variant."""
+    cols = [(_whole(memoryview(x), n), _whole(memoryview(x)[4 * n :], n), np.frombuffer(x, np.uint8, n, 8 * n)) for _, n, x in sorted(pieces)]
+    return tuple(np.concatenate([c[k] for c in cols]) if cols else np.zeros(0, np.uint32) for k in range(3))
+
+
+def _by_lists(rows: DataFrame, n: int, m: int, total: int, finish: Finish, schema: str, z: Lists) -> DataFrame:
+    k = max(1, min(z.blocks, -(-total // z.least)), -(-total // z.most))
+    size = max(1, -(-n // k))
+    last = max(0, -(-n // size) - 1)
+    span = max(1, -(-m // max(1, -(-total // (k * z.piece)))))
+    at = rows.select(F.floor(F.col("at") / size).cast("int").alias("sb"), F.floor(F.col("_v") / span).cast("int").alias("vr"), (F.col("at") % size).cast("int").alias("s"), F.col("_v").cast("int").alias("v"), "g")
+    packed = cut(at.groupBy("sb", "vr").applyInArrow(_listed, "sb int, vr int, n int, data binary"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides: tuple[list, list] = [], []
+        i = j = 0
+        for b in batches:
+            for i, j, right, *piece in zip(*(b.column(c).to_pylist() for c in ("i", "j", "right", "vr", "n", "data")), strict=True):
+                sides[right].append(piece)
+        if not sides[0] or (i != j and not sides[1]):
+            return
+        v, s, g = _unlisted(sides[0])
+        sides[0].clear()
+        rv, rs, rg = (v, s, g) if i == j else _unlisted(sides[1])
+        sides[1].clear()
+        hets, other = (np.bincount(x[y == 1], minlength=size) for x, y in ((s, g), (rs, rg)))
+        lo = np.searchsorted(rv, v).astype(np.int32)
+        many = np.searchsorted(rv, v, "right").astype(np.int32) - lo
+        order = np.argsort(s, kind="stable")
+        s, g, lo, many = s[order], g[order], lo[order], many[order]
+        ends = np.flatnonzero(np.concatenate([s[1:] != s[:-1], [True]])) + 1  # of the samples' calls
+        before = np.cumsum(many, dtype=np.int64)
+        at = 0
+        while at < len(s):  # at least one sample
+            done = before[at - 1] if at else 0
+            fit = np.searchsorted(before[ends - 1], done + z.joint, "right")
+            end = int(ends[max(fit - 1, np.searchsorted(ends, at, "right"))])
+            x = np.repeat(np.arange(at, end), many[at:end])
+            y = np.arange(len(x)) - np.repeat(before[at:end] - many[at:end] - done - lo[at:end], many[at:end])
+            a, b, ga, gb = s[x].astype(np.int64), rs[y].astype(np.int64), g[x], rg[y]
+            key = (a * size + b) * 16 + ga * 4 + gb
+            if i == j:
+                key = key[a < b]
+            at = end
+            if not len(key):
+                continue
+            key.sort()
+            pair, ga, gb = key >> 4, key >> 2 & 3, key & 3
+            start = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+            states = ((ga == 1) & (gb == 1), np.abs(ga - gb) == 2)
+            counts = np.stack([*(np.add.reduceat(w, start, dtype=np.int64) for w in states), np.diff(np.append(start, len(key)))])
+            pair, some = pair[start], counts[0] > 0
+            a, b = pair[some] // size, pair[some] % size
+            yield from finish(i * size + a, j * size + b, counts[:, some], hets[a], other[b]).to_batches()
+
+    return _sides(packed, last, "vr", "n", "data").groupBy("i", "j").applyInArrow(joined, schema)
+
+
 def _named(pairs: DataFrame, samples: DataFrame) -> DataFrame:
     name = lambda new: samples.select(F.col("sample").alias(new), F.col("at").alias(f"{new}_at"))
     return pairs.join(name("a"), "a_at").join(name("b"), "b_at")
 
 
-def kinship(calls: DataFrame, least: float = 0.0442, sizes: Sizes = Sizes()) -> DataFrame:
+def kinship(calls: DataFrame, least: float = 0.0442, sizes: Sizes = Sizes(), lists: Lists = Lists()) -> DataFrame:
     """KING-robust kinship of the pairs of samples over ``least`` (0 or more): (a, b, n_sites, het_het, ibs0, kinship, relationship).
 
-    phi = (het-het - 2 * opposite homozygotes) / (het_i + het_j); Manichaikul 2010, between families. Every pair
-    is compared in the blocks; rows out are as many as related pairs.
+    phi = (het-het - 2 * opposite homozygotes) / (het_i + het_j); Manichaikul 2010, between families. Every pair that
+    shares a heterozygous call is compared, and no other can be over 0; rows out are as many as related pairs.
     """
 
-    def finish(i, j, counts, a, b):
-        hets = a[:, None] + b[None]
-        over = (counts[0] - 2 * counts[1] > least * hets) & (hets > 0) & _once(i, j, len(a))
-        return _pairs_of(i, j, over, counts, a, b)
+    def finish(a_at, b_at, counts, na, nb):
+        return _pairs_of(counts[0] - 2 * counts[1] > least * (na + nb), a_at, b_at, counts, na, nb)
 
-    pairs, samples = compare(calls, finish, _PAIRS, sizes)
+    pairs, samples = compare(calls, finish, _PAIRS, sizes, lists)
     k = _named(pairs, samples).withColumn("kinship", (F.col("het_het") - 2 * F.col("ibs0")) / (F.col("na") + F.col("nb"))).where(F.col("kinship") > least)
     return k.select("a", "b", "n_sites", "het_het", "ibs0", "kinship").withColumn("relationship", relationship("kinship"))
 
@@ -212,8 +318,8 @@ def shared(own: DataFrame, least: int = 1) -> DataFrame:
     ``share`` is of the smaller owner's things.
     """
 
-    def finish(i, j, counts, a, b):
-        return _pairs_of(i, j, (counts[0] >= max(1, least)) & _once(i, j, len(a)), counts, a, b)
+    def finish(a_at, b_at, counts, na, nb):
+        return _pairs_of(counts[0] >= max(1, least), a_at, b_at, counts, na, nb)
 
     pairs, samples = compare(_members(own), finish, _PAIRS)
     return _named(pairs, samples).select("a", "b", F.col("het_het").alias("n_shared"), (F.col("het_het") / F.least("na", "nb")).alias("share"))
@@ -223,9 +329,8 @@ def degree_counts(own: DataFrame, cuts: tuple = KINSHIP_CUTS) -> DataFrame:
     """(relationship, n_pairs) over all pairs that share anything, counted where the pairs are compared."""
     names = [name for _, name in cuts] + ["unrelated"]
 
-    def finish(i, j, counts, a, b):
-        x, y = np.nonzero((counts[0] > 0) & _once(i, j, len(a)))
-        share = counts[0][x, y] / np.minimum(a[x], b[y])
+    def finish(a_at, b_at, counts, na, nb):
+        share = counts[0] / np.minimum(na, nb)
         at = np.argmax(np.stack([*(share > c for c, _ in cuts), np.ones(len(share), bool)]), axis=0)
         return pa.table({"relationship": pa.array(names), "n": pa.array(np.bincount(at, minlength=len(names)))})
 

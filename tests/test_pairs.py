@@ -47,6 +47,15 @@ def test_kinship_equals_all_pairs(spark, called, sizes):
     assert got == brute_kinship(g, 0.02) and len(got) > 10
 
 
+@pytest.mark.parametrize("lists", [pairs.Lists(), pairs.Lists(5, 20, 400, 30, 10)])
+def test_sparse_cohorts_are_compared_by_lists(spark, monkeypatch, lists):
+    """Fewer joint calls than pairs; several blocks, pieces and slices give what one does."""
+    monkeypatch.setattr(pairs, "_by_blocks", None)
+    g = cohort(120, 300, 0.05, 5)
+    got = {(r.a, r.b): (r.n_sites, r.het_het, r.ibs0, round(r.kinship, 12)) for r in pairs.kinship(calls_of(spark, g), 0.02, lists=lists).collect()}
+    assert got == brute_kinship(g, 0.02) and len(got) > 10
+
+
 def test_kinship_leaves_out_what_is_no_call(spark):
     rows = [("a", 1, 1), ("b", 1, 1), ("a", 2, 7), ("b", 2, 1), (None, 1, 1), ("c", None, 1), ("c", 1, None), ("a", 3, 0), ("a", 3, 1), ("b", 3, 1)]
     got = pairs.kinship(spark.createDataFrame(rows, "sample string, variant long, alt_count long")).collect()
