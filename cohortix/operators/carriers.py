@@ -10,6 +10,7 @@ from cohortix.sources import genotype as files
 from cohortix.sources.fasta import bases_of
 
 from .annotate import sized
+from .cutpoint import cut
 from .genotype import call_columns, oriented_sites
 
 COLUMNS = ("participant_id", "native_sample_id", "variant_key", "variant_id", "rsid", "chromosome", "position", "ref", "alt", "GT", "hardcall_alt_count", "dosage", "ploidy", "heterozygous", "homozygous_alt", "info_r2", "genome_build", "source_id")
@@ -48,31 +49,25 @@ def _carrier_rows(calls: DataFrame, carrier_only: bool, genome_build: str | None
 
 
 def bed_carriers(spark: SparkSession, prefix: str, aliases: DataFrame | None = None, index: DataFrame | None = None, carrier_only: bool = True, genome_build: str | None = None, source_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(carriers, sites) of a PLINK fileset, or of all filesets of a folder, which then share their samples.
+    """(carriers, sites) of a PLINK fileset, or of all filesets of a folder: of ranges of sites or batches of samples.
 
     ``aliases``: native_id (the IID), participant_id; a sample without one has a null participant. A male's calls on
-    X (23) and all on Y and MT are haploid; a haploid heterozygote is missing.
+    X (23) and all on Y and MT are haploid; a haploid heterozygote is missing. Lines of the same chromosome, id, place
+    and alleles are one site.
     """
     every = [prefix] if files.files.exists(f"{prefix}.bed") else files.prefixes(prefix)
     if not every:
         raise ValueError(f"{prefix}: no .bed fileset found")
-    spark.dataSource.register(files.BedDataSource)
-    calls, sites = None, None
-    for p in every:
-        fam, bim = files.read_fam(spark, f"{p}.fam"), plink_sites(files.read_bim(spark, f"{p}.bim"), index)
-        raw = spark.read.format("bed").option("samples", fam.count()).option("variants", files.read_bim(spark, f"{p}.bim").count()).load(f"{p}.bed")
-        who = fam.select("sample_idx", F.col("IID").alias("native_sample_id"), (F.col("SEX") == "1").alias("male"))
-        if aliases is not None:
-            who = who.join(sized(aliases.select(F.col("native_id").alias("native_sample_id"), "participant_id").dropDuplicates(["native_sample_id"])), "native_sample_id", "left")
-        else:
-            who = who.withColumn("participant_id", F.col("native_sample_id"))
-        own = raw.join(sized(who), "sample_idx").join(sized(bim), "variant_idx").withColumn("fileset", F.lit(p))
-        bim = bim.withColumn("fileset", F.lit(p))
-        calls, sites = (own, bim) if calls is None else (calls.unionByName(own), sites.unionByName(bim))
-    calls = call_columns(calls)
+    calls = files.read_filesets(spark, every, called=carrier_only)
+    if aliases is not None:
+        calls = calls.join(sized(aliases.select(F.col("native_id").alias("native_sample_id"), "participant_id").dropDuplicates(["native_sample_id"])), "native_sample_id", "left")
+    else:
+        calls = calls.withColumn("participant_id", F.col("native_sample_id"))
+    site = ["raw_chromosome", "variant_id", "position", "a1", "a2"]
+    sites = cut(plink_sites(files.read_bims(spark, every).distinct(), index))
+    calls = call_columns(calls.join(sized(sites), site))
     calls = calls.withColumns({"dosage": F.col("alt_count").cast("double"), "info_r2": F.lit(None).cast("double")})
-    key = ["fileset", "variant_idx"]
-    table = sites.join(_statistics(calls, key), key, "left").select(
+    table = sites.join(_statistics(calls, site), site, "left").select(
         "variant_key", "variant_id", "rsid", "chromosome", "position", F.col("ref").alias("reference"), F.col("alt").alias("alternate"), "a1", "a2", "ref_check", "strand_ambiguous", "included",
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_called", "n_carriers", "n_hom_alt", "alt_allele_count")],
     )

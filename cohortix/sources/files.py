@@ -39,6 +39,16 @@ def write(path: str, data: bytes) -> None:
         out.write(data)
 
 
+def keep_named(folder: str, kept: list[str]) -> list[str]:
+    """Remove the files of a folder that are not of these names, whatever their suffix."""
+    own = set(kept)
+    for path in files_of(folder):
+        if path.rpartition(".")[0] not in own:
+            fs, p = place(path)
+            fs.delete_file(p)
+    return kept
+
+
 class Ranges:
     """Reads ranges of files; a few stay open."""
 

@@ -57,7 +57,7 @@ def fileset(path: str) -> dict[str, list[str]]:
 # ---- text members -----------------------------------------------------------------------------
 
 
-def _rows(spark: SparkSession, path: str) -> DataFrame:
+def _rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     w = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
     return spark.read.text(path).where(F.col("value").rlike(r"\S")).select(F.col("value"), w.alias("w"), F.monotonically_increasing_id().alias("_ord"))
 
@@ -214,12 +214,131 @@ def write_filesets(calls: DataFrame, sites: DataFrame, samples: DataFrame, folde
         return pa.table({"part": pa.array([part], pa.int32()), "prefix": pa.array([prefix])})
 
     named = at.groupBy("_part").cogroup(got.groupBy("part")).applyInArrow(one, "part int, prefix string")
-    kept = [r["prefix"] for r in cut(named).orderBy("part").collect()]  # a row a fileset
-    for p in files.files_of(folder):
-        if p.rpartition(".")[0] not in kept:
-            fs, where = files.place(p)
-            fs.delete_file(where)
-    return kept
+    return files.keep_named(folder, [r["prefix"] for r in cut(named).orderBy("part").collect()])  # a row a fileset
+
+
+def batches(calls: DataFrame, sites: DataFrame, samples: DataFrame, batch: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of filesets of ``batch`` samples, by ``part``: people in the order of their ids, and calls with their sites.
+
+    A batch has the sites that are called in it, so that what is written grows with the calls and not with samples times
+    sites. Each site is also in one batch by its hash, with a null ``s`` where no call makes it be there.
+    """
+    from cohortix.operators.cutpoint import cut
+    from cohortix.operators.dedup import numbered
+
+    own = cut(numbered(samples, ["sample"], "_s"))
+    n = max(1, -(-own.count() // batch))
+    part, s = F.floor(F.col("_s") / batch).cast("int").alias("part"), (F.col("_s") % batch).cast("int").alias("s")
+    rest = [F.col(c) for c in calls.columns if c not in ("variant", "sample")]
+    called = calls.join(own.select("sample", part, s), "sample").select("part", "variant", "s", *rest).join(sites, "variant")
+    home = sites.select(F.pmod(F.xxhash64("variant"), F.lit(n)).cast("int").alias("part"), F.lit(None).cast("int").alias("s"), "*")
+    return own.select(part, s, *[c for c in samples.columns if c != "sample"]), called.unionByName(home, allowMissingColumns=True)
+
+
+def write_batches(calls: DataFrame, sites: DataFrame, samples: DataFrame, folder: str, batch: int = 512) -> list[str]:
+    """``write_filesets`` by ``batches`` of samples: a task writes a fileset of one batch and the sites called in it."""
+    from cohortix.operators.cutpoint import cut
+
+    if files.exists(folder) and files.files_of(folder):
+        raise ValueError(f"{folder} is not empty")
+    people, rows = batches(calls.where("a1_count is not null").select("variant", "sample", F.col("a1_count").cast("int").alias("n")), sites.select("variant", "chromosome", "position", "variant_id", "a1", "a2"), samples.select("sample", "FID", "IID", "SEX"), batch)
+
+    def one(who: pa.Table, t: pa.Table) -> pa.Table:
+        import uuid
+
+        who, t = who.sort_by("s"), t.sort_by([("chromosome", "ascending"), ("position", "ascending"), ("variant", "ascending")])
+        part, v = (who if len(who) else t).column("part")[0].as_py(), t.column("variant").to_numpy()
+        first = np.concatenate([[True], v[1:] != v[:-1]]) if len(v) else np.zeros(0, bool)
+        copies = np.full((int(first.sum()), len(who)), -1, np.int8)
+        called = t.column("s").is_valid().to_numpy()
+        copies[(np.cumsum(first) - 1)[called], t.column("s").drop_null().to_numpy()] = t.column("n").drop_null().to_numpy()
+        prefix = f"{folder}/batch-{part:06}-{uuid.uuid4().hex[:8]}"
+        bim = zip(*(t.column(c).filter(pa.array(first)).to_pylist() for c in ("chromosome", "variant_id", "position", "a1", "a2")), strict=True)
+        fam = zip(*(who.column(c).to_pylist() for c in ("FID", "IID", "SEX")), strict=True)
+        files.write(f"{prefix}.bim", "".join(f"{c}\t{i}\t0\t{p}\t{a}\t{b}\n" for c, i, p, a, b in bim).encode())
+        files.write(f"{prefix}.fam", "".join(f"{f or 0} {i} 0 0 {x or 0} -9\n" for f, i, x in fam).encode())
+        files.write(f"{prefix}.bed", packed(copies))
+        return pa.table({"part": pa.array([part], pa.int32()), "prefix": pa.array([prefix])})
+
+    named = people.groupBy("part").cogroup(rows.groupBy("part")).applyInArrow(one, "part int, prefix string")
+    return files.keep_named(folder, [r["prefix"] for r in cut(named).orderBy("part").collect()])  # a row a fileset
+
+
+_SITE = "raw_chromosome string, variant_id string, position long, a1 string, a2 string"
+
+
+def read_bims(spark: SparkSession, prefixes: list[str]) -> DataFrame:
+    """The sites of filesets as they are written, in no order."""
+    f = lambda i: F.get("w", F.lit(i))
+    return _rows(spark, [f"{p}.bim" for p in prefixes]).select(f(0).alias("raw_chromosome"), f(1).alias("variant_id"), f(3).cast("bigint").alias("position"), F.upper(f(4)).alias("a1"), F.upper(f(5)).alias("a2"))
+
+
+def _bed_ranges(cells: int):
+    """Ranges of variants of each fileset and the bytes of their lines in the .bim, by one pass over it."""
+
+    def ranges(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = files.Ranges()
+        for b in it:
+            for prefix in b.column(0).to_pylist():
+                n = sum(1 for x in _lines(read, f"{prefix}.fam") if x.strip())
+                step, rows, at, v = max(1, cells // max(1, n)), [], 0, 0
+                for line in _lines(read, f"{prefix}.bim"):
+                    if line.strip():
+                        if v % step == 0:
+                            rows.append((prefix, v, at))
+                        v += 1
+                    at += len(line)
+                if read(f"{prefix}.bed", 0, 3) != MAGIC:
+                    raise ValueError(f"{prefix}.bed is not a SNP-major .bed file")
+                if files.size(f"{prefix}.bed") != 3 + -(-n // 4) * v:
+                    raise ValueError(f"{prefix}.bed does not hold {v} variants of {n} samples")
+                ends = [x[2] for x in rows[1:]] + [at]
+                cols = list(zip(*((*x, min(step, v - x[1]), e - x[2]) for x, e in zip(rows, ends, strict=True)), strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), *[pa.int64()] * 4), strict=True)], names=["fileset", "lo", "at", "n", "size"])
+
+    return ranges
+
+
+def _lines(read: files.Ranges, path: str, ahead: int = 4 << 20) -> Iterator[bytes]:
+    at, end, held = 0, files.size(path), b""
+    while at < end:
+        held += read(path, at, ahead)
+        at += ahead
+        *whole, held = held.splitlines(keepends=True) if at < end else [*held.splitlines(keepends=True), b""]
+        yield from whole
+
+
+def _bed_calls(called: bool):
+    def calls(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read, own, iid, male = files.Ranges(), None, None, None
+        for b in it:
+            for prefix, lo, at, n, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if own != prefix:
+                    fam = [x.split() for x in _lines(read, f"{prefix}.fam") if x.strip()]
+                    own, iid, male = prefix, pa.array([x[1].decode() for x in fam], pa.string()), pa.array([len(x) > 4 and x[4] == b"1" for x in fam], pa.bool_())
+                bim = [x.decode().split() for x in read(f"{prefix}.bim", at, size).splitlines() if x.strip()]
+                sites = [pa.array([x[0] for x in bim]), pa.array([x[1] for x in bim]), pa.array([int(x[3]) for x in bim], pa.int64()), pa.array([x[4].upper() for x in bim]), pa.array([x[5].upper() for x in bim])]
+                width = -(-len(iid) // 4)
+                many = max(1, 1_000_000 // max(1, len(iid)))
+                for k in range(0, n, many):
+                    raw = np.frombuffer(read(f"{prefix}.bed", 3 + (lo + k) * width, min(many, n - k) * width), np.uint8).reshape(-1, width, 1)
+                    copies = np.array(A1_COPIES, np.int8)[(raw >> np.array([0, 2, 4, 6], np.uint8) & 3).reshape(len(raw), -1)[:, : len(iid)]]
+                    v, s = np.nonzero(copies >= 0 if called else np.ones(copies.shape, bool))
+                    x, v, s = copies[v, s].astype(np.int32), pa.array(v + k), pa.array(s)
+                    yield pa.RecordBatch.from_arrays([iid.take(s), male.take(s), *[c.take(v) for c in sites], pa.array(x, mask=x < 0)], names=["native_sample_id", "male", *[c.split()[0] for c in _SITE.split(", ")], "a1_count"])
+
+    return calls
+
+
+def read_filesets(spark: SparkSession, prefixes: list[str], called: bool = False, cells: int = 20_000_000) -> DataFrame:
+    """Calls of filesets with their samples and sites, without a join; only those that are not missing where ``called``.
+
+    A task reads about ``cells`` calls by offset, with the lines of the .bim that go with them.
+    """
+    of = spark.createDataFrame([(p,) for p in prefixes], "fileset string").repartition(min(len(prefixes), 1_000), "fileset")
+    ranges = of.mapInArrow(_bed_ranges(cells), "fileset string, lo long, at long, n long, size long").collect()  # a row a range
+    df = spark.createDataFrame(ranges, "fileset string, lo long, at long, n long, size long").repartition(max(1, min(len(ranges), 4_000)), "fileset", "lo")
+    return df.mapInArrow(_bed_calls(called), f"native_sample_id string, male boolean, {_SITE}, a1_count int")
 
 
 # ---- VCF --------------------------------------------------------------------------------------

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import duckdb
+from pyspark.sql import functions as F
 
 from cohortix import plans
+from cohortix.operators import carriers
+from cohortix.sources import genotype as g
 
 
 def test_chain_reaches_the_last_site(spark, sf_dir, tmp_path):
@@ -14,3 +17,24 @@ def test_chain_reaches_the_last_site(spark, sf_dir, tmp_path):
     con.sql(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
     want = con.sql(plans.oracle_sql()["chain_lift"]).fetchall()
     assert sorted(map(tuple, plans.queries()["chain_lift"](spark, str(tmp_path)).collect())) == sorted(want)
+
+
+def cohort(spark, n):
+    """``n`` samples with two calls each, and ``n`` sites; the last has no call."""
+    samples = spark.range(n).select(F.col("id").alias("sample"), F.format_string("P%d", "id").alias("FID"), F.format_string("P%d", "id").alias("IID"), (F.col("id") % 2 + 1).cast("int").alias("SEX"))
+    sites = spark.range(n).select(F.col("id").alias("variant"), F.lit("1").alias("chromosome"), (F.col("id") + 1).alias("position"), F.format_string("rs%d", "id").alias("variant_id"), F.lit("G").alias("a1"), F.lit("A").alias("a2"))
+    calls = samples.select("sample", F.explode(F.array(F.col("sample"), (F.col("sample") * 7 + 1) % n)).alias("variant")).where(F.col("variant") < n - 1).distinct()
+    return calls.withColumn("a1_count", (F.col("variant") % 3).cast("int")), sites, samples
+
+
+def test_filesets_by_batches_grow_with_their_calls(spark, tmp_path):
+    calls, sites, samples = cohort(spark, 400)
+    made = g.write_batches(calls, sites, samples, f"{tmp_path}/out", 16)
+    assert len(made) == 25 and sum((tmp_path / "out" / f"{p.rpartition('/')[2]}.bed").stat().st_size for p in made) < 400 * 400 // 4 // 4
+    want = {(f"P{r.sample}", f"rs{r.variant}", r.a1_count) for r in calls.collect()}
+    read = g.read_filesets(spark, made, called=True, cells=100).collect()
+    assert len(read) == len(want) and {(r.native_sample_id, r.variant_id, r.a1_count) for r in read} == want
+    got, table = carriers.bed_carriers(spark, f"{tmp_path}/out")
+    assert {(r.native_sample_id, r.variant_id, r.hardcall_alt_count) for r in got.collect()} == {x for x in want if x[2]}
+    n = {r.variant_id: r.n_called for r in table.collect()}
+    assert len(n) == 400 and n["rs399"] == 0 and sum(n.values()) == len(want)
