@@ -80,19 +80,21 @@ def vcf_carriers(spark: SparkSession, path: str, aliases: DataFrame | None = Non
     A sample is known by its name, or by what follows its first underscore. Where DS is missing the dosage is the hard
     call; a positive dosage makes a carrier whatever the hard call is.
     """
-    c = files.read_vcf_calls(spark, path).where("alt <> ''").withColumn("chromosome", chromosome("chromosome"))
+    own = lambda df: df.where("alt <> ''").withColumn("chromosome", chromosome("chromosome"))
+    c = own(files.read_vcf_calls(spark, path, called=carrier_only))
     site = ["chromosome", "position", "variant_id", "ref", "alt", "info_r2"]
-    s = c.select(*site).distinct()
+    s = own(files.read_vcf_records(spark, path)).select(*site).distinct()
     if index is None:
         s = s.withColumn("ref_check", F.lit("unverified"))
     else:
         s = bases_of(s, index, F.length("ref")).withColumn("ref_check", F.when(F.col("bases") == F.col("ref"), "match").otherwise("mismatch")).drop("bases")
     key = F.concat_ws(":", "chromosome", F.col("position").cast("string"), "ref", "alt")
     s = s.withColumns({"variant_key": key, "rsid": _rsid(), "included": F.col("ref_check") != "mismatch"})
+    s = cut(s)
     named = s.withColumnsRenamed({x: f"_{x}" for x in site})
     same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in site]
     n = F.size(F.split("GT", "/"))
-    calls = c.join(named, same).withColumn("ploidy", F.coalesce(n, F.lit(2)))
+    calls = c.join(sized(named), same).withColumn("ploidy", F.coalesce(n, F.lit(2)))
     k, p = F.col("alt_count"), F.col("ploidy")
     calls = calls.withColumns({
         "dosage": F.coalesce("dosage", k.cast("double")), "heterozygous": (k == 1) & (p == 2), "homozygous_alt": k == p, "native_sample_id": F.col("sample"), "GT": F.coalesce("GT", F.lit("./.")),
@@ -106,14 +108,15 @@ def vcf_carriers(spark: SparkSession, path: str, aliases: DataFrame | None = Non
         calls = whole.join(sized(by_tail), tail == F.col("_n"), "left").withColumn("participant_id", F.coalesce("_p", "_q"))
     else:
         calls = calls.withColumn("participant_id", F.col("native_sample_id"))
-    table = s.join(_statistics(calls.select("variant_key", "alt_count", "ploidy"), ["variant_key"]), "variant_key").where("included").select(
-        "variant_key", F.when(F.col("variant_id") == ".", F.col("variant_key")).otherwise(F.col("variant_id")).alias("variant_id"), "rsid", "chromosome", "position", F.col("ref").alias("reference"), F.col("alt").alias("alternate"), "ref_check", "included", "n_called", "n_carriers", "n_hom_alt", "alt_allele_count",
+    table = s.join(_statistics(calls.select("variant_key", "alt_count", "ploidy"), ["variant_key"]), "variant_key", "left").where("included").select(
+        "variant_key", F.when(F.col("variant_id") == ".", F.col("variant_key")).otherwise(F.col("variant_id")).alias("variant_id"), "rsid", "chromosome", "position", F.col("ref").alias("reference"), F.col("alt").alias("alternate"), "ref_check", "included",
+        *[F.coalesce(x, F.lit(0)).alias(x) for x in ("n_called", "n_carriers", "n_hom_alt", "alt_allele_count")],
     )
     return _carrier_rows(calls.where("included"), carrier_only, genome_build, source_id), table
 
 
 def ref_checks(spark: SparkSession, path: str, sites: DataFrame) -> DataFrame:
-    """(check, n) of a VCF: the sites' statuses, and the records with several ALT alleles or none."""
+    """(check, n) of a VCF: the sites' statuses, and the sites with several ALT alleles or none."""
     skipped = files.vcf_skipped(spark, path).unpivot([], ["multiallelic", "no_alt"], "check", "n")
     skipped = skipped.select(F.when(F.col("check") == "no_alt", "monomorphic").otherwise("multiallelic_excluded").alias("check"), "n").where("n > 0")
     return sites.groupBy(F.col("ref_check").alias("check")).agg(F.count("*").alias("n")).unionByName(skipped)

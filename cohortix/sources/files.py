@@ -35,7 +35,7 @@ def files_of(path: str) -> list[str]:
 def write(path: str, data: bytes) -> None:
     fs, p = place(path)
     fs.create_dir(p.rpartition("/")[0], recursive=True)
-    with fs.open_output_stream(p) as out:
+    with fs.open_output_stream(p, compression=None) as out:  # a suffix must not compress bytes again
         out.write(data)
 
 

@@ -353,6 +353,14 @@ def vcf_columns(spark: SparkSession, path: str) -> list[str]:
     return line[0][0].lstrip("#").split("\t") if line else []
 
 
+def _vcf_samples(spark: SparkSession, path: str) -> DataFrame:
+    """(file, names): the samples of each file that has a header line; a row a file."""
+    from cohortix.operators.cutpoint import cut
+
+    f = F.split("value", "\t")
+    return cut(spark.read.text(path).where(F.col("value").startswith("#CHROM")).select(F.col("_metadata.file_path").alias("file"), F.slice(f, 10, F.greatest(F.size(f) - 9, F.lit(0))).alias("names")))
+
+
 def read_vcf_sites(spark: SparkSession, path: str) -> DataFrame:
     """CHROM POS ID REF ALT of every record; the genotype columns are not split."""
     f = F.split("value", "\t", 6)
@@ -361,31 +369,52 @@ def read_vcf_sites(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(strip_chr(g(0)).alias("chromosome"), g(1).cast("bigint").alias("position"), g(2).alias("variant_id"), F.upper(g(3)).alias("ref"), F.upper(g(4)).alias("alt"))
 
 
-def read_vcf_calls(spark: SparkSession, path: str) -> DataFrame:
+def read_vcf_records(spark: SparkSession, path: str) -> DataFrame:
+    """chromosome, position, variant_id, ref, alt and info_r2 of every record that ``read_vcf_calls`` reads."""
+    return _records(spark, path).where(~_skipped()).select(*_VCF_SITE, _r2().alias("info_r2"))
+
+
+def read_vcf_calls(spark: SparkSession, path: str, called: bool = False) -> DataFrame:
     """A row per record and sample: GT, ALT count, dosage (DS, unrounded) and imputation R2.
 
-    Records with several ALT alleles, ``*`` or ``.`` are skipped (``vcf_skipped`` counts them).
+    Records with several ALT alleles, ``*`` or ``.`` are skipped (``vcf_skipped`` counts them). Files of a folder have
+    samples of their own where each has a header, else those of the one header. ``called``: only calls that say
+    anything; the others are dropped before they are taken apart.
     """
-    names = vcf_columns(spark, path)[9:]
-    ids = F.array(*[F.lit(n) for n in names])
-    rows = _records(spark, path).where(~_skipped())
-    long = rows.select("chromosome", "position", "variant_id", "ref", "alt", "info", F.split("format", ":").alias("fmt"), F.posexplode("calls").alias("i", "call"))
+    heads = _vcf_samples(spark, path)
+    n = heads.count()
+    rows = _records(spark, path).where(~_skipped()).withColumn("r2", _r2())
+    long = rows.select("file", *_VCF_SITE, "r2", F.split("format", ":").alias("fmt"), F.posexplode(F.split("calls", "\t")).alias("i", "call"))
+    if called:
+        long = long.where((F.col("call") != ".") & ~F.col("call").rlike("^[.:/|]*$"))
     part = lambda key: F.get(F.split("call", ":"), (F.array_position("fmt", key) - 1).cast("int"))
     field = lambda key: F.when(F.array_position("fmt", key) > 0, part(key))
-    r2 = F.coalesce(*[F.nullif(info_value("info", k), F.lit("")).try_cast("double") for k in ("R2", "DR2", "INFO", "IMPINFO")])
+    if n > 1:
+        long = long.join(F.broadcast(heads), "file")  # a row a file
+    elif n:
+        long = long.crossJoin(F.broadcast(heads.select("names")))  # one row
+    else:
+        long = long.withColumn("names", F.array().cast("array<string>"))
     return long.select(
-        F.get(ids, F.col("i")).alias("sample"), "chromosome", "position", "variant_id", "ref", "alt", F.regexp_replace(field("GT"), r"\|", "/").alias("GT"),
-        gt_alt_count(field("GT")).alias("alt_count"), field("DS").try_cast("double").alias("dosage"), r2.alias("info_r2"),
+        F.get("names", F.col("i")).alias("sample"), *_VCF_SITE, F.regexp_replace(field("GT"), r"\|", "/").alias("GT"),
+        gt_alt_count(field("GT")).alias("alt_count"), field("DS").try_cast("double").alias("dosage"), F.col("r2").alias("info_r2"),
     )
 
 
+_VCF_SITE = ("chromosome", "position", "variant_id", "ref", "alt")
+
+
+def _r2():
+    return F.coalesce(*[F.nullif(info_value("info", k), F.lit("")).try_cast("double") for k in ("R2", "DR2", "INFO", "IMPINFO")])
+
+
 def _records(spark: SparkSession, path: str) -> DataFrame:
-    f = F.split("value", "\t")
-    rows = spark.read.text(path).where(~F.col("value").startswith("#")).select(f.alias("f"))
+    f = F.split("value", "\t", 10)
+    rows = spark.read.text(path).where(~F.col("value").startswith("#")).select(f.alias("f"), F.col("_metadata.file_path").alias("file"))
     g = lambda i: F.get("f", F.lit(i))
     return rows.select(
-        strip_chr(g(0)).alias("chromosome"), g(1).cast("bigint").alias("position"), g(2).alias("variant_id"), F.upper(g(3)).alias("ref"), F.upper(g(4)).alias("alt"),
-        g(7).alias("info"), g(8).alias("format"), F.slice("f", 10, F.size("f")).alias("calls"),
+        "file", strip_chr(g(0)).alias("chromosome"), g(1).cast("bigint").alias("position"), g(2).alias("variant_id"), F.upper(g(3)).alias("ref"), F.upper(g(4)).alias("alt"),
+        g(7).alias("info"), g(8).alias("format"), g(9).alias("calls"),
     )
 
 
@@ -394,4 +423,41 @@ def _skipped():
 
 
 def vcf_skipped(spark: SparkSession, path: str) -> DataFrame:
-    return _records(spark, path).agg(F.count_if(F.col("alt").contains(",")).alias("multiallelic"), F.count_if(F.col("alt").isin("*", ".")).alias("no_alt"))
+    """Sites with several ALT alleles or none; one that several files of a folder have counts once."""
+    sites = _records(spark, path).where(_skipped()).select(*_VCF_SITE).distinct()
+    return sites.agg(F.count_if(F.col("alt").contains(",")).alias("multiallelic"), F.count_if(F.col("alt").isin("*", ".")).alias("no_alt"))
+
+
+def write_vcf_batches(calls: DataFrame, sites: DataFrame, samples: DataFrame, folder: str, batch: int = 128) -> None:
+    """Compressed VCFs of ``batches`` of samples, each with the records called in it; ``.`` where there is no call.
+
+    ``calls``: variant, sample, call; ``sites``: variant and the first nine columns by their names; ``samples``: sample, IID.
+    """
+    from cohortix.operators.cutpoint import cut
+
+    columns = ("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
+    people, rows = batches(calls.select("variant", "sample", "call"), sites.select("variant", *columns), samples.select("sample", "IID"), batch)
+
+    def one(who: pa.Table, t: pa.Table) -> pa.Table:
+        import gzip
+        import uuid
+
+        who, t = who.sort_by("s"), t.sort_by([("CHROM", "ascending"), ("POS", "ascending"), ("variant", "ascending")])
+        part, names = (who if len(who) else t).column("part")[0].as_py(), who.column("IID").to_pylist()
+        lines, last, cells = ["##fileformat=VCFv4.2", "\t".join(["#" + columns[0], *columns[1:], *names])], None, []
+        fixed = zip(*(t.column(c).to_pylist() for c in columns), strict=True)
+        for v, site, s, call in zip(t.column("variant").to_pylist(), fixed, t.column("s").to_pylist(), t.column("call").to_pylist(), strict=True):
+            if v != last:
+                if last is not None:
+                    lines.append("\t".join(cells))
+                last, cells = v, [*map(str, site), *["."] * len(names)]
+            if s is not None:
+                cells[len(columns) + s] = call
+        if last is not None:
+            lines.append("\t".join(cells))
+        name = f"{folder}/batch-{part:06}-{uuid.uuid4().hex[:8]}.vcf"
+        files.write(f"{name}.gz", gzip.compress("".join(x + "\n" for x in lines).encode(), 1))
+        return pa.table({"name": pa.array([name])})
+
+    named = people.groupBy("part").cogroup(rows.groupBy("part")).applyInArrow(one, "name string")
+    files.keep_named(folder, [r["name"] for r in cut(named).collect()])  # a row a file

@@ -38,3 +38,18 @@ def test_filesets_by_batches_grow_with_their_calls(spark, tmp_path):
     assert {(r.native_sample_id, r.variant_id, r.hardcall_alt_count) for r in got.collect()} == {x for x in want if x[2]}
     n = {r.variant_id: r.n_called for r in table.collect()}
     assert len(n) == 400 and n["rs399"] == 0 and sum(n.values()) == len(want)
+
+
+def test_vcfs_by_batches_have_samples_of_their_own(spark, tmp_path):
+    calls, sites, samples = cohort(spark, 200)
+    site = sites.select("variant", F.col("chromosome").alias("CHROM"), F.col("position").alias("POS"), F.col("variant_id").alias("ID"), F.lit("A").alias("REF"), F.when(F.col("variant") % 5 == 0, "G,T").otherwise("G").alias("ALT"), *[F.lit(".").alias(c) for c in ("QUAL", "FILTER", "INFO")], F.lit("GT").alias("FORMAT"))
+    call = F.element_at(F.array(*map(F.lit, ("0/0", "0|1", "1/1"))), F.col("a1_count") + 1)
+    g.write_vcf_batches(calls.select("variant", "sample", call.alias("call")), site, samples, f"{tmp_path}/out", 16)
+    want = {(f"P{r.sample}", f"rs{r.variant}", r.a1_count) for r in calls.where("variant % 5 <> 0").collect()}
+    read = g.read_vcf_calls(spark, f"{tmp_path}/out", called=True).collect()
+    assert len(read) == len(want) and {(r["sample"], r.variant_id, r.alt_count) for r in read} == want
+    got, table = carriers.vcf_carriers(spark, f"{tmp_path}/out")
+    assert {(r.native_sample_id, r.variant_id, r.hardcall_alt_count) for r in got.collect()} == {x for x in want if x[2]}
+    n = {r.variant_id: r.n_called for r in table.collect()}
+    assert len(n) == 160 and n["rs199"] == 0 and sum(n.values()) == len(want)
+    assert g.vcf_skipped(spark, f"{tmp_path}/out").first().multiallelic == 40
