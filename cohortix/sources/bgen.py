@@ -49,7 +49,7 @@ def variant_count(path: str) -> int:
     return header(path).variants
 
 
-def samples(spark: SparkSession, path: str) -> list[str]:
+def samples(spark: SparkSession | None, path: str) -> list[str]:
     """Samples: the ``.sample`` file beside it, else the block inside it; raises where there is neither."""
     side = path.removesuffix(".bgen") + ".sample"
     if files.exists(side):
@@ -150,6 +150,17 @@ def _unpacked(data: bytes, compression: int) -> bytes:
     return out
 
 
+def _ranges(path: str, head: Header, step: int) -> Iterator[tuple[int, int, int]]:
+    """Ranges of at most ``step`` variants: number and offset of the first, and how many; one range needs no walk."""
+    get, at = _Window(path), head.first
+    for i in range(0, head.variants, step):
+        yield i, at, min(step, head.variants - i)
+        if i + step < head.variants:
+            for _ in range(step):
+                s = _site(get, at)
+                at = s.data + 4 + s.size
+
+
 class _Blocks(InputPartition):
     def __init__(self, index: int, at: int, n: int):
         self.index, self.at, self.n = index, at, n
@@ -163,13 +174,7 @@ class BgenReader(DataSourceReader):
         self.step = max(1, cells // max(1, self.head.samples))
 
     def partitions(self):
-        get, at, out = _Window(self.path), self.head.first, []
-        for i in range(self.head.variants):
-            if i % self.step == 0:
-                out.append(_Blocks(i, at, min(self.step, self.head.variants - i)))
-            s = _site(get, at)
-            at = s.data + 4 + s.size
-        return out
+        return [_Blocks(*x) for x in _ranges(self.path, self.head, self.step)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         if partition is None:  # a file without variants
@@ -217,6 +222,110 @@ def read_bgen(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({"chromosome": strip_chr("raw_chromosome"), "alt_count": F.when(F.abs(F.col("dosage") - near) <= HARD_CALL, near).cast("int")})
 
 
+_CALLED = "variant_id string, rsid string, raw_chromosome string, position long, a1 string, a2 string, sample string, dosage double"
+
+
+def _bgen_ranges(cells: int):
+    def ranges(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for path in b.column(0).to_pylist():
+                h = header(path)
+                if h.layout != 2:
+                    raise ValueError(f"{path} is of layout {h.layout}; 2 is read")
+                own = [(path, at, n) for _, at, n in _ranges(path, h, max(1, cells // max(1, h.samples)))]
+                cols = list(zip(*own, strict=True)) or [[]] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["file", "at", "n"])
+
+    return ranges
+
+
+def _called(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+    names, own = [c.split()[0] for c in _CALLED.split(", ")], None
+    for b in it:
+        for path, at, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if own != path:
+                own, head, ids, get = path, header(path), pa.array(samples(None, path), pa.string()), _Window(path)
+            sites, at_sample, dosages, held = [], [], [], 0
+            for left in range(n - 1, -1, -1):
+                s = _site(get, at)
+                at = s.data + 4 + s.size
+                if len(s.alleles) == 2:
+                    x = alt_dosage(_unpacked(get(s.data + 4, s.size), head.compression), head.samples)
+                    i = np.flatnonzero(~np.isnan(x))
+                    sites.append((s.variant_id, s.rsid, s.chromosome, s.position, *s.alleles))
+                    at_sample.append(i)
+                    dosages.append(x[i])
+                    held += len(i)
+                if sites and (held >= 50_000 or len(sites) >= 50_000 or not left):
+                    v = pa.array(np.repeat(np.arange(len(sites)), [len(x) for x in at_sample]))
+                    cols = [pa.array(c, k).take(v) for c, k in zip(zip(*sites, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*cols, ids.take(pa.array(np.concatenate(at_sample))), pa.array(np.concatenate(dosages))], names=names)
+                    sites, at_sample, dosages, held = [], [], [], 0
+
+
+def read_called(spark: SparkSession, paths: list[str], cells: int = 20_000_000) -> DataFrame:
+    """The dosages of biallelic variants of BGEN files that are not missing, with sample and hard call (``alt_count``).
+
+    Each file has samples of its own; a task reads about ``cells`` calls.
+    """
+    of = spark.createDataFrame([(p,) for p in paths], "file string").repartition(max(1, min(len(paths), 1_000)), "file")
+    ranges = of.mapInArrow(_bgen_ranges(cells), "file string, at long, n long").collect()  # a row a range
+    df = spark.createDataFrame(ranges, "file string, at long, n long").repartition(max(1, min(len(ranges), 4_000)), "file", "at")
+    near = F.round("dosage")
+    return df.mapInArrow(_called, _CALLED).withColumns({"chromosome": strip_chr("raw_chromosome"), "alt_count": F.when(F.abs(F.col("dosage") - near) <= HARD_CALL, near).cast("int")})
+
+
+def _text(x: str, k: str) -> bytes:
+    return struct.pack(k, len(x.encode())) + x.encode()
+
+
+def write_batches(calls: DataFrame, sites: DataFrame, people: DataFrame, folder: str, batch: int = 256) -> list[str]:
+    """BGEN files of ``genotype.batches`` of samples, each with the variants called in it, 8 bits a probability; returns their paths.
+
+    ``calls``: variant, sample and the probabilities p1 and p2 of one and two copies; ``sites``: variant, name,
+    variant_id, chromosome, position, ref, alt; ``people``: sample, IID.
+    """
+    from cohortix.operators.cutpoint import cut
+
+    from .genotype import batches
+
+    fixed = ("name", "variant_id", "chromosome", "position", "ref", "alt")
+    who_of, rows = batches(calls.select("variant", "sample", "p1", "p2"), sites.select("variant", *fixed), people.select("sample", "IID"), batch)
+
+    def one(who: pa.Table, t: pa.Table) -> pa.Table:
+        import uuid
+
+        who, t = who.sort_by("s"), t.sort_by([("chromosome", "ascending"), ("position", "ascending"), ("variant", "ascending")])
+        part, ids = (who if len(who) else t).column("part")[0].as_py(), who.column("IID").to_pylist()
+        v = t.column("variant").to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.int64)
+        called = t.column("s").is_valid().to_numpy()
+        s, p1, p2 = (t.column(c).to_numpy() for c in ("s", "p1", "p2"))
+        block = b"".join(_text(x, "<H") for x in ids)
+        block = struct.pack("<II", 8 + len(block), len(ids)) + block
+        head = struct.pack("<III", 20, len(first), len(ids)) + b"bgen" + struct.pack("<I", 1 | 2 << 2 | 1 << 31)
+        out = [struct.pack("<I", len(head) + len(block)), head, block]
+        of = t.take(pa.array(first))
+        for lo, hi, name, rsid, chrom, position, *alleles in zip(first, np.append(first[1:], len(v)), *(of.column(c).to_pylist() for c in fixed), strict=True):
+            ok = called[lo:hi]
+            at, x1, x2 = s[lo:hi][ok].astype(np.int64), p1[lo:hi][ok], p2[lo:hi][ok]
+            ploidy, p = np.full(len(ids), 2 | 128, np.uint8), np.zeros((len(ids), 2), np.uint8)
+            ploidy[at] = 2
+            p[at, 0], p[at, 1] = np.rint((1 - x1 - x2) * 255), np.rint(x1 * 255)
+            data = struct.pack("<IHBB", len(ids), 2, 2, 2) + ploidy.tobytes() + bytes([0, 8]) + p.tobytes()
+            stored = struct.pack("<I", len(data)) + zlib.compress(data, 1)
+            out += [_text(name, "<H"), _text(rsid, "<H"), _text(chrom, "<H"), struct.pack("<IH", position, 2), *(_text(a, "<I") for a in alleles), struct.pack("<I", len(stored)), stored]
+        path = f"{folder}/batch-{part:06}-{uuid.uuid4().hex[:8]}.bgen"
+        files.write(path, b"".join(out))
+        return pa.table({"path": pa.array([path])})
+
+    named = who_of.groupBy("part").cogroup(rows.groupBy("part")).applyInArrow(one, "path string")
+    kept = sorted(r["path"] for r in cut(named).collect())  # a row a file
+    files.keep_named(folder, [p.removesuffix(".bgen") for p in kept])
+    return kept
+
+
 def write_bgen(path: str, ids: list[str], variants: list[tuple], bits: int = 8, compression: int = 1) -> None:
     """Fixture writer: variants of (variant_id, rsid, chromosome, position, alleles, probabilities).
 
@@ -226,7 +335,6 @@ def write_bgen(path: str, ids: list[str], variants: list[tuple], bits: int = 8,
     block = struct.pack("<II", 8 + len(block), len(ids)) + block
     head = struct.pack("<III", 20, len(variants), len(ids)) + b"bgen" + struct.pack("<I", compression | 2 << 2 | 1 << 31)
     out = [struct.pack("<I", len(head) + len(block)), head, block]
-    text = lambda x, k: struct.pack(k, len(x.encode())) + x.encode()
     for vid, rsid, chrom, position, alleles, probabilities in variants:
         ploidy = [2 if p is None else len(p) - 1 for p in probabilities]
         flat = [v for p, z in zip(probabilities, ploidy, strict=True) for v in ([0.0] * z if p is None else p[:-1])]
@@ -241,5 +349,5 @@ def write_bgen(path: str, ids: list[str], variants: list[tuple], bits: int = 8,
             stored = struct.pack("<I", len(data)) + zstandard.compress(data)
         else:
             stored = data
-        out += [text(vid, "<H"), text(rsid, "<H"), text(chrom, "<H"), struct.pack("<IH", position, len(alleles)), *(text(a, "<I") for a in alleles), struct.pack("<I", len(stored)), stored]
+        out += [_text(vid, "<H"), _text(rsid, "<H"), _text(chrom, "<H"), struct.pack("<IH", position, len(alleles)), *(_text(a, "<I") for a in alleles), struct.pack("<I", len(stored)), stored]
     files.write(path, b"".join(out))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortix import plans
 from cohortix.operators import carriers
+from cohortix.sources import bgen
 from cohortix.sources import genotype as g
 
 
@@ -53,3 +54,15 @@ def test_vcfs_by_batches_have_samples_of_their_own(spark, tmp_path):
     n = {r.variant_id: r.n_called for r in table.collect()}
     assert len(n) == 160 and n["rs199"] == 0 and sum(n.values()) == len(want)
     assert g.vcf_skipped(spark, f"{tmp_path}/out").first().multiallelic == 40
+
+
+def test_bgens_by_batches(spark, tmp_path):
+    calls, sites, samples = cohort(spark, 200)
+    s = sites.select("variant", F.format_string("v%d", "variant").alias("name"), "variant_id", "chromosome", "position", F.lit("A").alias("ref"), F.lit("G").alias("alt"))
+    p = [(F.col("a1_count") == k).cast("double").alias(f"p{k}") for k in (1, 2)]
+    made = bgen.write_batches(calls.select("variant", "sample", *p), s, samples, f"{tmp_path}/out", 16)
+    want = {(f"P{r.sample}", f"v{r.variant}", float(r.a1_count), r.a1_count) for r in calls.collect()}
+    for cells in (20_000_000, 64):
+        got = bgen.read_called(spark, made, cells).collect()
+        assert len(got) == len(want) and {(r["sample"], r.variant_id, r.dosage, r.alt_count) for r in got} == want
+    assert len(made) == 13 and {r.variant_id for p in made for r in bgen.read_bgen(spark, p).select("variant_id").distinct().collect()} == {f"v{v}" for v in range(200)}
