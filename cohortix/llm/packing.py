@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, give_back, shared_dir
@@ -278,6 +278,19 @@ def solve(counts: dict[int, int], capacity: int, nodes: int | None = 20_000) ->
     return complete(counts, capacity, sum(m for _, m in incumbent), nodes) or incumbent
 
 
+def _solved(spark: SparkSession, hist: dict[int, int], capacity: int, nodes: int | None) -> list[tuple[list[int], int]]:
+    """``solve`` in a task, as its search takes much memory that the driver need not have; patterns come back."""
+
+    def search(it):
+        counts = {s: n for b in it for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+        if counts:
+            plan = solve(counts, capacity, nodes)
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in plan], pa.list_(pa.int32())), pa.array([m for _, m in plan], pa.int64())], names=["pieces", "times"])
+
+    rows = spark.createDataFrame([(int(s), int(n)) for s, n in hist.items()], "length int, n long").coalesce(1)  # at most ``capacity`` rows
+    return [(list(r["pieces"]), r["times"]) for r in rows.mapInArrow(search, "pieces array<int>, times long").collect()]
+
+
 # ---- the packing of a table -------------------------------------------------------------------
 
 
@@ -292,7 +305,7 @@ def pack(docs: DataFrame, capacity: int = 2048, per_bucket: int = 2_000, nodes:
     where = shared_dir(docs.sparkSession)
     pieces = cut(token_pieces(docs, capacity, **kw), where)
     hist = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    plan = solve(hist, capacity, nodes)
+    plan = _solved(docs.sparkSession, hist, capacity, nodes)
     # For each length, ranks [first, last) go to a slot of a run of equal sequences.
     used: Counter = Counter()
     rows, base = [], 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -107,3 +108,17 @@ def test_fillings_are_the_undominated_ones():
 
 def test_lower_bound_counts_unfillable_room():
     assert packing.lower_bound({6: 3, 5: 1}, 10) == 4 and packing.lower_bound({8: 2, 3: 1}, 10) == 3 and packing.lower_bound({}, 10) == 0
+
+
+def test_the_search_is_not_made_in_the_driver(spark, monkeypatch):
+    """The driver's memory is small; the histogram is solved in a task."""
+    here = os.getpid()
+    solve = packing.solve
+
+    def elsewhere(*a):
+        assert os.getpid() != here
+        return solve(*a)
+
+    monkeypatch.setattr(packing, "solve", elsewhere)
+    docs = spark.createDataFrame([(i, "word " * (i % 50 + 1)) for i in range(200)], "doc_id long, text string")
+    assert packing.pack(docs).count() == 200
