@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cutpoint import cut
@@ -47,19 +49,39 @@ def hardy_weinberg(metrics: DataFrame, least: float = 1e-6) -> DataFrame:
     return p.withColumn("fail_hwe", F.coalesce(F.col("hwe_p") < least, F.lit(False)))
 
 
-def _ld_sums(window: int, step: int):
-    """Sums over one block of samples for the pairs of one window's variants, as a row."""
+def _ld_sums(window: int, step: int, width: int):
+    """Sums over one block of samples for the pairs of one window's variants, as a row.
 
-    def sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = np.unique(np.concatenate(pdf["s"].to_list()))
-        g, m = np.zeros((window, len(ids))), np.zeros((window, len(ids)))
-        for i, s, x in zip(pdf["i"] - key[1] * step, pdf["s"], pdf["g"], strict=True):
-            at = np.searchsorted(ids, s)
-            g[i, at], m[i, at] = x, 1
-        gs, ms = g[:step], m[:step]
-        both = np.stack([gs @ g.T, gs @ m.T, ms @ g.T, ms @ m.T])
-        own = np.stack([g.sum(1), m.sum(1), (g * g).sum(1)])
-        return pd.DataFrame({"chromosome": [key[0]], "w": [key[1]], "both": [both.tobytes()], "own": [own.tobytes()]})
+    A sample with one call in the window is in no pair; the others fill matrices of at most ``width`` samples. Of pairs,
+    the cells that are not empty leave the task.
+    """
+
+    def sums(t: pa.Table) -> pa.Table:
+        w = t.column("w")[0].as_py()
+        lists = t.column("s").combine_chunks()
+        row = np.repeat(t.column("i").to_numpy() - w * step, pc.list_value_length(lists).to_numpy())
+        s = lists.flatten().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        x = t.column("g").combine_chunks().flatten().to_numpy()
+        last = np.append((row[1:] != row[:-1]) | (s[1:] != s[:-1]), True)  # of repeated calls the largest
+        row, s, x = row[last], s[last], x[last]
+        own = np.stack([np.bincount(row, y, window) for y in (x, np.ones(len(x)), x * x)])
+        paired = np.bincount(s) > 1
+        paired &= np.bincount(s[row < step], minlength=len(paired)) > 0
+        some = paired[s]
+        row, s, x = row[some], (np.cumsum(paired) - 1)[s[some]], x[some]
+        order = np.argsort(s, kind="stable")
+        row, s, x = row[order], s[order], x[order]
+        both = np.zeros((4, step, window))
+        for lo in range(0, int(paired.sum()), width):
+            at = slice(*np.searchsorted(s, [lo, lo + width]))
+            g, m = np.zeros((2, window, s[at][-1] - lo + 1))
+            g[row[at], s[at] - lo], m[row[at], s[at] - lo] = x[at], 1
+            gs, ms = g[:step], m[:step]
+            both += np.stack([gs @ g.T, gs @ m.T, ms @ g.T, ms @ m.T])
+        both = both.reshape(4, -1)
+        cells = np.flatnonzero(both[3])
+        data = {"cells": cells.astype(np.int32), "both": both[:, cells], "own": own}
+        return pa.table({"chromosome": t.column("chromosome")[:1], "w": t.column("w")[:1], **{k: pa.array([v.tobytes()], pa.binary()) for k, v in data.items()}})
 
     return sums
 
@@ -67,50 +89,77 @@ def _ld_sums(window: int, step: int):
 def _ld_partners(window: int, step: int, r2: float):
     """Each variant of a window's first ``step`` with its frequency and the later ones over ``r2``."""
 
-    def partners(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        s, n, q = sum(np.frombuffer(x).reshape(3, window) for x in pdf["own"])
-        gg, gm, mg, mm = sum(np.frombuffer(x).reshape(4, min(step, window), window) for x in pdf["both"])
+    def partners(t: pa.Table) -> pa.Table:
+        own, both = np.zeros((3, window)), np.zeros((4, step * window))
+        for cells, x, y in zip(*(t.column(c).to_pylist() for c in ("cells", "both", "own")), strict=True):
+            both[:, np.frombuffer(cells, np.int32)] += np.frombuffer(x).reshape(4, -1)
+            own += np.frombuffer(y).reshape(3, window)
+        s, n, q = own
+        gg, gm, mg, mm = both.reshape(4, step, window)
         mean = s / np.maximum(n, 1)
         var = n * q - s * s  # whole numbers, so a variant without variance has exactly 0
         norm = np.sqrt(np.where(var > 0, var / np.maximum(n, 1), 0))
-        k = len(gg)
-        dot = gg - gm * mean - mean[:k, None] * mg + mm * mean[:k, None] * mean
-        scale = norm[:k, None] * norm
-        over = (scale > 0) & (np.divide(dot, scale, out=np.zeros_like(dot), where=scale > 0) ** 2 > r2) & (np.arange(window) > np.arange(k)[:, None])
-        at = np.flatnonzero(n[:k] > 0)
+        dot = gg - gm * mean - mean[:step, None] * mg + mm * mean[:step, None] * mean
+        scale = norm[:step, None] * norm
+        over = (scale > 0) & (np.divide(dot, scale, out=np.zeros_like(dot), where=scale > 0) ** 2 > r2) & (np.arange(window) > np.arange(step)[:, None])
+        at = np.flatnonzero(n[:step] > 0)
         f = np.minimum(mean / 2, 1 - mean / 2)
-        first = key[1] * step
-        return pd.DataFrame({"chromosome": key[0], "i": first + at, "f": f[at], "varies": norm[at] > 0, "partners": [(first + np.flatnonzero(over[j])).tolist() for j in at]})
+        first = t.column("w")[0].as_py() * step
+        named = pa.array([t.column("chromosome")[0].as_py()] * len(at), t.schema.field("chromosome").type)
+        return pa.table({"chromosome": named, "i": first + at, "f": f[at], "varies": norm[at] > 0, "partners": pa.array([first + np.flatnonzero(over[j]) for j in at], pa.list_(pa.int64()))})
 
     return partners
 
 
+def _ld_windows(index: DataFrame, window: int, step: int, most: int) -> DataFrame:
+    """(chromosome, seg, windows): the windows (w, b) that hold each ``step`` of variants, with ``b`` blocks of samples.
+
+    Blocks are a power of two, so many that one has about ``most`` calls: what is in a window counts, not the samples.
+    """
+    reach = -(-window // step)
+    w = Window.partitionBy("chromosome").orderBy("seg")
+    n = F.sum("_n").over(w.rowsBetween(0, reach - 1))
+    b = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(n / most, F.lit(1.0))))).cast("long")
+    segs = index.groupBy("chromosome", "seg").agg(F.sum("_n").alias("_n")).withColumn("b", b)
+    return segs.select("chromosome", "seg", F.collect_list(F.struct(F.col("seg").alias("w"), "b")).over(w.rowsBetween(1 - reach, 0)).alias("windows"))
+
+
+def _ld_parts(calls: DataFrame, index: DataFrame, window: int, step: int, sample_block: int) -> DataFrame:
+    """Sums of each window and block of samples: (chromosome, w, cells, both, own)."""
+    key = ["chromosome", "position", "variant"]
+    windows = cut(_ld_windows(index, window, step, window * sample_block))
+    finest = windows.agg(F.max(F.array_max("windows.b"))).first()[0] or 1
+    wide = calls.groupBy(*key, F.pmod(F.xxhash64("sample"), F.lit(finest)).alias("sb")).agg(F.sort_array(F.collect_list(F.struct("sample", "g"))).alias("x"))
+    named = index.select(*[F.col(c).alias(f"_{c}") for c in key], "i", "seg")
+    wide = wide.join(named, [_same(c, f"_{c}") for c in key]).select("chromosome", "sb", "i", "seg", F.col("x.sample").alias("s"), F.col("x.g").alias("g"))
+    wide = wide.join(windows.select(F.col("chromosome").alias("_c"), F.col("seg").alias("_s"), "windows"), [_same("chromosome", "_c"), _same("seg", "_s")])
+    wide = wide.withColumn("at", F.explode("windows")).where(F.col("at.w") * step + window > F.col("i"))
+    wide = wide.select("chromosome", F.col("at.w").alias("w"), F.pmod("sb", F.col("at.b")).alias("sb"), "i", "s", "g")
+    return wide.groupBy("chromosome", "w", "sb").applyInArrow(_ld_sums(window, step, sample_block), f"chromosome {dict(calls.dtypes)['chromosome']}, w long, cells binary, both binary, own binary")
+
+
+def _same(x: str, y: str) -> Column:
+    return F.col(x).eqNullSafe(F.col(y))
+
+
 def ld_prune(calls: DataFrame, window: int = 200, step: int = 50, r2: float = 0.2, sample_block: int = 4_096) -> DataFrame:
     """(chromosome, position, variant, keep): greedy pruning in windows of variants, by chromosome.
 
     Of a pair over ``r2`` within a window the one of lower minor-allele frequency goes (then the
-    later). Sums over samples are taken for each window and block of about ``sample_block`` samples,
-    whatever the number of samples. The choice is sequential within a run of variants that pairs above
-    ``r2`` reach across, and runs are chosen apart; only the windows that number variants and find the
+    later). Sums over samples are taken for each window and block of at most about ``window`` times
+    ``sample_block`` calls, whatever the number of samples. The choice is sequential within a run of variants that pairs
+    above ``r2`` reach across, and runs are chosen apart; only the windows that number variants and find the
     runs go over a whole chromosome, with a few numbers a variant.
     """
     if step > window:
         raise ValueError("a step beyond the window would leave variants out")
-    called = calls.where("alt_count is not null")
-    blocks = max(1, -(-called.agg(F.approx_count_distinct("sample")).first()[0] // sample_block))
-    key = ["chromosome", "position", "variant"]
+    key, kind, same = ["chromosome", "position", "variant"], dict(calls.dtypes), _same
+    called = cut(calls.where("alt_count is not null").select(*key, "sample", F.col("alt_count").cast("double").alias("g")))
     order = Window.partitionBy("chromosome").orderBy(F.col("position").asc_nulls_last(), "variant")
-    index = called.select(*key).distinct().withColumn("i", (F.row_number().over(order) - 1).cast("long"))
-    wide = called.groupBy(*key, F.pmod(F.xxhash64("sample"), F.lit(blocks)).alias("sb")).agg(F.sort_array(F.collect_list(F.struct("sample", F.col("alt_count").cast("double").alias("g")))).alias("x"))
-    named = index.withColumnsRenamed({c: f"_{c}" for c in key})
-    same = lambda x, y: F.col(x).eqNullSafe(F.col(y))
-    wide = wide.join(named, [same(c, f"_{c}") for c in key]).select("chromosome", "sb", "i", F.col("x.sample").alias("s"), F.col("x.g").alias("g"))
-    last = F.floor(F.col("i") / step)
-    first = F.greatest(F.lit(0), F.floor((F.col("i") - window) / step) + 1)
-    wide = wide.withColumn("w", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
-    kind = dict(calls.dtypes)
-    part = wide.groupBy("chromosome", "w", "sb").applyInPandas(lambda k, pdf: _ld_sums(window, step)(k[:2], pdf), f"chromosome {kind['chromosome']}, w long, both binary, own binary")
-    found = part.groupBy("chromosome", "w").applyInPandas(_ld_partners(window, step, r2), f"chromosome {kind['chromosome']}, i long, f double, varies boolean, partners array<long>")
+    index = called.groupBy(*key).agg(F.count("*").alias("_n")).withColumn("i", (F.row_number().over(order) - 1).cast("long"))
+    index = cut(index.withColumn("seg", F.floor(F.col("i") / step).cast("long")))
+    part = _ld_parts(called, index, window, step, sample_block)
+    found = part.groupBy("chromosome", "w").applyInArrow(_ld_partners(window, step, r2), f"chromosome {kind['chromosome']}, i long, f double, varies boolean, partners array<long>")
     found = found.withColumnsRenamed({"chromosome": "_chromosome", "i": "_i"})
     rows = index.join(found, [same("chromosome", "_chromosome"), same("i", "_i")]).select(*key, "i", "f", "varies", "partners")
     rows = cut(rows)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from cohortix import plans
-from cohortix.operators import carriers
+from cohortix.operators import carriers, stats
 from cohortix.sources import bgen
 from cohortix.sources import genotype as g
 
@@ -66,3 +67,18 @@ def test_bgens_by_batches(spark, tmp_path):
         got = bgen.read_called(spark, made, cells).collect()
         assert len(got) == len(want) and {(r["sample"], r.variant_id, r.dosage, r.alt_count) for r in got} == want
     assert len(made) == 13 and {r.variant_id for p in made for r in bgen.read_bgen(spark, p).select("variant_id").distinct().collect()} == {f"v{v}" for v in range(200)}
+
+
+def test_ld_sums_grow_with_calls_and_not_with_samples(spark):
+    """400 samples in blocks of 8 by 12 variants: a window has few calls, so it has few sums and not one a sample block."""
+    rows = [("1", 10 * v, v, (v * 37 + k * (k + v % 5)) % 400, (v + k) % 3) for v in range(60) for k in range(20)]
+    calls = spark.createDataFrame(rows, "chromosome string, position long, variant long, sample long, alt_count long")
+    made = {}
+    for block in (8, 4096):
+        sums = []
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(stats, "_ld_parts", lambda *x, real=stats._ld_parts: sums.append(real(*x)) or sums[0])
+            made[block] = sorted(map(tuple, stats.ld_prune(calls, 12, 4, 0.2, sample_block=block).collect()))
+        n = sums[0].count()
+        assert n <= 15 * (4 if block == 8 else 1)
+    assert made[8] == made[4096] and len(made[8]) == 60
