@@ -16,6 +16,8 @@ from .genotype import passing_variants
 
 #: A look-up side is broadcast up to this many rows; beyond it the join is shuffled.
 BROADCAST_ROWS = 500_000
+#: Rows that a task gets where rows are dealt by their number.
+TASK_ROWS = 500_000
 
 
 def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -23,6 +25,15 @@ def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def dealt(df: DataFrame, rows: int, *keys: str, most: int = TASK_ROWS) -> DataFrame:
+    """``df`` of ``rows`` rows dealt by ``keys`` to tasks of about ``most``, so that no task's memory grows with the table.
+
+    Small tables stay as they are, as a join of them may need no shuffle.
+    """
+    n = -(-rows // most)
+    return df.repartition(n, *keys) if n > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def with_key(df: DataFrame, chrom: str = "chromosome", pos: str = "position", ref: str = "ref", alt: str = "alt") -> DataFrame:
     return df.withColumn("variant_key", variant_key(chrom, pos, ref, alt))
 

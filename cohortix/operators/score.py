@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.alleles import complement, strand_ambiguous, strip_chr
 
-from .annotate import sized, with_key
+from .annotate import dealt, sized, with_key
+from .cutpoint import cut
 from .dedup import best_row, keep_first
 
 KEYS = ("model_id", "feature_id", "chromosome", "position", "variant_id", "effect_allele", "other_allele")
 GOOD = ("exact", "allele_swap", "strand_flip", "strand_flip_swap")
 MIN_COVERAGE = 0.5
+#: Calls that a task joins with the terms of their variants.
+TERM_ROWS = 250_000
 
 
 def check_builds(model: str | None, genotype: str | None) -> None:
@@ -46,8 +49,13 @@ def match_type(effect: Column, other: Column, ref: Column, alt: Column, forward_
 
 def prepared(weights: DataFrame, ord_col: str = "_ord") -> DataFrame:
     """Weights with upper-case alleles, plain chromosomes and ``_dup``: a later row of the same key."""
+    n = weights.count()
     w = weights.withColumns({"effect_allele": F.upper("effect_allele"), "other_allele": F.upper("other_allele"), "chromosome": strip_chr("chromosome")})
-    return w.withColumn("_dup", F.row_number().over(Window.partitionBy(*KEYS).orderBy(ord_col)) > 1)
+    # by position first, which a sort tells apart by its prefix; weights that have one are dealt by it, as their join needs
+    by = sorted(KEYS, key=lambda c: c not in ("position", "variant_id"))
+    dup = F.row_number().over(Window.partitionBy(*by).orderBy(ord_col)) > 1
+    placed = dealt(w.where("position is not null"), n, "chromosome", "position").withColumn("_dup", dup)
+    return placed.unionByName(w.where("position is null").withColumn("_dup", dup))
 
 
 def with_sites(weights: DataFrame, sites: DataFrame) -> DataFrame:
@@ -72,21 +80,27 @@ def harmonize(weights: DataFrame, sites: DataFrame, ord_col: str = "_ord", forwa
 
     Columns: the weight's own, outcome, match_type, geno_variant_id, counts_alt, counted_allele.
     Outcomes in order: duplicate, matched, multiallelic, missing, ambiguous, allele_mismatch. After one
-    join a weight's sites are judged within its row: no aggregate and no join back.
+    join a weight's sites are judged within its row: no aggregate and no join back. A single site is judged by
+    expressions that compile; functions over the array, which do not, are left to positions of several sites.
     """
     w = with_sites(prepared(weights, ord_col), sites)
     kind = lambda x: match_type(F.col("effect_allele"), F.col("other_allele"), x["g_ref"], x["g_alt"], forward_strand)
-    w = w.withColumn("_met", F.transform("_sites", lambda x: F.struct(kind(x).alias("match_type"), x.alias("at"))))
-    w = w.withColumn("_good", F.filter("_met", lambda m: m["match_type"].isin(*GOOD)))
+    many, only = F.size("_sites") > 1, F.get("_sites", F.lit(0))
+    w = w.withColumn("_kind", F.when(F.size("_sites") == 1, kind(only)))
+    w = w.withColumn("_met", F.when(many, F.transform("_sites", lambda x: F.struct(kind(x).alias("match_type"), x.alias("at")))))
+    w = w.withColumn("_good", F.when(many, F.filter("_met", lambda m: m["match_type"].isin(*GOOD))))
+    n = F.when(many, F.size("_good")).otherwise(F.coalesce(F.col("_kind").isin(*GOOD), F.lit(False)).cast("int"))
+    ambiguous = F.when(many, F.exists("_met", lambda m: m["match_type"] == "ambiguous")).otherwise(F.col("_kind") == "ambiguous")
     outcome = (
-        F.when(F.col("_dup"), "duplicate").when(F.size("_good") == 1, "matched").when(F.size("_good") > 1, "multiallelic")
-        .when(F.col("_sites").isNull(), "missing").when(F.exists("_met", lambda m: m["match_type"] == "ambiguous"), "ambiguous").otherwise("allele_mismatch")
+        F.when(F.col("_dup"), "duplicate").when(n == 1, "matched").when(n > 1, "multiallelic")
+        .when(F.col("_sites").isNull(), "missing").when(ambiguous, "ambiguous").otherwise("allele_mismatch")
     )
-    out = w.withColumn("outcome", outcome).withColumn("_site", F.when(F.col("outcome") == "matched", F.get("_good", F.lit(0))))
+    one = F.when(many, F.get("_good", F.lit(0))).otherwise(F.struct(F.col("_kind").alias("match_type"), only.alias("at")))
+    out = w.withColumn("outcome", outcome).withColumn("_site", F.when(F.col("outcome") == "matched", one))
     out = out.withColumns({"match_type": F.col("_site.match_type"), "geno_variant_id": F.col("_site.at.geno_variant_id")})
     out = out.withColumn("counts_alt", F.col("match_type").isin("exact", "strand_flip"))
     counted = F.when(F.col("counts_alt"), F.col("_site.at.g_alt")).otherwise(F.col("_site.at.g_ref"))
-    return out.withColumn("counted_allele", counted).drop("_dup", "_sites", "_met", "_good", "_site")
+    return out.withColumn("counted_allele", counted).drop("_dup", "_sites", "_kind", "_met", "_good", "_site")
 
 
 def model_quality(harmonized: DataFrame) -> DataFrame:
@@ -108,14 +122,15 @@ def coverage_status(quality: DataFrame, least: float = MIN_COVERAGE, allow_low:
     return q.withColumn("predict", (F.col("status") == "OK") | ((F.col("status") == "LOW_COVERAGE") & F.lit(allow_low)))
 
 
-def lines(matched: DataFrame) -> DataFrame:
+def lines(matched: DataFrame, rows: int = 0) -> DataFrame:
     """(variant, terms): what a dosage adds to each score, as one row a site.
 
     All weights of a site and a score are one line ``base + slope * dosage``: a weight on the ALT allele
-    adds weight * dosage, one on the REF allele weight * (2 - dosage).
+    adds weight * dosage, one on the REF allele weight * (2 - dosage). ``rows`` is what they are dealt by.
     """
     w, alt = F.col("weight"), F.col("counts_alt")
-    per = matched.groupBy(F.col("geno_variant_id").alias("variant"), "model_id", "feature_id").agg(
+    m = dealt(matched.select(F.col("geno_variant_id").alias("variant"), "model_id", "feature_id", "weight", "counts_alt"), rows, "variant", most=TERM_ROWS)
+    per = m.groupBy("variant", "model_id", "feature_id").agg(
         F.sum(F.when(alt, 0.0).otherwise(2 * w)).alias("base"), F.sum(F.when(alt, w).otherwise(-w)).alias("slope")
     )
     return per.groupBy("variant").agg(F.collect_list(F.struct("model_id", "feature_id", "base", "slope")).alias("terms"))
@@ -124,11 +139,14 @@ def lines(matched: DataFrame) -> DataFrame:
 def weighted_sum(calls: DataFrame, matched: DataFrame, intercepts: DataFrame | None = None) -> DataFrame:
     """Scores (sample, model_id, feature_id, score) from called dosages (sample, variant, dosage).
 
-    A missing genotype adds 0, because only called rows are joined. One join and one sum.
+    A missing genotype adds 0, because only called rows are joined. One join and one sum. Few terms of a variant's
+    calls meet in a score, so they go to their samples before they are summed, by tasks of a stated number of calls.
     """
-    called = calls.where("dosage is not null").join(lines(matched), "variant")
-    t = called.select("sample", "dosage", F.explode("terms").alias("t"))
-    s = t.groupBy("sample", F.col("t.model_id").alias("model_id"), F.col("t.feature_id").alias("feature_id")).agg(F.sum(F.col("t.base") + F.col("t.slope") * F.col("dosage")).alias("score"))
+    called = cut(calls.where("dosage is not null").select("sample", "variant", "dosage"))
+    n = called.count()
+    t = dealt(called, n, "variant", most=TERM_ROWS).join(lines(matched, n), "variant").select("sample", "dosage", F.explode("terms").alias("t"))
+    t = t.select("sample", "t.model_id", "t.feature_id", (F.col("t.base") + F.col("t.slope") * F.col("dosage")).alias("x"))
+    s = dealt(t, n, "sample", most=TERM_ROWS).groupBy("sample", "model_id", "feature_id").agg(F.sum("x").alias("score"))
     if intercepts is not None:
         s = s.join(sized(intercepts), ["model_id", "feature_id"], "left").withColumn("score", F.col("score") + F.coalesce("intercept", F.lit(0.0))).drop("intercept")
     return s

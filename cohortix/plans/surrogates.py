@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortix.operators.annotate import dealt
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,8 +37,9 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample, variant, alt_count): every tenth customer carries nothing; null where no tax was paid."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_tax")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").where("o_custkey % 10 <> 0")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    g = j.groupBy(F.col("o_custkey").alias("sample"), F.col("l_partkey").alias("variant")).agg(F.max("l_tax").alias("_t"), F.max(F.col("l_linenumber") % 3).alias("_n"))
+    n = table(spark, sf_dir, "lineitem").count()
+    j = dealt(li, n, "l_orderkey").join(dealt(o, n, "o_orderkey"), li["l_orderkey"] == o["o_orderkey"])
+    g = dealt(j, n, "o_custkey", "l_partkey").groupBy(F.col("o_custkey").alias("sample"), F.col("l_partkey").alias("variant")).agg(F.max("l_tax").alias("_t"), F.max(F.col("l_linenumber") % 3).alias("_n"))
     return g.select("sample", "variant", F.when(F.col("_t") != 0, F.col("_n")).cast("bigint").alias("alt_count"))
 
 
