@@ -34,8 +34,8 @@ def null_if_missing(c: str | Column, tokens: Sequence[str] = MISSING_TOKENS) ->
 
 def to_number(c: str | Column) -> Column:
     """The text as a double; null for what is no number, NaN included."""
-    text = as_text(c)
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    text = col(c).cast("string")  # a cast leaves white space at the ends out
+    return F.when(text.rlike(rf"^\s*{NUMBER[1:-1]}\s*$"), text.try_cast("double"))
 
 
 def to_whole(c: str | Column) -> Column:

@@ -40,7 +40,7 @@ def checked(df: DataFrame) -> DataFrame:
         keep = keep & (F.col(c).isNull() | F.col(c).between(0, 1))
     if "se" in have:
         keep = keep & (F.col("se").isNull() | (F.col("se") > 0))
-    key = ["chrom", "pos", "ea", "nea"] if {"chrom", "pos"} <= have else [next(c for c in ("snpid", "rsid") if c in have), "ea", "nea"]
+    key = ["pos", "chrom", "ea", "nea"] if {"chrom", "pos"} <= have else [next(c for c in ("snpid", "rsid") if c in have), "ea", "nea"]
     order = [F.asc_nulls_last(c) for c in ("p", *sorted(have - {"p"})) if c in have]
     return best_row(df.where(keep), key, order)
 

@@ -284,3 +284,12 @@ def test_levels_are_ranked_however_many(spark):
     assert {r["v"]: r["code"] for r in got} == {f"l{i:04}": float(i) for i in range(1500)} | {"NA": None, None: None} and len(got) == 1503
     with pytest.raises(ValueError, match="with_level_code"):
         coding.code_levels(df, "v")
+
+
+def test_numbers_in_text_are_matched_once(spark):
+    from cohortix.functions import text
+
+    said = [" 1.5\t", "\x0b-2e3\f\n", "1d", "NaN", "", " ", "5\u2028", "5 \u0085", "1 2", ".5", "7.", "+4", None]
+    df = spark.createDataFrame([(x,) for x in said], "x string").select("x", text.to_number("x").alias("n"), F.when(text.as_text("x").rlike(text.NUMBER), text.as_text("x").try_cast("double")).alias("want"))
+    assert [r.n for r in df.collect()] == [r.want for r in df.collect()] == [1.5, -2000.0, *[None] * 7, 0.5, 7.0, 4.0, None]
+    assert "regexp_replace" not in df.select("n")._jdf.queryExecution().optimizedPlan().toString()
