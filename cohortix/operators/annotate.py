@@ -30,8 +30,11 @@ def dealt(df: DataFrame, rows: int, *keys: str, most: int = TASK_ROWS) -> DataFr
 
     Small tables stay as they are, as a join of them may need no shuffle.
     """
-    n = -(-rows // most)
-    return df.repartition(n, *keys) if n > df.sparkSession.sparkContext.defaultParallelism else df
+    n, spark = -(-rows // most), df.sparkSession
+    if n <= spark.sparkContext.defaultParallelism:
+        return df
+    # under the number of shuffle partitions a join would deal them again
+    return df.repartition(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
 def with_key(df: DataFrame, chrom: str = "chromosome", pos: str = "position", ref: str = "ref", alt: str = "alt") -> DataFrame:
