@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.text import as_text, day_number
 
+from .annotate import dealt, joined
 from .coding import all_true
 from .cutpoint import cut
 from .dedup import insert_absent, keep_first, latest, refresh_source, upsert
@@ -235,13 +236,49 @@ def latest_artifact(artifacts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """(start, ancestor, depth): all ancestors of each start, nearest depth, by rounds of joins.
+    """(start, ancestor, depth): all ancestors of each start, nearest depth.
 
-    ``edges``: child, parent. A round extends only what the last round reached, and pairs that are
-    known are not extended again, so cycles end and the rounds go on until nothing is new. The edges are
-    made distinct once and each round is cut, so a long chain of ancestors makes no long lineage of tasks.
+    ``edges``: child, parent; repeats count once. Edges whose child is neither asked for nor anybody's parent are
+    never followed: one join drops them. While ids have less than half as many parents as they are, ancestors are
+    found for the parents first and joined down, so that the many are joined once; the rest goes by ``_rounds``.
+    """
+    edges = edges.select("child", "parent").where("child is not null and parent is not null")
+    asked = start.select(F.col("id").alias("child"), F.lit(True).alias("_start"))
+    ids = edges.select(F.col("parent").alias("child"), F.lit(False).alias("_start")).unionByName(asked).groupBy("child").agg(F.max("_start").alias("_start"))
+    edges = dealt(edges, edges.count(), "child").join(ids.hint("merge"), "child").distinct()
+    edges = cut(edges.withColumn("_n", F.count("*").over(Window.partitionBy("child"))))
+    own, levels = edges.where("_start"), []
+    n = round(own.agg(F.sum(1 / F.col("_n"))).first()[0] or 0)
+    while n:
+        up = cut(own.select(F.col("parent").alias("child")).distinct())
+        if not (m := up.count()) or 2 * m > n:
+            break
+        levels.append(own)
+        own, n = cut(joined(edges, up, "child", "left_semi")), m
+    out = _rounds(edges, own.select(F.col("child").alias("id")).distinct())
+    for k, own in reversed(list(enumerate(levels))):
+        out = _joined_down(own, out)
+        if k:
+            out = cut(out)
+    return out
+
+
+def _joined_down(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """``lineage`` of the children from that of their parents. Only children of several parents can meet an ancestor twice."""
+    e = edges.select(F.col("child").alias("start"), "parent", "_n")
+    far = joined(e, known.withColumnRenamed("start", "parent"), "parent").where("ancestor <> parent").withColumn("depth", F.col("depth") + 1)
+    all_ = e.withColumns({"ancestor": F.col("parent"), "depth": F.lit(1)}).unionByName(far).where("ancestor <> start")
+    rows = lambda few: all_.where(few).select("start", "ancestor", "depth")
+    return rows("_n = 1").unionByName(rows("_n > 1").groupBy("start", "ancestor").agg(F.min("depth").alias("depth")))
+
+
+def _rounds(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """``lineage`` by rounds of joins over distinct edges.
+
+    A round extends only what the last round reached, and pairs that are known are not extended again, so cycles
+    end and the rounds go on until nothing is new. Each round is cut, so a long chain of ancestors makes no long
+    lineage of tasks.
     """
-    edges = cut(edges.select("child", "parent").where("child is not null and parent is not null").distinct())
     out = start.select(F.col("id").alias("start"), F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
     front, d = out, 0
     while True:

@@ -359,18 +359,19 @@ def artifact_latest(spark, d):
 _EDGES = """edges AS (SELECT DISTINCT 'l:' || l_orderkey || ':' || l_linenumber AS child, 'o:' || l_orderkey AS parent FROM lineitem UNION ALL SELECT 'o:' || o_orderkey, 'c:' || o_custkey FROM orders UNION ALL SELECT 'c:' || c_custkey, 'n:' || c_nationkey FROM customer UNION ALL SELECT 'n:' || n_nationkey, 'r:' || n_regionkey FROM nation)"""
 
 
-def _edges(spark: SparkSession, d: str) -> DataFrame:
+def _edges(spark: SparkSession, d: str, repeats: bool = False) -> DataFrame:
     key = lambda p, *c: F.concat_ws(":", F.lit(p), *[F.col(x).cast("string") for x in c])
     t = lambda n, a, b: su.table(spark, d, n).select(a.alias("child"), b.alias("parent"))
+    lines = t("lineitem", key("l", "l_orderkey", "l_linenumber"), key("o", "l_orderkey"))
     return (
-        t("lineitem", key("l", "l_orderkey", "l_linenumber"), key("o", "l_orderkey")).distinct().unionByName(t("orders", key("o", "o_orderkey"), key("c", "o_custkey")))
+        (lines if repeats else lines.distinct()).unionByName(t("orders", key("o", "o_orderkey"), key("c", "o_custkey")))
         .unionByName(t("customer", key("c", "c_custkey"), key("n", "c_nationkey"))).unionByName(t("nation", key("n", "n_nationkey"), key("r", "n_regionkey")))
     )
 
 
 @register(f"WITH RECURSIVE {_EDGES}, up AS (SELECT child AS start, parent AS ancestor, 1 AS depth FROM edges WHERE child LIKE 'o:%' UNION ALL SELECT start, parent, depth + 1 FROM up JOIN edges ON child = ancestor) SELECT start, ancestor, CAST(min(depth) AS INT) AS depth FROM up GROUP BY 1, 2")
 def lineage_ancestors(spark, d):
-    e = _edges(spark, d)
+    e = _edges(spark, d, repeats=True)
     return registry.lineage(e, e.where(F.col("child").startswith("o:")).select(F.col("child").alias("id")).distinct())
 
 

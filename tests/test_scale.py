@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortix import plans
-from cohortix.operators import carriers, stats
+from cohortix.operators import annotate, carriers, registry, stats
 from cohortix.sources import bgen
 from cohortix.sources import genotype as g
 
@@ -82,3 +82,35 @@ def test_ld_sums_grow_with_calls_and_not_with_samples(spark):
         n = sums[0].count()
         assert n <= 15 * (4 if block == 8 else 1)
     assert made[8] == made[4096] and len(made[8]) == 60
+
+
+def ancestors(edges, starts):
+    """(start, ancestor, depth) by a search from each start."""
+    parents, out = {}, set()
+    for c, p in edges:
+        parents.setdefault(c, set()).add(p)
+    for s in starts:
+        seen, front, depth = {s}, {s}, 0
+        while front:
+            depth += 1
+            front = {p for c in front for p in parents.get(c, ())} - seen
+            seen |= front
+            out |= {(s, p, depth) for p in front}
+    return out
+
+
+@pytest.mark.parametrize("few", [3, 500_000])
+def test_lineage_follows_only_what_can_be_reached(spark, few):
+    """400 starts below 40, 10 and 5 ids, among them several parents, repeats, loops and a ring; 4,000 edges lead to starts only."""
+    starts = [f"s{i}" for i in range(400)]
+    edges = [(s, f"a{i % 40}") for i, s in enumerate(starts)] + [(s, f"a{(i * 7) % 40}") for i, s in enumerate(starts) if i % 9 == 0] + [("s0", "s0"), ("s5", "s6"), ("s1", "a1")]
+    edges += [(f"a{i}", f"b{i % 10}") for i in range(40)] + [("a3", "a4"), ("a7", "s7"), ("a8", "b1"), ("a0", "a0")] + [(f"b{i}", f"c{i % 5}") for i in range(10)] + [(f"c{i}", f"c{(i + 1) % 5}") for i in range(5)]
+    leaves = [(f"l{i}", f"s{i % 400}") for i in range(4_000)]
+    e = spark.createDataFrame(edges + leaves + [(None, "a1"), ("s1", None)], "child string, parent string")
+    rows = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(annotate, "BROADCAST_ROWS", few)
+        m.setattr(registry, "cut", lambda df, real=registry.cut: rows.append((made := real(df)).count()) or made)
+        got = sorted(map(tuple, registry.lineage(e, spark.createDataFrame([(s,) for s in [*starts, "s1", "x"]], "id string")).collect()))
+    assert got == sorted(ancestors(edges, starts))
+    assert sum(rows) < 1_500 < 4_000
