@@ -37,13 +37,18 @@ def dealt(df: DataFrame, rows: int, *keys: str, most: int = TASK_ROWS) -> DataFr
     return df.repartition(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
-def joined(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+def joined(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", rows: int = 0) -> DataFrame:
     """A join that broadcasts ``right`` behind the counted bound and sorts both sides beyond it.
 
-    Left to itself, Spark broadcasts a side by its estimate, which takes a small file or a generated table for few rows.
+    Left to itself, Spark broadcasts a side by its estimate, which takes a small file or a generated table for few
+    rows. With ``rows``, those of ``left``, both sides are dealt by ``on``.
     """
-    few = right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return left.join(F.broadcast(right) if few else right.hint("merge"), on, how)
+    n = right.count()
+    if n <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), on, how)
+    if rows:
+        left, right = dealt(left, max(n, rows), *on), dealt(right, max(n, rows), *on)
+    return left.join(right.hint("merge"), on, how)
 
 
 def with_key(df: DataFrame, chrom: str = "chromosome", pos: str = "position", ref: str = "ref", alt: str = "alt") -> DataFrame:

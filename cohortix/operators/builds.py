@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.alleles import BUILD_ALIASES, chromosome
 
+from .annotate import dealt, joined
 from .cutpoint import cut
 
 #: Chromosome lengths of the two builds as published (fixed values).
@@ -165,14 +166,21 @@ def decide_build(evidence: Sequence[tuple[str, float]], declared: str | None = N
 
 
 def bases_at(sites: DataFrame, reference: DataFrame, chunk: int, length: str | Column | None = None) -> DataFrame:
-    """Reference bases at each site from a chunked sequence table (chromosome, chunk_no, seq).
+    """Reference bases at each site from a chunked sequence table (chromosome, chunk_no, seq; each chunk once).
 
-    Equality on chromosome and chunk; a site near a chunk's end also meets the next chunk.
+    Equality on chromosome and chunk. Bases of a site within a chunk need no aggregate; only sites that go beyond
+    a chunk's end meet the next ones too and are put together, equal sites once.
     """
     n = F.lit(1) if length is None else (F.col(length) if isinstance(length, str) else length)
     s = sites.withColumn("_n", n).withColumn("_first", F.floor((F.col("position") - 1) / chunk)).withColumn("_last", F.floor((F.col("position") + F.col("_n") - 2) / chunk))
-    s = s.withColumn("chunk_no", F.explode(F.sequence("_first", "_last")))
     start = F.col("position") - 1 - F.col("chunk_no") * chunk
     piece = F.when(start >= 0, F.substr("seq", (start + 1).cast("int"), F.col("_n").cast("int"))).otherwise(F.substr("seq", F.lit(1), (F.col("_n") + start).cast("int")))
-    got = s.join(reference, ["chromosome", "chunk_no"]).groupBy(*sites.columns).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", piece.alias("p")))), lambda x: x["p"]), "").alias("bases"))
-    return sites.join(got, sites.columns, "left").withColumn("bases", F.upper(F.nullif("bases", F.lit(""))))
+    cols, rows = sites.columns, sites.count()
+    met = lambda df: joined(df, reference, ["chromosome", "chunk_no"], "left", rows)
+    beyond = F.coalesce(F.col("_last") > F.col("_first"), F.lit(False))
+    within = met(s.where(~beyond).withColumn("chunk_no", F.col("_first"))).select(*cols, piece.alias("bases"))
+    several = dealt(s.where(beyond), rows, *cols).groupBy(*cols, "_n", "_first", "_last").agg(F.count("*").alias("_copies"))
+    parts = met(several.withColumn("chunk_no", F.explode(F.sequence("_first", "_last")))).select(*cols, "_copies", F.struct("chunk_no", piece.alias("p")).alias("_p"))
+    whole = dealt(parts, rows, *cols).groupBy(*cols, "_copies").agg(F.array_join(F.transform(F.sort_array(F.collect_list("_p")), lambda x: x["p"]), "").alias("bases"))
+    whole = whole.select(*cols, "bases", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*cols, "bases")
+    return within.unionByName(whole).withColumn("bases", F.upper(F.nullif("bases", F.lit(""))))

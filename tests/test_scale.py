@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortix import plans
-from cohortix.operators import annotate, carriers, registry, stats
+from cohortix.operators import annotate, builds, carriers, registry, stats
 from cohortix.sources import bgen
 from cohortix.sources import genotype as g
 
@@ -114,3 +114,36 @@ def test_lineage_follows_only_what_can_be_reached(spark, few):
         got = sorted(map(tuple, registry.lineage(e, spark.createDataFrame([(s,) for s in [*starts, "s1", "x"]], "id string")).collect()))
     assert got == sorted(ancestors(edges, starts))
     assert sum(rows) < 1_500 < 4_000
+
+
+@pytest.mark.parametrize("few", [3, 500_000])
+def test_bases_of_equal_and_incomplete_sites(spark, few):
+    """Equal sites keep their rows, a null elsewhere in a row does not lose its bases, and chunks may be missing."""
+    ref = spark.createDataFrame([("1", 0, "ACGT"), ("1", 1, "ttgg"), ("1", 3, "CCCC"), ("2", 0, "GATT"), ("2", 1, "ACA")], "chromosome string, chunk_no bigint, seq string")
+    rows = [("a", "1", 4, 2), ("a", "1", 4, 2), (None, "1", 4, 2), (None, "1", 2, 1), (None, "1", 2, 1), ("b", "1", 0, 2), ("b", "1", 6, 9), ("c", "2", 3, 5), ("d", "2", 3, 0), ("e", "1", None, 1), ("f", "1", 1, None), ("g", None, 1, 1), ("h", "1", 11, 3)]
+    text = {"1": {0: "ACGT", 1: "TTGG", 3: "CCCC"}, "2": {0: "GATT", 1: "ACA"}}
+
+    def want(c, p, n):
+        if p is None or n is None:
+            return None
+        return "".join(text.get(c, {}).get(x // 4, "")[x % 4 : x % 4 + 1] for x in range(p - 1, p - 1 + n) if x >= 0) or None
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(annotate, "BROADCAST_ROWS", few)
+        m.setattr(annotate.dealt, "__kwdefaults__", {"most": 2})
+        got = builds.bases_at(spark.createDataFrame(rows, "site string, chromosome string, position bigint, n int"), ref, 4, "n").collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got), key=key) == sorted(((*r, want(*r[1:])) for r in rows), key=key)
+
+
+def broadcasts(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_bases_do_not_broadcast_a_generated_reference(spark):
+    """22 times 30,000 chunks are taken for few bytes by Spark's estimate."""
+    ref = spark.range(30_000).select(F.col("id").alias("chunk_no"), F.expr("repeat('ACGTTGCATC', 5)").alias("seq")).withColumn("chromosome", F.explode(F.array(*[F.lit(str(c)) for c in range(1, 23)])))
+    sites = spark.range(100).select(F.format_string("%d", F.col("id") % 22 + 1).alias("chromosome"), (F.col("id") * 10 + 1).alias("position"))
+    got = builds.bases_at(sites, ref, 50, F.lit(2))
+    assert broadcasts(got) == 0 and {r.bases for r in got.select("bases").distinct().collect()} == {"AC"}
