@@ -64,13 +64,18 @@ def split_alts(reference: DataFrame, alt: str = "alt") -> DataFrame:
 def reference_lookup(variants: DataFrame, reference: DataFrame, values: Sequence[str]) -> DataFrame:
     """Cohort variants with the ``values`` of the reference rows of the same four keys.
 
-    The reference may be far larger than the cohort: the cohort side is the one that is sized for a
-    broadcast, so that the reference is scanned once and not shuffled.
+    The reference may be far larger than the cohort: a cohort behind the bound for a broadcast is broadcast, so that
+    the reference is scanned once and not shuffled. Beyond it, both sides are dealt by the keys and sorted.
     """
     keys = ["chromosome", "position", "ref", "alt"]
-    own = variants.select(strip_chr("chromosome").alias("chromosome"), F.col("position").cast("bigint").alias("position"), F.upper("ref").alias("ref"), F.upper("alt").alias("alt"), "variant_key").distinct()
+    own = variants.select(strip_chr("chromosome").alias("chromosome"), F.col("position").cast("bigint").alias("position"), F.upper("ref").alias("ref"), F.upper("alt").alias("alt"), "variant_key")
     ref = split_alts(reference).select("chromosome", F.col("position").cast("bigint").alias("position"), "ref", "alt", *values)
-    return ref.join(sized(own), keys).select("variant_key", *values).distinct()
+    n = variants.count()
+    if n <= BROADCAST_ROWS or own.distinct().limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return ref.join(F.broadcast(own.distinct()), keys).select("variant_key", *values).distinct()
+    rows = max(n, ref.count())
+    met = dealt(ref, rows, *keys).join(dealt(own, rows, *keys).distinct().hint("merge"), keys).select("variant_key", *values)
+    return dealt(met, rows, "variant_key").distinct()
 
 
 def pick_transcript(rows: DataFrame) -> DataFrame:

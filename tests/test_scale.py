@@ -147,3 +147,17 @@ def test_bases_do_not_broadcast_a_generated_reference(spark):
     sites = spark.range(100).select(F.format_string("%d", F.col("id") % 22 + 1).alias("chromosome"), (F.col("id") * 10 + 1).alias("position"))
     got = builds.bases_at(sites, ref, 50, F.lit(2))
     assert broadcasts(got) == 0 and {r.bases for r in got.select("bases").distinct().collect()} == {"AC"}
+
+
+def test_lookup_does_not_broadcast_a_small_file_of_many_rows(spark, tmp_path):
+    spark.range(2_000).select(F.lit("1").alias("chromosome"), "id", F.lit("a").alias("ref"), F.lit("C,G").alias("alt")).write.parquet(f"{tmp_path}/s")
+    s = spark.read.parquet(f"{tmp_path}/s").withColumn("position", F.col("id") + 1).drop("id")
+    v = s.withColumns({"alt": F.lit("G"), "variant_key": F.col("position").cast("string")})
+    ref = s.withColumn("id", F.col("position"))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(annotate, "BROADCAST_ROWS", 1_000)
+        m.setattr(annotate.dealt, "__kwdefaults__", {"most": 200})
+        got = annotate.reference_lookup(v.unionByName(v), ref.unionByName(ref), ["id"])
+        assert broadcasts(got) == 0 and {(r.variant_key, r.id) for r in got.collect()} == {(str(i), i) for i in range(1, 2_001)} and got.count() == 2_000
+    few = annotate.reference_lookup(v, ref, ["id"])
+    assert broadcasts(few) and few.count() == 2_000
