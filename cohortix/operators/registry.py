@@ -238,7 +238,7 @@ def latest_artifact(artifacts: DataFrame, keys: Sequence[str]) -> DataFrame:
 def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(start, ancestor, depth): all ancestors of each start, nearest depth.
 
-    ``edges``: child, parent; repeats count once. Edges whose child is neither asked for nor anybody's parent are
+    ``edges``: child, parent, ``start``: id; repeats count once. Edges whose child is neither asked for nor anybody's parent are
     never followed: one join drops them. While ids have less than half as many parents as they are, ancestors are
     found for the parents first and joined down, so that the many are joined once; the rest goes by ``_rounds``.
     """
@@ -247,14 +247,14 @@ def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
     ids = edges.select(F.col("parent").alias("child"), F.lit(False).alias("_start")).unionByName(asked).groupBy("child").agg(F.max("_start").alias("_start"))
     edges = dealt(edges, edges.count(), "child").join(ids.hint("merge"), "child").distinct()
     edges = cut(edges.withColumn("_n", F.count("*").over(Window.partitionBy("child"))))
-    own, levels = edges.where("_start"), []
+    own, levels, rows = edges.where("_start"), [], edges.count()
     n = round(own.agg(F.sum(1 / F.col("_n"))).first()[0] or 0)
     while n:
         up = cut(own.select(F.col("parent").alias("child")).distinct())
         if not (m := up.count()) or 2 * m > n:
             break
         levels.append(own)
-        own, n = cut(joined(edges, up, "child", "left_semi")), m
+        own, n = cut(joined(edges, up, ["child"], "left_semi", rows)), m
     out = _rounds(edges, own.select(F.col("child").alias("id")).distinct())
     for k, own in reversed(list(enumerate(levels))):
         out = _joined_down(own, out)

@@ -372,7 +372,7 @@ def _edges(spark: SparkSession, d: str, repeats: bool = False) -> DataFrame:
 @register(f"WITH RECURSIVE {_EDGES}, up AS (SELECT child AS start, parent AS ancestor, 1 AS depth FROM edges WHERE child LIKE 'o:%' UNION ALL SELECT start, parent, depth + 1 FROM up JOIN edges ON child = ancestor) SELECT start, ancestor, CAST(min(depth) AS INT) AS depth FROM up GROUP BY 1, 2")
 def lineage_ancestors(spark, d):
     e = _edges(spark, d, repeats=True)
-    return registry.lineage(e, e.where(F.col("child").startswith("o:")).select(F.col("child").alias("id")).distinct())
+    return registry.lineage(e, e.where(F.col("child").startswith("o:")).select(F.col("child").alias("id")))
 
 
 @register(f"WITH {_EDGES} SELECT 'o:' || o_orderkey AS artifact_id, string_agg(parent, ',' ORDER BY parent) AS parents FROM orders LEFT JOIN edges ON child = 'o:' || o_orderkey GROUP BY 1")
