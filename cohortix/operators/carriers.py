@@ -9,7 +9,7 @@ from cohortix.functions.alleles import KEEP_STATUS, chromosome, strand_ambiguous
 from cohortix.sources import genotype as files
 from cohortix.sources.fasta import bases_of
 
-from .annotate import sized
+from .annotate import joined, sized
 from .cutpoint import cut
 from .genotype import call_columns, oriented_sites
 
@@ -60,14 +60,14 @@ def bed_carriers(spark: SparkSession, prefix: str, aliases: DataFrame | None = N
         raise ValueError(f"{prefix}: no .bed fileset found")
     calls = files.read_filesets(spark, every, called=carrier_only)
     if aliases is not None:
-        calls = calls.join(sized(aliases.select(F.col("native_id").alias("native_sample_id"), "participant_id").dropDuplicates(["native_sample_id"])), "native_sample_id", "left")
+        calls = joined(calls, aliases.select(F.col("native_id").alias("native_sample_id"), "participant_id").dropDuplicates(["native_sample_id"]), "native_sample_id", "left")
     else:
         calls = calls.withColumn("participant_id", F.col("native_sample_id"))
     site = ["raw_chromosome", "variant_id", "position", "a1", "a2"]
     sites = cut(plink_sites(files.read_bims(spark, every).distinct(), index))
-    calls = call_columns(calls.join(sized(sites), site))
+    calls = call_columns(joined(calls, sites, site))  # calls are read by Python and taken for few bytes, so they would be broadcast
     calls = calls.withColumns({"dosage": F.col("alt_count").cast("double"), "info_r2": F.lit(None).cast("double")})
-    table = sites.join(_statistics(calls, site), site, "left").select(
+    table = sites.join(_statistics(calls, site).hint("merge"), site, "left").select(
         "variant_key", "variant_id", "rsid", "chromosome", "position", F.col("ref").alias("reference"), F.col("alt").alias("alternate"), "a1", "a2", "ref_check", "strand_ambiguous", "included",
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_called", "n_carriers", "n_hom_alt", "alt_allele_count")],
     )

@@ -23,6 +23,8 @@ from . import files
 #: A1 copies by two-bit code 0-3; code 1 is a missing call (fixed values of the format).
 A1_COPIES = (2, -1, 1, 0)
 MAGIC = b"\x6c\x1b\x01"
+#: A byte of four missing calls.
+NONE_CALLED = 0b01010101
 _MEMBERS = (".pvar.zst", ".pgen", ".pvar", ".psam", ".bed", ".bim", ".fam")
 
 
@@ -172,8 +174,8 @@ def packed(copies: np.ndarray) -> bytes:
     """variants x samples A1 copies (-1 missing) as the bytes of a SNP-major file."""
     code = np.array([3, 2, 0, 1], np.uint8)[copies]  # -1 is the last entry
     pad = (-code.shape[1]) % 4
-    code = np.pad(code, ((0, 0), (0, pad))).reshape(len(code), -1, 4)
-    return MAGIC + (code << np.array([0, 2, 4, 6], np.uint8)).sum(2).astype(np.uint8).tobytes()
+    a, b, c, d = (np.pad(code, ((0, 0), (0, pad)))[:, k::4] for k in range(4))
+    return MAGIC + (a | b << 2 | c << 4 | d << 6).tobytes()
 
 
 def write_bed(path: str, copies: np.ndarray) -> None:
@@ -321,10 +323,12 @@ def _bed_calls(called: bool):
                 width = -(-len(iid) // 4)
                 many = max(1, 1_000_000 // max(1, len(iid)))
                 for k in range(0, n, many):
-                    raw = np.frombuffer(read(f"{prefix}.bed", 3 + (lo + k) * width, min(many, n - k) * width), np.uint8).reshape(-1, width, 1)
-                    copies = np.array(A1_COPIES, np.int8)[(raw >> np.array([0, 2, 4, 6], np.uint8) & 3).reshape(len(raw), -1)[:, : len(iid)]]
-                    v, s = np.nonzero(copies >= 0 if called else np.ones(copies.shape, bool))
-                    x, v, s = copies[v, s].astype(np.int32), pa.array(v + k), pa.array(s)
+                    raw = np.frombuffer(read(f"{prefix}.bed", 3 + (lo + k) * width, min(many, n - k) * width), np.uint8)
+                    byte = np.flatnonzero(raw != NONE_CALLED) if called else np.arange(len(raw))
+                    x = np.array(A1_COPIES, np.int32)[raw[byte, None] >> np.array([0, 2, 4, 6], np.uint8) & 3]
+                    s = byte[:, None] % width * 4 + np.arange(4)
+                    some = (s < len(iid)) & (x >= 0 if called else True)
+                    v, s, x = pa.array(np.broadcast_to(byte[:, None] // width, s.shape)[some] + k), pa.array(s[some]), x[some]
                     yield pa.RecordBatch.from_arrays([iid.take(s), male.take(s), *[c.take(v) for c in sites], pa.array(x, mask=x < 0)], names=["native_sample_id", "male", *[c.split()[0] for c in _SITE.split(", ")], "a1_count"])
 
     return calls

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +162,28 @@ def test_lookup_does_not_broadcast_a_small_file_of_many_rows(spark, tmp_path):
         assert broadcasts(got) == 0 and {(r.variant_key, r.id) for r in got.collect()} == {(str(i), i) for i in range(1, 2_001)} and got.count() == 2_000
     few = annotate.reference_lookup(v, ref, ["id"])
     assert broadcasts(few) and few.count() == 2_000
+
+
+def test_carriers_of_filesets_do_not_broadcast_calls(spark, tmp_path):
+    """Calls that Python reads are taken for few bytes by Spark's estimate; with many sites they were broadcast whole."""
+    calls, sites, samples = cohort(spark, 403)
+    g.write_batches(calls, sites, samples, f"{tmp_path}/out", 18)
+    want = sorted((f"P{r.sample}", f"rs{r.variant}", r.a1_count) for r in calls.collect())
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(annotate, "BROADCAST_ROWS", 100)
+        got, table = carriers.bed_carriers(spark, f"{tmp_path}/out")
+    rows = [(r.native_sample_id, r.variant_id, r.hardcall_alt_count) for r in got.collect()]
+    assert broadcasts(got) == 0 and sorted(rows) == [x for x in want if x[2]]
+    assert broadcasts(table) == 0 and {r.variant_id: (r.n_called, r.alt_allele_count) for r in table.collect()} == {f"rs{v}": (sum(w[1] == f"rs{v}" for w in want), sum(w[2] for w in want if w[1] == f"rs{v}")) for v in range(403)}
+
+
+@pytest.mark.parametrize("n", [1, 5, 8])
+def test_missing_calls_and_padding_of_a_bed_are_left_out(spark, tmp_path, n):
+    copies = np.array([[-1] * n, [2] * n, [(i % 4) - 1 for i in range(n)]], np.int8)
+    g.write_bed(f"{tmp_path}/x.bed", copies)
+    (tmp_path / "x.fam").write_text("".join(f"F s{i} 0 0 1 -9\n" for i in range(n)))
+    (tmp_path / "x.bim").write_text("".join(f"1\trs{v}\t0\t{v + 1}\tA\tC\n" for v in range(3)))
+    every = [(f"s{i}", f"rs{v}", None if copies[v, i] < 0 else int(copies[v, i])) for v in range(3) for i in range(n)]
+    for called in (True, False):
+        got = [(r.native_sample_id, r.variant_id, r.a1_count) for r in g.read_filesets(spark, [f"{tmp_path}/x"], called).collect()]
+        assert got == [x for x in every if x[2] is not None or not called]
