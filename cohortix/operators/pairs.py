@@ -7,7 +7,7 @@ Blocks are sent to as many tasks as there are sample blocks; no row is made for
 
 Where joint calls are fewer than pairs of samples, only pairs that share a variant are looked at: sixteen sample blocks,
 or so many that one has at most 12 million calls, are lists, so that the lists are sent sixteen times whatever the
-number of samples. A task joins two lists by variant, a few left samples at a time.
+number of samples. A task holds one block as an index by variant; pieces of the other pass it, some samples at a time.
 
 Calls that are null or outside 0 to 2 count as missing; rows without a sample or variant are left out; of repeated
 calls the largest counts.
@@ -39,14 +39,14 @@ class Sizes(NamedTuple):
 
 
 class Lists(NamedTuple):
-    """Sample blocks that a long list is cut into; calls of a block that are worth one of their own, and at most; calls
-    of a packed piece; joint calls that a task holds at once."""
+    """Sample blocks that a long list is cut into; calls of a block that are worth one of their own, and at most, which
+    a task holds in 8 bytes each; calls of a packed piece; joint calls that a task holds at once."""
 
     blocks: int = 16
     least: int = 100_000
     most: int = 12_000_000
-    piece: int = 1_000_000
-    joint: int = 4_000_000
+    piece: int = 250_000
+    joint: int = 1_000_000
 
 
 def _pack(t: pa.Table, z: Sizes) -> pa.Table:
@@ -163,7 +163,7 @@ def compare(calls: DataFrame, finish: Finish, schema: str, z: Sizes = Sizes(), l
     m, total, joint = variants.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1.0) / 2), F.lit(0.0))).first()
     rows = c.join(samples, "sample").join(variants.drop("_n"), "variant").select("at", "_v", "g")
     if joint <= n * n / 2:
-        return _by_lists(rows, n, m, total, finish, schema, lists), samples
+        return _by_lists(rows, n, total, finish, schema, lists), samples
     return _by_blocks(rows, n, m, finish, schema, z), samples
 
 
@@ -220,72 +220,121 @@ def _whole(data: memoryview, n: int) -> np.ndarray:
 
 
 def _listed(t: pa.Table) -> pa.Table:
-    """A piece of a sample block: variants, samples and counts by variant; of repeated calls the largest."""
+    """A piece of a sample block: steps of variants, samples and counts by variant; of repeated calls the largest."""
     s, v, g = (t.column(c).to_numpy() for c in "svg")
     order = np.lexsort((-g, s, v))
     s, v, g = s[order], v[order], g[order]
     first = np.concatenate([[True], (s[1:] != s[:-1]) | (v[1:] != v[:-1])])
-    data = _bytes(v[first]) + _bytes(s[first]) + g[first].astype(np.uint8).tobytes()
-    return pa.table({"sb": t.column("sb")[:1], "vr": t.column("vr")[:1], "n": pa.array([int(first.sum())], pa.int32()), "data": pa.array([data], pa.binary())})
-
-
-def _unlisted(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Variants, samples and counts of a sample block by variant."""
-    cols = [(_whole(memoryview(x), n), _whole(memoryview(x)[4 * n :], n), np.frombuffer(x, np.uint8, n, 8 * n)) for _, n, x in sorted(pieces)]
-    return tuple(np.concatenate([c[k] for c in cols]) if cols else np.zeros(0, np.uint32) for k in range(3))
-
-
-def _by_lists(rows: DataFrame, n: int, m: int, total: int, finish: Finish, schema: str, z: Lists) -> DataFrame:
+    data = _bytes(np.diff(v[first], prepend=0)) + _bytes(s[first]) + g[first].astype(np.uint8).tobytes()
+    return pa.table({"sb": t.column("sb")[:1], "n": pa.array([int(first.sum())], pa.int32()), "data": pa.array([pa.compress(data, codec="zstd", asbytes=True)], pa.binary())})
+
+
+def _unlisted(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Variants, samples and counts of a piece by variant."""
+    x = memoryview(pa.decompress(data, 9 * n, codec="zstd"))
+    return np.cumsum(_whole(x, n), dtype=np.uint64), _whole(x[4 * n :], n), np.frombuffer(x, np.uint8, n, 8 * n)
+
+
+def _index(pieces: list[tuple[int, bytes]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Calls of a sample block as sorted numbers of variant, sample and count (32, 30 and 2 bits), and heterozygotes."""
+    calls, hets, at = np.empty(sum(n for n, _ in pieces), np.uint64), np.zeros(size, np.int64), 0
+    for n, data in pieces:
+        v, s, g = _unlisted(n, data)
+        calls[at : at + n] = v << 32 | s.astype(np.uint64) << 2 | g
+        hets += np.bincount(s[g == 1], minlength=size)
+        at += n
+    calls.sort()
+    return calls, hets
+
+
+def _states(ga: np.ndarray, gb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both heterozygous, opposite homozygous."""
+    return (ga == 1) & (gb == 1), np.abs(ga - gb) == 2
+
+
+def _met(piece: tuple[np.ndarray, np.ndarray, np.ndarray], calls: np.ndarray, size: int, same: bool, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of samples of a piece and of an index, and their counts; about ``most`` joint calls at once."""
+    v, s, g = piece
+    lo = np.searchsorted(calls, v << 32)
+    many = np.searchsorted(calls, v + 1 << 32) - lo
+    order = np.flatnonzero(many)
+    order = order[np.argsort(s[order], kind="stable")]
+    s, g, lo, many = s[order].astype(np.int64), g[order].astype(np.int64), lo[order], many[order]
+    ends = np.flatnonzero(np.concatenate([s[1:] != s[:-1], np.ones(min(1, len(s)), bool)])) + 1  # of the samples' calls
+    before = np.cumsum(many)
+
+    def joint(at: int, end: int) -> tuple[np.ndarray, ...]:
+        x = np.repeat(np.arange(at, end), many[at:end])
+        y = np.arange(len(x)) + np.repeat(lo[at:end] - before[at:end] + many[at:end] + (before[at - 1] if at else 0), many[at:end])
+        own = (calls[y] & 0xFFFFFFFF).astype(np.int64)
+        return s[x], own >> 2, g[x], own & 3
+
+    at = 0
+    while at < len(s):  # at least one sample
+        done = before[at - 1] if at else 0
+        fit = np.searchsorted(before[ends - 1], done + most, "right")
+        end = int(ends[max(fit - 1, np.searchsorted(ends, at, "right"))])
+        if before[end - 1] - done > most:  # one sample, by parts
+            counts, a = np.zeros((3, size), np.int64), s[at]
+            while at < end:
+                stop = min(end, max(at + 1, int(np.searchsorted(before, (before[at - 1] if at else 0) + most, "right"))))
+                _, b, ga, gb = joint(at, stop)
+                for k, w in enumerate((*_states(ga, gb), slice(None))):
+                    counts[k] += np.bincount(b[w], minlength=size)
+                at = stop
+            b = np.flatnonzero(counts[0])
+            b = b[b > a] if same else b
+            yield np.full(len(b), a), b, counts[:, b]
+            continue
+        a, b, ga, gb = joint(at, end)
+        at, key = end, (a * size + b) * 16 + ga * 4 + gb
+        if same:
+            key = key[a < b]
+        if not len(key):
+            continue
+        key.sort()
+        pair = key >> 4
+        start = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        states = _states(key >> 2 & 3, key & 3)
+        counts = np.stack([*(np.add.reduceat(w, start, dtype=np.int64) for w in states), np.diff(np.append(start, len(key)))])
+        pair, some = pair[start], counts[0] > 0
+        yield pair[some] // size, pair[some] % size, counts[:, some]
+
+
+def _by_lists(rows: DataFrame, n: int, total: int, finish: Finish, schema: str, z: Lists) -> DataFrame:
     k = max(1, min(z.blocks, -(-total // z.least)), -(-total // z.most))
     size = max(1, -(-n // k))
     last = max(0, -(-n // size) - 1)
-    span = max(1, -(-m // max(1, -(-total // (k * z.piece)))))
-    at = rows.select(F.floor(F.col("at") / size).cast("int").alias("sb"), F.floor(F.col("_v") / span).cast("int").alias("vr"), (F.col("at") % size).cast("int").alias("s"), F.col("_v").cast("int").alias("v"), "g")
-    packed = cut(at.groupBy("sb", "vr").applyInArrow(_listed, "sb int, vr int, n int, data binary"))
+    width = max(1, -(-size // max(1, -(-total // (k * z.piece)))))  # samples of a piece
+    s = F.col("at") % size
+    at = rows.select(F.floor(F.col("at") / size).cast("int").alias("sb"), F.floor(s / width).cast("int").alias("ss"), s.cast("int").alias("s"), F.col("_v").alias("v"), "g")
+    packed = cut(at.groupBy("sb", "ss").applyInArrow(_listed, "sb int, n int, data binary"))
+    sides = F.concat(
+        F.transform(F.sequence(F.lit(0), "sb"), lambda o: F.struct(o.alias("i"), F.col("sb").alias("j"), F.lit(False).alias("left"))),
+        F.transform(F.sequence("sb", F.lit(last)), lambda o: F.struct(F.col("sb").alias("i"), o.alias("j"), F.lit(True).alias("left"))),
+    )
+    sent = packed.select(F.explode(sides).alias("x"), "n", "data").select("x.*", "n", "data")
+    # a task holds one block as an index; the pieces of the other, which are whole samples, pass it
+    dealt = sent.repartitionById((last + 1) * (last + 2) // 2, (F.col("j") * (F.col("j") + 1) / 2 + F.col("i")).cast("int")).sortWithinPartitions("i", "j", "left")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides: tuple[list, list] = [], []
-        i = j = 0
-        for b in batches:
-            for i, j, right, *piece in zip(*(b.column(c).to_pylist() for c in ("i", "j", "right", "vr", "n", "data")), strict=True):
-                sides[right].append(piece)
-        if not sides[0] or (i != j and not sides[1]):
-            return
-        v, s, g = _unlisted(sides[0])
-        sides[0].clear()
-        rv, rs, rg = (v, s, g) if i == j else _unlisted(sides[1])
-        sides[1].clear()
-        hets, other = (np.bincount(x[y == 1], minlength=size) for x, y in ((s, g), (rs, rg)))
-        lo = np.searchsorted(rv, v).astype(np.int32)
-        many = np.searchsorted(rv, v, "right").astype(np.int32) - lo
-        order = np.argsort(s, kind="stable")
-        s, g, lo, many = s[order], g[order], lo[order], many[order]
-        ends = np.flatnonzero(np.concatenate([s[1:] != s[:-1], [True]])) + 1  # of the samples' calls
-        before = np.cumsum(many, dtype=np.int64)
-        at = 0
-        while at < len(s):  # at least one sample
-            done = before[at - 1] if at else 0
-            fit = np.searchsorted(before[ends - 1], done + z.joint, "right")
-            end = int(ends[max(fit - 1, np.searchsorted(ends, at, "right"))])
-            x = np.repeat(np.arange(at, end), many[at:end])
-            y = np.arange(len(x)) - np.repeat(before[at:end] - many[at:end] - done - lo[at:end], many[at:end])
-            a, b, ga, gb = s[x].astype(np.int64), rs[y].astype(np.int64), g[x], rg[y]
-            key = (a * size + b) * 16 + ga * 4 + gb
-            if i == j:
-                key = key[a < b]
-            at = end
-            if not len(key):
-                continue
-            key.sort()
-            pair, ga, gb = key >> 4, key >> 2 & 3, key & 3
-            start = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-            states = ((ga == 1) & (gb == 1), np.abs(ga - gb) == 2)
-            counts = np.stack([*(np.add.reduceat(w, start, dtype=np.int64) for w in states), np.diff(np.append(start, len(key)))])
-            pair, some = pair[start], counts[0] > 0
-            a, b = pair[some] // size, pair[some] % size
-            yield from finish(i * size + a, j * size + b, counts[:, some], hets[a], other[b]).to_batches()
-
-    return _sides(packed, last, "vr", "n", "data").groupBy("i", "j").applyInArrow(joined, schema)
+        at, held, index = None, [], None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                i, j, left, *piece = (batch.column(c)[row].as_py() for c in ("i", "j", "left", "n", "data"))
+                if at != (i, j):
+                    at, held, index = (i, j), [], None
+                if not left:
+                    held.append(piece)
+                    continue
+                if index is None:
+                    index, held = _index(held, size), []
+                own = _unlisted(*piece)
+                hets = np.bincount(own[1][own[2] == 1], minlength=size)
+                for a, b, counts in _met(own, index[0], size, i == j, z.joint):
+                    yield from finish(i * size + a, j * size + b, counts, hets[a], index[1][b]).to_batches()
+
+    return dealt.mapInArrow(joined, schema)
 
 
 def _named(pairs: DataFrame, samples: DataFrame) -> DataFrame:

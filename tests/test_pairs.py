@@ -56,6 +56,34 @@ def test_sparse_cohorts_are_compared_by_lists(spark, monkeypatch, lists):
     assert got == brute_kinship(g, 0.02) and len(got) > 10
 
 
+def test_lists_pass_their_index_in_pieces(spark):
+    """1.5 million calls in one block with 21 million joint ones: a task holds the index, a piece and a slice."""
+
+    def finish(a_at, b_at, counts, na, nb):
+        import pyarrow as pa
+
+        with open("/proc/self/status") as f:
+            mb = next(int(x.split()[1]) >> 10 for x in f if x.startswith("VmRSS"))
+        return pa.table({"mb": pa.array([mb]), "n": pa.array([int(counts[2].sum())])})
+
+    own = spark.range(1_500_000).selectExpr("id % 30000 as sample", "(id * 7919 + id div 30000) % 50000 as variant", "1 as alt_count")
+    want = own.distinct().groupBy("variant").count().selectExpr("sum(count * (count - 1) div 2) as n").first().n
+    got, _ = pairs.compare(own, finish, "mb long, n long", lists=pairs.Lists(1))
+    rows = got.collect()
+    assert sum(r.n for r in rows) == want > 20_000_000 and max(r.mb for r in rows) < 330
+
+
+@pytest.mark.parametrize("joint", [1, 7, 1_000_000])
+def test_a_sample_with_many_joint_calls_is_counted_by_parts(spark, joint):
+    g = np.full((90, 200), -1)
+    rng = np.random.default_rng(8)
+    g[rng.random(g.shape) < 0.04] = 1
+    g[rng.random(g.shape) < 0.02] = 2
+    g[0], g[45] = rng.integers(0, 3, (2, 200))
+    got = {(r.a, r.b): (r.n_sites, r.het_het, r.ibs0, round(r.kinship, 12)) for r in pairs.kinship(calls_of(spark, g), 0.0, lists=pairs.Lists(3, 50, 500, 60, joint)).collect()}
+    assert got == brute_kinship(g, 0.0) and len(got) > 10
+
+
 def test_kinship_leaves_out_what_is_no_call(spark):
     rows = [("a", 1, 1), ("b", 1, 1), ("a", 2, 7), ("b", 2, 1), (None, 1, 1), ("c", None, 1), ("c", 1, None), ("a", 3, 0), ("a", 3, 1), ("b", 3, 1)]
     got = pairs.kinship(spark.createDataFrame(rows, "sample string, variant long, alt_count long")).collect()
